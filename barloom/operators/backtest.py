@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom import schema as S
 from barloom.functions.scalars import divide, number
-from barloom.operators.blocks import BLOCK, BLOCK_ROWS, OWN, POSITION, Blocks
+from barloom.operators.blocks import BLOCK, BLOCK_ROWS, POSITION, Blocks
 from barloom.operators.labels import add_fills
 
 
