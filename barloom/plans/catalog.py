@@ -51,13 +51,16 @@ def query(function: Query) -> Query:
     return function
 
 
-def out(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Comparable output: doubles rounded without negative zero, times without zone."""
+def out(df: DataFrame, digits: int | None = 6) -> DataFrame:
+    """Comparable output: doubles rounded without negative zero, times without zone.
+
+    ``digits=None`` keeps doubles as they are, where both engines do the same arithmetic.
+    """
     columns = []
     for field in df.schema.fields:
         value = F.col(f"`{field.name}`")
         kind = field.dataType.simpleString()
-        if kind == "double":
+        if kind == "double" and digits is not None:
             tiny = F.abs(value) < 0.5 * 10.0**-digits
             value = F.when(tiny, F.lit(0.0)).otherwise(F.round(value, digits))
         elif kind == "timestamp":
@@ -75,22 +78,22 @@ def event_table(spark: SparkSession, sf_dir: str, level: float = 0.0) -> DataFra
 
 @query
 def resample_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(market.event_bars(spark, sf_dir, "15 minutes"))
+    return out(market.event_bars(spark, sf_dir, "15 minutes"), None)
 
 
 @query
 def resample_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(market.event_bars(spark, sf_dir, "5 minutes"))
+    return out(market.event_bars(spark, sf_dir, "5 minutes"), None)
 
 
 @query
 def resample_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(market.event_bars(spark, sf_dir, "1 hour"))
+    return out(market.event_bars(spark, sf_dir, "1 hour"), None)
 
 
 @query
 def resample_lines_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(market.line_bars(spark, sf_dir))
+    return out(market.line_bars(spark, sf_dir), None)
 
 
 @query
@@ -150,13 +153,14 @@ def _feature_query(group: str, lines: bool) -> Query:
         bars = market.line_bars(spark, sf_dir) if lines else market.event_bars(spark, sf_dir, INTERVAL)
         rows = market.stored(bars)
         names = S.FEATURE_GROUPS[group]
-        return out(
-            ft.features(rows, [group]).select(S.SYMBOL, S.TS, *[F.col(f"`{n}`") for n in names])
-        )
+        made = ft.features(rows, [group]).select(S.SYMBOL, S.TS, *[F.col(f"`{n}`") for n in names])
+        return out(made, None if group in UNROUNDED else 6)
 
     return run
 
 
+#: Groups of one subtraction or division, equal to the last bit in any engine.
+UNROUNDED = ("mom", "roc")
 for _group in S.FEATURE_GROUPS:
     QUERIES[f"feat_{_group}"] = _feature_query(_group, lines=False)
 for _group in ("sma", "mom", "roc", "bb_width", "log_diff", "reg"):
@@ -396,12 +400,12 @@ def _measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.lit(NOW).cast("timestamp")
-    return out(readers.scan_bars(_measurements(spark, sf_dir), "click_15m", "1w", now))
+    return out(readers.scan_bars(_measurements(spark, sf_dir), "click_15m", "1w", now), None)
 
 
 @query
 def pivot_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(reshape.pivot_fields(_measurements(spark, sf_dir)))
+    return out(reshape.pivot_fields(_measurements(spark, sf_dir)), None)
 
 
 @query
@@ -525,7 +529,7 @@ def payload_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(S.SYMBOL, F.date_trunc("hour", S.TS).alias("hour"))
         .agg(F.to_json(F.struct(F.struct(F.collect_list("row").alias("list")).alias("result"))).alias("value"))
     )
-    return out(payloads.parse_bars(wrapped))
+    return out(payloads.parse_bars(wrapped), None)
 
 
 def _event_payloads(spark: SparkSession, sf_dir: str, amount: str) -> DataFrame:
@@ -664,14 +668,14 @@ def stream_resample_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = streams.stream_resample(
         _event_stream(spark, sf_dir), INTERVAL, "10 minutes", market.tick_order()
     )
-    return out(streams.run_available(bars, "stream-bars"))
+    return out(streams.run_available(bars, "stream-bars"), None)
 
 
 @query
 def stream_resample_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bars, the whole result in every trigger."""
     bars = market.resample(_event_stream(spark, sf_dir), "1 hour", market.tick_order())
-    return out(streams.run_available(bars, "stream-bars", mode="complete"))
+    return out(streams.run_available(bars, "stream-bars", mode="complete"), None)
 
 
 @query

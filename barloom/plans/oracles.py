@@ -15,6 +15,7 @@ from barloom.plans.catalog import (
     NOW,
     SEARCH,
     TRIALS,
+    UNROUNDED,
 )
 from barloom.operators.search import signal_trials as random_trials
 
@@ -44,6 +45,8 @@ def event_bars(interval: str = "15 minutes", level: float = 0.0) -> str:
   FROM events GROUP BY 1, 2)"""
 
 
+RAW = ", ".join(S.OHLCV)
+
 LINE_BARS = """bars AS (
   SELECT l_suppkey::VARCHAR AS symbol, time_bucket(INTERVAL '1 day', l_shipdate) AS bar_ts,
     first(l_extendedprice / l_quantity ORDER BY l_orderkey, l_partkey, l_linenumber) AS open,
@@ -75,12 +78,12 @@ def ln(x: str) -> str:
 # -- bars -----------------------------------------------------------------------------------------
 
 for _name, _interval in (("resample_5m", "5 minutes"), ("resample_15m", "15 minutes"), ("resample_1h", "1 hour")):
-    ORACLES[_name] = f"WITH {event_bars(_interval)} SELECT symbol, bar_ts AS ts, {rs(*S.OHLCV)} FROM bars"
+    ORACLES[_name] = f"WITH {event_bars(_interval)} SELECT symbol, bar_ts AS ts, {RAW} FROM bars"
 ORACLES["stream_resample_complete"] = ORACLES["resample_1h"]
-ORACLES["resample_lines_1d"] = f"WITH {LINE_BARS} SELECT symbol, bar_ts AS ts, {rs(*S.OHLCV)} FROM bars"
+ORACLES["resample_lines_1d"] = f"WITH {LINE_BARS} SELECT symbol, bar_ts AS ts, {RAW} FROM bars"
 ORACLES["row_positions"] = f"WITH {LINE_BARS}, {POS} SELECT symbol, ts, i, n FROM pos"
 ORACLES["stream_resample_15m"] = f"""WITH {event_bars()}
-SELECT symbol, bar_ts AS ts, {rs(*S.OHLCV)} FROM bars
+SELECT symbol, bar_ts AS ts, {RAW} FROM bars
 WHERE bar_ts + INTERVAL '15 minutes' <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '10 minutes'"""
 ORACLES["stream_upsert_bars"] = f"""SELECT event_type AS symbol, date_trunc('minute', ts) AS ts,
   max(event_id) AS version, {r('last(value ORDER BY event_id)', 'price')} FROM events GROUP BY 1, 2"""
@@ -246,7 +249,8 @@ def feature_sql(group: str, bars: str) -> str:
     names = S.FEATURE_GROUPS[group]
     if group in _PLAIN:
         made = ", ".join(f'{e} AS "{n}"' for n, e in plain_exprs(group).items())
-        return f"WITH {bars}, {POS}, f AS (SELECT symbol, ts, {made} FROM pos) SELECT symbol, ts, {rs(*names)} FROM f"
+        shown = ", ".join(names) if group in UNROUNDED else rs(*names)
+        return f"WITH {bars}, {POS}, f AS (SELECT symbol, ts, {made} FROM pos) SELECT symbol, ts, {shown} FROM f"
     if group in _LEVELS:
         return f"WITH {bars}, {POS}, {levels_sql(_LEVELS[group](), 'pos')} SELECT symbol, ts, {rs(*names)} FROM ld"
     if group == "rci":
@@ -455,7 +459,7 @@ UNION ALL SELECT symbol, trial, 'entry_point', round(entry_point, 6) FROM wide""
 
 ORACLES["pivot_fields"] = ORACLES["resample_15m"]
 ORACLES["payload_bars"] = ORACLES["resample_15m"]
-ORACLES["scan_measurement"] = f"""WITH {event_bars()} SELECT symbol, bar_ts AS ts, {rs(*S.OHLCV)} FROM bars
+ORACLES["scan_measurement"] = f"""WITH {event_bars()} SELECT symbol, bar_ts AS ts, {RAW} FROM bars
 WHERE symbol = 'click' AND bar_ts + INTERVAL '250 milliseconds' >= TIMESTAMP '{NOW}' - INTERVAL '7 days'"""
 _hourly = """SELECT 'u' || (user_id % 10)::VARCHAR AS symbol, date_trunc('hour', ts) AS ts, max(value) AS {0}
   FROM events WHERE event_type = '{1}' GROUP BY 1, 2"""
