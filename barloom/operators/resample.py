@@ -28,7 +28,9 @@ def resample(ticks: DataFrame, interval: str, order: Column | None = None) -> Da
     aggregate combines on the map side, so a hot symbol or a hot window sends one row per task.
     """
     key = F.col(S.TS) if order is None else order
-    slot = F.window(F.col(S.TS).cast("timestamp"), interval)
+    if ticks.schema[S.TS].dataType.typeName() != "timestamp":
+        ticks = ticks.withColumn(S.TS, F.col(S.TS).cast("timestamp"))
+    slot = F.window(S.TS, interval)
     grouped = ticks.groupBy(F.col(S.SYMBOL), slot.alias("__slot")).agg(
         F.min_by("price", key).alias("open"),
         F.max("price").alias("high"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schema as S
-from barloom.functions.scalars import keep_if
+from barloom.functions.scalars import keep_if, quoted
 from barloom.operators.blocks import BLOCK_ROWS, POSITION, Blocks, with_position
 from barloom.operators.rolling import rolling_max, rolling_min
 
@@ -130,5 +130,7 @@ def newest_row(df: DataFrame, keys: tuple[str, ...] = ("symbol",), order: str =
     """The newest row per key, as a partial aggregate: a hot key sends one row per task."""
     keys_ = list(keys)
     rest = [c for c in df.columns if c not in (*keys_, order)]
-    newest = df.groupBy(*keys_).agg(F.max(F.struct(order, *rest)).alias("__newest"))
-    return newest.select(*keys_, "__newest.*").select(*df.columns)
+    newest = df.groupBy(*keys_).agg(
+        F.max(F.struct(order, *[quoted(c) for c in rest])).alias("__newest")
+    )
+    return newest.select(*keys_, "__newest.*").select(*[quoted(c) for c in df.columns])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.scalars import quoted
+
 BAR_KEY = ("symbol", "ts")
 ORDER_KEY = ("symbol", "ts", "side")
 
@@ -21,8 +23,10 @@ def keep_latest(
     """
     keys_ = list(keys)
     rest = [c for c in df.columns if c not in (*keys_, version)]
-    newest = df.groupBy(*keys_).agg(F.max(F.struct(version, *rest)).alias("__row"))
-    return newest.select(*keys_, "__row.*").select(*df.columns)
+    newest = df.groupBy(*keys_).agg(
+        F.max(F.struct(version, *[quoted(c) for c in rest])).alias("__row")
+    )
+    return newest.select(*keys_, "__row.*").select(*[quoted(c) for c in df.columns])
 
 
 def merge_latest(

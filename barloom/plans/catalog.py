@@ -34,6 +34,7 @@ QUERIES: dict[str, Query] = {}
 # Fixed parameters of the registered queries.
 INTERVAL = "15 minutes"
 LEVEL = 1000.0
+LINE_LEVEL = 100000.0
 ENTRY_LENGTH, ENTRY_POINT = 10, 0.5
 ACCOUNT = S.BacktestParams()
 SEARCH = S.OptimizeParams()
@@ -173,6 +174,12 @@ def feat_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(ft.features(event_table(spark, sf_dir, LEVEL)))
 
 
+@query
+def feat_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sixty features of every supplier's series; the level keeps every band positive."""
+    return out(ft.features(market.stored(market.line_bars(spark, sf_dir, LINE_LEVEL))))
+
+
 @query
 def feat_target_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of another target column carry its name."""
@@ -347,6 +354,13 @@ def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(search.search_signal(event_table(spark, sf_dir), TRIALS, ACCOUNT, SEARCH, strict=False))
 
 
+@query
+def grid_lines_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid over many symbols: one search per supplier."""
+    rows = market.stored(market.line_bars(spark, sf_dir))
+    return out(search.search_signal(rows, TRIALS, ACCOUNT, SEARCH, strict=False))
+
+
 @query
 def best_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = search.search_signal(event_table(spark, sf_dir), TRIALS, ACCOUNT, SEARCH, strict=False)

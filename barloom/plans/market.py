@@ -29,18 +29,20 @@ def event_ticks(events: DataFrame, level: float = 0.0) -> DataFrame:
     )
 
 
-def line_ticks(lineitem: DataFrame) -> DataFrame:
-    """Order lines as ticks: symbol = supplier, unit price, quantity as volume.
+def line_ticks(lineitem: DataFrame, level: float = 0.0) -> DataFrame:
+    """Order lines as ticks: symbol = supplier, ``level`` + unit price, quantity as volume.
 
     A day has no order of its own; lines are ordered by order, part and line number.
     """
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    price = price + F.lit(level) if level else price
     order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10**12))
     part = F.col("l_partkey").cast("decimal(19,0)") * F.lit(Decimal(10))
     return lineitem.select(
         F.col("l_suppkey").cast("string").alias(S.SYMBOL),
         F.col("l_shipdate").cast("timestamp").alias(S.TS),
         (order + part + F.col("l_linenumber")).cast("decimal(38,0)").alias("seq"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        price.alias("price"),
         F.col("l_quantity").alias("volume"),
     )
 
@@ -52,8 +54,8 @@ def event_bars(
     return resample(ticks, interval, tick_order())
 
 
-def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample(line_ticks(table(spark, sf_dir, "lineitem")), "1 day", F.col("seq"))
+def line_bars(spark: SparkSession, sf_dir: str, level: float = 0.0) -> DataFrame:
+    return resample(line_ticks(table(spark, sf_dir, "lineitem"), level), "1 day", F.col("seq"))
 
 
 def stored(bars: DataFrame) -> DataFrame:

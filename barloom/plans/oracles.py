@@ -12,6 +12,7 @@ from barloom.plans.catalog import (
     ENTRY_LENGTH,
     ENTRY_POINT,
     LEVEL,
+    LINE_LEVEL,
     NOW,
     SEARCH,
     TRIALS,
@@ -47,14 +48,19 @@ def event_bars(interval: str = "15 minutes", level: float = 0.0) -> str:
 
 RAW = ", ".join(S.OHLCV)
 
-LINE_BARS = """bars AS (
+
+def line_bars(level: float = 0.0) -> str:
+    price = "l_extendedprice / l_quantity" + (f" + {d(level)}" if level else "")
+    order = "ORDER BY l_orderkey, l_partkey, l_linenumber"
+    return f"""bars AS (
   SELECT l_suppkey::VARCHAR AS symbol, time_bucket(INTERVAL '1 day', l_shipdate) AS bar_ts,
-    first(l_extendedprice / l_quantity ORDER BY l_orderkey, l_partkey, l_linenumber) AS open,
-    max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low,
-    last(l_extendedprice / l_quantity ORDER BY l_orderkey, l_partkey, l_linenumber) AS close,
-    sum(l_quantity) AS volume
+    first({price} {order}) AS open, max({price}) AS high, min({price}) AS low,
+    last({price} {order}) AS close, sum(l_quantity) AS volume
   FROM lineitem GROUP BY 1, 2)"""
 
+
+LINE_BARS = line_bars()
+
 POS = """pos AS (
   SELECT symbol, bar_ts AS ts, open, high, low, close, volume,
     row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) - 1 AS i,
@@ -275,7 +281,10 @@ for _group, _names in S.FEATURE_GROUPS.items():
     _source = _sources.get(_group, "ld" if _group in _LEVELS else "pl")
     _picked += [f'{_source}."{n}" AS "{n}"' for n in _names]
 _complete = " AND ".join(f'"{n}" IS NOT NULL' for n in S.FEATURES)
-ORACLES["feat_all"] = f"""WITH RECURSIVE {event_bars(level=LEVEL)}, {POS}, {recursive_features('pos')},
+
+
+def all_features_sql(bars: str) -> str:
+    return f"""WITH RECURSIVE {bars}, {POS}, {recursive_features('pos')},
 {rci_sql('pos')}, {cci_sql('pos')}, {levels_sql(sma_levels() | bb_levels() | reg_levels(), 'pos')},
 pl AS (SELECT symbol, ts, i, {_made} FROM pos),
 f AS (SELECT pos.symbol, pos.ts, {', '.join(f'pos.{c}' for c in S.OHLCV)}, {', '.join(_picked)}
@@ -283,6 +292,10 @@ f AS (SELECT pos.symbol, pos.ts, {', '.join(f'pos.{c}' for c in S.OHLCV)}, {', '
   JOIN emad USING (symbol, i) JOIN rci USING (symbol, i) JOIN cci USING (symbol, i))
 SELECT symbol, ts, {rs(*S.OHLCV)}, {rs(*S.FEATURES)} FROM f WHERE {_complete}"""
 
+
+ORACLES["feat_all"] = all_features_sql(event_bars(level=LEVEL))
+ORACLES["feat_lines_all"] = all_features_sql(line_bars(LINE_LEVEL))
+
 _volume = {
     f"volume_{n}": e.replace("close", "volume") for g in ("mom", "roc") for n, e in plain_exprs(g).items()
 }
@@ -432,8 +445,8 @@ ORACLES["scale_apply"] = f"""WITH {_BARS}, {_FOLDS}, {_SCALE} SELECT pos.symbol,
   {', '.join(r(f'(pos.{c} - s_{c}.mean) / s_{c}.scale', c) for c in S.OHLCV)} FROM pos {_joined}"""
 
 
-def search_ctes(trials: list[dict]) -> str:
-    return f"""{_BARS}, {trial_ctes(trials)}, {_FOLDS},
+def search_ctes(trials: list[dict], bars: str = _BARS) -> str:
+    return f"""{bars}, {trial_ctes(trials)}, {_FOLDS},
 sliced AS (SELECT sigs.*, fold FROM sigs JOIN folds USING (symbol) WHERE i BETWEEN train_start_i AND train_end_i),
 {backtest_ctes('sliced', 'symbol, trial, fold')},
 scores AS (SELECT symbol, trial, fold, sum(profit) AS metric FROM bt GROUP BY 1, 2, 3),
@@ -446,6 +459,7 @@ _SEARCH = f"WITH {search_ctes(TRIALS)}"
 ORACLES["grid_fold_scores"] = f"{_SEARCH} SELECT symbol, trial, fold, {rs('metric')} FROM scores"
 _best = f"symbol, trial, {rs('metric')}, entry_length, {rs('entry_point')}"
 ORACLES["grid_best"] = f"{_SEARCH} SELECT {_best} FROM best"
+ORACLES["grid_lines_best"] = f"WITH {search_ctes(TRIALS, f'{LINE_BARS}, {POS}')} SELECT {_best} FROM best"
 ORACLES["random_search"] = f"WITH {search_ctes(random_trials(12, ACCOUNT.seed))} SELECT {_best} FROM best"
 ORACLES["best_export"] = f"""{_SEARCH} SELECT symbol, 'best_entry_length' AS key, entry_length::DOUBLE AS value FROM best
 UNION ALL SELECT symbol, 'best_entry_point', round(entry_point, 6) FROM best"""
