@@ -52,18 +52,24 @@ def query(function: Query) -> Query:
     return function
 
 
-def out(df: DataFrame, digits: int | None = 6) -> DataFrame:
+#: Columns in units of price; rounded to fewer digits, as rounding errors grow with the level.
+PRICE_SCALED = tuple(n for g in ("atr", "bb_width", "macd", "mom") for n in S.FEATURE_GROUPS[g])
+
+
+def out(df: DataFrame, digits: int | None = 6, coarse: tuple[str, ...] = ()) -> DataFrame:
     """Comparable output: doubles rounded without negative zero, times without zone.
 
     ``digits=None`` keeps doubles as they are, where both engines do the same arithmetic.
+    ``coarse`` names columns that keep three digits.
     """
     columns = []
     for field in df.schema.fields:
         value = F.col(f"`{field.name}`")
         kind = field.dataType.simpleString()
         if kind == "double" and digits is not None:
-            tiny = F.abs(value) < 0.5 * 10.0**-digits
-            value = F.when(tiny, F.lit(0.0)).otherwise(F.round(value, digits))
+            kept = 3 if field.name in coarse else digits
+            tiny = F.abs(value) < 0.5 * 10.0**-kept
+            value = F.when(tiny, F.lit(0.0)).otherwise(F.round(value, kept))
         elif kind == "timestamp":
             value = value.cast("timestamp_ntz")
         columns.append(value.alias(field.name))
@@ -171,13 +177,14 @@ for _group in ("sma", "mom", "roc", "bb_width", "log_diff", "reg"):
 @query
 def feat_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixty features, complete rows only."""
-    return out(ft.features(event_table(spark, sf_dir, LEVEL)))
+    return out(ft.features(event_table(spark, sf_dir, LEVEL)), coarse=PRICE_SCALED)
 
 
 @query
 def feat_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixty features of every supplier's series; the level keeps every band positive."""
-    return out(ft.features(market.stored(market.line_bars(spark, sf_dir, LINE_LEVEL))))
+    rows = market.stored(market.line_bars(spark, sf_dir, LINE_LEVEL))
+    return out(ft.features(rows), coarse=PRICE_SCALED)
 
 
 @query
