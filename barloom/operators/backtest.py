@@ -14,36 +14,35 @@ from barloom.operators.labels import add_fills
 
 
 def add_orders(blocks: Blocks) -> Blocks:
-    """Fills, order sign, execution price and return per row."""
-    blocks = add_fills(blocks)
-    w = blocks.w
+    """Fills, order sign and execution price per row."""
     order = F.when(F.col("long") == F.col("short"), 0).when(F.col("long"), 1).otherwise(-1)
     price = (
-        F.when(F.lead("short").over(w), F.col("sell"))
-        .when(F.lead("long").over(w), F.col("buy"))
+        F.when(F.col("__next_short"), F.col("sell"))
+        .when(F.col("__next_long"), F.col("buy"))
         .otherwise(F.col("close"))
     )
-    blocks = blocks.with_columns({"order": order, "exec_price": price})
-    change = F.col("exec_price") - F.lag("exec_price").over(w)
-    return blocks.with_columns({"return": F.coalesce(change, F.lit(0.0))})
+    blocks = add_fills(blocks).with_columns({"order": order, "exec_price": price})
+    return blocks.drop("__next_long", "__next_short")
 
 
 def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
-    """Position after each row, with reversal and pyramiding.
+    """Return of each row, and the position after it, with reversal and pyramiding.
 
     All orders between two sign flips have one sign, so the clamped position is that sign times
     the number of orders since the last flip, at most ``pyramiding``. The run that reaches into a
     block from earlier ones is its state: sign and order count.
     """
     running, plain = blocks.over(running=True), blocks.over()
+    earlier = running.replace("UNBOUNDED PRECEDING", "BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     blocks = blocks.with_exprs({"__order": "CASE WHEN own AND order != 0 THEN order END"})
     blocks = blocks.with_exprs(
         {
+            "return": f"coalesce(exec_price - lag(exec_price) {plain}, 0D)",
             "__side": f"last(__order, true) {running}",
+            "__flip": f"__order != last(__order, true) {earlier}",
             "__orders": f"count(__order) {running}",
         }
     )
-    blocks = blocks.with_exprs({"__flip": f"__order != lag(__side) {plain}"})
     blocks = blocks.with_exprs(
         {
             "__run": "__orders - coalesce("

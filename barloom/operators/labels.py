@@ -12,23 +12,46 @@ from barloom.operators.blocks import BLOCK_ROWS, Blocks
 
 
 def add_fills(blocks: Blocks) -> Blocks:
-    """Limit prices corrected by the next open, and whether the previous row's orders filled."""
-    following_open = F.lead("open").over(blocks.w)
+    """Limit prices corrected by the next open, and which orders filled.
+
+    ``long`` / ``short`` say whether the previous row's orders filled in this row,
+    ``__next_long`` / ``__next_short`` whether this row's orders fill in the next one. All of it
+    follows from one look back and one look ahead, so it costs a single window pass.
+    """
+    plain = blocks.over()
+    blocks = blocks.with_exprs(
+        {
+            "limit": f"lead(open) {plain}",
+            "__next_low": f"lead(low) {plain}",
+            "__next_high": f"lead(high) {plain}",
+            "__last_buy": f"lag(buy) {plain}",
+            "__last_sell": f"lag(sell) {plain}",
+        }
+    )
+    # The previous row's corrected price is bounded by this row's open. Comparisons with a
+    # missing neighbour are NULL and count as not filled; least and greatest would skip it.
+    bid, ask = F.col("__last_buy"), F.col("__last_sell")
     blocks = blocks.with_columns(
         {
-            "limit": following_open,
-            "buy": F.least("buy", following_open),
-            "sell": F.greatest("sell", following_open),
+            "buy": F.least("buy", "limit"),
+            "sell": F.greatest("sell", "limit"),
+            "long": F.when(bid.isNotNull(), F.col("low") < F.least(bid, F.col("open"))),
+            "short": F.when(ask.isNotNull(), F.col("high") > F.greatest(ask, F.col("open"))),
         }
     )
-    low_hit = F.col("low") < F.lag("buy").over(blocks.w)
-    high_hit = F.col("high") > F.lag("sell").over(blocks.w)
-    return blocks.with_columns(
+
+    def known(name: str | Column) -> Column:
+        return F.coalesce(F.col(name) if isinstance(name, str) else name, F.lit(False))
+
+    blocks = blocks.with_columns(
         {
-            "long": F.coalesce(low_hit, F.lit(False)),
-            "short": F.coalesce(high_hit, F.lit(False)),
+            "long": known("long"),
+            "short": known("short"),
+            "__next_long": known(F.col("__next_low") < F.col("buy")),
+            "__next_short": known(F.col("__next_high") > F.col("sell")),
         }
     )
+    return blocks.drop("__next_low", "__next_high", "__last_buy", "__last_sell")
 
 
 def _three_class(filled_at: str, won: Column) -> Column:
@@ -48,13 +71,11 @@ def add_labels(
     """
     if sell_label not in ("mirror", "as_written"):
         raise ValueError("sell_label must be 'mirror' or 'as_written'")
-    blocks = add_fills(blocks)
-    w = blocks.w
-    blocks = blocks.with_columns(
+    blocks = blocks.with_exprs({"__next_close": f"lead(close) {blocks.over()}"})
+    blocks = add_fills(blocks).with_columns(
         {
-            "exec_price_buy": keep_if(F.lead("long").over(w), F.col("buy"), F.lit(0.0)),
-            "exec_price_sell": keep_if(F.lead("short").over(w), F.col("sell"), F.lit(0.0)),
-            "__next_close": F.lead("close").over(w),
+            "exec_price_buy": keep_if(F.col("__next_long"), F.col("buy"), F.lit(0.0)),
+            "exec_price_sell": keep_if(F.col("__next_short"), F.col("sell"), F.lit(0.0)),
         }
     )
     buy, sell, following = F.col("exec_price_buy"), F.col("exec_price_sell"), F.col("__next_close")
@@ -65,7 +86,8 @@ def add_labels(
         y_sell = F.when((sell != 0) & (2 * sell > following - 1), 1).otherwise(0)
     if binary:
         y_buy, y_sell = (y_buy == 1).cast("int"), (y_sell == 1).cast("int")
-    return blocks.with_columns({"y_buy": y_buy, "y_sell": y_sell}).drop("__next_close")
+    blocks = blocks.with_columns({"y_buy": y_buy, "y_sell": y_sell})
+    return blocks.drop("__next_close", "__next_long", "__next_short")
 
 
 def labels(
