@@ -38,6 +38,7 @@ def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
     blocks = blocks.with_exprs(
         {
             "return": f"coalesce(exec_price - lag(exec_price) {plain}, 0D)",
+            "__return_at_close": f"coalesce(close - lag(exec_price) {plain}, 0D)",
             "__side": f"last(__order, true) {running}",
             "__flip": f"__order != last(__order, true) {earlier}",
             "__orders": f"count(__order) {running}",
@@ -97,12 +98,23 @@ def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
 
 
 def add_profit(blocks: Blocks, commission: float) -> Blocks:
-    """Commission on the change of position (unknown on the first row) and profit."""
-    cost = (
-        f"exec_price * {number(commission)} / 100D * abs(pos - __pos_before)"
+    """Commission on the change of position (unknown on the first row) and profit.
+
+    ``profit_at_close`` is the profit a row would have as the last one of its series, where no
+    order can fill after it and it is valued at its close.
+    """
+
+    def cost(price: str) -> str:
+        return f"{price} * {number(commission)} / 100D * abs(pos - __pos_before)"
+
+    blocks = blocks.with_exprs({"commission": cost("exec_price")})
+    blocks = blocks.with_exprs(
+        {
+            "profit": "`return` * pos - commission",
+            "profit_at_close": f"__return_at_close * pos - {cost('close')}",
+        }
     )
-    blocks = blocks.with_exprs({"commission": cost}).drop("__pos_before")
-    return blocks.with_exprs({"profit": "`return` * pos - commission"})
+    return blocks.drop("__pos_before", "__return_at_close")
 
 
 def add_pnl(blocks: Blocks) -> Blocks:
@@ -138,7 +150,7 @@ def backtest(
     blocks = signal_rows
     if not isinstance(blocks, Blocks):
         blocks = Blocks.of(signal_rows, before=1, after=1, keys=keys, rows=block_rows)
-    return add_pnl(trade(blocks, account, pyramiding)).own_rows()
+    return add_pnl(trade(blocks, account, pyramiding).drop("profit_at_close")).own_rows()
 
 
 def pnl_curve(backtested: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:

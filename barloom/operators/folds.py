@@ -48,7 +48,8 @@ def enough_rows(params: S.OptimizeParams, length: str) -> str:
     return f"({length} >= {k + 1} AND {length} - {params.gap} - {k} * {size} > 0)"
 
 
-def _checked(df: DataFrame, params: S.OptimizeParams, length: str, strict: bool) -> DataFrame:
+def checked(df: DataFrame, params: S.OptimizeParams, length: str, strict: bool) -> DataFrame:
+    """Drop the rows of series too short to be cut, or fail on them."""
     ok = F.expr(enough_rows(params, length))
     if not strict:
         return df.where(ok)
@@ -76,7 +77,7 @@ def fold_bounds(
                 f" named_struct('fold', {fold}, 'bound', '{name}') END"
             )
     hits = (
-        _checked(positioned, params, length, strict)
+        checked(positioned, params, length, strict)
         .select(S.SYMBOL, S.TS, POSITION, F.expr(f"array_compact(array({', '.join(marks)}))").alias("m"))
         .where(F.size("m") > 0)
         .select(S.SYMBOL, S.TS, POSITION, F.explode("m").alias("m"))
@@ -111,7 +112,7 @@ def fold_rows(
                 f" THEN named_struct('fold', {fold}, 'role', '{r}') END"
             )
     return (
-        _checked(positioned, params, length, strict)
+        checked(positioned, params, length, strict)
         .withColumn("__use", F.explode(F.expr(f"array_compact(array({', '.join(uses)}))")))
         .withColumns({"fold": F.col("__use.fold"), "role": F.col("__use.role")})
         .drop("__use")

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schema as S
+from barloom.functions.scalars import divide
 from barloom.operators import backtest as bt
 from barloom.operators.blocks import BLOCK_ROWS, Blocks
-from barloom.operators.folds import fold_rows
+from barloom.operators.folds import bound_exprs, checked, fold_rows, train_length
 from barloom.operators.signals import ENTRY_LENGTHS, ENTRY_POINTS, trial_signals
 
 # The searched ranges of the classifier's parameters.
@@ -80,15 +81,51 @@ def fold_scores(
     """Backtest metric of every (symbol, trial, fold) over the fold's train range, as one job.
 
     Signals are taken over the whole series and then sliced; a backtest restarts in every slice.
-    Bars are exchanged once by (symbol, block); trials and folds multiply rows inside a task.
+    Bars are exchanged once by (symbol, block); trials multiply rows inside a task, and so do
+    folds unless all of them share one backtest.
     """
     longest = max(t["entry_length"] for t in trials)
     bars = positioned.select(S.SYMBOL, *S.PRICES, "i", "n")
     blocks = trial_signals(Blocks.of(bars, before=longest + 1, after=1, rows=block_rows), trials)
+    if params.max_train_size is None and params.optimize_target in ("pnl", "sr"):
+        return _expanding_scores(blocks, account, params, strict)
     sliced = fold_rows(blocks.df, params, role="train", strict=strict).drop("role", "n")
     return bt.metric(blocks.expand(sliced, "fold"), params.optimize_target, account, params.pyramiding)
 
 
+def _expanding_scores(
+    blocks: Blocks, account: S.BacktestParams, params: S.OptimizeParams, strict: bool
+) -> DataFrame:
+    """Scores of train ranges that all start at row 0, from one backtest per trial.
+
+    A longer range repeats every row of a shorter one; only the shorter range's last row differs,
+    as nothing fills after it. So each fold sums the common profits up to its last row and takes
+    that row's profit at close, and rows are not multiplied by the number of folds.
+    """
+    length = train_length(params)
+    ends = [bound_exprs(params, f, length)["train_end"] for f in range(params.n_splits)]
+    rows = checked(blocks.df, params, length, strict).where(f"i <= {ends[-1]}")
+    rows = rows.withColumns({f"__end{f}": F.expr(end) for f, end in enumerate(ends)}).drop("n")
+    rows = bt.trade(blocks.expand(rows), account, params.pyramiding).own_rows()
+    sums = []
+    for f in range(params.n_splits):
+        value = (
+            F.when(F.col("i") < F.col(f"__end{f}"), F.col("profit"))
+            .when(F.col("i") == F.col(f"__end{f}"), F.col("profit_at_close"))
+        )
+        if params.optimize_target == "pnl":
+            score = F.sum(value)
+        else:
+            score = divide(F.avg(value), F.stddev_pop(value))
+        sums += [score.alias(f"m{f}"), F.max(F.col("i") <= F.col(f"__end{f}")).alias(f"any{f}")]
+    wide = rows.groupBy(S.SYMBOL, "trial").agg(*sums)
+    folds_ = ", ".join(f"{f}, m{f}, any{f}" for f in range(params.n_splits))
+    long = wide.selectExpr(
+        S.SYMBOL, "trial", f"stack({params.n_splits}, {folds_}) AS (fold, metric, occupied)"
+    )
+    return long.where("occupied").drop("occupied")
+
+
 def trial_scores(scores: DataFrame) -> DataFrame:
     """Mean metric over folds."""
     return scores.groupBy(S.SYMBOL, "trial").agg(F.avg("metric").alias("metric"))

@@ -173,13 +173,13 @@ def test_holdout(bars):
 
 
 @pytest.mark.parametrize("target", S.METRICS)
-@pytest.mark.parametrize("rows", [2048, 64])
-def test_search_equals_simulation(bars, target, rows):
+@pytest.mark.parametrize(("rows", "cap"), [(2048, None), (64, None), (64, 70)])
+def test_search_equals_simulation(bars, target, rows, cap):
     trials = [
         {"trial": 0, "entry_length": 5, "entry_point": 0.4},
         {"trial": 1, "entry_length": 9, "entry_point": 0.1},
     ]
-    params = S.OptimizeParams(n_splits=2, gap=3, optimize_target=target)
+    params = S.OptimizeParams(n_splits=2, gap=3, optimize_target=target, max_train_size=cap)
     scores = fold_scores(bars, trials, ACCOUNT, params, block_rows=rows)
     got = {(r.symbol, r.trial, r.fold): r.metric for r in scores.collect()}
     assert len(got) == 8
@@ -189,7 +189,8 @@ def test_search_equals_simulation(bars, target, rows):
             n = int({"A": 400, "B": 150}[symbol] * 0.75)
             for fold in range(2):
                 end = n - (2 - fold) * (n // 3) - 3
-                sim = simulate(g[g.i < end].reset_index(drop=True), ACCOUNT, 3)
+                start = max(0, end - cap) if cap else 0
+                sim = simulate(g[(g.i >= start) & (g.i < end)].reset_index(drop=True), ACCOUNT, 3)
                 want = {
                     "pnl": sim.pnl.iloc[-1],
                     "sr": sim.profit.mean() / sim.profit.std(ddof=0),
