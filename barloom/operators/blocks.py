@@ -68,7 +68,11 @@ def with_position(
 
 @dataclass(frozen=True)
 class Blocks:
-    """Positioned rows spread over ``(keys, block)``, with halo copies marked ``own = false``."""
+    """Positioned rows spread over ``(keys, block)``, with halo copies marked ``own = false``.
+
+    Positions must be consecutive within a series (a contiguous slice of one is fine): after rows
+    were dropped from the middle, take positions anew with :func:`with_position`.
+    """
 
     df: DataFrame
     keys: tuple[str, ...] = KEYS
