@@ -12,6 +12,7 @@ from barloom import schema as S
 from barloom.functions.scalars import keep_if, quoted
 from barloom.operators.blocks import BLOCK_ROWS, POSITION, Blocks, with_position
 from barloom.operators.rolling import rolling_max, rolling_min
+from barloom.operators.scaler import join_per_series
 
 #: The searched range of window lengths and of the distance in percent.
 ENTRY_LENGTHS = (5, 25)
@@ -76,31 +77,58 @@ def trial_rows(trials: list[dict]) -> Column:
     return F.from_json(F.lit(text), f"array<struct<{fields}>>")
 
 
-def trial_signals(blocks: Blocks, trials: list[dict]) -> Blocks:
-    """Limit prices for every trial, with ``trial`` as a further series key.
+def _extremes(blocks: Blocks, lengths: list[int]) -> Blocks:
+    """Recent highs and lows for every length that can occur.
 
-    A frame length must be literal, so the recent extremes are taken once per bar for all
-    lengths that occur; a trial then picks its element. Trials multiply the rows inside the
-    task that already holds the block: no shuffle, no join.
+    A frame length must be literal; a row whose length is a column then picks its element.
     """
-    lengths = sorted({t["entry_length"] for t in trials})
-    blocks = blocks.with_columns(
+    return blocks.with_columns(
         {
             "__highs": F.array(*[rolling_max(blocks, "high", n) for n in lengths]),
             "__lows": F.array(*[rolling_min(blocks, "low", n) for n in lengths]),
         }
     )
-    df = blocks.df.withColumn("__t", F.explode(trial_rows(trials)))
-    slot = F.array_position(F.array(*[F.lit(n) for n in lengths]), F.col("__t.entry_length"))
-    point = F.col("__t.entry_point") / F.lit(100.0)
-    df = df.where(F.col(POSITION) >= F.col("__t.entry_length")).withColumns(
+
+
+def _pick(df: DataFrame, lengths: list[int], length: Column, point: Column) -> DataFrame:
+    slot = F.array_position(F.array(*[F.lit(n) for n in lengths]), length).cast("int")
+    edge = point / F.lit(100.0)
+    priced = df.where(F.col(POSITION) >= length).withColumns(
         {
-            "trial": F.col("__t.trial"),
-            "sell": F.element_at("__highs", slot.cast("int")) * (F.lit(1.0) + point),
-            "buy": F.element_at("__lows", slot.cast("int")) * (F.lit(1.0) - point),
+            "sell": F.element_at("__highs", slot) * (F.lit(1.0) + edge),
+            "buy": F.element_at("__lows", slot) * (F.lit(1.0) - edge),
         }
     )
-    return blocks.expand(df.drop("__t", "__highs", "__lows"), "trial")
+    return priced.drop("__highs", "__lows")
+
+
+def trial_signals(blocks: Blocks, trials: list[dict]) -> Blocks:
+    """Limit prices for every trial, with ``trial`` as a further series key.
+
+    Trials multiply the rows inside the task that already holds the block, after the windows
+    they share: no shuffle, no join.
+    """
+    lengths = sorted({t["entry_length"] for t in trials})
+    blocks = _extremes(blocks, lengths)
+    df = blocks.df.withColumn("__t", F.explode(trial_rows(trials)))
+    df = _pick(df, lengths, F.col("__t.entry_length"), F.col("__t.entry_point"))
+    return blocks.expand(df.withColumn("trial", F.col("__t.trial")).drop("__t"), "trial")
+
+
+def tuned_signals(
+    positioned: DataFrame, best: DataFrame, block_rows: int = BLOCK_ROWS
+) -> Blocks:
+    """Limit prices from every symbol's own parameters ``(symbol, entry_length, entry_point)``."""
+    tuned = best.select(
+        S.SYMBOL, F.col("entry_length").alias("__length"), F.col("entry_point").alias("__point")
+    )
+    lengths = list(range(ENTRY_LENGTHS[0], ENTRY_LENGTHS[1] + 1))
+    blocks = Blocks.of(
+        join_per_series(positioned, tuned), before=lengths[-1] + 1, after=1, rows=block_rows
+    )
+    blocks = _extremes(blocks, lengths)
+    priced = _pick(blocks.df, lengths, F.col("__length"), F.col("__point"))
+    return blocks.expand(priced.drop("__length", "__point"))
 
 
 # -- gates ----------------------------------------------------------------------------------------

@@ -368,6 +368,14 @@ def grid_lines_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(search.search_signal(rows, TRIALS, ACCOUNT, SEARCH, strict=False))
 
 
+@query
+def tuned_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of every symbol from the parameters its own search found best."""
+    rows = event_table(spark, sf_dir)
+    best = search.search_signal(rows, TRIALS, ACCOUNT, SEARCH, strict=False)
+    return out(sg.tuned_signals(rows, best).own_rows(S.SYMBOL, S.TS, "sell", "buy"))
+
+
 @query
 def best_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = search.search_signal(event_table(spark, sf_dir), TRIALS, ACCOUNT, SEARCH, strict=False)

@@ -463,6 +463,7 @@ _best = f"symbol, trial, {rs('metric')}, entry_length, {rs('entry_point')}"
 ORACLES["grid_best"] = f"{_SEARCH} SELECT {_best} FROM best"
 ORACLES["grid_lines_best"] = f"WITH {search_ctes(TRIALS, f'{LINE_BARS}, {POS}')} SELECT {_best} FROM best"
 ORACLES["random_search"] = f"WITH {search_ctes(random_trials(12, ACCOUNT.seed))} SELECT {_best} FROM best"
+ORACLES["tuned_signals"] = f"{_SEARCH} SELECT sigs.symbol, ts, {r('sell', 'sell')}, {r('buy', 'buy')} FROM sigs JOIN best USING (symbol, trial)"
 ORACLES["best_export"] = f"""{_SEARCH} SELECT symbol, 'best_entry_length' AS key, entry_length::DOUBLE AS value FROM best
 UNION ALL SELECT symbol, 'best_entry_point', round(entry_point, 6) FROM best"""
 ORACLES["best_parameters"] = f"{_SEARCH} SELECT symbol, entry_length, {rs('entry_point')} FROM best"

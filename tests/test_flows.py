@@ -18,6 +18,7 @@ from barloom.operators.features import features
 from barloom.operators.folds import in_holdout
 from barloom.operators.resample import resample, tick_order
 from barloom.operators.upsert import ORDER_KEY, keep_latest
+from barloom.plans import training
 from barloom.sinks.writers import append_job_log, upsert, write_features, write_metrics, written
 from barloom.sources import payloads, readers
 from barloom.sources.synthetic import constant_bars
@@ -325,3 +326,35 @@ def test_stream_payloads_upsert_and_log(spark, tmp_path):
 def test_recent_bars(spark):
     rows = to_spark(spark, random_bars(5, {"A": 30, "B": 3}))
     assert streams.recent_bars(rows, 10).count() == 13
+
+
+# -- end to end -----------------------------------------------------------------------------------
+
+
+def test_training_run(spark, tmp_path):
+    bars = to_spark(spark, random_bars(21, {"A": 520, "B": 480}))
+    params = S.OptimizeParams(n_splits=2, n_trials=3, n_trials_clf=2, gap=2, optimize_target_clf="pnl")
+    run = training.train(spark, bars, str(tmp_path), "run1", params=params, iterations=1)
+    assert run.best.count() == 2 and set(run.best.columns) >= {"entry_length", "entry_point", "metric"}
+    history = spark.read.parquet(run.metrics_path)
+    keys = {r.key for r in history.select("key").distinct().collect()}
+    assert {"train_start_index", "eval_end_index", "pnl", "pnl_with_2nd", "best_entry_length"} <= keys
+    typed = reshape.best_parameters(
+        history.withColumn("timestamp", F.lit(0)), {"entry_length": "int", "entry_point": "double"}, ["symbol"]
+    )
+    assert typed.orderBy("symbol").collect() == run.best.select(*typed.columns).orderBy("symbol").collect()
+    assert reshape.fold_table(history, ["symbol"]).count() == 4
+    assert {r.variant for r in run.curves.select("variant").distinct().collect()} == {"base", "gated"}
+    prices = model.score_latest(run.bars, run.scaler, run.classifiers, 5, 0.5)
+    assert prices.count() == 2
+
+
+def test_ingestion_run(spark, tmp_path):
+    source = tmp_path / "pulled"
+    source.mkdir()
+    rows = [[str(1704067200000 + 900000 * k), "1", "2", "0.5", "1.5", "10", "0"] for k in range(5)]
+    (source / "a.json").write_text(json.dumps({"result": {"list": rows}}))
+    paths = str(tmp_path / "bars"), str(tmp_path / "log")
+    training.ingest(spark, str(source), *paths, "X")
+    assert training.ingest(spark, str(source), *paths, "X").count() == 5
+    assert spark.read.parquet(paths[1]).count() == 4
