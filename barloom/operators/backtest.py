@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schema as S
@@ -25,12 +25,11 @@ def add_orders(blocks: Blocks) -> Blocks:
     return blocks.drop("__next_long", "__next_short")
 
 
-def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
-    """Return of each row, and the position after it, with reversal and pyramiding.
+def add_runs(blocks: Blocks) -> Blocks:
+    """Return of each row, and the run of equally signed orders it belongs to, block by block.
 
     All orders between two sign flips have one sign, so the clamped position is that sign times
-    the number of orders since the last flip, at most ``pyramiding``. The run that reaches into a
-    block from earlier ones is its state: sign and order count.
+    the number of orders since the last flip, at most ``pyramiding``.
     """
     running, plain = blocks.over(running=True), blocks.over()
     earlier = running.replace("UNBOUNDED PRECEDING", "BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
@@ -51,7 +50,12 @@ def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
             "__flipped": f"coalesce(max(__flip) {running}, false)",
         }
     )
-    blocks = blocks.carry(
+    return blocks
+
+
+def run_state(blocks: Blocks) -> DataFrame:
+    """The run that reaches into each block from earlier ones: sign and order count."""
+    return blocks.block_state(
         summary={
             "__first": f"min_by(__order, {POSITION}) FILTER (WHERE __order IS NOT NULL)",
             "__last": f"max_by(__order, {POSITION}) FILTER (WHERE __order IS NOT NULL)",
@@ -71,6 +75,11 @@ def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
             },
         ],
     )
+
+
+def add_positions(blocks: Blocks, pyramiding: int, lot: float) -> Blocks:
+    """Position after each row, from its run and the run that entered its block."""
+    plain = blocks.over()
     side = "coalesce(__side, __in_side)"
     count = (
         "CASE WHEN __side IS NULL THEN coalesce(__in_count, 0L)"
@@ -131,8 +140,14 @@ def add_pnl(blocks: Blocks) -> Blocks:
 
 def trade(blocks: Blocks, account: S.BacktestParams, pyramiding: int) -> Blocks:
     """Everything up to ``profit``; enough for the pnl and sr metrics."""
-    blocks = add_positions(add_orders(blocks), pyramiding, account.lot)
-    return add_profit(blocks, account.commission)
+    blocks = add_runs(add_orders(blocks))
+    entered = blocks.expand(blocks.df.join(run_state(blocks), [*blocks.keys, BLOCK]))
+    return settle(entered, account, pyramiding)
+
+
+def settle(entered: Blocks, account: S.BacktestParams, pyramiding: int) -> Blocks:
+    """Positions and profit of rows that know their block's entering run."""
+    return add_profit(add_positions(entered, pyramiding, account.lot), account.commission)
 
 
 def backtest(
@@ -171,25 +186,39 @@ def profit_metrics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def max_drawdown(
-    backtested: DataFrame, keys: Sequence[str] = ("symbol",), block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def max_drawdown(traded: Blocks) -> DataFrame:
     """Largest fall of the pnl curve below its running peak, per key.
 
-    Blocks report their own largest fall, high and low; the peak of earlier blocks is compared
-    with a block's low on the small block table.
+    A block reports its total and, counted from its own start, its largest fall, high and low;
+    the rest is arithmetic on the block table, so no cumulative pnl is joined back to the rows.
     """
-    keys = list(keys)
-    blocks = Blocks.of(backtested.where("pnl IS NOT NULL"), keys=keys, rows=block_rows)
-    rows = blocks.with_exprs({"__peak": f"max(pnl) {blocks.over(running=True)}"}).df
-    table = rows.groupBy(*keys, BLOCK).agg(
-        F.max(F.col("__peak") - F.col("pnl")).alias("__fall"),
-        F.max("pnl").alias("__high"),
-        F.min("pnl").alias("__low"),
+    running = traded.over(running=True)
+    blocks = traded.with_exprs({"__inside": f"sum(CASE WHEN own THEN profit END) {running}"})
+    blocks = blocks.with_exprs({"__peak": f"max(__inside) {running}"})
+    table = blocks.block_state(
+        summary={
+            "__fall": "max(__peak - __inside)",
+            "__high": "max(__inside)",
+            "__low": "min(__inside)",
+            "__total": "sum(profit)",
+        },
+        state=[
+            {"__base": "coalesce(sum(__total) OVER earlier, 0D)"},
+            {"__top": "__base + __high", "__bottom": "__base + __low"},
+            {"__deepest": "greatest(__fall, max(__top) OVER earlier - __bottom)"},
+        ],
     )
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    fall = F.greatest("__fall", F.max("__high").over(earlier) - F.col("__low"))
-    return table.withColumn("__fall", fall).groupBy(*keys).agg(F.max("__fall").alias("max_dd"))
+    return table.groupBy(*traded.keys).agg(F.max("__deepest").alias("max_dd"))
+
+
+def score(traded: Blocks, name: str) -> DataFrame:
+    """One named metric of traded rows: ``(keys, metric)``."""
+    S.direction_of(name)
+    keys = list(traded.keys)
+    if name == "max_dd":
+        return max_drawdown(traded).withColumnRenamed("max_dd", "metric")
+    rows = traded.own_rows(*keys, "profit")
+    return profit_metrics(rows, keys).select(*keys, F.col(name).alias("metric"))
 
 
 def metric(
@@ -200,14 +229,8 @@ def metric(
     keys: Sequence[str] = ("symbol",),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """One named metric per series: ``(keys, metric)``."""
-    S.direction_of(name)
+    """One named backtest metric per series."""
     blocks = signal_rows
     if not isinstance(blocks, Blocks):
         blocks = Blocks.of(signal_rows, before=1, after=1, keys=keys, rows=block_rows)
-    keys = list(blocks.keys)
-    if name == "max_dd":
-        rows = add_pnl(trade(blocks, account, pyramiding)).own_rows()
-        return max_drawdown(rows, keys, blocks.rows).withColumnRenamed("max_dd", "metric")
-    rows = trade(blocks, account, pyramiding).own_rows(*keys, "profit")
-    return profit_metrics(rows, keys).select(*keys, F.col(name).alias("metric"))
+    return score(trade(blocks, account, pyramiding), name)

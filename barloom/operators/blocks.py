@@ -158,12 +158,12 @@ class Blocks:
         """The same blocks after rows were multiplied by further series keys (trial, fold)."""
         return replace(self, df=df, keys=(*self.keys, *extra_keys))
 
-    def carry(
+    def block_state(
         self,
         summary: dict[str, str],
         state: dict[str, str] | list[dict[str, str]],
-    ) -> "Blocks":
-        """Join the state that enters each block.
+    ) -> DataFrame:
+        """One row per block: its keys and the columns of the last ``state`` step.
 
         ``summary`` reduces the own rows of a block to one row. ``state`` turns those rows into
         incoming state; its expressions (one dict, or several applied in turn) may use the named
@@ -189,8 +189,16 @@ class Blocks:
                     text = text.replace(short, window)
                 added.append(f"{text} AS {name}")
             table = table.selectExpr("*", *added)
-        entering = table.select(*keys, *steps[-1])
-        return replace(self, df=self.df.join(entering, keys))
+        return table.select(*keys, *steps[-1])
+
+    def carry(
+        self,
+        summary: dict[str, str],
+        state: dict[str, str] | list[dict[str, str]],
+    ) -> "Blocks":
+        """Join the state that enters each block, see :meth:`block_state`."""
+        entering = self.block_state(summary, state)
+        return replace(self, df=self.df.join(entering, [*self.keys, BLOCK]))
 
     def own_rows(self, *columns: str | Column) -> DataFrame:
         """Drop the halo; keep ``columns`` (all but the layout columns when none are given)."""

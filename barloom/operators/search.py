@@ -12,9 +12,15 @@ from pyspark.sql import functions as F
 from barloom import schema as S
 from barloom.functions.scalars import divide
 from barloom.operators import backtest as bt
-from barloom.operators.blocks import BLOCK_ROWS, Blocks
+from barloom.operators.blocks import BLOCK, BLOCK_ROWS, Blocks
 from barloom.operators.folds import bound_exprs, checked, fold_rows, train_length
-from barloom.operators.signals import ENTRY_LENGTHS, ENTRY_POINTS, trial_signals
+from barloom.operators.signals import (
+    ENTRY_LENGTHS,
+    ENTRY_POINTS,
+    extremes,
+    pick_band,
+    trial_rows,
+)
 
 # The searched ranges of the classifier's parameters.
 CLASSIFIER_SPACE = {
@@ -81,32 +87,64 @@ def fold_scores(
     """Backtest metric of every (symbol, trial, fold) over the fold's train range, as one job.
 
     Signals are taken over the whole series and then sliced; a backtest restarts in every slice.
-    Bars are exchanged once by (symbol, block); trials multiply rows inside a task, and so do
-    folds unless all of them share one backtest.
+    Bars are exchanged once by (symbol, block). Trials multiply rows inside a task, and so do
+    folds unless all of them share one backtest. The multiplied rows never meet a shuffle: the
+    runs that enter a block are packed into one row per (symbol, block), at most one entry per
+    trial and fold, joined to the bars before these are multiplied.
     """
-    longest = max(t["entry_length"] for t in trials)
-    bars = positioned.select(S.SYMBOL, *S.PRICES, "i", "n")
-    blocks = trial_signals(Blocks.of(bars, before=longest + 1, after=1, rows=block_rows), trials)
-    if params.max_train_size is None and params.optimize_target in ("pnl", "sr"):
-        return _expanding_scores(blocks, account, params, strict)
-    sliced = fold_rows(blocks.df, params, role="train", strict=strict).drop("role", "n")
-    return bt.metric(blocks.expand(sliced, "fold"), params.optimize_target, account, params.pyramiding)
+    lengths = sorted({t["entry_length"] for t in trials})
+    bars = checked(
+        positioned.select(S.SYMBOL, *S.PRICES, "i", "n"), params, train_length(params), strict
+    )
+    bars = extremes(Blocks.of(bars, before=lengths[-1] + 1, after=1, rows=block_rows), lengths)
+    shared = params.max_train_size is None and params.optimize_target in ("pnl", "sr")
+    keys = ("trial",) if shared else ("trial", "fold")
+
+    def runs(df: DataFrame) -> Blocks:
+        """Orders and runs of rows multiplied by the trials in ``__t``."""
+        df = pick_band(df, lengths, F.col("__t.entry_length"), F.col("__t.entry_point"))
+        df = df.withColumn("trial", F.col("__t.trial"))
+        df = _until_last_end(df, params) if shared else _in_train_ranges(df, params)
+        return bt.add_runs(bt.add_orders(bars.expand(df.drop("n", "__t"), *keys)))
+
+    first = runs(bars.df.withColumn("__t", F.explode(trial_rows(trials))))
+    state = with_parameters(bt.run_state(first), trials)
+    entry = F.struct(*keys, "entry_length", "entry_point", "__in_side", "__in_count")
+    packed = state.groupBy(S.SYMBOL, BLOCK).agg(F.collect_list(entry).alias("__entries"))
+    entered = bars.df.join(packed, [S.SYMBOL, BLOCK]).withColumn("__t", F.explode("__entries"))
+    entered = entered.drop("__entries").withColumns(
+        {"__in_side": F.col("__t.__in_side"), "__in_count": F.col("__t.__in_count")}
+    )
+    traded = bt.settle(runs(entered), account, params.pyramiding)
+    if shared:
+        return _expanding_scores(traded, params)
+    return bt.score(traded, params.optimize_target)
 
 
-def _expanding_scores(
-    blocks: Blocks, account: S.BacktestParams, params: S.OptimizeParams, strict: bool
-) -> DataFrame:
+def _in_train_ranges(df: DataFrame, params: S.OptimizeParams) -> DataFrame:
+    """Rows once per fold whose train range holds them, or for the fold they already name."""
+    named = "fold" in df.schema["__t"].dataType.names
+    rows = fold_rows(df, params, role="train", strict=False).drop("role")
+    return rows.where(F.col("fold") == F.col("__t.fold")) if named else rows
+
+
+def _until_last_end(df: DataFrame, params: S.OptimizeParams) -> DataFrame:
+    """Rows up to the last train range's end, with every range's end as a column."""
+    length = train_length(params)
+    ends = {
+        f"__end{f}": F.expr(bound_exprs(params, f, length)["train_end"])
+        for f in range(params.n_splits)
+    }
+    return df.withColumns(ends).where(F.col("i") <= F.col(f"__end{params.n_splits - 1}"))
+
+
+def _expanding_scores(traded: Blocks, params: S.OptimizeParams) -> DataFrame:
     """Scores of train ranges that all start at row 0, from one backtest per trial.
 
     A longer range repeats every row of a shorter one; only the shorter range's last row differs,
     as nothing fills after it. So each fold sums the common profits up to its last row and takes
     that row's profit at close, and rows are not multiplied by the number of folds.
     """
-    length = train_length(params)
-    ends = [bound_exprs(params, f, length)["train_end"] for f in range(params.n_splits)]
-    rows = checked(blocks.df, params, length, strict).where(f"i <= {ends[-1]}")
-    rows = rows.withColumns({f"__end{f}": F.expr(end) for f, end in enumerate(ends)}).drop("n")
-    rows = bt.trade(blocks.expand(rows), account, params.pyramiding).own_rows()
     sums = []
     for f in range(params.n_splits):
         value = (
@@ -118,7 +156,7 @@ def _expanding_scores(
         else:
             score = divide(F.avg(value), F.stddev_pop(value))
         sums += [score.alias(f"m{f}"), F.max(F.col("i") <= F.col(f"__end{f}")).alias(f"any{f}")]
-    wide = rows.groupBy(S.SYMBOL, "trial").agg(*sums)
+    wide = traded.own_rows().groupBy(S.SYMBOL, "trial").agg(*sums)
     folds_ = ", ".join(f"{f}, m{f}, any{f}" for f in range(params.n_splits))
     long = wide.selectExpr(
         S.SYMBOL, "trial", f"stack({params.n_splits}, {folds_}) AS (fold, metric, occupied)"

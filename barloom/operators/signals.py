@@ -77,7 +77,7 @@ def trial_rows(trials: list[dict]) -> Column:
     return F.from_json(F.lit(text), f"array<struct<{fields}>>")
 
 
-def _extremes(blocks: Blocks, lengths: list[int]) -> Blocks:
+def extremes(blocks: Blocks, lengths: list[int]) -> Blocks:
     """Recent highs and lows for every length that can occur.
 
     A frame length must be literal; a row whose length is a column then picks its element.
@@ -90,7 +90,8 @@ def _extremes(blocks: Blocks, lengths: list[int]) -> Blocks:
     )
 
 
-def _pick(df: DataFrame, lengths: list[int], length: Column, point: Column) -> DataFrame:
+def pick_band(df: DataFrame, lengths: list[int], length: Column, point: Column) -> DataFrame:
+    """Limit prices of rows that carry :func:`extremes`, by their own length and distance."""
     slot = F.array_position(F.array(*[F.lit(n) for n in lengths]), length).cast("int")
     edge = point / F.lit(100.0)
     priced = df.where(F.col(POSITION) >= length).withColumns(
@@ -109,9 +110,9 @@ def trial_signals(blocks: Blocks, trials: list[dict]) -> Blocks:
     they share: no shuffle, no join.
     """
     lengths = sorted({t["entry_length"] for t in trials})
-    blocks = _extremes(blocks, lengths)
+    blocks = extremes(blocks, lengths)
     df = blocks.df.withColumn("__t", F.explode(trial_rows(trials)))
-    df = _pick(df, lengths, F.col("__t.entry_length"), F.col("__t.entry_point"))
+    df = pick_band(df, lengths, F.col("__t.entry_length"), F.col("__t.entry_point"))
     return blocks.expand(df.withColumn("trial", F.col("__t.trial")).drop("__t"), "trial")
 
 
@@ -126,8 +127,8 @@ def tuned_signals(
     blocks = Blocks.of(
         join_per_series(positioned, tuned), before=lengths[-1] + 1, after=1, rows=block_rows
     )
-    blocks = _extremes(blocks, lengths)
-    priced = _pick(blocks.df, lengths, F.col("__length"), F.col("__point"))
+    blocks = extremes(blocks, lengths)
+    priced = pick_band(blocks.df, lengths, F.col("__length"), F.col("__point"))
     return blocks.expand(priced.drop("__length", "__point"))
 
 

@@ -100,7 +100,7 @@ def train(
     curves = written(model.evaluate_holdout(held_out, fitted, account, params.pyramiding), "curves")
     for variant, key in (("base", "pnl"), ("gated", "pnl_with_2nd")):
         points = reshape.pnl_series(curves.where(F.col("variant") == variant), key)
-        write_metrics(points.drop("timestamp"), f"{root}/metrics", run_id)
+        write_metrics(points, f"{root}/metrics", run_id)
     return TrainingRun(
         positioned, state, best, fitted, found[0], curves, f"{root}/metrics", model_path
     )

@@ -87,6 +87,11 @@ def append_job_log(spark: SparkSession, path: str, name: str, message: str) -> s
 
 
 def write_metrics(rows: DataFrame, path: str, run_id: str) -> str:
-    """Append metric rows ``(run_id, symbol, key, value, step[, timestamp])`` to the history."""
+    """Append metric rows ``(run_id, symbol, key, value, step, timestamp)`` to the history.
+
+    Rows without a time of their own (epoch milliseconds) get the current one.
+    """
+    if "timestamp" not in rows.columns:
+        rows = rows.withColumn("timestamp", F.unix_millis(F.current_timestamp()))
     rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
     return path

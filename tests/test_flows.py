@@ -340,7 +340,7 @@ def test_training_run(spark, tmp_path):
     keys = {r.key for r in history.select("key").distinct().collect()}
     assert {"train_start_index", "eval_end_index", "pnl", "pnl_with_2nd", "best_entry_length"} <= keys
     typed = reshape.best_parameters(
-        history.withColumn("timestamp", F.lit(0)), {"entry_length": "int", "entry_point": "double"}, ["symbol"]
+        history, {"entry_length": "int", "entry_point": "double"}, ["symbol"]
     )
     assert typed.orderBy("symbol").collect() == run.best.select(*typed.columns).orderBy("symbol").collect()
     assert reshape.fold_table(history, ["symbol"]).count() == 4
