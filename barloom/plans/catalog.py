@@ -53,20 +53,28 @@ def query(function: Query) -> Query:
 
 
 #: Columns in units of price; rounded to fewer digits, as rounding errors grow with the level.
-PRICE_SCALED = tuple(n for g in ("atr", "bb_width", "macd", "mom") for n in S.FEATURE_GROUPS[g])
+PRICE_SCALED = tuple(n for g in ("atr", "bb_width", "macd") for n in S.FEATURE_GROUPS[g])
+#: Groups of one subtraction or division, equal to the last bit in any engine.
+UNROUNDED = ("mom", "roc")
+EXACT = (*S.OHLCV, *[n for g in UNROUNDED for n in S.FEATURE_GROUPS[g]])
 
 
-def out(df: DataFrame, digits: int | None = 6, coarse: tuple[str, ...] = ()) -> DataFrame:
+def out(
+    df: DataFrame,
+    digits: int | None = 6,
+    coarse: tuple[str, ...] = (),
+    exact: tuple[str, ...] = (),
+) -> DataFrame:
     """Comparable output: doubles rounded without negative zero, times without zone.
 
     ``digits=None`` keeps doubles as they are, where both engines do the same arithmetic.
-    ``coarse`` names columns that keep three digits.
+    ``coarse`` names columns that keep three digits, ``exact`` those that are not rounded.
     """
     columns = []
     for field in df.schema.fields:
         value = F.col(f"`{field.name}`")
         kind = field.dataType.simpleString()
-        if kind == "double" and digits is not None:
+        if kind == "double" and digits is not None and field.name not in exact:
             kept = 3 if field.name in coarse else digits
             tiny = F.abs(value) < 0.5 * 10.0**-kept
             value = F.when(tiny, F.lit(0.0)).otherwise(F.round(value, kept))
@@ -166,8 +174,6 @@ def _feature_query(group: str, lines: bool) -> Query:
     return run
 
 
-#: Groups of one subtraction or division, equal to the last bit in any engine.
-UNROUNDED = ("mom", "roc")
 for _group in S.FEATURE_GROUPS:
     QUERIES[f"feat_{_group}"] = _feature_query(_group, lines=False)
 for _group in ("sma", "mom", "roc", "bb_width", "log_diff", "reg"):
@@ -177,14 +183,14 @@ for _group in ("sma", "mom", "roc", "bb_width", "log_diff", "reg"):
 @query
 def feat_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixty features, complete rows only."""
-    return out(ft.features(event_table(spark, sf_dir, LEVEL)), coarse=PRICE_SCALED)
+    return out(ft.features(event_table(spark, sf_dir, LEVEL)), coarse=PRICE_SCALED, exact=EXACT)
 
 
 @query
 def feat_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixty features of every supplier's series; the level keeps every band positive."""
     rows = market.stored(market.line_bars(spark, sf_dir, LINE_LEVEL))
-    return out(ft.features(rows), coarse=PRICE_SCALED)
+    return out(ft.features(rows), coarse=PRICE_SCALED, exact=EXACT)
 
 
 @query

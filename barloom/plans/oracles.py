@@ -11,6 +11,7 @@ from barloom.plans.catalog import (
     ACCOUNT,
     ENTRY_LENGTH,
     ENTRY_POINT,
+    EXACT,
     LEVEL,
     LINE_LEVEL,
     NOW,
@@ -281,7 +282,9 @@ _picked = []
 for _group, _names in S.FEATURE_GROUPS.items():
     _source = _sources.get(_group, "ld" if _group in _LEVELS else "pl")
     _picked += [f'{_source}."{n}" AS "{n}"' for n in _names]
-_shown = ", ".join(r(f'"{n}"', n, 3 if n in PRICE_SCALED else 6) for n in S.FEATURES)
+_shown = ", ".join(
+    f'"{n}"' if n in EXACT else r(f'"{n}"', n, 3 if n in PRICE_SCALED else 6) for n in S.FEATURES
+)
 _complete = " AND ".join(f'"{n}" IS NOT NULL' for n in S.FEATURES)
 
 
@@ -292,7 +295,7 @@ pl AS (SELECT symbol, ts, i, {_made} FROM pos),
 f AS (SELECT pos.symbol, pos.ts, {', '.join(f'pos.{c}' for c in S.OHLCV)}, {', '.join(_picked)}
   FROM pos JOIN pl USING (symbol, i) JOIN ld USING (symbol, i) JOIN exps USING (symbol, i)
   JOIN emad USING (symbol, i) JOIN rci USING (symbol, i) JOIN cci USING (symbol, i))
-SELECT symbol, ts, {rs(*S.OHLCV)}, {_shown} FROM f WHERE {_complete}"""
+SELECT symbol, ts, {RAW}, {_shown} FROM f WHERE {_complete}"""
 
 
 ORACLES["feat_all"] = all_features_sql(event_bars(level=LEVEL))
