@@ -93,3 +93,32 @@ def running_total(
         .withColumn(out, F.col("__start") + F.sum(value).over(inside))
         .drop("__start")
     )
+
+
+def look_up(
+    rows: DataFrame, table: DataFrame, key: str, values: list[str], weight: str
+) -> DataFrame:
+    """Left join of ``rows`` with one row per key, for keys that may hold a third of all rows.
+
+    ``weight`` is the number of rows that have the key. Fewer than a thousand keys can each have
+    more than a thousandth of the rows: they are broadcast, and their rows spread over the join.
+    """
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    large = table.where(F.col(weight) > total / 1000).select(
+        F.col(key), F.lit(True).alias("__found"), *[F.col(v).alias(f"__{v}") for v in values]
+    )
+    settled = rows.join(F.broadcast(large), key, "left")
+    # A key that no row of the table has: the row's own hash, next to a mark.
+    own = F.struct(F.lit(1).alias("mark"), F.xxhash64(*rows.columns).alias("spread"))
+    free = F.struct(F.lit(0).alias("mark"), F.xxhash64(key).alias("spread"))
+    settled = settled.withColumn("__at", F.when(F.col("__found"), own).otherwise(free))
+    settled = settled.withColumn("__key", F.when(F.col("__found").isNull(), F.col(key)))
+    small = table.select(
+        F.struct(F.lit(0).alias("mark"), F.xxhash64(key).alias("spread")).alias("__at"),
+        F.col(key).alias("__key"),
+        *[F.col(v).alias(f"__small_{v}") for v in values],
+    )
+    joined = settled.join(small, ["__at", "__key"], "left")
+    return joined.select(
+        *rows.columns, *[F.coalesce(f"__{v}", f"__small_{v}").alias(v) for v in values]
+    )

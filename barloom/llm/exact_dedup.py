@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import text_or_empty
+from barloom.llm.common import look_up, text_or_empty
 from barloom.sinks.writers import written
 
 #: Entries that a bucket should hold, and leading bits that the directory may use. The directory
@@ -219,13 +219,6 @@ def exact_duplicates(
 ) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row."""
     _, index = build_index(docs, doc_id, text, bucket_rows, bits, hash_of)
-    groups = index.select("text_sha256", "keep_id", "group_size")
-    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
-    # Fewer than a thousand groups can each have more than a thousandth of the rows.
-    large = groups.where(F.col("group_size") > total / 1000)
-    large = large.select(
-        "text_sha256", F.col("keep_id").alias("__keep"), F.col("group_size").alias("__size")
-    )
     rows = (
         docs.select(
             F.col(doc_id).cast("bigint").alias("doc_id"),
@@ -234,20 +227,9 @@ def exact_duplicates(
         .groupBy("doc_id", "text_sha256")
         .agg(F.count(F.lit(1)).alias("__copies"))
     )
-    settled = rows.join(F.broadcast(large), "text_sha256", "left")
-    # Rows of large groups are settled; a key of their own spreads them over the join's tasks.
-    own = F.concat(F.lit("-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    settled = settled.withColumn(
-        "__look_up", F.when(F.col("__size").isNull(), F.col("text_sha256")).otherwise(own)
-    )
-    found = settled.join(
-        groups.withColumnRenamed("text_sha256", "__look_up"), "__look_up", "left"
-    ).select(
-        "doc_id",
-        F.coalesce("__keep", "keep_id").alias("keep_id"),
-        F.coalesce("__size", "group_size").alias("group_size"),
-        "text_sha256",
-        F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy"),
-    )
+    groups = index.select("text_sha256", "keep_id", "group_size")
+    found = look_up(
+        rows, groups.withColumn("__rows", F.col("group_size")), "text_sha256", ["keep_id", "group_size"], "__rows"
+    ).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__copy") == 1)
     return found.select("doc_id", "keep_id", "group_size", stays.alias("kept"), "text_sha256")

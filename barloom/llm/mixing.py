@@ -80,8 +80,10 @@ def mix_sources(
     source: str = "source",
     range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row; ``taken`` counts repeats."""
-    # Text length and hash order rows that share an id; equal rows stay equal.
+    """``doc_id, size, source_size, target, taken, text_hash`` of every row.
+
+    ``taken`` counts repeats; ``text_hash`` (xxhash64) tells rows apart that share an id.
+    """
     sized = written(
         docs.select(
             F.col(doc_id).cast("bigint").alias("doc_id"),
@@ -111,7 +113,7 @@ def mix_sources(
         ["shuffled", "tie", "size"],
         "size",
         "words",
-    ).select("doc_id", "source_no", "size", "source_size", "target", "words")
+    ).select("doc_id", "source_no", "size", "source_size", "target", "words", "tie")
     queued = written(queued, "mix-queue")
 
     budget = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
@@ -172,4 +174,5 @@ def mix_sources(
         "source_size",
         "target",
         F.when(valid, F.col("size") * times).otherwise(0).cast("bigint").alias("taken"),
+        F.col("tie").alias("text_hash"),
     )

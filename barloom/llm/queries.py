@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import exact_dedup, mixing, token_counts
+from barloom.llm import (
+    divergence,
+    exact_dedup,
+    jaccard,
+    mixing,
+    packing,
+    pii,
+    pii_examples,
+    quality_pu,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,20 +30,67 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.fit_examples(pii_examples.examples(spark))
+    return pii.find_pii(table(spark, sf_dir, "documents"), field)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.quality_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op2_pii,
+        op3_quality,
         op4_exact_dedup,
+        op5_url_rules,
         op6_mixing,
+        op7_toxicity,
+        op8_divergence,
+        op9_jaccard,
+        op10_packing,
+        pipeline,
     )
 }
 

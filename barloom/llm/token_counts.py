@@ -21,7 +21,6 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 import regex
@@ -44,7 +43,6 @@ SUMMARY_WORDS = 100_000
 CACHE_ROWS = 400_000
 
 
-@cache
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -52,7 +50,6 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-@cache
 def _added_tokens(path: str) -> tuple[str, ...]:
     with open(path, encoding="utf-8") as f:
         return tuple(t["content"] for t in json.load(f)["added_tokens"])
