@@ -131,9 +131,8 @@ def _ema(target: str) -> dict[str, str]:
     columns = {}
     for name, scan in _ema_scans(target).items():
         d = scan.decay
-        # S_{t-1} = (S_t - y_t) / d: the previous mean needs no further window.
         now = f"({name} / {ewm.weight_sum(d)})"
-        previous = f"(({name} - `{target}`) / {number(d)} / {ewm.weight_sum(d, start=1)})"
+        previous = f"({name}_before / {ewm.weight_sum(d, start=1)})"
         change = f"({positive_ln(now)}) - ({positive_ln(previous)})"
         columns[name[2:]] = f"CASE WHEN {POSITION} > 0 THEN {change} END"
     return columns
@@ -224,7 +223,8 @@ def _exponential(blocks: Blocks, groups: list[str], target: str) -> Blocks:
     for group, finish in (("ema", _ema), ("atr", _atr), ("rsi", _rsi)):
         if group in groups:
             columns |= finish(target)
-    blocks = ewm.exponential_sums(blocks.with_exprs(inputs), scans).with_exprs(columns)
+    before = list(_ema_scans(target)) if "ema" in groups else []
+    blocks = ewm.exponential_sums(blocks.with_exprs(inputs), scans, before).with_exprs(columns)
     return _macd(blocks) if "macd" in groups else blocks
 
 
@@ -280,8 +280,14 @@ def features(
     ranks = dict(zip(S.FEATURE_GROUPS["rci"], S.RCI_LENGTHS)) if "rci" in chosen else {}
     computed = [quoted(name) for name in names if name not in ranks]
     out = blocks.own_rows(S.SYMBOL, S.TS, *S.OHLCV, *(["__recent"] if ranks else []), *computed)
+    complete = drop_incomplete if drop_incomplete is not None else groups is None
+    if complete:
+        out = out.where(all_present([c for c in out.columns if c != "__recent"]))
     if ranks:
-        # Rank correlations run last and on own rows only: they leave the JVM.
+        # Rank correlations run last and on own rows only: they leave the JVM. A rank is missing
+        # exactly where its window is not full, so rows go before the step and not by its outcome.
+        if complete:
+            out = out.where(F.size("__recent") >= max(S.RCI_LENGTHS))
         out = out.withColumn("__rci", rolling.rank_correlations("__recent", S.RCI_LENGTHS))
     columns = {n: f"__rci.n{ranks[n]}" if n in ranks else f"`{n}`" for n in names}
     out = out.select(
@@ -290,6 +296,4 @@ def features(
         *S.OHLCV,
         *[F.col(source).alias(prefix + name) for name, source in columns.items()],
     )
-    if drop_incomplete if drop_incomplete is not None else groups is None:
-        out = out.where(all_present(out.columns))
     return out
