@@ -12,11 +12,6 @@ def col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def positive_ln(value: str | Column) -> Column:
-    """Natural logarithm, NULL for non-positive input."""
-    return F.when(col(value) > 0, F.ln(col(value)))
-
-
 def divide(numerator: str | Column, denominator: str | Column) -> Column:
     """Division that yields NULL for a zero denominator instead of raising under ANSI mode."""
     return F.try_divide(col(numerator), col(denominator))
@@ -37,29 +32,15 @@ def keep_if(condition: Column, value: Column, other: Column) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), value).otherwise(other)
 
 
-def clamp(value: Column, limit: Column | float) -> Column:
-    """Limit a value to the range ``[-limit, limit]``."""
-    bound = limit if isinstance(limit, Column) else F.lit(limit)
-    return F.greatest(F.least(value, bound), -bound)
-
-
 def epoch_millis_to_ts(value: str | Column) -> Column:
     return F.timestamp_millis(col(value).cast("bigint"))
 
 
-def epoch_seconds_to_ts(value: str | Column) -> Column:
-    return F.timestamp_seconds(col(value))
-
-
 def stamp(value: str | Column) -> Column:
     """``yyyyMMddHHmmss`` text of a timestamp, as used in artifact names."""
     return F.date_format(col(value), "yyyyMMddHHmmss")
 
 
-def sum_array(values: Column, zero: Column) -> Column:
-    return F.aggregate(values, zero, lambda acc, v: acc + v)
-
-
 def quoted(name: str) -> Column:
     """A column by its literal name, dots included."""
     return F.col(f"`{name}`")

@@ -256,13 +256,15 @@ def features(
     target: str = "close",
     drop_incomplete: bool | None = None,
     block_rows: int = BLOCK_ROWS,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """Bars with feature columns, one block exchange for all of them.
 
     ``groups`` picks feature groups (all by default); unused windows are never planned.
     Rows with any NULL go when the full set is asked for, or as ``drop_incomplete`` says.
     With a target other than ``close`` the feature columns carry its name as a prefix and
-    the groups that need the whole bar are left out.
+    the groups that need the whole bar are left out. ``keep`` names further input columns, such
+    as the position.
     """
     chosen = list(S.FEATURE_GROUPS) if groups is None else list(groups)
     unknown = [g for g in chosen if g not in S.FEATURE_GROUPS]
@@ -279,7 +281,8 @@ def features(
     prefix = "" if target == "close" else f"{target}_"
     ranks = dict(zip(S.FEATURE_GROUPS["rci"], S.RCI_LENGTHS)) if "rci" in chosen else {}
     computed = [quoted(name) for name in names if name not in ranks]
-    out = blocks.own_rows(S.SYMBOL, S.TS, *S.OHLCV, *(["__recent"] if ranks else []), *computed)
+    base = (S.SYMBOL, S.TS, *S.OHLCV, *keep)
+    out = blocks.own_rows(*base, *(["__recent"] if ranks else []), *computed)
     complete = drop_incomplete if drop_incomplete is not None else groups is None
     if complete:
         out = out.where(all_present([c for c in out.columns if c != "__recent"]))
@@ -291,9 +294,7 @@ def features(
         out = out.withColumn("__rci", rolling.rank_correlations("__recent", S.RCI_LENGTHS))
     columns = {n: f"__rci.n{ranks[n]}" if n in ranks else f"`{n}`" for n in names}
     out = out.select(
-        S.SYMBOL,
-        S.TS,
-        *S.OHLCV,
+        *base,
         *[F.col(source).alias(prefix + name) for name, source in columns.items()],
     )
     return out

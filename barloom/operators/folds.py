@@ -57,6 +57,22 @@ def checked(df: DataFrame, params: S.OptimizeParams, length: str, strict: bool)
     return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))
 
 
+def left_out(
+    positioned: DataFrame, params: S.OptimizeParams = S.OptimizeParams(), holdout: bool = True
+) -> DataFrame:
+    """Series too short to be cut, with their lengths: what ``strict=False`` leaves out."""
+    length = train_length(params) if holdout else LENGTH
+    lengths = positioned.groupBy(S.SYMBOL).agg(F.max(LENGTH).alias(LENGTH))
+    return lengths.where(~F.expr(enough_rows(params, length)))
+
+
+def in_fold(params: S.OptimizeParams, fold: int, role: str) -> Column:
+    """Rows of one fold's range, as a plain condition on the position."""
+    bounds = bound_exprs(params, fold, train_length(params))
+    inside = f"{POSITION} BETWEEN {bounds[f'{role}_start']} AND {bounds[f'{role}_end']}"
+    return F.expr(f"{enough_rows(params, train_length(params))} AND {inside}")
+
+
 def fold_bounds(
     positioned: DataFrame,
     params: S.OptimizeParams = S.OptimizeParams(),
@@ -119,6 +135,11 @@ def fold_rows(
     )
 
 
+def holdout_start(params: S.OptimizeParams) -> Column:
+    """Position of the hold-out slice's first row."""
+    return F.expr(f"{train_length(params)} + {params.gap}")
+
+
 def in_holdout(params: S.OptimizeParams) -> Column:
     """Rows of the hold-out slice: ``gap`` rows after the training part, to the end."""
     return F.expr(f"{POSITION} >= {train_length(params)} + {params.gap}")

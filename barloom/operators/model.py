@@ -1,32 +1,36 @@
-"""Buy and sell classifiers: fitting, scoring, importances and hold-out evaluation."""
+"""Buy and sell classifiers: fitting, scoring, importances, hold-out evaluation, packaging."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import schema as S
 from barloom.operators import backtest as bt
-from barloom.operators.blocks import BLOCK_ROWS, POSITION, with_position
+from barloom.operators.blocks import BLOCK_ROWS, LENGTH, POSITION, with_position
 from barloom.operators.features import features
-from barloom.operators.folds import fold_rows
+from barloom.operators.folds import in_fold
 from barloom.operators.scaler import apply_scaler
-from barloom.operators.search import best_trial, classifier_trials
-from barloom.operators.signals import gate_prices, live_prices, newest_row, signals
+from barloom.operators.search import CLASSIFIER_SPACE, best_trial
+from barloom.operators.signals import gate_prices, live_prices, newest_row, tuned_signals
+from barloom.session import shared_dir
 
 #: Spark's trees stop at this depth.
 _DEEPEST = 30
+#: Boosting rounds where none are given.
+ITERATIONS = 100
 SIDES = ("buy", "sell")
 
 
 def classifier(
-    params: dict, side: str, seed: int = 42, weighted: bool = True, iterations: int = 20
+    params: dict, side: str, seed: int = 42, weighted: bool = True, iterations: int = ITERATIONS
 ) -> GBTClassifier:
     """Boosted trees from one trial's parameters.
 
@@ -55,16 +59,21 @@ def classifier(
 def balance_weights(df: DataFrame) -> DataFrame:
     """Class weights ``n / (2 * class count)`` per label, as columns.
 
-    Only the class counts are joined back. They are one row per label value, two for binary
-    labels, which is why they may be broadcast unchecked.
+    Both sides are counted in one pass; the driver reads one row per pair of label values, four
+    for binary labels, and the weights go back into the plan as literals.
     """
+    counts = df.groupBy(*[f"y_{side}" for side in SIDES]).count().collect()
+    total = sum(r["count"] for r in counts)
+    columns = {}
     for side in SIDES:
-        label, weight = f"y_{side}", f"weight_{side}"
-        counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__count"))
-        everything = F.sum("__count").over(Window.partitionBy(F.lit(0)))
-        table = counts.select(label, (everything / (2.0 * F.col("__count"))).alias(weight))
-        df = df.join(F.broadcast(table), label)
-    return df
+        sizes: dict[int, int] = {}
+        for r in counts:
+            sizes[r[f"y_{side}"]] = sizes.get(r[f"y_{side}"], 0) + r["count"]
+        pairs = [F.lit(x) for label, n in sizes.items() for x in (label, total / (2.0 * n))]
+        columns[f"weight_{side}"] = F.element_at(F.create_map(*pairs), F.col(f"y_{side}"))
+    return df.withColumns(columns) if counts else df.withColumns(
+        {f"weight_{side}": F.lit(None).cast("double") for side in SIDES}
+    )
 
 
 @dataclass(frozen=True)
@@ -81,11 +90,50 @@ class Classifiers:
         return scored.select(*kept, "pred_buy", "pred_sell")
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        """Both models, and the names of their inputs in order."""
+        self.model.write().overwrite().save(f"{path}/models")
+        spark = SparkSession.active()
+        names = list(enumerate(self.columns))
+        spark.createDataFrame(names, "place int, name string").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/columns")
+
+    @classmethod
+    def load(cls, path: str) -> "Classifiers":
+        spark = SparkSession.active()
+        names = spark.read.parquet(f"{path}/columns").orderBy("place").collect()
+        return cls(PipelineModel.load(f"{path}/models"), tuple(r.name for r in names))
+
+
+@dataclass(frozen=True)
+class CompositeModel:
+    """Everything that turns raw bars into gated limit prices.
+
+    ``parameters`` has ``entry_length`` and ``entry_point`` of every symbol, ``scaler`` the state
+    of every symbol and column.
+    """
+
+    parameters: DataFrame
+    scaler: DataFrame
+    classifiers: Classifiers
+
+    def save(self, path: str) -> None:
+        names = (S.SYMBOL, "entry_length", "entry_point")
+        self.parameters.select(*names).write.mode("overwrite").parquet(f"{path}/parameters")
+        self.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+        self.classifiers.save(f"{path}/classifiers")
 
     @classmethod
-    def load(cls, path: str, columns: Sequence[str]) -> "Classifiers":
-        return cls(PipelineModel.load(path), tuple(columns))
+    def load(cls, spark: SparkSession, path: str) -> "CompositeModel":
+        return cls(
+            spark.read.parquet(f"{path}/parameters"),
+            spark.read.parquet(f"{path}/scaler"),
+            Classifiers.load(f"{path}/classifiers"),
+        )
+
+    def score(self, bars: DataFrame) -> DataFrame:
+        """Gated limit prices for the newest bar of every symbol that has parameters."""
+        return score_latest(bars, self.scaler, self.classifiers, self.parameters)
 
 
 def _renamed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -99,10 +147,12 @@ def fit_classifiers(
     params: dict,
     seed: int = 42,
     class_weight: str = "balanced",
-    iterations: int = 20,
+    iterations: int = ITERATIONS,
 ) -> Classifiers:
     """Fit the buy and the sell model on labelled rows of all symbols together."""
     weighted = class_weight == "balanced"
+    if train.isEmpty():
+        raise ValueError("no labelled rows are left to fit on; the series are too short")
     rows = balance_weights(train) if weighted else train
     assembler = VectorAssembler(inputCols=[f"__f{k}" for k in range(len(columns))], outputCol="features")
     stages = [assembler] + [classifier(params, side, seed, weighted, iterations) for side in SIDES]
@@ -125,49 +175,82 @@ def classifier_scores(
     trials: list[dict],
     account: S.BacktestParams = S.BacktestParams(),
     params: S.OptimizeParams = S.OptimizeParams(),
-    iterations: int = 20,
-    strict: bool = True,
+    iterations: int = ITERATIONS,
+    parallel: int = 4,
 ) -> DataFrame:
     """Mean gated-backtest metric per trial over the folds' test ranges.
 
-    Fits are distributed jobs started one after the other; the scored rows of all of them are
+    ``labelled`` should be a written table: every fit reads its fold's rows from it by a filter on
+    the position. ``parallel`` fits run at a time; scored rows are written per trial and fold and
     backtested in one job keyed by (symbol, trial, fold).
     """
-    train = fold_rows(labelled, params, "train", strict=strict)
-    test = fold_rows(labelled, params, "test", strict=strict)
-    scored: DataFrame | None = None
-    for trial in trials:
-        for fold in range(params.n_splits):
-            fitted = fit_classifiers(
-                train.where(F.col("fold") == fold), columns, trial, account.seed,
-                params.class_weight, iterations,
-            )
-            rows = gate_prices(fitted.predict(test.where(F.col("fold") == fold)))
-            rows = rows.select(
-                S.SYMBOL, *S.PRICES, "buy", "sell", "fold", POSITION, "n",
-                F.lit(trial["trial"]).alias("trial"),
-            )
-            scored = rows if scored is None else scored.unionByName(rows)
+    spark = labelled.sparkSession
+    path = shared_dir(spark, "classifier-scores")
+
+    def one(task: tuple[dict, int]) -> None:
+        trial, fold = task
+        train = labelled.where(in_fold(params, fold, "train"))
+        fitted = fit_classifiers(
+            train, columns, trial, account.seed, params.class_weight, iterations
+        )
+        rows = gate_prices(fitted.predict(labelled.where(in_fold(params, fold, "test"))))
+        rows = rows.select(S.SYMBOL, *S.PRICES, "buy", "sell", POSITION, LENGTH)
+        rows.write.parquet(f"{path}/trial={trial['trial']}/fold={fold}")
+
+    tasks = [(t, f) for t in trials for f in range(params.n_splits)]
+    with ThreadPoolExecutor(parallel) as pool:
+        for done in [pool.submit(one, task) for task in tasks]:
+            done.result()
     per_fold = bt.metric(
-        scored, params.optimize_target_clf, account, params.pyramiding,
+        spark.read.parquet(path), params.optimize_target_clf, account, params.pyramiding,
         keys=(S.SYMBOL, "trial", "fold"),
     )
     return per_fold.groupBy(S.SYMBOL, "trial").agg(F.avg("metric").alias("metric"))
 
 
-def search_classifier(
-    labelled: DataFrame,
-    columns: Sequence[str],
-    account: S.BacktestParams = S.BacktestParams(),
-    params: S.OptimizeParams = S.OptimizeParams(),
-    iterations: int = 20,
-    strict: bool = True,
+def pooled_scores(scores: DataFrame) -> DataFrame:
+    """Mean metric of every trial over all symbols."""
+    return scores.groupBy("trial").agg(F.avg("metric").alias("metric"))
+
+
+def chosen_trial(pooled: DataFrame, trials: list[dict], direction: str) -> dict:
+    """Parameters of the best trial; the first trial where no trial has a metric."""
+    best = best_trial(pooled, direction, keys=()).first()
+    by_number = {t["trial"]: t for t in trials}
+    return by_number[best.trial] if best else trials[0]
+
+
+def tracked_trials(
+    spark: SparkSession, trials: list[dict], pooled: DataFrame | None, metric: str
 ) -> DataFrame:
-    """The best classifier trial over all symbols."""
-    trials = classifier_trials(params.n_trials_clf, account.seed)
-    scores = classifier_scores(labelled, columns, trials, account, params, iterations, strict)
-    pooled = scores.groupBy("trial").agg(F.avg("metric").alias("metric"))
-    return best_trial(pooled, params.direction_clf, keys=())
+    """Metric rows ``(symbol, step, key, value)`` of all trials: parameters and pooled metric.
+
+    One row per trial and parameter; classifiers are fitted over all symbols, so the symbol is
+    ``*``.
+    """
+    rows = [
+        (t["trial"], name, float(value)) for t in trials for name, value in t.items() if name != "trial"
+    ]
+    long = spark.createDataFrame(rows, "step int, key string, value double")
+    if pooled is not None:
+        scored = pooled.select(F.col("trial").alias("step"), F.lit(metric).alias("key"), F.col("metric").alias("value"))
+        long = long.unionByName(scored)
+    return long.select(F.lit("*").alias(S.SYMBOL), "step", "key", "value")
+
+
+def tracked_best(spark: SparkSession, params: dict) -> DataFrame:
+    """Metric rows of the chosen parameters, as ``best_<name>``."""
+    rows = [(f"best_{n}", float(v)) for n, v in params.items() if n != "trial"]
+    long = spark.createDataFrame(rows, "key string, value double")
+    return long.select(F.lit("*").alias(S.SYMBOL), F.lit(0).alias("step"), "key", "value")
+
+
+#: Types of the tracked classifier parameters, for reading them back.
+PARAMETER_TYPES = {
+    f"{name}_{side}": "int" if kind == "int" else "double"
+    for side in SIDES
+    for name, (kind, _, _) in CLASSIFIER_SPACE.items()
+}
 
 
 def evaluate_holdout(
@@ -191,15 +274,24 @@ def evaluate_holdout(
 
 
 def score_latest(
-    bars: DataFrame, scaler: DataFrame, fitted: Classifiers, entry_length: int, entry_point: float
+    bars: DataFrame,
+    scaler: DataFrame,
+    fitted: Classifiers,
+    parameters: DataFrame,
 ) -> DataFrame:
-    """Gated limit prices for the newest bar of every symbol, from raw bars."""
+    """Gated limit prices for the newest bar of every symbol, from raw bars.
+
+    ``parameters`` has ``symbol, entry_length, entry_point``. A symbol whose newest bar has no
+    complete features, or that has no state or parameters, gets no price.
+    """
     positioned = bars if POSITION in bars.columns else with_position(bars)
-    newest_features = newest_row(features(positioned))
-    scored = fitted.predict(apply_scaler(newest_features, scaler, fitted.columns))
+    newest_features = newest_row(features(positioned, keep=(POSITION, LENGTH)))
+    scored = fitted.predict(
+        apply_scaler(newest_features.drop(POSITION, LENGTH), scaler, fitted.columns)
+    )
     prices = newest_row(
-        signals(positioned, entry_length=entry_length, entry_point=entry_point).select(
-            S.SYMBOL, S.TS, "buy", "sell"
+        tuned_signals(positioned, parameters).own_rows(
+            S.SYMBOL, S.TS, "buy", "sell", POSITION, LENGTH
         )
     )
     joined = prices.join(scored.select(S.SYMBOL, "pred_buy", "pred_sell"), S.SYMBOL)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from barloom import schema as S
 from barloom.operators.folds import BOUNDS
-from barloom.operators.scaler import join_per_series
 
 #: Names of pipeline stage runs, which are never parent runs (fixed values).
 STAGE_RUNS = ("preprocess", "train_1st", "train_2nd", "build", "evaluate")
@@ -113,19 +112,24 @@ def latest_artifact(paths: DataFrame, prefix: str, column: str = "path") -> Data
 
 
 def pnl_series(
-    backtested: DataFrame, key: str = "pnl", drop_missing: bool = True, position: str = "i"
+    backtested: DataFrame,
+    first: int | Column,
+    key: str = "pnl",
+    drop_missing: bool = True,
+    position: str = "i",
 ) -> DataFrame:
     """PnL points ``(symbol, key, step, timestamp, value)`` for export.
 
-    ``step`` counts the series' exported rows from 0: positions are consecutive, so it is the
-    position less that of the first exported row, and no series is sorted in one task.
+    ``step`` counts the series' exported rows from 0. Positions are consecutive and the first row
+    of a backtest has no profit, so the step is the position less that of the backtest's second
+    row; ``first`` is the position of its first one, a number or an expression of the row.
     """
     rows = backtested.where("pnl IS NOT NULL") if drop_missing else backtested
-    first = rows.groupBy(S.SYMBOL).agg(F.min(position).alias("__first"))
-    return join_per_series(rows, first).select(
+    start = F.lit(first) if isinstance(first, int) else first
+    return rows.select(
         S.SYMBOL,
         F.lit(key).alias("key"),
-        (F.col(position) - F.col("__first")).alias("step"),
+        (F.col(position) - start - (1 if drop_missing else 0)).cast("bigint").alias("step"),
         F.unix_millis(F.col(S.TS).cast("timestamp")).alias("timestamp"),
         F.col("pnl").alias("value"),
     )

@@ -169,10 +169,6 @@ def rolling_min(blocks: Blocks, value: str, n: int) -> Column:
     return full(blocks.last(n), n, value, F.min(value).over(blocks.last(n)))
 
 
-def rolling_mean(blocks: Blocks, value: str, n: int) -> Column:
-    return full(blocks.last(n), n, value, F.avg(value).over(blocks.last(n)))
-
-
 def line_endpoint(blocks: Blocks, value: str, n: int) -> str:
     """Value at the newest row of the least-squares line through the last ``n`` rows.
 
@@ -246,14 +242,23 @@ def rank_correlations(windows: str | Column, lengths: Sequence[int]) -> Column:
 def rolling_apply(
     positioned: DataFrame, value: str, n: int, fn: Callable, output: str, rows: int = 2048
 ) -> DataFrame:
-    """Apply a Python function to each full window of ``n`` values (a numpy array).
+    """Apply a Python function to all full windows of a batch at once.
 
-    Windows reach Python as Arrow batches of arrays; rows whose window is not full get NULL.
+    ``fn`` gets a numpy table with one window of ``n`` values per row, oldest first, and returns
+    one number per row. Rows whose window is not full get NULL.
     """
 
-    @F.pandas_udf(T.DoubleType())
-    def apply(windows):  # noqa: ANN001, ANN202 - type hints would be read as a UDF signature
-        return windows.map(lambda w: float(fn(w)) if w is not None and len(w) == n else None)
+    def whole(batch: pa.Array) -> pa.Array:
+        ends = batch.offsets.to_numpy()
+        values = batch.values.to_numpy(zero_copy_only=False)
+        complete = np.diff(ends) == n
+        table = values[(ends[1:][complete] - n)[:, None] + np.arange(n)]
+        result = np.zeros(len(complete))
+        if len(table):
+            result[complete] = fn(table)
+        return pa.array(result, mask=~complete)
+
+    apply = F.arrow_udf(whole, T.DoubleType())
 
     blocks = Blocks.of(positioned, before=n - 1, rows=rows)
     blocks = blocks.with_exprs({"__window": window_values(blocks, value, n)})

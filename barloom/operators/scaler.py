@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from barloom import schema as S
 from barloom.functions.scalars import all_present, quoted
+from barloom.operators.blocks import POSITION
 from barloom.operators.folds import in_first_train
 
-#: Tasks over which one symbol's rows may spread when its small state is joined back.
-_SALTS = 64
+#: Rows of one series that share a copy of its state when the state is joined back.
+PART_ROWS = 65_536
 
 
 def feature_columns(df: DataFrame, excluded: Sequence[str] = S.NON_FEATURE_COLUMNS) -> list[str]:
@@ -35,15 +36,23 @@ def fit_scaler(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return long.select(S.SYMBOL, "column", "mean", scale.alias("scale"))
 
 
-def join_per_series(df: DataFrame, state: DataFrame, order: str = S.TS) -> DataFrame:
-    """Join one state row per symbol to many rows.
+def join_per_series(df: DataFrame, state: DataFrame) -> DataFrame:
+    """Join one state row per symbol to many rows; rows of symbols without state go.
 
-    The state is repeated per salt and the rows are spread over the salts, so a hot symbol is not
-    one task when the state is too large to be broadcast.
+    Positioned rows join on (symbol, part of the series), with one copy of the state for every
+    part that exists: the number of tasks of a symbol grows with its rows, and a short symbol has
+    one copy. Rows without positions are joined as they are.
     """
-    salted_state = state.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    salt = F.pmod(F.xxhash64(F.col(order)), F.lit(_SALTS)).cast("int")
-    return df.withColumn("__salt", salt).join(salted_state, [S.SYMBOL, "__salt"]).drop("__salt")
+    if POSITION not in df.columns:
+        return df.join(state, S.SYMBOL)
+    parted = df.withColumn("__part", F.floor(F.col(POSITION) / PART_ROWS))
+    copies = parted.select(S.SYMBOL, "__part").distinct().join(state, S.SYMBOL)
+    return parted.join(copies, [S.SYMBOL, "__part"]).drop("__part")
+
+
+def without_state(df: DataFrame, state: DataFrame) -> DataFrame:
+    """Symbols that have rows but no state, which :func:`join_per_series` leaves out."""
+    return df.select(S.SYMBOL).distinct().join(state, S.SYMBOL, "left_anti")
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

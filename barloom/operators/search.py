@@ -6,7 +6,7 @@ import hashlib
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import schema as S
@@ -183,12 +183,20 @@ def with_parameters(scores: DataFrame, trials: list[dict]) -> DataFrame:
 def best_trial(
     scores: DataFrame, direction: str, keys: Sequence[str] = (S.SYMBOL,)
 ) -> DataFrame:
-    """The best trial per key; ties go to the lowest trial number. NULL metrics never win."""
+    """The best trial per key; ties go to the lowest trial number. NULL metrics never win.
+
+    A key has one row per trial, so its window is small; the pick is a hash aggregate.
+    """
     signed = F.col("metric") if direction == "maximize" else -F.col("metric")
     rest = [c for c in scores.columns if c not in (*keys, "trial")]
-    ranked = F.struct(signed.alias("__score"), (-F.col("trial")).alias("__early"), "trial", *rest)
-    best = scores.where("metric IS NOT NULL").groupBy(*keys).agg(F.max(ranked).alias("__best"))
-    return best.select(*keys, "__best.trial", *[f"__best.{c}" for c in rest])
+    everything = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    top = scores.where("metric IS NOT NULL").withColumn("__top", F.max(signed).over(everything))
+    return (
+        top.where(signed == F.col("__top"))
+        .groupBy(*keys)
+        .agg(F.min("trial").alias("trial"), *[F.min_by(c, "trial").alias(c) for c in rest])
+        .where("trial IS NOT NULL")
+    )
 
 
 def search_signal(

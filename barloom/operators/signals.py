@@ -5,14 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import schema as S
 from barloom.functions.scalars import keep_if, quoted
-from barloom.operators.blocks import BLOCK_ROWS, POSITION, Blocks, with_position
+from barloom.operators.blocks import BLOCK, BLOCK_ROWS, LENGTH, POSITION, Blocks, with_position
 from barloom.operators.rolling import rolling_max, rolling_min
-from barloom.operators.scaler import join_per_series
 
 #: The searched range of window lengths and of the distance in percent.
 ENTRY_LENGTHS = (5, 25)
@@ -124,10 +123,10 @@ def tuned_signals(
         S.SYMBOL, F.col("entry_length").alias("__length"), F.col("entry_point").alias("__point")
     )
     lengths = list(range(ENTRY_LENGTHS[0], ENTRY_LENGTHS[1] + 1))
-    blocks = Blocks.of(
-        join_per_series(positioned, tuned), before=lengths[-1] + 1, after=1, rows=block_rows
-    )
-    blocks = extremes(blocks, lengths)
+    blocks = Blocks.of(positioned, before=lengths[-1] + 1, after=1, rows=block_rows)
+    # One copy of the parameters per block, joined on the partitioning of all windows.
+    copies = blocks.df.select(S.SYMBOL, BLOCK).distinct().join(tuned, S.SYMBOL)
+    blocks = extremes(blocks.expand(blocks.df.join(copies, [S.SYMBOL, BLOCK])), lengths)
     priced = pick_band(blocks.df, lengths, F.col("__length"), F.col("__point"))
     return blocks.expand(priced.drop("__length", "__point"))
 
@@ -156,10 +155,16 @@ def live_prices(newest: DataFrame) -> DataFrame:
 
 
 def newest_row(df: DataFrame, keys: tuple[str, ...] = ("symbol",), order: str = "ts") -> DataFrame:
-    """The newest row per key, as a partial aggregate: a hot key sends one row per task."""
+    """The newest row per key.
+
+    Positioned rows need a filter only. Else the newest time per key comes first, as a hash
+    aggregate, and rows of that time are picked out; equal times are decided by the other columns.
+    """
+    if {POSITION, LENGTH} <= set(df.columns):
+        return df.where(F.col(POSITION) == F.col(LENGTH) - 1)
     keys_ = list(keys)
-    rest = [c for c in df.columns if c not in (*keys_, order)]
-    newest = df.groupBy(*keys_).agg(
-        F.max(F.struct(order, *[quoted(c) for c in rest])).alias("__newest")
-    )
-    return newest.select(*keys_, "__newest.*").select(*[quoted(c) for c in df.columns])
+    rest = [quoted(c).desc() for c in df.columns if c not in (*keys_, order)]
+    newest = df.groupBy(*keys_).agg(F.max(order).alias(order))
+    last = df.join(newest, [*keys_, order], "left_semi")
+    rank = F.row_number().over(Window.partitionBy(*keys_).orderBy(*(rest or keys_)))
+    return last.withColumn("__rank", rank).where("__rank = 1").drop("__rank")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.scalars import quoted
 
@@ -13,20 +15,47 @@ BAR_KEY = ("symbol", "ts")
 ORDER_KEY = ("symbol", "ts", "side")
 
 
+#: Types that an aggregation buffer holds in place, so that a hash aggregate can be used.
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _version_number(df: DataFrame, version: str) -> Column | None:
+    """The version as a whole number, for times and whole numbers."""
+    kind = df.schema[version].dataType
+    value = quoted(version)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(value.cast("timestamp"))
+    return value.cast("bigint") if isinstance(kind, T.IntegralType) else None
+
+
 def keep_latest(
-    df: DataFrame, keys: Sequence[str] = BAR_KEY, version: str = "ingest_ts"
+    df: DataFrame,
+    keys: Sequence[str] = BAR_KEY,
+    version: str = "ingest_ts",
+    tie: str | None = None,
 ) -> DataFrame:
     """One row per key, from the newest version.
 
     A partial aggregate rather than a window: however often one key was pulled, every task sends
-    one row for it. Equal versions are decided by the remaining columns, so the result repeats.
+    one row for it. Rows are ordered by one fixed-width number, the version followed by ``tie`` (a
+    whole number) or a hash of the other columns, so that it is a hash aggregate; text columns or
+    other versions take a sort. Equal rows aside, the result repeats.
     """
     keys_ = list(keys)
     rest = [c for c in df.columns if c not in (*keys_, version)]
-    newest = df.groupBy(*keys_).agg(
-        F.max(F.struct(version, *[quoted(c) for c in rest])).alias("__row")
-    )
-    return newest.select(*keys_, "__row.*").select(*[quoted(c) for c in df.columns])
+    number = _version_number(df, version)
+    fixed = all(isinstance(df.schema[c].dataType, _FIXED) for c in rest)
+    if number is None or not fixed:
+        newest = df.groupBy(*keys_).agg(
+            F.max(F.struct(version, *[quoted(c) for c in rest])).alias("__row")
+        )
+        return newest.select(*keys_, "__row.*").select(*[quoted(c) for c in df.columns])
+    second = quoted(tie).cast("bigint") if tie else F.shiftrightunsigned(F.xxhash64(*rest), 16)
+    width = Decimal(2 * 10**19 if tie else 10**15)
+    first = F.coalesce(number, F.lit(-(1 << 60))).cast("decimal(19,0)")
+    ordered = df.withColumn("__order", (first * F.lit(width) + second).cast("decimal(38,0)"))
+    picked = [F.max_by(quoted(c), "__order").alias(c) for c in (version, *rest)]
+    return ordered.groupBy(*keys_).agg(*picked).select(*[quoted(c) for c in df.columns])
 
 
 def merge_latest(

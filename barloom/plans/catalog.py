@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom import schema as S
@@ -23,8 +24,9 @@ from barloom.operators import (
     signals as sg,
 )
 from barloom.operators.upsert import keep_latest
-from barloom.plans import market
-from barloom.sinks.writers import written
+from barloom.plans import market, training
+from barloom.session import shared_dir
+from barloom.sinks.writers import append_job_log, write_features, write_metrics, written
 from barloom.sources import payloads, readers
 from barloom.streaming import streams
 
@@ -45,6 +47,8 @@ TRIALS = [
     {"trial": 3, "entry_length": 25, "entry_point": 0.25},
 ]
 NOW = "2024-01-31 00:00:00"
+#: All event types of the given table.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def query(function: Query) -> Query:
@@ -57,6 +61,9 @@ PRICE_SCALED = tuple(n for g in ("atr", "bb_width", "macd") for n in S.FEATURE_G
 #: Groups of one subtraction or division, equal to the last bit in any engine.
 UNROUNDED = ("mom", "roc")
 EXACT = (*S.OHLCV, *[n for g in UNROUNDED for n in S.FEATURE_GROUPS[g]])
+#: Log changes: small numbers where the price level is high, so they keep more digits.
+LOGS = tuple(n for g in ("log_diff", "sma", "ema", "bb", "reg") for n in S.FEATURE_GROUPS[g])
+FINE = 9
 
 
 def out(
@@ -64,18 +71,20 @@ def out(
     digits: int | None = 6,
     coarse: tuple[str, ...] = (),
     exact: tuple[str, ...] = (),
+    fine: tuple[str, ...] = (),
 ) -> DataFrame:
     """Comparable output: doubles rounded without negative zero, times without zone.
 
     ``digits=None`` keeps doubles as they are, where both engines do the same arithmetic.
-    ``coarse`` names columns that keep three digits, ``exact`` those that are not rounded.
+    ``coarse`` names columns that keep three digits, ``fine`` those that keep nine, ``exact``
+    those that are not rounded.
     """
     columns = []
     for field in df.schema.fields:
         value = F.col(f"`{field.name}`")
         kind = field.dataType.simpleString()
         if kind == "double" and digits is not None and field.name not in exact:
-            kept = 3 if field.name in coarse else digits
+            kept = 3 if field.name in coarse else FINE if field.name in fine else digits
             tiny = F.abs(value) < 0.5 * 10.0**-kept
             value = F.when(tiny, F.lit(0.0)).otherwise(F.round(value, kept))
         elif kind == "timestamp":
@@ -152,8 +161,8 @@ def sum_between_flips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = market.with_position(written(market.event_bars(spark, sf_dir, INTERVAL), "bars"))
 
-    def spread(window):  # noqa: ANN001, ANN202
-        return window.max() - window.min()
+    def spread(windows):  # noqa: ANN001, ANN202
+        return windows.max(axis=1) - windows.min(axis=1)
 
     return out(
         rolling.rolling_apply(rows, "close", 9, spread, "spread").select(S.SYMBOL, S.TS, "spread")
@@ -183,14 +192,16 @@ for _group in ("sma", "mom", "roc", "bb_width", "log_diff", "reg"):
 @query
 def feat_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixty features, complete rows only."""
-    return out(ft.features(event_table(spark, sf_dir, LEVEL)), coarse=PRICE_SCALED, exact=EXACT)
+    return out(
+        ft.features(event_table(spark, sf_dir, LEVEL)), coarse=PRICE_SCALED, exact=EXACT, fine=LOGS
+    )
 
 
 @query
 def feat_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixty features of every supplier's series; the level keeps every band positive."""
     rows = market.stored(market.line_bars(spark, sf_dir, LINE_LEVEL))
-    return out(ft.features(rows), coarse=PRICE_SCALED, exact=EXACT)
+    return out(ft.features(rows), coarse=PRICE_SCALED, exact=EXACT, fine=LOGS)
 
 
 @query
@@ -285,7 +296,72 @@ def backtest_lines_pnl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pnl_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(reshape.pnl_series(_backtest(spark, sf_dir)))
+    return out(reshape.pnl_series(_backtest(spark, sf_dir), ENTRY_LENGTH))
+
+
+# -- one long series over many blocks -------------------------------------------------------------
+
+LONG_INTERVAL = "5 minutes"
+SMALL_BLOCK = 256
+
+
+def long_table(spark: SparkSession, sf_dir: str, level: float = 0.0) -> DataFrame:
+    """All events as one series: several thousand bars at sf0.01, so blocks have neighbours."""
+    return market.stored(market.event_bars(spark, sf_dir, LONG_INTERVAL, level, whole=True))
+
+
+def _long_feature_query(group: str, block_rows: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        names = S.FEATURE_GROUPS[group]
+        made = ft.features(long_table(spark, sf_dir, LEVEL), [group], block_rows=block_rows)
+        shown = made.select(S.SYMBOL, S.TS, *[F.col(f"`{n}`") for n in names])
+        return out(shown, coarse=PRICE_SCALED, fine=LOGS)
+
+    return run
+
+
+def _long_backtest(block_rows: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        blocks = sg.signal_blocks(
+            long_table(spark, sf_dir), block_rows=block_rows,
+            entry_length=ENTRY_LENGTH, entry_point=ENTRY_POINT,
+        )
+        result = bt.backtest(blocks, ACCOUNT, SEARCH.pyramiding)
+        return out(result.select(S.SYMBOL, S.TS, "order", "pos", "profit", "pnl"))
+
+    return run
+
+
+def _long_running(block_rows: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = running.cumulative_sum(long_table(spark, sf_dir), "volume", "total", rows=block_rows)
+        return out(rows.select(S.SYMBOL, S.TS, "total"))
+
+    return run
+
+
+def _long_grid(block_rows: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scores = search.fold_scores(
+            long_table(spark, sf_dir), TRIALS, ACCOUNT, SEARCH, strict=False, block_rows=block_rows
+        )
+        return out(scores)
+
+    return run
+
+
+for _rows, _suffix in ((2048, ""), (SMALL_BLOCK, "_small_blocks")):
+    for _group in ("ema", "rsi", "atr", "macd"):
+        QUERIES[f"feat_long_{_group}{_suffix}"] = _long_feature_query(_group, _rows)
+    QUERIES[f"backtest_long{_suffix}"] = _long_backtest(_rows)
+    QUERIES[f"running_long{_suffix}"] = _long_running(_rows)
+    QUERIES[f"grid_long{_suffix}"] = _long_grid(_rows)
+
+
+@query
+def feat_long_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = long_table(spark, sf_dir, LEVEL)
+    return out(ft.features(rows), coarse=PRICE_SCALED, exact=EXACT, fine=LOGS)
 
 
 # -- folds, scaling -------------------------------------------------------------------------------
@@ -339,6 +415,14 @@ def eval_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(reshape.eval_bounds(history, [S.SYMBOL]))
 
 
+@query
+def left_out_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers whose series are too short for five test ranges of 105 rows."""
+    params = S.OptimizeParams(test_size=105)
+    rows = market.stored(market.line_bars(spark, sf_dir))
+    return out(folds.left_out(rows, params).select(S.SYMBOL, F.col("n").cast("bigint")))
+
+
 _SCALED = ["open", "high", "low", "close", "volume"]
 
 
@@ -416,8 +500,8 @@ def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random trials instead of a grid; trial values come from a digest and repeat anywhere."""
-    trials = search.signal_trials(12, ACCOUNT.seed)
+    """The published number of random trials; trial values come from a digest and repeat anywhere."""
+    trials = search.signal_trials(SEARCH.n_trials, ACCOUNT.seed)
     return out(search.search_signal(event_table(spark, sf_dir), trials, ACCOUNT, SEARCH, strict=False))
 
 
@@ -445,7 +529,7 @@ def pivot_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def align_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full outer alignment of two hourly series that miss different hours."""
+    """Full outer alignment of the hourly series of all event types, which miss different hours."""
     events = market.table(spark, sf_dir, "events")
 
     def hourly(kind: str, name: str) -> DataFrame:
@@ -454,7 +538,7 @@ def align_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         user = F.concat(F.lit("u"), (F.col("user_id") % 10).cast("string")).alias(S.SYMBOL)
         return ticks.groupBy(user, slot).agg(F.max("value").alias(name))
 
-    return out(reshape.align_series([hourly("click", "clicks"), hourly("view", "views")]))
+    return out(reshape.align_series([hourly(kind, f"top_{kind}") for kind in EVENT_TYPES]))
 
 
 @query
@@ -467,7 +551,7 @@ def keep_latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_totalprice").alias("price"),
     )
-    return out(keep_latest(pulled, (S.SYMBOL, "side")))
+    return out(keep_latest(pulled, (S.SYMBOL, "side"), tie="order_id"))
 
 
 @query
@@ -500,8 +584,8 @@ def previous_run_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest even-numbered user event per type as the held position; none for some types."""
-    return market.table(spark, sf_dir, "events").where("event_type != 'view'").select(
+    """Every event as a position of its type; even-numbered users buy."""
+    return market.table(spark, sf_dir, "events").select(
         F.col("event_type").alias(S.SYMBOL),
         F.col("ts").cast("timestamp").alias(S.TS),
         F.when(F.col("user_id") % 2 == 0, "Buy").otherwise("Sell").alias("side"),
@@ -511,11 +595,14 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def order_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = sg.newest_row(_signal_blocks(spark, sf_dir).own_rows(S.SYMBOL, S.TS, "buy", "sell"))
+    rows = _signal_blocks(spark, sf_dir).own_rows(S.SYMBOL, S.TS, "buy", "sell", "i", "n")
+    newest = sg.newest_row(rows)
     prices = newest.select(
         S.SYMBOL, F.col("buy").alias("buy_limit_price"), F.col("sell").alias("sell_limit_price")
     )
-    return out(orders.plan_orders(prices, _positions(spark, sf_dir)))
+    # One type is taken to hold no position, which is a case of its own in the plan.
+    held = _positions(spark, sf_dir).where(F.col(S.SYMBOL) != "view")
+    return out(orders.plan_orders(prices, held))
 
 
 @query
@@ -537,7 +624,9 @@ def gated_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def live_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limit prices of the newest bar in the arithmetic form of the gate."""
-    rows = _signal_blocks(spark, sf_dir).own_rows(S.SYMBOL, S.TS, "open", "close", "buy", "sell")
+    rows = _signal_blocks(spark, sf_dir).own_rows(
+        S.SYMBOL, S.TS, "open", "close", "buy", "sell", "i", "n"
+    )
     newest = sg.newest_row(rows).withColumns(
         {
             "pred_buy": (F.col("close") > F.col("open")).cast("int"),
@@ -615,29 +704,35 @@ def payload_open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- classifiers ----------------------------------------------------------------------------------
 
+#: Signal parameters of the classifier queries, and quick settings: the fit is not what they show.
+MODEL_LENGTH, MODEL_POINT = 5, 0.05
+_CLASSIFIER = search.classifier_trials(1, ACCOUNT.seed)[0]
+_ROUNDS = 5
 
-def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Positioned bars, the fitted scaler, and scaled, labelled, positioned rows."""
-    bars = event_table(spark, sf_dir, LEVEL)
-    table = market.stored(ft.features(bars))
-    state, scaled = scaler.standardise(table, SEARCH)
-    state = written(state, "scaler")
-    rows = lb.labels(
-        sg.signal_blocks(written(scaled, "scaled"), entry_length=5, entry_point=0.05)
-    ).drop("i", "n")
-    return bars, state, market.stored(rows)
 
+@dataclass(frozen=True)
+class Prepared:
+    """Stages of a training run over all events as one series of 15-minute bars."""
+
+    bars: DataFrame
+    scaler: DataFrame
+    best: DataFrame
+    signalled: DataFrame
+    labelled: DataFrame
 
-_CLASSIFIER = search.classifier_trials(1, ACCOUNT.seed)[0] | {
-    "max_depth_buy": 3, "max_depth_sell": 3,
-}
+    def fitted(self, params: dict = _CLASSIFIER, rounds: int = _ROUNDS) -> model.Classifiers:
+        return training.fit_last_fold(self.labelled, params, ACCOUNT, SEARCH, rounds)
 
 
-def _fitted(rows: DataFrame) -> model.Classifiers:
-    train = rows.where(~folds.in_holdout(SEARCH))
-    return model.fit_classifiers(
-        train, scaler.feature_columns(rows), _CLASSIFIER, ACCOUNT.seed, iterations=3
+def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
+    bars = market.stored(market.event_bars(spark, sf_dir, INTERVAL, LEVEL, whole=True))
+    table = market.stored(ft.features(bars))
+    state, scaled = scaler.standardise(table, SEARCH)
+    state, scaled = written(state, "scaler"), written(scaled, "scaled")
+    best = spark.createDataFrame(
+        [("all", MODEL_LENGTH, MODEL_POINT)], "symbol string, entry_length int, entry_point double"
     )
+    return Prepared(bars, state, best, *training.tuned_rows(scaled, best))
 
 
 @query
@@ -646,45 +741,135 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(model.balance_weights(rows).select(S.SYMBOL, S.TS, "y_buy", "y_sell", "weight_buy", "weight_sell"))
 
 
+@query
+def classifier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the final classifiers are fitted on, with their labels."""
+    rows = prepared(spark, sf_dir).labelled.where(
+        folds.in_fold(SEARCH, SEARCH.n_splits - 1, "train")
+    )
+    return out(rows.select(S.SYMBOL, S.TS, "buy", "sell", "y_buy", "y_sell"))
+
+
 @query
 def classifier_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, rows = _labelled(spark, sf_dir)
-    scored = _fitted(rows).predict(rows.where(folds.in_holdout(SEARCH)))
-    return out(scored.select(S.SYMBOL, S.TS, "y_buy", "y_sell", "pred_buy", "pred_sell"))
+    """Hold-out rows, last bar included; a prediction is one of the two labels."""
+    stages = prepared(spark, sf_dir)
+    scored = stages.fitted().predict(stages.signalled.where(folds.in_holdout(SEARCH)))
+    return scored.select(
+        S.SYMBOL,
+        F.col(S.TS).cast("timestamp_ntz").alias(S.TS),
+        F.col("pred_buy").isin(0.0, 1.0).alias("valid_buy"),
+        F.col("pred_sell").isin(0.0, 1.0).alias("valid_sell"),
+    )
 
 
 @query
 def classifier_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, rows = _labelled(spark, sf_dir)
-    return out(model.importances(_fitted(rows), "buy", rows))
+    """One share per model input and side; the shares of a side add up to one."""
+    stages = prepared(spark, sf_dir)
+    fitted = stages.fitted()
+    sides = [
+        model.importances(fitted, side, stages.labelled).withColumn("side", F.lit(side))
+        for side in model.SIDES
+    ]
+    total = F.round(F.sum("importance").over(Window.partitionBy("side")), 6)
+    return sides[0].unionByName(sides[1]).select(
+        "side", "feature", (F.col("importance") >= 0).alias("valid"), total.alias("total")
+    )
+
+
+@query
+def classifier_holdout_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backtest of the hold-out slice without the model."""
+    stages = prepared(spark, sf_dir)
+    curves = model.evaluate_holdout(
+        stages.signalled.where(folds.in_holdout(SEARCH)), stages.fitted(), ACCOUNT
+    )
+    rows = curves.where("variant = 'base'")
+    return out(rows.select(S.SYMBOL, S.TS, "pos", "profit", "pnl"))
 
 
 @query
 def classifier_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PnL points of the hold-out slice with and without the model."""
-    _, _, rows = _labelled(spark, sf_dir)
-    curves = model.evaluate_holdout(rows.where(folds.in_holdout(SEARCH)), _fitted(rows), ACCOUNT)
-    return out(curves.select(S.SYMBOL, "variant", S.TS, "pos", "profit", "pnl"))
+    """The model's gate on the hold-out slice: prices stay or move out of reach, nothing else."""
+    stages = prepared(spark, sf_dir)
+    rows = stages.signalled.where(folds.in_holdout(SEARCH)).withColumns(
+        {"__buy": F.col("buy"), "__sell": F.col("sell")}
+    )
+    gated = sg.gate_prices(stages.fitted().predict(rows))
+
+    def moved(by: Column) -> Column:
+        return (F.round(by, 6) == 0) | (F.round(by, 6) == S.GATE_OFFSET)
+
+    return out(
+        gated.select(
+            S.SYMBOL, S.TS, F.col("__buy").alias("buy"), F.col("__sell").alias("sell"),
+            moved(F.col("__buy") - F.col("buy")).alias("buy_gate"),
+            moved(F.col("sell") - F.col("__sell")).alias("sell_gate"),
+        )
+    )
 
 
 @query
 def classifier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean gated metric per trial, two trials over two folds."""
-    _, _, rows = _labelled(spark, sf_dir)
-    trials = [t | {"max_depth_buy": 2, "max_depth_sell": 2} for t in search.classifier_trials(2)]
-    params = S.OptimizeParams(n_splits=2)
+    """Every trial is scored over the folds; trials, folds and rounds are few here."""
+    stages = prepared(spark, sf_dir)
+    params = S.OptimizeParams(n_splits=2, optimize_target_clf="pnl")
+    scores = model.classifier_scores(
+        stages.labelled, scaler.feature_columns(stages.labelled), search.classifier_trials(2),
+        ACCOUNT, params, iterations=2,
+    )
+    return scores.select(S.SYMBOL, "trial", F.col("metric").isNotNull().alias("scored"))
+
+
+@query
+def best_classifier_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifier parameters tracked as ``best_<name>``, written, read back and typed."""
+    path = shared_dir(spark, "metrics")
+    write_metrics(model.tracked_best(spark, _CLASSIFIER), path, "run", "best-classifier")
+    history = spark.read.parquet(path)
+    return out(reshape.best_parameters(history, model.PARAMETER_TYPES, ["run_id"]))
+
+
+@query
+def latest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limit prices of the newest bar from a saved and loaded model; the gate moves them or not."""
+    stages = prepared(spark, sf_dir)
+    path = shared_dir(spark, "model")
+    model.CompositeModel(stages.best, stages.scaler, stages.fitted()).save(path)
+    prices = model.CompositeModel.load(spark, path).score(stages.bars)
+    # Prices lie below half the offset, so a moved price is told by its size.
+    far = S.GATE_OFFSET / 2
+    buy, sell = F.col("buy_limit_price"), F.col("sell_limit_price")
     return out(
-        model.classifier_scores(
-            rows, scaler.feature_columns(rows), trials, ACCOUNT, params, iterations=2, strict=False
+        prices.select(
+            S.SYMBOL, S.TS,
+            F.when(buy < -far, buy + S.GATE_OFFSET).otherwise(buy).alias("buy"),
+            F.when(sell > far, sell - S.GATE_OFFSET).otherwise(sell).alias("sell"),
         )
     )
 
 
+# -- written and read back ------------------------------------------------------------------------
+
+
 @query
-def latest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gated limit prices of the newest bar of each symbol, from raw bars."""
-    bars, state, rows = _labelled(spark, sf_dir)
-    return out(model.score_latest(bars, state, _fitted(rows), 5, 0.05))
+def feature_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written as CSV and read by the CSV source."""
+    names = [*S.OHLCV, *S.FEATURE_GROUPS["mom"]]
+    rows = ft.features(event_table(spark, sf_dir), ["mom"])
+    path = write_features(rows, shared_dir(spark, "features"), "features", "20240101000000", csv=True)
+    return out(readers.read_bar_csv(spark, path, tuple(names), by_folder=True))
+
+
+@query
+def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of every event type; an entry that is written again replaces itself."""
+    path = shared_dir(spark, "log")
+    types = [r.event_type for r in market.table(spark, sf_dir, "events").select("event_type").distinct().collect()]
+    for kind in (*types, *types):
+        append_job_log(spark, path, "recorder", f"pulled {kind}", entry=kind)
+    return spark.read.parquet(path).select("name", "message", "entry")
 
 
 # -- streams --------------------------------------------------------------------------------------
@@ -699,7 +884,11 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_resample_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appended bars: those whose end the watermark has passed."""
+    """Appended bars: those whose end the watermark has passed.
+
+    Append mode leaves out what the watermark has not closed; the SQL restates that. All bars are
+    in :func:`stream_resample_complete`.
+    """
     bars = streams.stream_resample(
         _event_stream(spark, sf_dir), INTERVAL, "10 minutes", market.tick_order()
     )
@@ -715,15 +904,19 @@ def stream_resample_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_upsert_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks merged keep-latest by type and minute through micro-batches."""
-    rows = _event_stream(spark, sf_dir).select(
+    """Ticks merged keep-latest by type and minute, one micro-batch per pulled file."""
+    events = market.table(spark, sf_dir, "events")
+    pulled = shared_dir(spark, "pulled")
+    events.repartition(3, F.col("event_id") % 3).write.parquet(pulled)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(pulled)
+    rows = market.event_ticks(stream).select(
         S.SYMBOL,
         F.date_trunc("minute", S.TS).alias(S.TS),
         F.col("seq").alias("version"),
         "price",
     )
-    path = streams.shared_dir(spark, "stream-upsert")
+    path = shared_dir(spark, "stream-upsert")
     streams.stream_upsert(
-        rows, path, streams.shared_dir(spark, "stream-upsert-checkpoint"), version="version"
+        rows, path, shared_dir(spark, "stream-upsert-checkpoint"), version="version"
     ).awaitTermination()
     return out(spark.read.parquet(path).select(S.SYMBOL, S.TS, "version", "price"))

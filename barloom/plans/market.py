@@ -17,11 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_ticks(events: DataFrame, level: float = 0.0) -> DataFrame:
-    """Events as ticks: symbol = event type, price = ``level`` + value, volume 1 each."""
+def event_ticks(events: DataFrame, level: float = 0.0, whole: bool = False) -> DataFrame:
+    """Events as ticks: symbol = event type, price = ``level`` + value, volume 1 each.
+
+    ``whole`` makes all events one long series named ``all``.
+    """
     price = F.col("value") + F.lit(level) if level else F.col("value")
+    symbol = F.lit("all") if whole else F.col("event_type")
     return events.select(
-        F.col("event_type").alias(S.SYMBOL),
+        symbol.alias(S.SYMBOL),
         F.col("ts").cast("timestamp").alias(S.TS),
         F.col("event_id").alias("seq"),
         price.alias("price"),
@@ -48,9 +52,13 @@ def line_ticks(lineitem: DataFrame, level: float = 0.0) -> DataFrame:
 
 
 def event_bars(
-    spark: SparkSession, sf_dir: str, interval: str = "15 minutes", level: float = 0.0
+    spark: SparkSession,
+    sf_dir: str,
+    interval: str = "15 minutes",
+    level: float = 0.0,
+    whole: bool = False,
 ) -> DataFrame:
-    ticks = event_ticks(table(spark, sf_dir, "events"), level)
+    ticks = event_ticks(table(spark, sf_dir, "events"), level, whole)
     return resample(ticks, interval, tick_order())
 
 

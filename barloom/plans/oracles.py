@@ -11,15 +11,24 @@ from barloom.plans.catalog import (
     ACCOUNT,
     ENTRY_LENGTH,
     ENTRY_POINT,
+    EVENT_TYPES,
     EXACT,
+    FINE,
+    INTERVAL,
     LEVEL,
     LINE_LEVEL,
+    LOGS,
+    LONG_INTERVAL,
+    MODEL_LENGTH,
+    MODEL_POINT,
     NOW,
     PRICE_SCALED,
     SEARCH,
     TRIALS,
     UNROUNDED,
+    _CLASSIFIER,
 )
+from barloom.operators.model import PARAMETER_TYPES
 from barloom.operators.search import signal_trials as random_trials
 
 ORACLES: dict[str, str] = {}
@@ -39,10 +48,11 @@ def d(x: float) -> str:
     return f"{float(x)!r}::DOUBLE"
 
 
-def event_bars(interval: str = "15 minutes", level: float = 0.0) -> str:
+def event_bars(interval: str = "15 minutes", level: float = 0.0, whole: bool = False) -> str:
     price = f"value + {d(level)}" if level else "value"
+    symbol = "'all'" if whole else "event_type"
     return f"""bars AS (
-  SELECT event_type AS symbol, time_bucket(INTERVAL '{interval}', ts) AS bar_ts,
+  SELECT {symbol} AS symbol, time_bucket(INTERVAL '{interval}', ts) AS bar_ts,
     first({price} ORDER BY ts, event_id) AS open, max({price}) AS high, min({price}) AS low,
     last({price} ORDER BY ts, event_id) AS close, sum(1.0::DOUBLE) AS volume
   FROM events GROUP BY 1, 2)"""
@@ -282,9 +292,11 @@ _picked = []
 for _group, _names in S.FEATURE_GROUPS.items():
     _source = _sources.get(_group, "ld" if _group in _LEVELS else "pl")
     _picked += [f'{_source}."{n}" AS "{n}"' for n in _names]
-_shown = ", ".join(
-    f'"{n}"' if n in EXACT else r(f'"{n}"', n, 3 if n in PRICE_SCALED else 6) for n in S.FEATURES
-)
+def digits(name: str) -> int:
+    return 3 if name in PRICE_SCALED else FINE if name in LOGS else 6
+
+
+_shown = ", ".join(f'"{n}"' if n in EXACT else r(f'"{n}"', n, digits(n)) for n in S.FEATURES)
 _complete = " AND ".join(f'"{n}" IS NOT NULL' for n in S.FEATURES)
 
 
@@ -465,7 +477,7 @@ ORACLES["grid_fold_scores"] = f"{_SEARCH} SELECT symbol, trial, fold, {rs('metri
 _best = f"symbol, trial, {rs('metric')}, entry_length, {rs('entry_point')}"
 ORACLES["grid_best"] = f"{_SEARCH} SELECT {_best} FROM best"
 ORACLES["grid_lines_best"] = f"WITH {search_ctes(TRIALS, f'{LINE_BARS}, {POS}')} SELECT {_best} FROM best"
-ORACLES["random_search"] = f"WITH {search_ctes(random_trials(12, ACCOUNT.seed))} SELECT {_best} FROM best"
+ORACLES["random_search"] = f"WITH {search_ctes(random_trials(SEARCH.n_trials, ACCOUNT.seed))} SELECT {_best} FROM best"
 ORACLES["tuned_signals"] = f"{_SEARCH} SELECT sigs.symbol, ts, {r('sell', 'sell')}, {r('buy', 'buy')} FROM sigs JOIN best USING (symbol, trial)"
 ORACLES["best_export"] = f"""{_SEARCH} SELECT symbol, 'best_entry_length' AS key, entry_length::DOUBLE AS value FROM best
 UNION ALL SELECT symbol, 'best_entry_point', round(entry_point, 6) FROM best"""
@@ -481,10 +493,14 @@ ORACLES["pivot_fields"] = ORACLES["resample_15m"]
 ORACLES["payload_bars"] = ORACLES["resample_15m"]
 ORACLES["scan_measurement"] = f"""WITH {event_bars()} SELECT symbol, bar_ts AS ts, {RAW} FROM bars
 WHERE symbol = 'click' AND bar_ts + INTERVAL '250 milliseconds' >= TIMESTAMP '{NOW}' - INTERVAL '7 days'"""
-_hourly = """SELECT 'u' || (user_id % 10)::VARCHAR AS symbol, date_trunc('hour', ts) AS ts, max(value) AS {0}
-  FROM events WHERE event_type = '{1}' GROUP BY 1, 2"""
-ORACLES["align_series"] = f"""WITH a AS ({_hourly.format('clicks', 'click')}), b AS ({_hourly.format('views', 'view')})
-SELECT symbol, ts, {rs('clicks', 'views')} FROM a FULL JOIN b USING (symbol, ts)"""
+_hourly = """SELECT 'u' || (user_id % 10)::VARCHAR AS symbol, date_trunc('hour', ts) AS ts, max(value) AS top_{0}
+  FROM events WHERE event_type = '{0}' GROUP BY 1, 2"""
+ORACLES["align_series"] = "SELECT symbol, ts, {} FROM {}".format(
+    rs(*[f"top_{k}" for k in EVENT_TYPES]),
+    " FULL JOIN ".join(
+        f"({_hourly.format(k)}) {k}" + (" USING (symbol, ts)" if j else "") for j, k in enumerate(EVENT_TYPES)
+    ),
+)
 ORACLES["keep_latest_orders"] = f"""SELECT o_custkey::VARCHAR AS symbol, o_orderstatus AS side, o_orderdate AS ingest_ts,
   o_orderkey AS order_id, {r('o_totalprice', 'price')} FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC, o_totalprice DESC) = 1"""
@@ -495,10 +511,11 @@ newest AS (SELECT * FROM runs ORDER BY o_orderdate DESC, run_uuid LIMIT 12),
 parents AS (SELECT *, row_number() OVER (ORDER BY o_orderdate DESC, run_uuid) AS rk FROM newest WHERE o_orderstatus NOT IN ('O', 'P'))
 SELECT coalesce(max(md5(run_uuid)), '') AS value FROM parents WHERE rk = 2"""
 _POSITIONS = """held AS (SELECT event_type AS symbol, ts, CASE WHEN user_id % 2 = 0 THEN 'Buy' ELSE 'Sell' END AS side,
-  (event_id % 5) / 1000.0::DOUBLE AS size FROM events WHERE event_type <> 'view')"""
+  (event_id % 5) / 1000.0::DOUBLE AS size FROM events)"""
 _lot, _cap = d(0.001), 3
 ORACLES["order_plan"] = f"""WITH {_SIG}, {_POSITIONS},
-cur AS (SELECT symbol, last(side ORDER BY ts, side, size) AS side, last(size ORDER BY ts, side, size) AS size FROM held GROUP BY 1),
+cur AS (SELECT symbol, last(side ORDER BY ts, side, size) AS side, last(size ORDER BY ts, side, size) AS size
+  FROM held WHERE symbol <> 'view' GROUP BY 1),
 j AS (SELECT sig.symbol, buy, sell, side AS held, size FROM sig LEFT JOIN cur USING (symbol) WHERE {_newest}),
 o AS (SELECT symbol, 'buy' AS side, buy AS price, CASE WHEN held IS NULL THEN {_lot}
     WHEN size < {_lot} * {_cap} THEN CASE WHEN held = 'Buy' THEN {_lot} ELSE size + {_lot} END
@@ -517,3 +534,61 @@ ORACLES["payload_open_orders"] = f"WITH {_POSITIONS} SELECT {_MS} AS ts, side, {
 _weight = "count(*) OVER () / (2.0::DOUBLE * count(*) OVER (PARTITION BY y_{0}))"
 ORACLES["class_weights"] = f"""WITH lab AS ({ORACLES['label_binary']})
 SELECT symbol, ts, y_buy, y_sell, {r(_weight.format('buy'), 'weight_buy')}, {r(_weight.format('sell'), 'weight_sell')} FROM lab"""
+
+# -- one long series over many blocks -------------------------------------------------------------
+
+_LONG, _LONG_LEVEL = (event_bars(LONG_INTERVAL, level, whole=True) for level in (0.0, LEVEL))
+_head = f"WITH RECURSIVE {_LONG_LEVEL}, {POS}, {recursive_features('pos')}"
+for _suffix in ("", "_small_blocks"):
+    for _group in ("ema", "rsi", "atr", "macd"):
+        _from, _join = ("emad", "pos JOIN emad USING (symbol, i)") if _group == "ema" else ("exps", "exps")
+        _cols = ", ".join(r(f'{_from}."{n}"', n, digits(n)) for n in S.FEATURE_GROUPS[_group])
+        ORACLES[f"feat_long_{_group}{_suffix}"] = f"{_head} SELECT symbol, ts, {_cols} FROM {_join}"
+    ORACLES[f"backtest_long{_suffix}"] = f"""WITH {_LONG}, {POS}, {signal_ctes()}, {backtest_ctes('sig')}
+SELECT symbol, ts, "order", {rs('pos', 'profit', 'pnl')} FROM bt"""
+    ORACLES[f"running_long{_suffix}"] = f"""WITH {_LONG}, {POS}
+SELECT symbol, ts, {r(f'sum(volume) {w()}', 'total')} FROM pos"""
+    ORACLES[f"grid_long{_suffix}"] = f"""WITH {search_ctes(TRIALS, f'{_LONG}, {POS}')}
+SELECT symbol, trial, fold, {rs('metric')} FROM scores"""
+ORACLES["feat_long_all"] = all_features_sql(_LONG_LEVEL)
+_short = f"NOT (m >= {SEARCH.n_splits + 1} AND m - {SEARCH.gap} - {SEARCH.n_splits} * 105 > 0)"
+ORACLES["left_out_series"] = f"""WITH {LINE_BARS}, {POS}, series AS (SELECT symbol, max(n) AS n, max({_M}) AS m FROM pos GROUP BY 1)
+SELECT symbol, n FROM series WHERE {_short}"""
+
+# -- classifiers: what is fixed about their outcome -----------------------------------------------
+
+# Every feature is present from row 200 on: the price level keeps all bands above zero.
+_MODEL = f"""{event_bars(INTERVAL, LEVEL, whole=True)}, {POS.replace('pos AS', 'allpos AS')},
+pos AS (SELECT * REPLACE (i - 200 AS i, n - 200 AS n) FROM allpos WHERE i >= 200),
+{signal_ctes(MODEL_LENGTH, MODEL_POINT)}"""
+_held = f"held AS (SELECT * FROM sig WHERE i >= {_M} + {SEARCH.gap})"
+ORACLES["classifier_rows"] = f"""WITH {_MODEL}, {_FOLDS}, {backtest_ctes('sig')},
+lab AS (SELECT *, CASE WHEN lead("long") {w()} THEN buy ELSE 0 END AS eb,
+  CASE WHEN lead("short") {w()} THEN sell ELSE 0 END AS es, lead(close) {w()} AS nc FROM b2)
+SELECT symbol, ts, {rs('buy', 'sell')}, (eb <> 0 AND eb < nc)::INTEGER AS y_buy, (es <> 0 AND es > nc)::INTEGER AS y_sell
+FROM lab JOIN folds USING (symbol)
+WHERE "limit" IS NOT NULL AND fold = {SEARCH.n_splits - 1} AND i BETWEEN train_start_i AND train_end_i"""
+ORACLES["classifier_predictions"] = f"""WITH {_MODEL}, {_held}
+SELECT symbol, ts, true AS valid_buy, true AS valid_sell FROM held"""
+_inputs = ", ".join(f"('{n}')" for n in S.FEATURES)
+ORACLES["classifier_importances"] = f"""SELECT side, feature, true AS valid, 1.0::DOUBLE AS total
+FROM (VALUES ('buy'), ('sell')) s(side), (VALUES {_inputs}) f(feature)"""
+ORACLES["classifier_holdout_base"] = f"""WITH {_MODEL}, {_held}, {backtest_ctes('held')}
+SELECT symbol, ts, {rs('pos', 'profit', 'pnl')} FROM bt"""
+ORACLES["classifier_holdout"] = f"""WITH {_MODEL}, {_held}
+SELECT symbol, ts, {rs('buy', 'sell')}, true AS buy_gate, true AS sell_gate FROM held"""
+ORACLES["classifier_search"] = "SELECT 'all' AS symbol, trial::INTEGER AS trial, true AS scored FROM range(2) t(trial)"
+_typed = ", ".join(
+    f"{int(_CLASSIFIER[n])}::INTEGER AS {n}" if kind == "int" else f"round({d(_CLASSIFIER[n])}, 6) AS {n}"
+    for n, kind in PARAMETER_TYPES.items()
+)
+ORACLES["best_classifier_parameters"] = f"SELECT 'run' AS run_id, {_typed}"
+ORACLES["latest_scores"] = f"""WITH {_MODEL.replace('pos AS (SELECT * REPLACE (i - 200 AS i, n - 200 AS n) FROM allpos WHERE i >= 200)', 'pos AS (SELECT * FROM allpos)')}
+SELECT symbol, ts, {rs('buy', 'sell')} FROM sig WHERE i = n - 1"""
+
+# -- written and read back ------------------------------------------------------------------------
+
+_mom = ", ".join(f'{e} AS "{n}"' for n, e in plain_exprs("mom").items())
+ORACLES["feature_files"] = f"""WITH {event_bars()}, {POS}, f AS (SELECT symbol, ts, {RAW}, {_mom} FROM pos)
+SELECT symbol, ts, {rs(*S.OHLCV, *S.FEATURE_GROUPS['mom'])} FROM f"""
+ORACLES["job_log"] = """SELECT DISTINCT 'recorder' AS name, 'pulled ' || event_type AS message, event_type AS entry FROM events"""

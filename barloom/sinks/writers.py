@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +30,17 @@ def write_features(
     """Features or preprocessed rows under ``<root>/data/<name>_<stamp>``, one folder per symbol.
 
     Rows are sorted inside tasks only. Hash partitioning on symbol and day keeps a hot symbol on
-    many tasks.
+    many tasks. CSV files carry the time as ``date``, as :func:`read_bar_csv` expects it.
     """
     path = f"{root.rstrip('/')}/data/{name}_{run_stamp}"
     day = F.to_date(F.col(S.TS))
-    writer = df.repartition(S.SYMBOL, day).write.partitionBy(S.SYMBOL)
-    writer.csv(path, header=True) if csv else writer.parquet(path)
+    if csv:
+        dated = df.withColumnRenamed(S.TS, "date")
+        rest = [f"`{c}`" for c in dated.columns if c not in (S.SYMBOL, "date")]
+        dated = dated.select(S.SYMBOL, "date", *rest)
+        dated.repartition(S.SYMBOL, F.to_date("date")).write.partitionBy(S.SYMBOL).csv(path, header=True)
+    else:
+        df.repartition(S.SYMBOL, day).write.partitionBy(S.SYMBOL).parquet(path)
     return path
 
 
@@ -81,17 +87,42 @@ def job_log_rows(spark: SparkSession, name: str, message: str | Column) -> DataF
     )
 
 
-def append_job_log(spark: SparkSession, path: str, name: str, message: str) -> str:
-    job_log_rows(spark, name, message).write.mode("append").parquet(path)
+def _replace(rows: DataFrame, path: str, *parts: str) -> None:
+    """Write rows so that the partitions they fall into hold these rows alone.
+
+    A repeated write, such as that of a replayed micro-batch, leaves the table as it is.
+    """
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts)
+        .parquet(path)
+    )
+
+
+def append_job_log(
+    spark: SparkSession, path: str, name: str, message: str, entry: str | None = None
+) -> str:
+    """Add a row to the job log; a named entry replaces itself when it is written again."""
+    row = job_log_rows(spark, name, message)
+    _replace(row.withColumn("entry", F.lit(entry or uuid.uuid4().hex)), path, "entry")
+    return path
+
+
+def write_epoch(rows: DataFrame, path: str, epoch: int) -> str:
+    """Rows of one micro-batch; a replayed batch replaces its rows."""
+    _replace(rows.withColumn("epoch", F.lit(epoch)), path, "epoch")
     return path
 
 
-def write_metrics(rows: DataFrame, path: str, run_id: str) -> str:
-    """Append metric rows ``(run_id, symbol, key, value, step, timestamp)`` to the history.
+def write_metrics(rows: DataFrame, path: str, run_id: str, kind: str = "metrics") -> str:
+    """Metric rows ``(run_id, symbol, key, value, step, timestamp)`` of one run and kind.
 
-    Rows without a time of their own (epoch milliseconds) get the current one.
+    Writing a kind of a run again replaces its rows. Rows without a time of their own (epoch
+    milliseconds) get the current one.
     """
     if "timestamp" not in rows.columns:
         rows = rows.withColumn("timestamp", F.unix_millis(F.current_timestamp()))
-    rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+    named = rows.withColumns({"run_id": F.lit(run_id), "run": F.lit(run_id), "kind": F.lit(kind)})
+    _replace(named, path, "run", "kind")
     return path

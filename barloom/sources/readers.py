@@ -46,16 +46,34 @@ def scan_bars(
 
 
 def read_bar_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = S.OHLCV, symbol: str | None = None
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...] = S.OHLCV,
+    symbol: str | None = None,
+    by_folder: bool = False,
 ) -> DataFrame:
-    """CSV files with a ``date`` column and double columns, with an explicit schema."""
-    fields = [T.StructField("date", T.TimestampType())]
-    if symbol is None:
-        fields.append(T.StructField(S.SYMBOL, T.StringType()))
-    fields += [T.StructField(c, T.DoubleType()) for c in columns]
+    """CSV files with a ``date`` column and double columns, with an explicit schema.
+
+    The symbol is given, a column after the date, or (``by_folder``) the name of the folder, as
+    the feature sink writes it.
+    """
+    date, name = T.StructField("date", T.TimestampType()), T.StructField(S.SYMBOL, T.StringType())
+    values = [T.StructField(c, T.DoubleType()) for c in columns]
+    if by_folder:
+        fields = [date, *values, name]
+    else:
+        fields = [date, *([name] if symbol is None else []), *values]
     raw = spark.read.csv(path, header=True, schema=T.StructType(fields), enforceSchema=False)
     key = F.col(S.SYMBOL) if symbol is None else F.lit(symbol).alias(S.SYMBOL)
-    return raw.select(key, F.col("date").alias(S.TS), *columns)
+    return raw.select(key, F.col("date").alias(S.TS), *[F.col(f"`{c}`") for c in columns])
+
+
+def newest_artifact(spark: SparkSession, root: str, prefix: str) -> str | None:
+    """Folder or file below ``<root>/data`` whose name starts with the prefix, the last by name."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/data/{prefix}*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [str(status.getPath().toString()) for status in files.globStatus(pattern) or []]
+    return max(found, default=None)
 
 
 def artifact_path(root: str, run_id: str, path: str) -> str:

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom import schema as S
 from barloom.operators.blocks import with_position
-from barloom.operators.model import Classifiers, score_latest
+from barloom.operators.model import CompositeModel
 from barloom.operators.orders import plan_orders
 from barloom.operators.resample import resample
 from barloom.operators.upsert import BAR_KEY
 from barloom.session import shared_dir
-from barloom.sinks.writers import append_job_log, upsert
+from barloom.sinks.writers import append_job_log, upsert, write_epoch, written
 from barloom.sources.payloads import parse_bars, parse_long_ratio, parse_open_interest
 
 PARSERS = {
@@ -75,9 +75,10 @@ def stream_upsert(
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        upsert(spark, batch, path, keys, version)
+        if not batch.isEmpty():
+            upsert(spark, batch, path, keys, version)
         if log_path is not None:
-            append_job_log(spark, log_path, job, f"batch {epoch}")
+            append_job_log(spark, log_path, job, f"batch {epoch}", entry=f"{job}-{epoch}")
 
     return (
         rows.writeStream.foreachBatch(merge)
@@ -87,35 +88,55 @@ def stream_upsert(
     )
 
 
-def recent_bars(bars: DataFrame, count: int = 400) -> DataFrame:
+def recent_bars(bars: DataFrame, count: int) -> DataFrame:
     """The newest ``count`` bars of every symbol, by position and not by a per-symbol sort."""
     positioned = with_position(bars)
     return positioned.where(F.col("i") >= F.col("n") - count).drop("i", "n")
 
 
+def recent_days(spark: SparkSession, bars_path: str, count: int) -> DataFrame:
+    """Stored bars from the day on that holds every symbol's newest ``count`` bars.
+
+    Rows are counted per day from the symbol column alone; the bars are then read with a filter
+    on the day, which is the table's partition.
+    """
+    bars = spark.read.parquet(bars_path)
+    newer = (
+        Window.partitionBy(S.SYMBOL).orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    days = bars.groupBy(S.SYMBOL, "day").count()
+    needed = days.withColumn("newer", F.coalesce(F.sum("count").over(newer), F.lit(0)))
+    first = needed.where(F.col("newer") < count).agg(F.min("day")).first()[0]
+    return bars.where(F.col("day") >= F.lit(first))
+
+
 def stream_orders(
     rows: DataFrame,
     bars_path: str,
     orders_path: str,
     checkpoint: str,
-    scaler: DataFrame,
-    fitted: Classifiers,
+    model: CompositeModel,
     positions: Callable[[SparkSession], DataFrame],
-    entry_length: int,
-    entry_point: float,
     lot: float = 0.001,
     max_pyramiding: int = 3,
-    window: int = 400,
+    window: int | None = None,
 ) -> StreamingQuery:
-    """Per trigger: store new bars, score the newest bar of every symbol, plan its orders."""
+    """Per trigger: store new bars, score the newest bar of every symbol, plan its orders.
+
+    Scores come from the whole stored history, or, with a ``window``, from that many newest bars
+    per symbol (exponential features then start anew with the window). A replayed trigger
+    replaces its own orders.
+    """
 
     def tick(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         upsert(spark, batch, bars_path)
-        bars = recent_bars(spark.read.parquet(bars_path).select(*S.BASE_COLUMNS), window)
-        prices = score_latest(bars, scaler, fitted, entry_length, entry_point)
-        plan = plan_orders(prices, positions(spark), lot, max_pyramiding)
-        plan.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(orders_path)
+        if window is None:
+            bars = spark.read.parquet(bars_path).select(*S.BASE_COLUMNS)
+        else:
+            bars = recent_bars(recent_days(spark, bars_path, window).select(*S.BASE_COLUMNS), window)
+        prices = model.score(written(bars, "live-bars"))
+        write_epoch(plan_orders(prices, positions(spark), lot, max_pyramiding), orders_path, epoch)
 
     return (
         rows.writeStream.foreachBatch(tick)

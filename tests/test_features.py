@@ -121,9 +121,9 @@ def test_other_target_is_prefixed(bars):
 
 
 def test_python_window_function(bars):
-    def lean(window):  # defined here, so that it travels to the workers by value
-        return window[-1] - window.mean()
+    def lean(windows):  # defined here, so that it travels to the workers by value
+        return windows[:, -1] - windows.mean(axis=1)
 
     got = by_symbol(rolling_apply(bars, "close", 9, lean, "r", rows=256))
     for g in got.values():
-        close_to(g["r"], g.close.rolling(9).apply(lean, raw=True))
+        close_to(g["r"], g.close.rolling(9).apply(lambda w: w[-1] - w.mean(), raw=True))

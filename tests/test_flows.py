@@ -19,7 +19,14 @@ from barloom.operators.folds import in_holdout
 from barloom.operators.resample import resample, tick_order
 from barloom.operators.upsert import ORDER_KEY, keep_latest
 from barloom.plans import training
-from barloom.sinks.writers import append_job_log, upsert, write_features, write_metrics, written
+from barloom.sinks.writers import (
+    append_job_log,
+    upsert,
+    write_epoch,
+    write_features,
+    write_metrics,
+    written,
+)
 from barloom.sources import payloads, readers
 from barloom.sources.synthetic import constant_bars
 from barloom.streaming import streams
@@ -142,13 +149,27 @@ def test_feature_and_log_files(spark, tmp_path):
     assert path.endswith("data/features_20240101000000")
     assert spark.read.parquet(path).count() == 60
     as_csv = write_features(table, str(tmp_path), "features_csv", "20240101000000", csv=True)
-    assert spark.read.csv(as_csv, header=True).count() == 60
+    names = tuple(c for c in table.columns if c not in ("symbol", "ts"))
+    again = readers.read_bar_csv(spark, as_csv, names, by_folder=True)
+    assert again.exceptAll(table).isEmpty() and again.count() == 60
+    assert readers.newest_artifact(spark, str(tmp_path), "features_2").endswith("features_20240101000000")
+    assert readers.newest_artifact(spark, str(tmp_path), "none") is None
+
+
+def test_repeated_writes_replace_their_rows(spark, tmp_path):
+    log, history, plan = (str(tmp_path / n) for n in ("log", "metrics", "orders"))
     for message in ("start", "end"):
-        append_job_log(spark, str(tmp_path / "log"), "recorder", message)
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+        append_job_log(spark, log, "recorder", message)
+    for _ in range(2):
+        append_job_log(spark, log, "recorder", "batch 3", entry="recorder-3")
+    assert spark.read.parquet(log).count() == 3
     metrics = spark.createDataFrame([("X", "pnl", 1.0, 0)], "symbol string, key string, value double, step int")
-    write_metrics(metrics, str(tmp_path / "metrics"), "run-1")
-    assert spark.read.parquet(str(tmp_path / "metrics")).first().run_id == "run-1"
+    for run, kind in (("run-1", "a"), ("run-1", "a"), ("run-1", "b"), ("run-2", "a")):
+        write_metrics(metrics, history, run, kind)
+    assert sorted(r.run_id for r in spark.read.parquet(history).collect()) == ["run-1", "run-1", "run-2"]
+    for epoch in (0, 1, 1):
+        write_epoch(metrics, plan, epoch)
+    assert spark.read.parquet(plan).count() == 2
 
 
 # -- scaling, orders ------------------------------------------------------------------------------
@@ -215,7 +236,7 @@ def test_predictions_keep_rows_and_saved_models_agree(spark, trained, tmp_path):
     assert scored.count() == rows.count()
     assert scored.columns == [*rows.columns, "pred_buy", "pred_sell"]
     fitted.save(str(tmp_path / "model"))
-    again = model.Classifiers.load(str(tmp_path / "model"), fitted.columns).predict(rows)
+    again = model.Classifiers.load(str(tmp_path / "model")).predict(rows)
     assert scored.exceptAll(again).isEmpty()
     ranked = model.importances(fitted, "sell", rows)
     assert {r.feature for r in ranked.collect()} == set(fitted.columns)
@@ -228,6 +249,9 @@ def test_holdout_variants(trained):
     assert {r["variant"]: r["count"] for r in got.groupBy("variant").count().collect()} == {
         "base": part.count(), "gated": part.count(),
     }
+    empty = rows.where("i < 0")
+    with pytest.raises(ValueError, match="too short"):
+        model.fit_classifiers(empty, fitted.columns, search.classifier_trials(1)[0])
 
 
 def test_class_weights(trained):
@@ -243,24 +267,38 @@ def test_classifier_search_scores_every_trial(trained):
     trials = [t | {"max_depth_buy": 1, "max_depth_sell": 1} for t in search.classifier_trials(2)]
     params = S.OptimizeParams(n_splits=2)
     scores = model.classifier_scores(rows, fitted.columns, trials, params=params, iterations=1)
+    assert model.chosen_trial(model.pooled_scores(scores).where("trial < 0"), trials, "maximize") == trials[0]
     assert {(r.symbol, r.trial) for r in scores.collect()} == {(s, t) for s in "AB" for t in (0, 1)}
 
 
 def test_live_tick_scores_newest_bar_and_plans_orders(spark, trained, tmp_path):
     bars, state, _, fitted = trained
-    fitted = model.Classifiers(fitted.model, fitted.columns)
+    tuned = spark.createDataFrame([("A", 5, 0.1), ("B", 7, 0.3)], "symbol string, entry_length int, entry_point double")
+    composite = model.CompositeModel(tuned, state, fitted)
+    composite.save(str(tmp_path / "composite"))
+    composite = model.CompositeModel.load(spark, str(tmp_path / "composite"))
     pulled = tmp_path / "pulled"
-    bars.select(*S.BASE_COLUMNS, F.lit(1).alias("ingest_ts")).write.parquet(str(pulled))
-    stream = spark.readStream.schema(spark.read.parquet(str(pulled)).schema).parquet(str(pulled))
+    timed = bars.select(*S.BASE_COLUMNS, F.lit(1).alias("ingest_ts"))
+    timed.where("i < n - 2").coalesce(1).write.parquet(str(pulled))
+    timed.where("i >= n - 2").coalesce(1).write.mode("append").parquet(str(pulled))
+    schema = spark.read.parquet(str(pulled)).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(pulled))
     paths = {k: str(tmp_path / k) for k in ("bars", "orders", "checkpoint")}
     none = lambda s: s.createDataFrame([], "symbol string, ts timestamp, side string, size double")
     streams.stream_orders(
-        stream, paths["bars"], paths["orders"], paths["checkpoint"], state, fitted, none,
-        entry_length=3, entry_point=0.05,
+        stream, paths["bars"], paths["orders"], paths["checkpoint"], composite, none
     ).awaitTermination()
-    plan = spark.read.parquet(paths["orders"]).toPandas()
+    stored = spark.read.parquet(paths["bars"])
+    assert stored.count() == bars.count()
+    assert streams.recent_days(spark, paths["bars"], 50).count() < stored.count()
+    plans = spark.read.parquet(paths["orders"])
+    assert [r.epoch for r in plans.select("epoch").distinct().orderBy("epoch").collect()] == [0, 1]
+    plan = plans.where("epoch = 1").toPandas()
     assert sorted(zip(plan.symbol, plan.side)) == [("A", "buy"), ("A", "sell"), ("B", "buy"), ("B", "sell")]
-    newest = by_symbol(sg.signals(bars, entry_length=3, entry_point=0.05))
+    newest = {
+        s: by_symbol(sg.signals(bars, entry_length=n, entry_point=p))[s]
+        for s, n, p in (("A", 5, 0.1), ("B", 7, 0.3))
+    }
     for _, row in plan.iterrows():
         last = newest[row.symbol].iloc[-1]
         offset = row.price - last[row.side]
@@ -333,20 +371,32 @@ def test_recent_bars(spark):
 
 def test_training_run(spark, tmp_path):
     bars = to_spark(spark, random_bars(21, {"A": 520, "B": 480}))
-    params = S.OptimizeParams(n_splits=2, n_trials=3, n_trials_clf=2, gap=2, optimize_target_clf="pnl")
+    params = S.OptimizeParams(n_splits=2, n_trials=3, n_trials_clf=2, gap=2)
     run = training.train(spark, bars, str(tmp_path), "run1", params=params, iterations=1)
+    assert run.left_out.isEmpty()
     assert run.best.count() == 2 and set(run.best.columns) >= {"entry_length", "entry_point", "metric"}
     history = spark.read.parquet(run.metrics_path)
     keys = {r.key for r in history.select("key").distinct().collect()}
     assert {"train_start_index", "eval_end_index", "pnl", "pnl_with_2nd", "best_entry_length"} <= keys
     typed = reshape.best_parameters(
-        history, {"entry_length": "int", "entry_point": "double"}, ["symbol"]
+        history.where("symbol <> '*'"), {"entry_length": "int", "entry_point": "double"}, ["symbol"]
     )
     assert typed.orderBy("symbol").collect() == run.best.select(*typed.columns).orderBy("symbol").collect()
     assert reshape.fold_table(history, ["symbol"]).count() == 4
     assert {r.variant for r in run.curves.select("variant").distinct().collect()} == {"base", "gated"}
-    prices = model.score_latest(run.bars, run.scaler, run.classifiers, 5, 0.5)
+    last = {r.symbol: r.ts for r in run.bars.where("i = n - 1").collect()}
+    for variant in ("base", "gated"):
+        ends = run.curves.where(F.col("variant") == variant).groupBy("symbol").agg(F.max("ts").alias("ts"))
+        assert {r.symbol: r.ts for r in ends.collect()} == last
+    chosen = reshape.best_parameters(history, model.PARAMETER_TYPES, ["run_id"]).first().asDict()
+    assert {k: pytest.approx(v) for k, v in chosen.items() if k != "run_id"} == {
+        k: v for k, v in run.classifier_params.items() if k != "trial"
+    }
+    assert spark.read.parquet(f"{tmp_path}/0/run1/artifacts/importances_buy").count() == 60
+    prices = model.CompositeModel.load(spark, run.model_path).score(run.bars)
     assert prices.count() == 2
+    _, _, scaled = training.preprocess(spark, run.bars, str(tmp_path), "run2", params, reuse=True)
+    assert scaled.count() > 0
 
 
 def test_ingestion_run(spark, tmp_path):
