@@ -327,7 +327,8 @@ def _long_backtest(block_rows: int) -> Query:
             entry_length=ENTRY_LENGTH, entry_point=ENTRY_POINT,
         )
         result = bt.backtest(blocks, ACCOUNT, SEARCH.pyramiding)
-        return out(result.select(S.SYMBOL, S.TS, "order", "pos", "profit", "pnl"))
+        shown = result.select(S.SYMBOL, S.TS, "order", "pos", "profit", "pnl")
+        return out(shown, fine=("pos", "profit", "pnl"))
 
     return run
 

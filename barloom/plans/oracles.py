@@ -545,7 +545,7 @@ for _suffix in ("", "_small_blocks"):
         _cols = ", ".join(r(f'{_from}."{n}"', n, digits(n)) for n in S.FEATURE_GROUPS[_group])
         ORACLES[f"feat_long_{_group}{_suffix}"] = f"{_head} SELECT symbol, ts, {_cols} FROM {_join}"
     ORACLES[f"backtest_long{_suffix}"] = f"""WITH {_LONG}, {POS}, {signal_ctes()}, {backtest_ctes('sig')}
-SELECT symbol, ts, "order", {rs('pos', 'profit', 'pnl')} FROM bt"""
+SELECT symbol, ts, "order", {', '.join(r(c, c, FINE) for c in ('pos', 'profit', 'pnl'))} FROM bt"""
     ORACLES[f"running_long{_suffix}"] = f"""WITH {_LONG}, {POS}
 SELECT symbol, ts, {r(f'sum(volume) {w()}', 'total')} FROM pos"""
     ORACLES[f"grid_long{_suffix}"] = f"""WITH {search_ctes(TRIALS, f'{_LONG}, {POS}')}
