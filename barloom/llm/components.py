@@ -25,16 +25,17 @@ def _stars(links: DataFrame, larger: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, files: int) -> DataFrame:
     """``node, root`` of every node that has a link (``a, b``); the root is the smallest node.
 
-    The rounds end when every link points at its root, after a number of rounds that grows with
-    the logarithm of the longest path. Each round is written, so a lost executor repeats one round.
+    ``files`` is the number of files of a round's table. The rounds end when every link points at
+    its root, after a number of rounds that grows with the logarithm of the longest path. Each
+    round is written, so a lost executor repeats one round.
     """
-    now = written(links.where("a <> b").distinct(), "links")
+    now = links.where("a <> b").distinct()
     seen = None
     while True:
-        now = written(_stars(_stars(now, larger=True), larger=False), "links")
+        now = written(_stars(_stars(now, larger=True), larger=False).coalesce(files), "links")
         state = now.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

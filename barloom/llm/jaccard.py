@@ -15,10 +15,11 @@ cells at least ``1 + SLACK`` are equal in both. Documents are joined on equal ce
   the chance of any false merge among ``n`` classes is about ``n^2 / 2^65``.
 * Cells go to tasks by hash, sorted, and stream by: the first class of a cell leads, all others are
   paired with it, so a cell that a third of all documents share gives as many pairs as members, not
-  their square. Pairs are filtered by size and by a bit sketch whose Hamming distance is a lower
-  bound as well, then verified on the sets. Linked classes form components; members of a cell that
-  are still in different components are paired with the next 4, 16, 64, ... classes of the cell,
-  until none are left. Every candidate pair is thereby verified or already connected.
+  their square. Pairs are filtered by size and by a bit sketch of about two bits per element whose
+  Hamming distance is a lower bound as well; sketches of different length are folded. What is left
+  is verified on the texts. Linked classes form components. In cells that still hold several
+  components, the members outside the largest one are compared with all members of other
+  components. Every candidate pair is thereby verified, ruled out or already connected.
 
 Documents without words are linked with nothing. With fewer words than a shingle the whole sequence
 is one shingle. Rows that share an id each count; a row without id joins the component of its exact
@@ -28,11 +29,12 @@ copies only. An empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import look_up, map_batches, text_or_empty
@@ -42,10 +44,10 @@ from barloom.sinks.writers import written
 SHINGLE = 4
 PERCENT = 85
 SLACK = 2
-#: Bits of the sketch that filters pairs, in 64-bit words.
-SKETCH_WORDS = 16
 #: Pairs that share one copy of their leader's set when pairs are verified.
-PAIRS_PER_COPY = 2_000
+PAIRS_PER_COPY = 20_000
+#: Rows of shared cells for each file of an intermediate table.
+ROWS_PER_FILE = 100_000
 #: Sets of which a task remembers that their cells are out already.
 REMEMBERED = 200_000
 
@@ -117,41 +119,57 @@ def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
-def bit_sketch(shingles: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
-    """One parity bit per position; its Hamming distance never exceeds the symmetric difference."""
-    position = (mix(shingles ^ _STEP) % np.uint64(64 * words)).astype(np.int64)
-    odd = np.bincount(position, minlength=64 * words) & 1
+def bit_sketch(shingles: np.ndarray) -> np.ndarray:
+    """One parity bit per position, in 64-bit words.
+
+    The Hamming distance of two sketches never exceeds the symmetric difference of the sets. The
+    length is a power of two; XOR of the halves of a sketch gives the sketch of half the length.
+    """
+    bits = 64
+    while bits < 2 * len(shingles):
+        bits *= 2
+    position = (mix(shingles ^ _STEP) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(position, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str, percent: int, size: int) -> DataFrame:
-    """``doc_id, n, ref, cells``: set size, class and join keys. Copies in one task emit keys once."""
+    """``doc_id, n, ref, sketch, cells``: set size, class, bit sketch and join keys.
+
+    Copies that one task meets leave sketch and keys out.
+    """
 
     def make():
         out_already: set[int] = set()
 
         def step(batch: pa.RecordBatch) -> dict:
-            n, ref, keys = [], [], []
+            n, ref, sketches, keys = [], [], [], []
             for value in batch.column(1).to_pylist():
                 s = shingle_set(value, size)
                 r = digest(s)
                 n.append(len(s))
                 ref.append(r)
                 if r in out_already or not len(s):
+                    sketches.append(None)
                     keys.append(None)
                 else:
                     if len(out_already) >= REMEMBERED:
                         out_already.clear()
                     out_already.add(r)
+                    sketches.append(bit_sketch(s))
                     keys.append(cells(s, percent).view(np.int64))
-            return {"doc_id": batch.column(0), "n": n, "ref": ref, "cells": keys}
+            return {"doc_id": batch.column(0), "n": n, "ref": ref, "sketch": sketches, "cells": keys}
 
         return step
 
     whole = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text")
     )
-    return map_batches(whole, make, "doc_id bigint, n bigint, ref bigint, cells array<bigint>")
+    return map_batches(
+        whole,
+        make,
+        "doc_id bigint, n bigint, ref bigint, sketch array<bigint>, cells array<bigint>",
+    )
 
 
 def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,132 +216,151 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``ref, n, sketch, shingles`` of the classes in ``wanted`` (``doc_id, ref``), written."""
+def _texts(
+    docs: DataFrame, classes: DataFrame, involved: DataFrame, doc_id: str, text: str, size: int
+) -> DataFrame:
+    """``ref, text`` of one document of every class in ``involved``, written."""
+    wanted = written(
+        classes.where("first_id IS NOT NULL")
+        .join(involved, "ref", "left_semi")
+        .select(F.col("first_id").alias("doc_id"), "ref"),
+        "jaccard-wanted",
+    )
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text")
-    ).join(wanted, "doc_id")
+    ).join(wanted.hint("shuffle_hash"), "doc_id")
 
     def make():
+        done: set[int] = set()
+
         def step(batch: pa.RecordBatch) -> dict:
-            out = {"ref": [], "n": [], "sketch": [], "shingles": []}
+            out = {"ref": [], "text": []}
             for ref, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = shingle_set(value, size)
-                if digest(s) == ref:  # ids may repeat with other texts
+                # Ids may repeat, with other texts too; rows of one id meet in one task.
+                if ref not in done and digest(shingle_set(value, size)) == ref:
+                    done.add(ref)
                     out["ref"].append(ref)
-                    out["n"].append(len(s))
-                    out["sketch"].append(bit_sketch(s))
-                    out["shingles"].append(s.tobytes())
+                    out["text"].append(value)
             return out
 
         return step
 
-    found = map_batches(
-        rows.select("ref", "text"),
-        make,
-        "ref bigint, n bigint, sketch array<bigint>, shingles binary",
-    )
-    return written(found.dropDuplicates(["ref"]), "jaccard-sets")
+    return written(map_batches(rows.select("ref", "text"), make, "ref bigint, text string"), "jaccard-texts")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a, b``) whose sets are similar enough, written.
+def _with_sides(pairs: DataFrame, side: DataFrame, salts: int) -> DataFrame:
+    """Columns of ``side`` (one row per ``ref``) for both classes of a pair (``a, b``).
 
-    A leader with many pairs is copied once for each ``PAIRS_PER_COPY`` of them, so its pairs are
-    verified by many tasks.
+    A salt deals the pairs of one leader out to many tasks; the leader's row is copied once for
+    every salt that its pairs have.
     """
-    copies = max(1, -(-pairs.count() // PAIRS_PER_COPY))
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(copies)))
-    small = sets.select("ref", "n", "sketch")
-    one, two = (small.toDF(x, f"n_{x}", f"sketch_{x}") for x in "ab")
-    leaders = salted.select("a", "salt").distinct()
-    near = salted.join(leaders.join(one, "a"), ["a", "salt"]).join(two, "b")
-    total = F.col("n_a") + F.col("n_b")
-    allowed = F.floor(total * (100 - percent) / (100 + percent))
-    bits = F.aggregate(
-        F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
-        F.lit(0).cast("long"),
-        lambda s, x: s + x,
-    )
-    near = near.where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (bits <= allowed)
+    names = [c for c in side.columns if c != "ref"]
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)))
+    one, two = (side.select(F.col("ref").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names]) for x in "ab")
+    leaders = pairs.select("a", "salt").distinct().join(one, "a")
+    return pairs.join(leaders, ["a", "salt"]).join(two, "b")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether size and sketches of a pair leave room for enough similarity."""
+    allowed = F.floor((F.col("n_a") + F.col("n_b")) * (100 - percent) / (100 + percent))
+
+    def folded(x: str, y: str) -> Column:
+        half = F.size(y)
+        halves = F.slice(F.col(x), F.lit(1), half), F.slice(F.col(x), half + 1, half)
+        xor = F.zip_with(*halves, lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > half, xor).otherwise(F.col(x))
+
+    unequal = F.zip_with(
+        folded("sketch_a", "sketch_b"),
+        folded("sketch_b", "sketch_a"),
+        lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("long"),
     )
-    near = written(near.select("a", "b", "salt"), "jaccard-near")
-    full = sets.select("ref", "shingles")
-    leaders = near.select("a", "salt").distinct().join(full.toDF("a", "set_a"), "a")
-    both = near.join(leaders, ["a", "salt"]).join(full.toDF("b", "set_b"), "b")
+    distance = F.aggregate(unequal, F.lit(0).cast("long"), lambda s, x: s + x)
+    near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return F.when(near, distance <= allowed).otherwise(False)
+
+
+def _verified(near: DataFrame, texts: DataFrame, percent: int, size: int, work: "_Work") -> DataFrame:
+    """The pairs (``a, b``) whose sets are similar enough, written."""
+    both = _with_sides(near, texts, work.salts)
 
     def make():
+        leader, its_set = None, np.zeros(0, np.uint64)
+
         def step(batch: pa.RecordBatch) -> dict:
+            nonlocal leader, its_set
             a, b = [], []
             for left, right, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= percent * (len(x) + len(y) - common):
+                if left != leader:
+                    leader, its_set = left, shingle_set(x, size)
+                other = shingle_set(y, size)
+                common = len(np.intersect1d(its_set, other, assume_unique=True))
+                if 100 * common >= percent * (len(its_set) + len(other) - common):
                     a.append(left)
                     b.append(right)
             return {"a": a, "b": b}
 
         return step
 
-    links = map_batches(both.select("a", "b", "set_a", "set_b"), make, "a bigint, b bigint")
-    return written(links, "jaccard-links")
+    links = map_batches(both.select("a", "b", "text_a", "text_b"), make, "a bigint, b bigint")
+    return work.written(links, "jaccard-links")
+
+
+@dataclass(frozen=True)
+class _Work:
+    """Files per intermediate table and salts per leader, by the number of shared-cell rows."""
+
+    files: int
+    salts: int
+
+    @classmethod
+    def of(cls, rows: int) -> "_Work":
+        return cls(max(24, -(-rows // ROWS_PER_FILE)), max(1, -(-rows // PAIRS_PER_COPY)))
 
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        return written(df.coalesce(self.files), purpose)
 
-def similar_classes(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+
+def similar_classes(
+    shared: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int, size: int, work: _Work
+) -> DataFrame:
     """``ref, root`` of all classes that are linked with another one."""
     spark = shared.sparkSession
     roots = spark.createDataFrame([], "ref bigint, root bigint")
-    tested = spark.createDataFrame([], "a bigint, b bigint")
-    links = tested
-
-    def with_roots(rows: DataFrame, *columns: str) -> DataFrame:
-        for c in columns:
-            named = roots.select(F.col("ref").alias(c), F.col("root").alias(f"__{c}"))
-            rows = rows.join(named, c, "left").withColumn(f"root_{c}", F.coalesce(f"__{c}", c))
-            rows = rows.drop(f"__{c}")
-        return rows
-
-    def test(pairs: DataFrame) -> None:
-        nonlocal roots, tested, links
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tested = tested.unionByName(pairs)
-        if pairs.isEmpty():
-            return
-        found = _verified(pairs, sets, percent)
-        links = links.unionByName(found)
-        roots = written(
-            components(links).withColumnsRenamed({"node": "ref"}), "jaccard-roots"
-        )
+    links = spark.createDataFrame([], "a bigint, b bigint")
 
-    # Most members are linked with the first leader that they share a cell with.
-    followers = shared.where("ref <> leader")
-    test(followers.groupBy(F.col("ref").alias("b")).agg(F.min("leader").alias("a")).select("a", "b"))
-    apart = F.col("root_a") != F.col("root_b")
-    rest = with_roots(followers.select(F.col("leader").alias("a"), F.col("ref").alias("b")).distinct(), "a", "b")
-    test(rest.where(apart).select("a", "b"))
-
-    open_, done, width = shared.select("cell", "ref", "place").where("place > 0"), 1, 4
-    while True:
-        marked = with_roots(open_, "ref")
-        mixed = (
-            marked.groupBy("cell")
-            .agg(F.min("root_ref").alias("low"), F.max("root_ref").alias("high"))
-            .where("low <> high")
-            .select("cell")
-        )
-        open_ = written(open_.join(mixed, "cell", "left_semi"), "jaccard-open")
-        if open_.isEmpty():
-            return roots
-        ahead = open_.where(F.col("place") < done + width).select(
-            "cell", F.col("ref").alias("a"), F.col("place").alias("place_a")
-        )
-        candidates = open_.withColumnRenamed("ref", "b").join(ahead, "cell")
-        candidates = candidates.where("place > place_a").select("a", "b").distinct()
-        test(with_roots(candidates, "a", "b").where(apart).select("a", "b"))
-        done += width
-        width *= 4
-        open_ = open_.where(F.col("place") >= done)
+    def verify(near: DataFrame) -> None:
+        nonlocal roots, links
+        if near.isEmpty():
+            return
+        links = links.unionByName(_verified(near, texts, percent, size, work))
+        found = components(links, work.files).withColumnsRenamed({"node": "ref"})
+        roots = work.written(found, "jaccard-roots")
+
+    # The first class of every cell against the others.
+    star = shared.where("ref <> leader").select(F.col("leader").alias("a"), F.col("ref").alias("b"))
+    near = _with_sides(star.distinct(), sketches, work.salts).where(_may_link(percent))
+    verify(work.written(near.select("a", "b"), "jaccard-near"))
+
+    # A pair that is still apart has a member outside its cell's largest component: those few lead.
+    rest = shared.where("place > 0").select("cell", "ref").join(roots, "ref", "left")
+    rest = rest.withColumn("root", F.coalesce("root", "ref"))
+    sizes = rest.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("members"))
+    mixed = sizes.groupBy("cell").agg(
+        F.max_by("root", "members").alias("main"), F.count(F.lit(1)).alias("components")
+    )
+    open_ = work.written(rest.join(mixed.where("components > 1"), "cell"), "jaccard-open")
+    judged = open_.join(sketches, "ref")
+    one, two = (
+        judged.select("cell", *[F.col(c).alias(f"{c}_{x}") for c in ("ref", "root", "main", "n", "sketch")])
+        for x in "ab"
+    )
+    pairs = one.where("root_a <> main_a").join(two, "cell").where("root_a <> root_b")
+    pairs = pairs.where("root_b = main_b OR ref_a < ref_b").where(_may_link(percent))
+    near = pairs.select(F.least("ref_a", "ref_b").alias("a"), F.greatest("ref_a", "ref_b").alias("b"))
+    verify(work.written(near.distinct(), "jaccard-near"))
+    return roots
 
 
 def similar_documents(
@@ -349,19 +386,21 @@ def similar_documents(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows")
     )
     classes = written(classes, "jaccard-classes")
-    involved = classes.join(shared.select("ref").distinct(), "ref", "left_semi")
-    wanted = written(
-        involved.where("first_id IS NOT NULL").select(F.col("first_id").alias("doc_id"), "ref"),
-        "jaccard-wanted",
+    involved = shared.select("ref").distinct()
+    sketches = written(
+        signed.where("cells IS NOT NULL")
+        .select("ref", "n", "sketch")
+        .join(involved, "ref", "left_semi")
+        .dropDuplicates(["ref"]),
+        "jaccard-sketches",
     )
-    roots = similar_classes(shared, _sets(docs, wanted, doc_id, text, size), percent)
-    rooted = classes.join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
-    smallest = rooted.where(F.col("root") != F.col("ref")).groupBy("root").agg(F.min("first_id").alias("__other"))
-    named = rooted.join(smallest, "root", "left")
-    # A class without links keeps its own first id; the root itself takes part in the minimum.
-    heads = rooted.where(F.col("root") == F.col("ref")).select("root", F.col("first_id").alias("__head"))
-    named = named.join(heads, "root", "left").select(
-        "ref", F.least("first_id", "__other", "__head").alias("component_id"), "rows"
+    texts = _texts(docs, classes, involved, doc_id, text, size)
+    roots = similar_classes(shared, sketches, texts, percent, size, _Work.of(shared.count()))
+    linked = roots.join(classes.select("ref", "first_id"), "ref")
+    smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    linked = linked.join(smallest, "root").select("ref", "component_id")
+    named = classes.join(linked, "ref", "left").select(
+        "ref", F.coalesce("component_id", "first_id").alias("component_id"), "rows"
     )
     return look_up(
         signed.select("doc_id", F.col("n").alias("n_shingles"), "ref"),
