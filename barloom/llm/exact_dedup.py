@@ -29,11 +29,10 @@ from pyspark.sql import functions as F
 from barloom.llm.common import look_up, text_or_empty
 from barloom.sinks.writers import written
 
-#: Entries that a bucket should hold, and leading bits that the directory may use. The directory
-#: has at most ``2 ** DIRECTORY_BITS`` slots whatever the input; beyond that buckets grow, and the
-#: owners' sort spills.
-BUCKET_ROWS = 20_000
-DIRECTORY_BITS = 16
+#: Entries that a bucket should hold, and leading bits that the directory may use at most: its
+#: slots are bounded whatever the input; beyond that buckets grow, and the owners' sort spills.
+BUCKET_ROWS = 1_000
+DIRECTORY_BITS = 20
 #: Bytes of text that an input task holds for pre-aggregation.
 HELD_BYTES = 32 << 20
 
@@ -48,7 +47,7 @@ class Bucket:
 
 
 def build_directory(
-    counts: dict[int, tuple[int, int, int]], capacity: int, bits: int = DIRECTORY_BITS
+    counts: dict[int, tuple[int, int, int]], capacity: int, bits: int
 ) -> list[Bucket]:
     """Buckets after all splits, in key order.
 
@@ -78,6 +77,11 @@ def build_directory(
     return done
 
 
+def directory_bits(rows: int, bucket_rows: int) -> int:
+    """Leading bits to count by: eight slots for each bucket that the rows would fill."""
+    return min(DIRECTORY_BITS, max(4, (rows // bucket_rows).bit_length() + 3))
+
+
 def text_hash(text: Column) -> Column:
     """The 64-bit key of the index."""
     return F.xxhash64(text)
@@ -172,11 +176,11 @@ def build_index(
     doc_id: str = "doc_id",
     text: str = "text",
     bucket_rows: int = BUCKET_ROWS,
-    bits: int = DIRECTORY_BITS,
     hash_of=text_hash,
 ) -> tuple[DataFrame, DataFrame]:
     """Directory and index, both written to the shared folder."""
     spark = docs.sparkSession
+    bits = directory_bits(docs.count(), bucket_rows)
     keyed = docs.select(
         hash_of(text_or_empty(text)).alias("key"),
         F.col(doc_id).cast("bigint").alias("doc_id"),
@@ -214,11 +218,10 @@ def exact_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
     bucket_rows: int = BUCKET_ROWS,
-    bits: int = DIRECTORY_BITS,
     hash_of=text_hash,
 ) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row."""
-    _, index = build_index(docs, doc_id, text, bucket_rows, bits, hash_of)
+    _, index = build_index(docs, doc_id, text, bucket_rows, hash_of)
     rows = (
         docs.select(
             F.col(doc_id).cast("bigint").alias("doc_id"),
