@@ -30,15 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import map_batches, running_total, text_or_empty
-from barloom.llm.token_counts import _tokenizer
+from barloom.llm.token_counts import TokenIds
 from barloom.sinks.writers import written
 
 CAPACITY = 1024
 END_ID = 2
 #: Pieces that one window partition numbers.
 RANGE_ROWS = 20_000
-#: Texts that a worker tokenizes at once.
-TEXTS_AT_ONCE = 64
 
 
 @dataclass(frozen=True)
@@ -123,22 +121,18 @@ def pieces(
     """``doc_id, piece, start, length, ids_crc32`` of every piece."""
 
     def make():
-        tokenizer = _tokenizer(tokenizer_path)
+        tokenizer = TokenIds(tokenizer_path)
 
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            docs_, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(docs_), TEXTS_AT_ONCE):
-                some = texts.slice(at, TEXTS_AT_ONCE).to_pylist()
-                encoded = tokenizer.encode_batch(some, add_special_tokens=False)
-                for doc, e in zip(docs_[at : at + TEXTS_AT_ONCE], encoded):
-                    ids = np.array([*e.ids, end_id], "<u4")
-                    for i, (start, length) in enumerate(cut(ids, capacity)):
-                        out["doc_id"].append(doc)
-                        out["piece"].append(i)
-                        out["start"].append(start)
-                        out["length"].append(length)
-                        out["ids_crc32"].append(zlib.crc32(ids[start : start + length].tobytes()))
+            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.append(tokenizer.encode(value.as_py()), end_id).astype("<u4")
+                for i, (start, length) in enumerate(cut(ids, capacity)):
+                    out["doc_id"].append(doc)
+                    out["piece"].append(i)
+                    out["start"].append(start)
+                    out["length"].append(length)
+                    out["ids_crc32"].append(zlib.crc32(ids[start : start + length].tobytes()))
             return out
 
         return step

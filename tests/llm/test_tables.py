@@ -60,6 +60,17 @@ def test_pre_tokens_agree_on_strange_characters():
         assert lengths.count(text) == len(brute.token_ids(text))
 
 
+def test_ranks_give_the_ids_of_the_library(texts):
+    ids = token_counts.TokenIds(BYTE_BPE)
+    assert ids.fast is not None
+    rng = np.random.default_rng(1)
+    pool = [chr(c) for c in (*range(0x600), *range(0x2000, 0x2100), 0x3000, 0x4E00, 0xFFFD, 0x1F600, 0x10D4A)]
+    odd = ["".join(rng.choice(pool, 60)) + " it's we'll 12  \n x" for _ in range(300)]
+    odd += ["<|endoftext|>a", " " * 5000, "a" * 5000, "\r\n\t x", "12345678901234567890"]
+    for text in [t or "" for _, t in texts] + odd:
+        assert ids.encode(text).tolist() == brute.token_ids(text)
+
+
 # -- personal data --------------------------------------------------------------------------------
 
 
