@@ -5,9 +5,10 @@ lattices: an arc for the character itself, for each letter that it may stand for
 separator and for shortening a run. Viterbi finds the best path under a trigram character language
 model, and the restored words are scored along with the plain ones.
 
-The score is a logistic regression over evidence of word beginnings and whole words (log odds of
-being used in toxic documents), learnt from labelled rows outside the held-out fold. The fit uses
-at most ``TRAIN_ROWS`` labelled rows, chosen by hash of the id; scoring reads every whole text.
+The language model counts the letters of every document, labelled or not. The score is a logistic
+regression over evidence of word beginnings and whole words (log odds of being used in toxic
+documents), learnt from labelled rows outside the held-out fold. Evidence and regression use at
+most ``TRAIN_ROWS`` labelled rows, chosen by hash of the id; scoring reads every whole text.
 Language, source, id and labels are no inputs of a score.
 
 Null and empty texts score like texts without evidence. Without labelled rows of both classes every
@@ -41,6 +42,8 @@ MIN_DOCS = 4
 MIN_ODDS = 1.0
 THRESHOLD = 0.3
 CACHE_ROWS = 300_000
+#: Characters of text that are counted at once, and distinct n-grams that a task holds.
+CHUNK_CHARACTERS, FLUSH_GRAMS = 1 << 20, 500_000
 
 #: Letters that a character may stand for.
 LEET = {
@@ -138,6 +141,52 @@ def word_grams(words: list[str]) -> Counter:
     return counts
 
 
+class GramCounter:
+    """The counts of :func:`word_grams` over lower-case texts, by whole arrays of characters."""
+
+    #: Trigrams of an alphabet that are counted in a table; larger alphabets are sorted.
+    TABLE = 1 << 22
+
+    def __init__(self) -> None:
+        self.numbers = np.full(0x110000, -1, np.int32)
+        self.letters = [""]  # number 0 is what is no letter: a word's start or its end
+        self.counts: Counter = Counter()
+
+    def add(self, texts: list[str]) -> None:
+        joined = "\n\n" + "\n".join(texts) + "\n"
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = self.numbers[codes]
+        for code in np.unique(codes[at < 0]).tolist():
+            letter = _LETTERS.fullmatch(chr(code))
+            self.numbers[code] = len(self.letters) if letter else 0
+            if letter:
+                self.letters.append(chr(code))
+        at = self.numbers[codes].astype(np.int64)
+        here, one = at[2:], at[1:-1]
+        two = np.where(one > 0, at[:-2], 0)
+        inside = (here > 0) | (one > 0)
+        size = len(self.letters)
+        keys = ((two * size + one) * size + here)[inside]
+        if size**3 <= self.TABLE:
+            table = np.bincount(keys, minlength=1)
+            found = np.flatnonzero(table)
+            times = table[found]
+        else:
+            found, times = np.unique(keys, return_counts=True)
+        parts = zip((found // size**2).tolist(), (found // size % size).tolist(), (found % size).tolist())
+        for part, n in zip(parts, times.tolist()):
+            self.counts[part] += n
+
+    def grams(self) -> Counter:
+        grams: Counter = Counter()
+        for (two, one, here), n in self.counts.items():
+            a, b, c = self.letters[two] or "^", self.letters[one] or "^", self.letters[here] or "$"
+            grams[c] += n
+            grams[b + c] += n
+            grams[a + b + c] += n
+        return grams
+
+
 def forms(word: str) -> list[str]:
     """Beginnings of four to eight letters and the whole word."""
     return ["^" + word[:k] for k in range(4, min(8, len(word)) + 1)] + ["^" + word + "$"]
@@ -246,29 +295,50 @@ def training_sample(
     return written(sample.select("label", "text"), "training-sample")
 
 
-def fit_toxicity(sample: DataFrame) -> ToxicityModel:
-    """Fit on ``label, text`` rows; all counting runs as Spark jobs, small tables come back."""
+def character_model(docs: DataFrame, text: str = "text") -> CharacterModel:
+    """Letter n-grams of the whole text of every row; the driver gets one row per distinct n-gram."""
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = GramCounter()
+        chunk: list[str] = []
+        read = 0
+
+        def counted() -> pa.RecordBatch:
+            counts = counter.grams()
+            counter.counts.clear()
+            return pa.RecordBatch.from_pydict(
+                {"form": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
+            )
+
+        for batch in batches:
+            for document in batch.column(0).to_pylist():
+                chunk.append(document.lower())
+                read += len(document)
+                if read > CHUNK_CHARACTERS:
+                    counter.add(chunk)
+                    chunk, read = [], 0
+                if len(counter.counts) > FLUSH_GRAMS:
+                    yield counted()
+        counter.add(chunk)
+        yield counted()
+
+    found = docs.select(text_or_empty(text).alias("text")).mapInArrow(grams, "form string, n bigint")
+    rows = found.groupBy("form").agg(F.sum("n").alias("n")).collect()
+    return CharacterModel.fit(Counter({r.form: r.n for r in rows}))
+
+
+def fit_toxicity(sample: DataFrame, docs: DataFrame, text: str = "text") -> ToxicityModel:
+    """Fit on ``label, text`` rows and on the letters of all ``docs``.
+
+    All counting runs as Spark jobs, small tables come back.
+    """
     totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         share = (toxic + 1.0) / (toxic + clean + 2.0)
         return ToxicityModel(CharacterModel({}, {}, {}), {}, Logistic.constant(share, 7))
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(word_grams(_LETTERS.findall(text.lower())))
-        top = counts.most_common(50_000)
-        yield pa.RecordBatch.from_pydict(
-            {"form": pa.array([g for g, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())}
-        )
-
-    counted = (
-        sample.select("text").mapInArrow(grams, "form string, n bigint")
-        .groupBy("form").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "form").limit(50_000)
-    )
-    characters = CharacterModel.fit(Counter({r.form: r.n for r in counted.collect()}))
+    characters = character_model(docs, text)
 
     def count_forms(rows: DataFrame, only: set[str] | None, most: int) -> dict[str, int]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +396,7 @@ def toxicity_scores(
     train_rows: int = TRAIN_ROWS,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    model = fit_toxicity(training_sample(docs, labels, "toxic", folds, fold, train_rows))
+    model = fit_toxicity(training_sample(docs, labels, "toxic", folds, fold, train_rows), docs)
     scored = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         held_out("doc_id", folds, fold).alias("held_out"),

@@ -33,7 +33,7 @@ def _joined(docs: DataFrame, decided: DataFrame, keys: dict[str, object], how: s
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     labels = table(spark, sf_dir, "labels")
-    model = toxicity.fit_toxicity(toxicity.training_sample(docs, labels, "toxic", 4, 2))
+    model = toxicity.fit_toxicity(toxicity.training_sample(docs, labels, "toxic", 4, 2), docs)
     return docs.where(model.score("text") < toxicity.THRESHOLD)
 
 

@@ -167,6 +167,33 @@ def test_disguised_words_are_restored():
         assert found & {"idiot", "clown", "worthless", "loser"}, (text, found)
 
 
+def test_character_model_counts_every_document(spark, make_docs, monkeypatch):
+    """Rows without labels count as well, and no n-gram is cut."""
+    rng = np.random.default_rng(8)
+    pool = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    rows = [(i, "".join(rng.choice(pool, 300)) + " plain words") for i in range(200)] + [(200, "Dumm KOPF dumm"), (201, None)]
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (3, 0)], "doc_id bigint, toxic int")
+    want = toxicity.CharacterModel.fit(
+        toxicity.word_grams([w for _, t in rows for w in re.findall(r"[^\W\d_]+", (t or "").lower())])
+    )
+    docs = make_docs(rows)
+    for chunk, held in ((1 << 20, 500_000), (1, 1)):
+        monkeypatch.setattr(toxicity, "CHUNK_CHARACTERS", chunk)
+        monkeypatch.setattr(toxicity, "FLUSH_GRAMS", held)
+        model = toxicity.fit_toxicity(toxicity.training_sample(docs, labels, "toxic", 4, 2), docs).characters
+        assert (model.tri, model.bi, model.uni) == (want.tri, want.bi, want.uni)
+    assert len(model.tri) > 50_000 and "dum" in model.tri
+
+
+def test_gram_counter_matches_counting_by_word(texts):
+    counter = toxicity.GramCounter()
+    rows = [t.lower() for _, t in texts if t] + ["", "a", "^x$ ß1é_b", "漢字 😀 e\u0301"]
+    for at in range(0, len(rows), 50):
+        counter.add(rows[at : at + 50])
+    want = toxicity.word_grams([w for t in rows for w in re.findall(r"[^\W\d_]+", t)])
+    assert counter.grams() == want
+
+
 def test_non_negative_risk_separates():
     rng = np.random.default_rng(0)
     k = len(quality_pu.STATISTICS)
