@@ -1,8 +1,9 @@
 """Toxicity scores on text restored by a noisy channel.
 
-Tokens that look disguised (leetspeak, spaced-out letters, repeated letters) become character
-lattices: an arc for the character itself, for each letter that it may stand for, for dropping a
-separator and for shortening a run. Viterbi finds the best path under a trigram character language
+Tokens that may be disguised (letters next to digits, symbols or separators at any place, symbols
+alone, spaced-out letters, repeated letters) become character lattices, after other punctuation
+around them is gone: an arc for the character itself, for each letter that it may stand for, for
+dropping a separator, for any letter that a star masks and for shortening a run. Viterbi finds the best path under a trigram character language
 model, and the restored words are scored along with the plain ones.
 
 The language model counts the letters of every document, labelled or not. The score is a logistic
@@ -50,15 +51,24 @@ LEET = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-SEPARATORS = " .-_*"
-#: Log costs of the channel: a substituted letter, a dropped separator, a shortened run.
-_SUBSTITUTE, _DROP, _SHORTEN = -1.5, -0.3, -0.5
+SEPARATORS = " .-_*/"
+#: Log costs of the channel: a substituted letter, a dropped separator, a shortened run, a masked
+#: letter. A longer run of stars is decoration and masks nothing.
+_SUBSTITUTE, _DROP, _SHORTEN, _MASKED = -1.5, -0.3, -0.5, -2.5
+_MASK, _MASK_RUN = "*", 8
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LEET_CLASS = "[" + re.escape("".join(LEET)) + "]"
-_LEET_TOKEN = re.compile(rf"[^\W\d_]{_LEET_CLASS}+[^\W\d_]|^{_LEET_CLASS}[^\W\d_]|[^\W\d_]{{2}}[0-9]+$")
+_LEET = re.compile(_LEET_CLASS)
+_CORE_CLASS = r"(?:[^\W_]|" + _LEET_CLASS + ")"
+_CORE = re.compile(rf"{_CORE_CLASS}(?:.*{_CORE_CLASS})?", re.DOTALL)
+_HIDING = re.compile("[" + re.escape("".join(LEET) + SEPARATORS) + "]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<![^\W_])[^\s](?:[ .\-_*][^\s.\-_*]){2,}(?![^\W_])")
+_GAP_CLASS = r"[\s" + re.escape(SEPARATORS.strip()) + "]"
+_SINGLE_CLASS = r"[^\s" + re.escape(SEPARATORS.strip()) + "]"
+_SPACED = re.compile(rf"(?<![^\W_]){_SINGLE_CLASS}(?:{_GAP_CLASS}++{_SINGLE_CLASS}){{2,}}(?![^\W_])")
+_GAP = re.compile(_GAP_CLASS + "+")
+_STARS = re.compile(re.escape(_MASK) + "+")
 
 
 @dataclass
@@ -69,6 +79,7 @@ class CharacterModel:
     bi: dict[str, float]
     uni: dict[str, float]
     memo: dict[str, float] = field(default_factory=dict)
+    after: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, counts: Counter) -> "CharacterModel":
@@ -99,15 +110,26 @@ class CharacterModel:
             known = self.memo[key] = math.log(p)
         return known
 
+    def maskable(self, before: str) -> str:
+        """Letters that a masked one after ``before`` may be: those that follow it in some word."""
+        if not self.after:
+            found: dict[str, list[str]] = {}
+            for head, letter in self.bi:
+                found.setdefault(head, []).append(letter)
+            self.after.update((head, "".join(sorted(set(x) - {"$"}))) for head, x in found.items())
+        return self.after.get(before, "")
+
     def decode(self, token: str) -> str:
         """Most likely plain text of a disguised token (lower case)."""
-        # A state is the last two letters; it keeps its log probability and the text so far.
-        states: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+        # A state is the last two letters; it keeps its log probability and the text so far as a
+        # chain of (text before, character), so that long tokens are not copied at every step.
+        states: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
         last = len(token) - 1
+        stars = {i for m in _STARS.finditer(token) if len(m.group()) <= _MASK_RUN for i in range(*m.span())}
         for i, c in enumerate(token):
-            new: dict[str, tuple[float, str]] = {}
+            new: dict[str, tuple[float, tuple | None]] = {}
 
-            def offer(state: str, p: float, text: str) -> None:
+            def offer(state: str, p: float, text: tuple | None) -> None:
                 if state not in new or p > new[state][0]:
                     new[state] = (p, text)
 
@@ -115,18 +137,33 @@ class CharacterModel:
             repeated = i > 0 and token[i - 1] == c
             for state, (p, text) in states.items():
                 if c.isalpha():
-                    offer(state[1] + c, p + self.cost(state, c), text + c)
+                    offer(state[1] + c, p + self.cost(state, c), (text, c))
                 else:
                     if c in SEPARATORS and inside:
                         offer(state, p + _DROP, text)
-                    offer("^^", p + self.cost(state, "$"), text + " ")
+                    offer("^^", p + self.cost(state, "$"), (text, " "))
                 for letter in LEET.get(c, ""):
-                    offer(state[1] + letter, p + _SUBSTITUTE + self.cost(state, letter), text + letter)
+                    # A symbol that repeats stands for its letter again, at no further cost.
+                    change = 0.0 if repeated and state[1] == letter else _SUBSTITUTE
+                    offer(state[1] + letter, p + change + self.cost(state, letter), (text, letter))
+                if inside and i in stars:
+                    for letter in self.maskable(state[1]):
+                        offer(state[1] + letter, p + _MASKED + self.cost(state, letter), (text, letter))
                 if repeated and text:
                     offer(state, p + _SHORTEN, text)
             states = new
-        ends = ((p + self.cost(s, "$"), text) for s, (p, text) in states.items())
-        return max(ends)[1]
+        ends = [(p + self.cost(s, "$"), text) for s, (p, text) in states.items()]
+        best = max(p for p, _ in ends)
+        return max(_joined(text) for p, text in ends if p == best)
+
+
+def _joined(text: tuple | None) -> str:
+    """The characters of a chain, first one first."""
+    letters = []
+    while text:
+        text, letter = text
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def word_grams(words: list[str]) -> Counter:
@@ -194,7 +231,25 @@ def forms(word: str) -> list[str]:
 
 def disguised(token: str) -> bool:
     """Whether a token gets a lattice of more than one path."""
-    return bool(_RUN.search(token) or (not token.isalpha() and _LEET_TOKEN.search(token)))
+    if token.isalpha():
+        return bool(_RUN.search(token))
+    if _LETTERS.search(token):
+        return bool(_HIDING.search(token) or _RUN.search(token))
+    # Without letters: two symbols or a symbol and digits that stand for letters, like ``@$$``.
+    standing = set(_LEET.findall(token))
+    return len(standing) > 1 and not all(c.isdigit() for c in standing)
+
+
+def readings(token: str) -> set[str]:
+    """Disguised forms in a token, without the punctuation around it.
+
+    A bracket before and an exclamation mark behind may be letters or punctuation: both are read.
+    """
+    core = _CORE.search(token)
+    if core is None:
+        return set()
+    inner = _CORE.search(core.group().lstrip("(").rstrip("!("))
+    return {m.group() for m in (core, inner) if m and disguised(m.group())}
 
 
 def plain_words(text: str, model: CharacterModel, memo: dict[str, list[str]]) -> set[str]:
@@ -205,14 +260,17 @@ def plain_words(text: str, model: CharacterModel, memo: dict[str, list[str]]) ->
         found = memo.get(token)
         if found is None:
             found = _LETTERS.findall(token)
-            if disguised(token):
-                found = found + _LETTERS.findall(model.decode(token))
+            if _RUN.search(token) or not token.isalpha():
+                for reading in readings(token):
+                    found = found + _LETTERS.findall(model.decode(reading))
             if len(memo) > CACHE_ROWS:
                 memo.clear()
             memo[token] = found
         words.update(found)
     for m in _SPACED.finditer(low):
-        words.update(_LETTERS.findall(model.decode(m.group())))
+        # A run of separators is one; a star in it stays, because it may mask a letter.
+        spelt = _GAP.sub(lambda gap: _MASK if _MASK in gap.group() else " ", m.group())
+        words.update(_LETTERS.findall(model.decode(spelt)))
     return words
 
 

@@ -167,6 +167,28 @@ def test_disguised_words_are_restored():
         assert found & {"idiot", "clown", "worthless", "loser"}, (text, found)
 
 
+def test_hidden_forms_get_a_lattice():
+    words = "a stupid idiot and an asshole with a dumbass of shit said fuck in his ass".split() * 20
+    words += "the cat can hit cups in this fact of a duck and all that is with us".split() * 20
+    model = toxicity.CharacterModel.fit(toxicity.word_grams(words))
+    for text, word in {
+        "dumb@$$": "dumbass", "a$$": "ass", "a55": "ass", "$hit": "shit", "$h!t": "shit", "@$$": "ass", "@$$hole": "asshole",
+        '"1diot"': "idiot", "\u201c1diot\u201d,": "idiot", "'@sshole'": "asshole", "(@ss)": "ass", "[1d10t].": "idiot",
+        "st-u-pid": "stupid", "id.iot": "idiot", "id/iot!": "idiot", "1diot!": "idiot", "i  d  i  o  t": "idiot",
+        "i/d/i/o/t": "idiot", "i - d - i - o - t": "idiot", "f*ck": "fuck", "f**k": "fuck", "sh*t": "shit", "**1diot**": "idiot",
+    }.items():
+        found = toxicity.plain_words(text, model, {})
+        assert word in found, (text, found)
+    for text in ("plain words, (in) brackets.", "2024-01-31 1,000 :-) ... --- ***"):
+        assert toxicity.plain_words(text, model, {}) == set(re.findall(r"[^\W\d_]+", text)), text
+
+
+def test_long_disguised_tokens_end():
+    model = toxicity.CharacterModel.fit(toxicity.word_grams(["idiot", "clown"]))
+    for text in ("x" * 200_000, "a1" * 50_000, "a" + "*" * 50_000 + "b", "a" + "." * 50_000, "- " * 50_000, "a b " * 20_000):
+        toxicity.plain_words(text, model, {})
+
+
 def test_character_model_counts_every_document(spark, make_docs, monkeypatch):
     """Rows without labels count as well, and no n-gram is cut."""
     rng = np.random.default_rng(8)
