@@ -7,10 +7,10 @@ the listed rule that fits it, else by the label of the document that its path na
 of low quality).
 
 Mined rules are pruned by support, confidence and lift, and a rule goes if a shorter part of it is
-as confident. URLs find rules through an inverted index: a rule is filed under its rarest token, and
-only rules filed under one of the URL's tokens are compared. Without a rule that fits, a URL is
-allowed. Both numbers of frequent tokens and of kept rules are bounded by parameters, so the index
-may be broadcast.
+as confident; all others are kept, as a written table. URLs find rules through an inverted index: a
+rule is filed under its rarest token, and only rules filed under one of the URL's tokens are
+compared. Without a rule that fits, a URL is allowed. Up to ``INDEX_RULES`` rules travel to the
+workers as an index; more are joined with the distinct sets of tokens. Both ways find the same rule.
 
 A missing URL, or one without ``://``, has an empty host and path and no tokens: it is allowed.
 Repeated rows are judged alike and each count as a labelled URL. Without labelled URLs nothing is
@@ -27,7 +27,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import map_batches
+from barloom.llm.common import look_up, map_batches
 from barloom.sinks.writers import written
 
 #: The listed rules, host and path prefix in one.
@@ -44,9 +44,10 @@ MIN_SUPPORT = 0.002
 MIN_URLS = 20
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.2
-#: Tokens of a combination, and rules kept (most confident first).
+#: Tokens of a combination.
 MAX_TOKENS = 4
-MAX_RULES = 10_000
+#: Rules that the workers hold as an index; it decides speed alone.
+INDEX_RULES = 10_000
 
 BLOCK, ALLOW = "verdict=block", "verdict=allow"
 
@@ -136,46 +137,71 @@ def labelled_urls(told: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.where("verdict IS NOT NULL")
 
 
-def mine_rules(
+def rule_table(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
     min_urls: int = MIN_URLS,
-    max_rules: int = MAX_RULES,
-) -> list[tuple[tuple[str, ...], float, float]]:
-    """Kept rules as (tokens, confidence, support), most confident first.
+) -> DataFrame:
+    """``tokens, confidence, support`` of every kept rule, written.
 
-    Combinations of more than ``MAX_TOKENS`` tokens are not kept; the bound on the support bounds
-    the frequent tokens, and with them what the driver reads.
+    Combinations of more than ``MAX_TOKENS`` tokens are not kept.
     """
     baskets = labelled.select(
         F.concat("tokens", F.array(F.concat(F.lit("verdict="), F.col("verdict")))).alias("items")
     )
     total = baskets.count()
     if not total:
-        return []
+        return labelled.sparkSession.createDataFrame(
+            [], "tokens array<string>, confidence double, support double"
+        )
     least = min(1.0, max(min_support, min_urls / total))
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
-    rows = (
+    rules = written(
         model.associationRules.where(
             (F.col("consequent")[0] == BLOCK)
             & (F.size("antecedent") <= MAX_TOKENS)
             & (F.col("lift") >= min_lift)
             & ~F.array_contains("antecedent", ALLOW)
-        )
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-        .orderBy(F.size("tokens"), F.desc("confidence"), "tokens")
-        .limit(max_rules)
-        .collect()
+        ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"),
+        "url-candidates",
+    )
+    # Every true part of a rule, as the bits of a number; at most 14 of them.
+    parts = rules.where(F.size("tokens") > 1).select(
+        F.col("tokens").alias("__whole"),
+        F.col("confidence").alias("__confidence"),
+        F.explode(
+            F.expr(
+                "transform(sequence(1, shiftleft(1, size(tokens)) - 2),"
+                " m -> filter(tokens, (t, i) -> (shiftright(m, i) & 1) = 1))"
+            )
+        ).alias("tokens"),
+    )
+    redundant = (
+        parts.join(rules.select("tokens", "confidence"), "tokens")
+        .where("confidence >= __confidence")
+        .select(F.col("__whole").alias("tokens"))
+        .distinct()
     )
-    kept: dict[frozenset, tuple[float, float]] = {}
-    for r in rows:  # shorter rules first
-        tokens = frozenset(r.tokens)
-        if not any(k <= tokens and c >= r.confidence for k, (c, _) in kept.items()):
-            kept[tokens] = (r.confidence, r.support)
-    rules = [(tuple(sorted(k)), c, s) for k, (c, s) in kept.items()]
-    return sorted(rules, key=lambda r: (-r[1], -r[2], r[0]))
+    return written(rules.join(redundant, "tokens", "left_anti"), "url-rules")
+
+
+def collected(rules: DataFrame) -> list[tuple[tuple[str, ...], float, float]]:
+    """Rules as (tokens, confidence, support), most confident first."""
+    found = [(tuple(r.tokens), r.confidence, r.support) for r in rules.collect()]
+    return sorted(found, key=lambda r: (-r[1], -r[2], r[0]))
+
+
+def mine_rules(
+    labelled: DataFrame,
+    min_support: float = MIN_SUPPORT,
+    min_confidence: float = MIN_CONFIDENCE,
+    min_lift: float = MIN_LIFT,
+    min_urls: int = MIN_URLS,
+) -> list[tuple[tuple[str, ...], float, float]]:
+    """Kept rules as (tokens, confidence, support), most confident first."""
+    return collected(rule_table(labelled, min_support, min_confidence, min_lift, min_urls))
 
 
 def inverted_index(
@@ -189,20 +215,10 @@ def inverted_index(
     return index
 
 
-def filter_urls(
-    pages: DataFrame,
-    labels: DataFrame,
-    rules: Sequence[tuple[str, str]] = LISTED,
-    page_id: str = "page_id",
-    url: str = "url",
-    min_support: float = MIN_SUPPORT,
-    min_confidence: float = MIN_CONFIDENCE,
-    min_urls: int = MIN_URLS,
+def found_by_index(
+    told: DataFrame, labelled: DataFrame, mined: list[tuple[tuple[str, ...], float, float]]
 ) -> DataFrame:
-    """``page_id, host, path, rule, verdict, mined_rule, confidence`` of every row."""
-    told = judged(pages, rules, page_id, url)
-    labelled = written(labelled_urls(told, labels), "url-labels")
-    mined = mine_rules(labelled, min_support, min_confidence, min_urls=min_urls)
+    """``told`` with ``mined_rule, confidence`` of the first rule that fits; workers hold the index."""
     wanted = sorted({t for tokens, _, _ in mined for t in tokens})
     counts = (
         labelled.select(F.explode("tokens").alias("token")).where(F.col("token").isin(wanted))
@@ -227,12 +243,74 @@ def filter_urls(
 
         return step
 
-    found = map_batches(
+    return map_batches(
         told.select("page_id", "host", "path", "rule", "listed", "tokens"),
         make,
         "page_id bigint, host string, path string, rule string, listed string,"
         " mined_rule string, confidence double",
     )
+
+
+def found_by_join(told: DataFrame, labelled: DataFrame, mined: DataFrame) -> DataFrame:
+    """``told`` with ``mined_rule, confidence`` of the first rule that fits, for any number of rules.
+
+    A rule is joined on its rarest token with the distinct sets of those tokens that rules use.
+    """
+    used = mined.select(F.explode("tokens").alias("token")).distinct()
+    counts = written(
+        labelled.select(F.explode("tokens").alias("token")).groupBy("token").count().join(used, "token"),
+        "url-token-counts",
+    )
+    filed = (
+        mined.select("*", F.explode("tokens").alias("token"))
+        .join(counts, "token")
+        .groupBy("tokens", "confidence", "support")
+        .agg(F.min(F.struct("count", "token"))["token"].alias("token"))
+        .select("token", F.col("tokens").alias("rule_tokens"), "confidence", "support")
+    )
+    # Equal sets of tokens are judged once; a set is told apart by a digest.
+    pages = told.withColumn("__set", F.sha2(F.to_json(F.array_sort("tokens")), 256))
+    sets = written(
+        pages.groupBy("__set").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("__rows")),
+        "url-sets",
+    )
+    # The exploded token goes to its rules; which of them lie in the set is checked there.
+    best = (
+        sets.select("__set", "tokens", F.explode("tokens").alias("token"))
+        .join(filed, "token")
+        .where(F.size(F.array_except("rule_tokens", "tokens")) == 0)
+        .groupBy("__set")
+        .agg(F.min(F.struct(-F.col("confidence"), -F.col("support"), "rule_tokens")).alias("best"))
+    )
+    judged_sets = sets.select("__set", "__rows").join(best, "__set", "left").select(
+        "__set",
+        "__rows",
+        F.array_join(F.col("best.rule_tokens"), " & ").alias("mined_rule"),
+        (-F.col("best.col1")).alias("confidence"),
+    )
+    rows = pages.select("page_id", "host", "path", "rule", "listed", "__set")
+    return look_up(rows, written(judged_sets, "url-judged"), "__set", ["mined_rule", "confidence"], "__rows").drop("__set")
+
+
+def filter_urls(
+    pages: DataFrame,
+    labels: DataFrame,
+    rules: Sequence[tuple[str, str]] = LISTED,
+    page_id: str = "page_id",
+    url: str = "url",
+    min_support: float = MIN_SUPPORT,
+    min_confidence: float = MIN_CONFIDENCE,
+    min_urls: int = MIN_URLS,
+    index_rules: int = INDEX_RULES,
+) -> DataFrame:
+    """``page_id, host, path, rule, verdict, mined_rule, confidence`` of every row."""
+    told = judged(pages, rules, page_id, url)
+    labelled = written(labelled_urls(told, labels), "url-labels")
+    mined = rule_table(labelled, min_support, min_confidence, min_urls=min_urls)
+    if mined.count() <= index_rules:
+        found = found_by_index(told, labelled, collected(mined))
+    else:
+        found = found_by_join(told, labelled, mined)
     by_method = F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return found.select(
         "page_id",

@@ -320,6 +320,32 @@ def test_mined_rules_match_counting(spark):
     assert sorted(i for v in index.values() for i in v) == list(range(len(got)))
 
 
+def test_longer_rules_stay_however_many_are_redundant(spark):
+    """Patterns of many tokens imply thousands of redundant combinations; none displaces a rule."""
+    names = [f"t{i}" for i in range(9)]
+    rows = [([f"{n}.{k}" for n in names], "block") for k in range(100) for _ in range(5)]
+    for _ in range(5):
+        rows += [(["y", "z", "zz"], "block")] + [(list(x), "allow") for x in (("y", "z"), ("y", "zz"), ("z", "zz"))] * 3
+    rows += [(["other"], "allow")] * 500
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string").repartition(8)
+    got = {t for t, _, _ in url_rules.mine_rules(labelled, 0.002, 0.8, 1.2, 3)}
+    assert got == {(f"{n}.{k}",) for n in names for k in range(100)} | {("y", "z", "zz")}
+
+
+def test_joined_rules_equal_indexed_rules(spark, labels):
+    rng = np.random.default_rng(9)
+    urls = []
+    for i in range(600):
+        a, b, c = rng.integers(0, 4, 3)
+        urls.append(f"http://h{a}.net/p{b}/{i % 9}?q{c}=1" if i % 3 else f"http://h{a}.de.com/{'de' if a == c else 'fr'}/p{b}?q{c}")
+    rows = [(i, u) for i, u in enumerate(urls + [None, "", "x", urls[0]])] + [(None, urls[1]), (0, urls[0])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    indexed, joined = (
+        Counter(tuple(r) for r in url_rules.filter_urls(pages, labels, min_urls=3, index_rules=n).collect()) for n in (10**6, 0)
+    )
+    assert indexed == joined and sum(r[5] is not None for r in indexed) > 50
+
+
 def test_pages_of_the_given_table(spark):
     rows = entry.queries()["op5_url_rules"](spark, SF).collect()
     urls = dict(duckdb.connect().execute(f"SELECT page_id, url FROM '{SF}/pages.parquet'").fetchall())
