@@ -50,6 +50,8 @@ MAX_TOKENS = 4
 INDEX_RULES = 10_000
 
 BLOCK, ALLOW = "verdict=block", "verdict=allow"
+#: What all path parts of digits alone are called.
+NUMBER = "<number>"
 
 
 def host_of(url: Column) -> Column:
@@ -82,7 +84,7 @@ def verdict_of(rules: Sequence[tuple[str, str]], rule: Column) -> Column:
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a URL; numbers in paths count as one token."""
+    """Distinct tokens of a URL; path parts of digits alone count as one token."""
     scheme = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(.*?)://", 1)
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     endings = F.transform(
@@ -90,7 +92,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         lambda n: F.concat(F.lit("end:"), F.array_join(F.slice(labels, -n, n), ".")),
     )
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    named = F.filter(parts, lambda x: ~x.rlike(r"^[0-9]"))
+    named = F.transform(parts, lambda x: F.when(x.rlike(r"^[0-9]+$"), NUMBER).otherwise(x))
     ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1)
     query = F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#]+)="), F.lit(1))
     tokens = F.concat(

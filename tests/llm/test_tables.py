@@ -332,6 +332,19 @@ def test_longer_rules_stay_however_many_are_redundant(spark):
     assert got == {(f"{n}.{k}",) for n in names for k in range(100)} | {("y", "z", "zz")}
 
 
+def test_path_parts_that_begin_with_a_digit_are_tokens(spark, labels):
+    """Names such as 18plus decide; numbers are one token."""
+    seen = spark.createDataFrame([("http://a.b/18plus/2024-casino/12/345/x9",), ("http://a.b/7",)], "url string")
+    tokens = seen.select(url_rules.url_tokens(F.col("url"), url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url"))))
+    first, second = ({t for t in r[0] if t.startswith("path:")} for r in tokens.collect())
+    assert first == {"path:18plus", "path:2024-casino", "path:<number>", "path:x9"} and second == {"path:<number>"}
+    known = [(1 if i % 2 else 2, f"http://h{i % 7}.net/{'18plus' if i % 2 else '2024'}/n{i % 5}/{i}") for i in range(400)]
+    told = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    pages = spark.createDataFrame(known + [(3, "http://new.net/18plus/"), (4, "http://new.net/2024/")], "page_id bigint, url string")
+    got = {r.page_id: r for r in url_rules.filter_urls(pages, told).collect()}
+    assert (got[3].verdict, got[3].mined_rule, got[4].verdict) == ("block", "path:18plus", "allow")
+
+
 def test_joined_rules_equal_indexed_rules(spark, labels):
     rng = np.random.default_rng(9)
     urls = []
