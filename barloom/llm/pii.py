@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field for disguised forms.
 
 The base spans are those of four patterns (email, ip, card, phone), leftmost and non-overlapping for
-each kind, with their checks. Around every digit, at-sign or spelled-out dot a window of tokens goes
+each kind, with their checks. Around every digit, at-sign or dot in disguise a window of tokens goes
 to the random field: labels are begin, inside and outside for each kind, features are words and word
 shapes of a token and its neighbours. It is fitted on a small labelled table by maximum likelihood
 and decoded by Viterbi over numpy batches of windows. A decoded span is added if it passes the check
@@ -96,7 +96,13 @@ def base_spans(text: str) -> list[Span]:
 # -- tokens and features --------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-_TRIGGER = re.compile(r"[0-9@]|(?<![^\W_])(?:dot|punto|punkt)(?![^\W_])|[(\[{<]at[)\]}>]|arroba|arobase", re.I)
+#: Every spelling of an at-sign or a dot that ``_AT_WORD`` and ``_DOT_WORD`` accept; a bare ``at`` and a
+#: plain dot only together, around a name.
+_TRIGGER = re.compile(
+    r"[0-9@]|(?<![^\W_])(?:dot|punto|punkt|point)(?![^\W_])|[(\[{<]\s*+(?:at|\.)\s*+[)\]}>]|arroba|arobase"
+    r"|(?<=\s)at(?=\s++[a-z0-9-]++\s*+\.\s*+[a-z0-9-])",
+    re.I,
+)
 
 
 def windows(text: str) -> list[tuple[int, int]]:

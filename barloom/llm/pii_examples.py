@@ -54,6 +54,12 @@ TEMPLATES = (
     "we saw the {number} at the dot com boom",
     "meet at noon and look at the map",
     "look at the dot on the map",
+    "We met at noon. Then it rained.",
+    "they look at him. She left at once.",
+    "it was at home.and in the of",
+    "ce n'est point la fin (at) all",
+    "un point de vue, le point est clair",
+    "the list ( . ) ends at last . Next one",
     "token = {number} was in the log",
     "{number} and {number} are numbers",
     "a.b | c.d | {number} | e.f",
@@ -82,7 +88,9 @@ FILLERS = {
         "bob dot smith at gmail dot com", "john (at) corp (dot) example (dot) org",
         "ben [dot] hall [at] work [dot] example [dot] co", "zoe at uni-ulm dot de",
         "nina(dot)berg(at)firma(dot)example(dot)de", "ole punkt falk at dorf punkt example punkt de",
-        "info(@)example.org",
+        "info(@)example.org", "jill.ray at example.com", "joan ( at ) example.org", "dora [ at ] web.example.net",
+        "marc at domaine point fr", "gus at example (.) org", "pat at mail.example.com", "luc.petit at web ( . ) exemple ( . ) fr",
+        "rosa < at > correo punto es",
     ),
     "phone": (
         "(017) 555-7713", "974-555-3436", "974.555.3436", "(487) 555 7209", "555-0136-22",

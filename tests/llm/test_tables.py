@@ -108,6 +108,21 @@ def test_field_finds_disguised_spans_and_leaves_numbers_alone(field):
     assert all(not base and not added for base, added in find(clean))
 
 
+def test_every_accepted_disguise_is_seen(field):
+    hidden = {
+        "mail jane.doe at example.com now": "jane.doe at example.com",
+        "write to jane ( at ) example.com please": "jane ( at ) example.com",
+        "jane [ at ] example.com": "jane [ at ] example.com",
+        "contact: jean at exemple point fr": "jean at exemple point fr",
+        "Reach me at jane at example (.) com, any day": "jane at example (.) com",
+    }
+    for (text, span), (base, added) in zip(hidden.items(), pii.finder(field)(list(hidden))):
+        assert pii.passes("email", span) and pii.windows(text) and not base
+        assert [(k, text[a:b]) for k, a, b in added] == [("email", span)], text
+    clean = ["He stood at home. Nobody came.", "we looked at it . And then", "c'est un point de plus", "see ( . ) at the end"]
+    assert all(not base and not added for base, added in pii.finder(field)(clean))
+
+
 def test_viterbi_matches_all_paths():
     rng = np.random.default_rng(1)
     model = pii.RandomField({}, np.zeros((1, 9)), rng.normal(size=(9, 9)))
