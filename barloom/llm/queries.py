@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.llm import (
     divergence,
     exact_dedup,
     jaccard,
+    merkle,
     mixing,
     packing,
     pii,
@@ -71,6 +73,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering lower-cases the text of documents whose crc32 is divisible by five."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return merkle.verified_manifest(
+        table(spark, sf_dir, "documents"),
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+        F.translate("text", upper, upper.lower()),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this subpackage
 
@@ -90,11 +102,93 @@ LLM_QUERIES = {
         op8_divergence,
         op9_jaccard,
         op10_packing,
+        op13_merkle,
         pipeline,
     )
 }
 
+
+def _levels_sql(name: str, levels: int) -> str:
+    """Levels over ``{name}_0 (series, pos, n, node)``: runs of sixteen, and the rows above them."""
+    return "".join(
+        f"""
+{name}_r{k} AS (
+  SELECT series, pos // 16 AS pos, any_value(n) AS n, list(node ORDER BY pos) AS nodes
+  FROM {name}_{k} GROUP BY ALL),
+{name}_{k + 1} AS (
+  SELECT series, pos, (n + 15) // 16 AS n,
+         CASE WHEN n > 1 THEN sha256(array_to_string(nodes, '')) ELSE nodes[1] END AS node
+  FROM {name}_r{k}),"""
+        for k in range(levels)
+    )
+
+
+def _folds_sql(name: str, tree: str, levels: int) -> str:
+    """``{name}_f0 (series, place, h, siblings, ...)`` folded with the runs of ``tree``."""
+    left = "array_to_string(r.nodes[1:place % 16], '')"
+    right = "array_to_string(r.nodes[place % 16 + 2:], '')"
+    return "".join(
+        f"""
+{name}_f{k + 1} AS (
+  SELECT f.* EXCLUDE (place, h, siblings), place // 16 AS place,
+         CASE WHEN r.n > 1 THEN sha256({left} || h || {right}) ELSE h END AS h,
+         CASE WHEN r.n > 1 THEN siblings || {left} || {right} ELSE siblings END AS siblings
+  FROM {name}_f{k} f JOIN {tree}_r{k} r ON f.series = r.series AND f.place // 16 = r.pos),"""
+        for k in range(levels)
+    )
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_LEAF_SQL = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+_TAMPERED_SQL = """
+CASE WHEN crc32 % 5 = 0
+     THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"""
+
 LLM_ORACLES = {
+    "op13_merkle": f"""
+WITH RECURSIVE t(i, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM t WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS steps FROM t WHERE k = 8),
+chars(doc_id, k, c) AS (
+  SELECT doc_id, 0, 4294967295 FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, k + 1, xor(c >> 8, steps[xor(c, ascii(substr(doc_id::VARCHAR, k + 1, 1))) % 256 + 1])
+  FROM chars, crc WHERE k < len(doc_id::VARCHAR)),
+hashed AS (
+  SELECT doc_id, xor(c, 4294967295) AS crc32 FROM chars WHERE k = len(doc_id::VARCHAR)),
+leaves AS (
+  SELECT d.doc_id, d.source, {_field_sql("source")} AS series,
+         sha256({_LEAF_SQL} || {_field_sql("text")}) AS node,
+         sha256({_LEAF_SQL} || {_field_sql(_TAMPERED_SQL)}) AS start
+  FROM documents d LEFT JOIN hashed USING (doc_id)),
+d_0 AS (
+  SELECT *, row_number() OVER (w ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, count(*) OVER w AS n
+  FROM leaves WINDOW w AS (PARTITION BY series)),
+{_levels_sql("d", 6)}
+d_f0 AS (SELECT *, pos AS place, start AS h, '' AS siblings FROM d_0),
+{_folds_sql("d", "d", 6)}
+subroots AS (SELECT series AS of_series, node FROM d_6),
+s_0 AS (
+  SELECT '' AS series, of_series, node, count(*) OVER () AS n,
+         row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos
+  FROM subroots JOIN (SELECT DISTINCT series AS of_series, source FROM leaves) USING (of_series)),
+{_levels_sql("s", 4)}
+c_f0 AS (
+  SELECT '' AS series, d.doc_id, d.node AS leaf, d.siblings AS below, s.node AS subroot,
+         s.pos AS place, d.h, '' AS siblings
+  FROM d_f6 d JOIN s_0 s ON d.series = s.of_series),
+{_folds_sql("c", "s", 4)}
+root AS (SELECT node AS root FROM s_4)
+SELECT doc_id, leaf, subroot, root, sha256(below || siblings) AS proof_sha256,
+       h AS folded_root, h = root AS verified
+FROM c_f4, root
+""",
     "op4_exact_dedup": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
