@@ -16,6 +16,7 @@ from barloom.llm import (
     pii,
     pii_examples,
     quality_pu,
+    runs,
     token_counts,
     toxicity,
     url_rules,
@@ -73,6 +74,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents' words, every tenth document with a repeated tail."""
+    docs = table(spark, sf_dir, "documents")
+    return runs.run_digests(runs.find_runs(docs, rewrite=runs.repeat_tail))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tampering lower-cases the text of documents whose crc32 is divisible by five."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -102,6 +109,7 @@ LLM_QUERIES = {
         op8_divergence,
         op9_jaccard,
         op10_packing,
+        op12_runs,
         op13_merkle,
         pipeline,
     )
