@@ -16,6 +16,7 @@ from barloom.llm import (
     pii,
     pii_examples,
     quality_pu,
+    repeats,
     runs,
     token_counts,
     toxicity,
@@ -74,6 +75,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.span_counts(repeats.repeated_ranges(table(spark, sf_dir, "documents")))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the documents' words, every tenth document with a repeated tail."""
     docs = table(spark, sf_dir, "documents")
@@ -109,6 +114,7 @@ LLM_QUERIES = {
         op8_divergence,
         op9_jaccard,
         op10_packing,
+        op11_repeats,
         op12_runs,
         op13_merkle,
         pipeline,
