@@ -39,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import look_up, map_batches, text_or_empty
@@ -411,36 +411,54 @@ def _cut_again(contents: DataFrame, least: int, gram: int) -> DataFrame:
 
         return step
 
-    ids = contents.select(F.concat(F.hex("one"), F.lit("-"), F.hex("two")).alias("id"), "bytes")
+    ids = contents.select("id", "bytes")
     return map_batches(ids, make, f"id string, {_SEGMENTS}")
 
 
 def _repeated_contents(
     level: _Level, contents: DataFrame, least: int, grams: tuple[int, ...], group_bytes: int
 ) -> DataFrame:
-    """``one, two, copies, ranges`` of contents (with ``bytes``) that hold repeated windows."""
+    """``one, two, copies, ranges`` of contents (with ``bytes``) that hold repeated windows.
+
+    A content with copies is repeated whole; it is compared all the same, for what others share with it.
+    """
     sized = contents.withColumn("size", F.col("high") - F.col("low") + least - 1)
     groups = sized.groupBy("key").agg(F.sum("size").alias("group"))
     large = written(groups.where(F.col("group") > group_bytes), "repeats-large")
-    copies = level.distinct.select("one", "two", "copies")
     if large.isEmpty():
-        return _searched(sized, least).join(copies, ["one", "two"])
-    found = _searched(sized.join(large, "key", "left_anti"), least)
-    again = written(sized.join(large, "key", "left_semi").select("one", "two", "bytes"), "repeats-again")
-    again = again.withColumn("id", F.concat(F.hex("one"), F.lit("-"), F.hex("two")))
+        found = _searched(sized, least)
+    else:
+        found = _searched(sized.join(large, "key", "left_anti"), least).unionByName(
+            _repeated_by_longer_grams(sized.join(large, "key", "left_semi"), least, grams, group_bytes)
+        )
+    whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("high") - F.col("low")).alias("high"))).cast(_RANGES)
+    copied = level.distinct.where("copies > 1").select("one", "two", "copies", whole.alias("ranges"))
+    single = level.distinct.where("copies = 1").select("one", "two", "copies")
+    return found.join(single, ["one", "two"]).select("one", "two", "copies", "ranges").unionByName(copied)
+
+
+def _repeated_by_longer_grams(
+    contents: DataFrame, least: int, grams: tuple[int, ...], group_bytes: int
+) -> DataFrame:
+    """``one, two, ranges`` of the contents of groups that are too large for one task."""
+    name = F.concat(F.hex("one"), F.lit("-"), F.hex("two")).alias("id")
+    again = written(contents.select("one", "two", "bytes", name), "repeats-again")
     gram, rest = (grams[0], grams[1:]) if grams else (least, ())
     cut = written(_cut_again(again, least, gram), "repeats-cut")
-    next_level = _compare(_exploded(cut, "id"), "id", last=gram == least)
+    level = _compare(_exploded(cut, "id"), "id", last=gram == least)
     if gram == least:
-        inner = _no_contents(next_level)
+        inner = _no_contents(level)
     else:
-        parts = next_level.distinct.join(again.select("id", "bytes"), "id").withColumn(
-            "bytes", F.expr("substring(bytes, int(low) + 1, int(high - low) + %d)" % (least - 1))
-        )
-        inner = _repeated_contents(next_level, written(parts, "repeats-parts"), least, rest, group_bytes)
-    owners = _owner_ranges(next_level, written(inner, "repeats-contents"), "id")
-    deeper = again.join(owners, "id").select("one", "two", "ranges")
-    return found.unionByName(deeper).join(copies, ["one", "two"])
+        parts = level.distinct.join(again.select("id", "bytes"), "id")
+        parts = parts.withColumn("bytes", _piece("low", "high", least))
+        inner = _repeated_contents(level, written(parts, "repeats-parts"), least, rest, group_bytes)
+    owners = _owner_ranges(level, written(inner, "repeats-contents"), "id")
+    return again.join(owners, "id").select("one", "two", "ranges")
+
+
+def _piece(low: str, high: str, least: int) -> Column:
+    """The bytes of the windows from ``low`` to ``high`` (exclusive)."""
+    return F.expr(f"substring(bytes, int({low}) + 1, int({high} - {low}) + {least - 1})")
 
 
 def _no_contents(level: _Level) -> DataFrame:
@@ -496,11 +514,10 @@ def repeated_ranges(
     parts = level.distinct.groupBy("t").agg(F.collect_list(F.struct("one", "two", "key", "low", "high")).alias("parts"))
     touched = level.live.select("t").distinct().join(parts, "t", "left")
     texts = written(_with_texts(docs, written(touched, "repeats-touched"), doc_id, text).dropDuplicates(["t"]), "repeats-texts")
-    segment = F.expr("substring(bytes, int(part.low) + 1, int(part.high - part.low) + %d)" % (least - 1))
     contents = (
         texts.where("parts IS NOT NULL")
         .withColumn("part", F.explode("parts"))
-        .select("part.*", segment.alias("bytes"))
+        .select("part.*", _piece("part.low", "part.high", least).alias("bytes"))
     )
     found = _repeated_contents(level, contents, least, grams[1:], group_bytes)
     ranges = _owner_ranges(level, written(found, "repeats-contents"), "t")
