@@ -2,58 +2,43 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import schema as S
+from barloom.functions.scalars import quoted
 from barloom.operators import backtest as bt
+from barloom.operators import boost
 from barloom.operators.blocks import BLOCK_ROWS, LENGTH, POSITION, with_position
 from barloom.operators.features import features
 from barloom.operators.folds import in_fold
 from barloom.operators.scaler import apply_scaler
 from barloom.operators.search import CLASSIFIER_SPACE, best_trial
 from barloom.operators.signals import gate_prices, live_prices, newest_row, tuned_signals
-from barloom.session import shared_dir
 
-#: Spark's trees stop at this depth.
-_DEEPEST = 30
 #: Boosting rounds where none are given.
 ITERATIONS = 100
 SIDES = ("buy", "sell")
+LABELS = tuple(f"y_{side}" for side in SIDES)
 
+Edges = Sequence[Sequence[float]]
 
-def classifier(
-    params: dict, side: str, seed: int = 42, weighted: bool = True, iterations: int = ITERATIONS
-) -> GBTClassifier:
-    """Boosted trees from one trial's parameters.
 
-    Depth, learning rate, column sampling and leaf size carry over. The leaf count is bounded
-    through the depth, ``2^depth <= num_leaves`` at most one level more; Spark's trees have no
-    L1 or L2 penalty, so ``reg_alpha`` and ``reg_lambda`` are sampled and tracked only.
-    """
-    leaves = int(params[f"num_leaves_{side}"])
-    depth = min(int(params[f"max_depth_{side}"]), _DEEPEST, max(1, (leaves - 1).bit_length()))
-    model = GBTClassifier(
-        featuresCol="features",
-        labelCol=f"y_{side}",
-        predictionCol=f"pred_{side}",
-        maxDepth=depth,
-        maxIter=iterations,
-        stepSize=float(params[f"learning_rate_{side}"]),
-        minInstancesPerNode=int(params[f"min_child_samples_{side}"]),
-        featureSubsetStrategy=str(float(params[f"colsample_bytree_{side}"])),
-        seed=seed,
-        checkpointInterval=10,
+def classifier(params: dict, side: str) -> boost.TreeParams:
+    """Settings of one side's boosted trees from one trial's parameters."""
+    return boost.TreeParams(
+        num_leaves=int(params[f"num_leaves_{side}"]),
+        learning_rate=float(params[f"learning_rate_{side}"]),
+        colsample=float(params[f"colsample_bytree_{side}"]),
+        min_child_samples=int(params[f"min_child_samples_{side}"]),
+        reg_alpha=float(params[f"reg_alpha_{side}"]),
+        reg_lambda=float(params[f"reg_lambda_{side}"]),
+        max_depth=int(params[f"max_depth_{side}"]),
     )
-    model = model.setRawPredictionCol(f"raw_{side}").setProbabilityCol(f"prob_{side}")
-    return model.setWeightCol(f"weight_{side}") if weighted else model
 
 
 def balance_weights(df: DataFrame) -> DataFrame:
@@ -78,31 +63,67 @@ def balance_weights(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Classifiers:
-    """The fitted pair; ``columns`` are the model inputs in order."""
+    """The fitted pair; ``columns`` are the model inputs in order, ``edges`` their bins."""
 
-    model: PipelineModel
+    forest: boost.Forest
     columns: tuple[str, ...]
+    edges: tuple[tuple[float, ...], ...]
+
+    def scored(self, df: DataFrame) -> DataFrame:
+        """Rows with the raw scores of both sides: ``raw_buy`` and ``raw_sell``, one number per tree
+        and round (three for three classes)."""
+        values = F.array(*[quoted(c).cast("double") for c in self.columns])
+        raw = df.withColumn("__raw", boost.scorer(self.forest, self.edges)(values))
+        parts, start = {}, 1
+        for side, member in zip(SIDES, self.forest.members):
+            parts[f"raw_{side}"] = F.slice("__raw", start, member.units)
+            start += member.units
+        return raw.withColumns(parts).drop("__raw")
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Rows with ``pred_buy`` and ``pred_sell``; no join, the model keeps the row."""
-        scored = self.model.transform(_renamed(df, self.columns))
-        kept = [F.col(f"`{c}`") for c in df.columns]
-        return scored.select(*kept, "pred_buy", "pred_sell")
+        """Rows with ``pred_buy`` and ``pred_sell``; no join, the model keeps the row.
+
+        Two classes: 1 where the score is above zero. More: the class with the largest score, the
+        first of equal ones.
+        """
+        kept = [quoted(c) for c in df.columns]
+        preds = [
+            predicted(F.col(f"raw_{side}"), member).alias(f"pred_{side}")
+            for side, member in zip(SIDES, self.forest.members)
+        ]
+        return self.scored(df).select(*kept, *preds)
 
     def save(self, path: str) -> None:
-        """Both models, and the names of their inputs in order."""
-        self.model.write().overwrite().save(f"{path}/models")
+        """Trees, models, and the names and bins of the inputs in order."""
         spark = SparkSession.active()
-        names = list(enumerate(self.columns))
-        spark.createDataFrame(names, "place int, name string").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/columns")
+        inputs = [(k, c, list(e)) for k, (c, e) in enumerate(zip(self.columns, self.edges))]
+        members = [(k, json.dumps(asdict(m))) for k, m in enumerate(self.forest.members)]
+        for name, table in (
+            ("trees", boost.tree_table(spark, self.forest)),
+            ("inputs", spark.createDataFrame(inputs, "place int, name string, edges array<double>")),
+            ("members", spark.createDataFrame(members, "place int, member string")),
+        ):
+            table.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
     @classmethod
     def load(cls, path: str) -> "Classifiers":
         spark = SparkSession.active()
-        names = spark.read.parquet(f"{path}/columns").orderBy("place").collect()
-        return cls(PipelineModel.load(f"{path}/models"), tuple(r.name for r in names))
+        inputs = spark.read.parquet(f"{path}/inputs").orderBy("place").collect()
+        members = []
+        for row in spark.read.parquet(f"{path}/members").orderBy("place").collect():
+            told = json.loads(row.member)
+            lists = {k: tuple(told[k]) for k in ("classes", "weights", "start")}
+            members.append(boost.Member(**told | lists | {"params": boost.TreeParams(**told["params"])}))
+        forest = boost.forest_of(spark.read.parquet(f"{path}/trees"), members)
+        return cls(forest, tuple(r.name for r in inputs), tuple(tuple(r.edges) for r in inputs))
+
+
+def predicted(raw: Column, member: boost.Member) -> Column:
+    """The class (as a double) that a model's raw scores choose."""
+    if member.units == 1:
+        return F.when(raw[0] > 0, float(member.classes[1])).otherwise(float(member.classes[0]))
+    place = F.array_position(raw, F.array_max(raw)).cast("int")
+    return F.element_at(F.array(*[F.lit(float(c)) for c in member.classes]), place)
 
 
 @dataclass(frozen=True)
@@ -136,9 +157,10 @@ class CompositeModel:
         return score_latest(bars, self.scaler, self.classifiers, self.parameters)
 
 
-def _renamed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Copies of the inputs under plain names: the assembler does not accept dots."""
-    return df.withColumns({f"__f{k}": F.col(f"`{c}`") for k, c in enumerate(columns)})
+def _classes(counts: dict[tuple[int, int], dict[int, int]]) -> tuple[int, ...]:
+    """Two classes where all labels are 0 or 1, else the three of unfilled, bad and good orders."""
+    seen = {c for sizes in counts.values() for c in sizes}
+    return (0, 1) if seen <= {0, 1} else (-1, 0, 1)
 
 
 def fit_classifiers(
@@ -148,24 +170,42 @@ def fit_classifiers(
     seed: int = 42,
     class_weight: str = "balanced",
     iterations: int = ITERATIONS,
+    edges: Edges | None = None,
 ) -> Classifiers:
-    """Fit the buy and the sell model on labelled rows of all symbols together."""
-    weighted = class_weight == "balanced"
+    """Fit the buy and the sell model on labelled rows of all symbols together.
+
+    Bins have equal shares of the rows unless their ``edges`` are given. Labels may be binary or
+    -1, 0, 1. Both models grow in the same jobs.
+    """
     if train.isEmpty():
         raise ValueError("no labelled rows are left to fit on; the series are too short")
-    rows = balance_weights(train) if weighted else train
-    assembler = VectorAssembler(inputCols=[f"__f{k}" for k in range(len(columns))], outputCol="features")
-    stages = [assembler] + [classifier(params, side, seed, weighted, iterations) for side in SIDES]
-    prepared = _renamed(rows, columns)
-    return Classifiers(Pipeline(stages=stages).fit(prepared), tuple(columns))
+    edges = edges if edges is not None else boost.quantile_edges(train, columns)
+    rows = boost.binned_rows(train, columns, edges, LABELS, F.lit(1), [])
+    counts = boost.train_counts(rows, 1)
+    classes = _classes(counts)
+    members = [
+        boost.member(
+            classifier(params, side), k, 0, counts[k, 0], seed, class_weight == "balanced", classes
+        )
+        for k, side in enumerate(SIDES)
+    ]
+    width = 1 + max(len(e) for e in edges)
+    forest, _ = boost.fit(rows, members, iterations, len(columns), width)
+    return Classifiers(forest, tuple(columns), tuple(map(tuple, edges)))
 
 
 def importances(fitted: Classifiers, side: str, df: DataFrame) -> DataFrame:
-    """Feature importances ``(feature, importance)``; one row per model input."""
-    trees = fitted.model.stages[1 + SIDES.index(side)]
-    values = trees.featureImportances.toArray().tolist()
+    """``feature, importance, gain``: splits on every model input, and the loss they took off."""
+    first = sum(m.units for m in fitted.forest.members[: SIDES.index(side)])
+    splits, gains = [0] * len(fitted.columns), [0.0] * len(fitted.columns)
+    for trees in fitted.forest.trees[first : first + fitted.forest.members[SIDES.index(side)].units]:
+        for tree in trees:
+            for f, gain in zip(tree.feature, tree.gain):
+                if f >= 0:
+                    splits[f] += 1
+                    gains[f] += gain
     return df.sparkSession.createDataFrame(
-        list(zip(fitted.columns, values)), "feature string, importance double"
+        list(zip(fitted.columns, splits, gains)), "feature string, importance bigint, gain double"
     ).orderBy(F.desc("importance"), "feature")
 
 
@@ -176,34 +216,43 @@ def classifier_scores(
     account: S.BacktestParams = S.BacktestParams(),
     params: S.OptimizeParams = S.OptimizeParams(),
     iterations: int = ITERATIONS,
-    parallel: int = 4,
+    edges: Edges | None = None,
 ) -> DataFrame:
     """Mean gated-backtest metric per trial over the folds' test ranges.
 
-    ``labelled`` should be a written table: every fit reads its fold's rows from it by a filter on
-    the position. ``parallel`` fits run at a time; scored rows are written per trial and fold and
-    backtested in one job keyed by (symbol, trial, fold).
+    The models of all trials, folds and sides grow together: a row carries the folds whose train
+    range holds it, and every job adds up histograms by (model, leaf, feature, bin). Test rows carry
+    their scores along, and all gated backtests are one job keyed by (symbol, trial, fold).
     """
-    spark = labelled.sparkSession
-    path = shared_dir(spark, "classifier-scores")
-
-    def one(task: tuple[dict, int]) -> None:
-        trial, fold = task
-        train = labelled.where(in_fold(params, fold, "train"))
-        fitted = fit_classifiers(
-            train, columns, trial, account.seed, params.class_weight, iterations
+    folds = range(params.n_splits)
+    train = sum((F.when(in_fold(params, f, "train"), 1 << f).otherwise(0) for f in folds), F.lit(0))
+    tested = F.coalesce(*[F.when(in_fold(params, f, "test"), f) for f in folds])
+    edges = edges if edges is not None else boost.quantile_edges(labelled.where(train > 0), columns)
+    kept = [S.SYMBOL, *S.PRICES, "buy", "sell", POSITION, LENGTH, "fold"]
+    rows = labelled.withColumn("fold", tested).where((train > 0) | F.col("fold").isNotNull())
+    rows = boost.binned_rows(rows, columns, edges, LABELS, train, kept)
+    counts = boost.train_counts(rows, params.n_splits)
+    classes = _classes(counts)
+    members = [
+        boost.member(
+            classifier(t, side), k, f, counts.get((k, f), {}), account.seed,
+            params.class_weight == "balanced", classes,
         )
-        rows = gate_prices(fitted.predict(labelled.where(in_fold(params, fold, "test"))))
-        rows = rows.select(S.SYMBOL, *S.PRICES, "buy", "sell", POSITION, LENGTH)
-        rows.write.parquet(f"{path}/trial={trial['trial']}/fold={fold}")
-
-    tasks = [(t, f) for t in trials for f in range(params.n_splits)]
-    with ThreadPoolExecutor(parallel) as pool:
-        for done in [pool.submit(one, task) for task in tasks]:
-            done.result()
+        for t in trials for f in folds for k, side in enumerate(SIDES)
+    ]
+    width = 1 + max(len(e) for e in edges)
+    _, scored = boost.fit(rows, members, iterations, len(columns), width, keep_trees=False)
+    # A test row meets the models of its own fold, two per trial.
+    per_side = members[0].units
+    place = (F.col("__t") * params.n_splits + F.col("fold")) * len(SIDES) * per_side
+    chosen = scored.where("fold IS NOT NULL").withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(len(trials) - 1))))
+    for k, side in enumerate(SIDES):
+        raw = F.slice("scores", (place + k * per_side + 1).cast("int"), per_side)
+        chosen = chosen.withColumn(f"pred_{side}", predicted(raw, members[k]))
+    numbers = F.array(*[F.lit(t["trial"]) for t in trials])
+    rows = gate_prices(chosen).select(*kept, F.get(numbers, F.col("__t")).alias("trial"))
     per_fold = bt.metric(
-        spark.read.parquet(path), params.optimize_target_clf, account, params.pyramiding,
-        keys=(S.SYMBOL, "trial", "fold"),
+        rows, params.optimize_target_clf, account, params.pyramiding, keys=(S.SYMBOL, "trial", "fold")
     )
     return per_fold.groupBy(S.SYMBOL, "trial").agg(F.avg("metric").alias("metric"))
 

@@ -61,15 +61,15 @@ def signal_trials(n_trials: int, seed: int = 42) -> list[dict]:
     ]
 
 
-def classifier_trials(n_trials: int, seed: int = 42) -> list[dict]:
+def classifier_trials(n_trials: int, seed: int = 42, space: dict = CLASSIFIER_SPACE) -> list[dict]:
     """Random classifier parameters, one set for buys and one for sells."""
     return [
         {
             "trial": t,
             **{
-                f"{name}_{side}": draw(*space, uniform(seed, t, f"{name}_{side}"))
+                f"{name}_{side}": draw(*limits, uniform(seed, t, f"{name}_{side}"))
                 for side in ("buy", "sell")
-                for name, space in CLASSIFIER_SPACE.items()
+                for name, limits in space.items()
             },
         }
         for t in range(n_trials)

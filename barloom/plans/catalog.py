@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom import schema as S
 from barloom.operators import (
     backtest as bt,
+    boost,
     features as ft,
     folds,
     labels as lb,
@@ -705,10 +706,22 @@ def payload_open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- classifiers ----------------------------------------------------------------------------------
 
-#: Signal parameters of the classifier queries, and quick settings: the fit is not what they show.
+#: Signal parameters of the classifier queries.
 MODEL_LENGTH, MODEL_POINT = 5, 0.05
-_CLASSIFIER = search.classifier_trials(1, ACCOUNT.seed)[0]
-_ROUNDS = 5
+#: Upper bounds of the classifiers' bins, in deviations, the same for all inputs.
+MODEL_EDGES = [round(-3.0137 + 0.2 * k, 4) for k in range(boost.BINS - 1)]
+#: Settings of the fitted pair; SQL grows the same trees split by split.
+MODEL_ROUNDS = 3
+MODEL_PARAMS = {
+    f"{name}_{side}": value
+    for side, values in (("buy", (5, 0.5, 0.8, 20, 0.1, 1.0, 8)), ("sell", (4, 0.9, 0.5, 10, 2.0, 0.5, 8)))
+    for name, value in zip(search.CLASSIFIER_SPACE, values)
+}
+#: The searched trials: the published ranges, with few leaves.
+SEARCH_ROUNDS = 2
+SEARCH_TRIALS = search.classifier_trials(
+    12, ACCOUNT.seed, search.CLASSIFIER_SPACE | {"num_leaves": ("int", 2, 4), "reg_alpha": ("log", 0.1, 100.0)}
+)
 
 
 @dataclass(frozen=True)
@@ -721,8 +734,17 @@ class Prepared:
     signalled: DataFrame
     labelled: DataFrame
 
-    def fitted(self, params: dict = _CLASSIFIER, rounds: int = _ROUNDS) -> model.Classifiers:
-        return training.fit_last_fold(self.labelled, params, ACCOUNT, SEARCH, rounds)
+    def fitted(self, params: dict = MODEL_PARAMS, rounds: int = MODEL_ROUNDS) -> model.Classifiers:
+        return training.fit_last_fold(
+            self.labelled, params, ACCOUNT, SEARCH, rounds, [MODEL_EDGES] * len(S.FEATURES)
+        )
+
+    def scores(self) -> DataFrame:
+        """Metrics of the searched trials."""
+        return model.classifier_scores(
+            self.labelled, scaler.feature_columns(self.labelled), SEARCH_TRIALS, ACCOUNT, SEARCH,
+            SEARCH_ROUNDS, [MODEL_EDGES] * len(S.FEATURES),
+        )
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
@@ -751,32 +773,52 @@ def classifier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(rows.select(S.SYMBOL, S.TS, "buy", "sell", "y_buy", "y_sell"))
 
 
+def _sides(raw: str = "raw") -> list[Column]:
+    return [F.col(f"{raw}_{side}")[0].alias(f"score_{side}") for side in model.SIDES]
+
+
+@query
+def boost_first_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits of both models' first trees, with their gains."""
+    forest = prepared(spark, sf_dir).fitted(rounds=1).forest
+    table = boost.tree_table(spark, forest).where("feature >= 0")
+    names = F.array(*[F.lit(c) for c in S.FEATURES])
+    side = F.when(F.col("unit") == 0, "buy").otherwise("sell")
+    return out(table.select(side.alias("side"), F.get(names, F.col("feature")).alias("feature"), "bin", "gain"))
+
+
+@query
+def boost_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw scores of all labelled rows after one round and after three."""
+    stages = prepared(spark, sf_dir)
+    parts = []
+    for rounds in (1, MODEL_ROUNDS):
+        scored = stages.fitted(rounds=rounds).scored(stages.labelled)
+        parts.append(scored.select(S.SYMBOL, S.TS, F.lit(rounds).alias("rounds"), *_sides()))
+    return out(parts[0].unionByName(parts[1]))
+
+
 @query
 def classifier_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hold-out rows, last bar included; a prediction is one of the two labels."""
+    """Scores and classes of the hold-out rows, last bar included."""
     stages = prepared(spark, sf_dir)
-    scored = stages.fitted().predict(stages.signalled.where(folds.in_holdout(SEARCH)))
-    return scored.select(
-        S.SYMBOL,
-        F.col(S.TS).cast("timestamp_ntz").alias(S.TS),
-        F.col("pred_buy").isin(0.0, 1.0).alias("valid_buy"),
-        F.col("pred_sell").isin(0.0, 1.0).alias("valid_sell"),
-    )
+    fitted = stages.fitted()
+    held = stages.signalled.where(folds.in_holdout(SEARCH))
+    scored = fitted.scored(held).select(S.SYMBOL, S.TS, *_sides())
+    classes = fitted.predict(held).select(S.SYMBOL, S.TS, "pred_buy", "pred_sell")
+    return out(scored.join(classes, [S.SYMBOL, S.TS]))
 
 
 @query
 def classifier_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One share per model input and side; the shares of a side add up to one."""
+    """Splits on every model input, and what they gained."""
     stages = prepared(spark, sf_dir)
     fitted = stages.fitted()
     sides = [
         model.importances(fitted, side, stages.labelled).withColumn("side", F.lit(side))
         for side in model.SIDES
     ]
-    total = F.round(F.sum("importance").over(Window.partitionBy("side")), 6)
-    return sides[0].unionByName(sides[1]).select(
-        "side", "feature", (F.col("importance") >= 0).alias("valid"), total.alias("total")
-    )
+    return out(sides[0].unionByName(sides[1]).select("side", "feature", "importance", "gain"))
 
 
 @query
@@ -792,63 +834,39 @@ def classifier_holdout_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def classifier_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model's gate on the hold-out slice: prices stay or move out of reach, nothing else."""
+    """Backtest of the hold-out slice with the model's gate on the prices."""
     stages = prepared(spark, sf_dir)
-    rows = stages.signalled.where(folds.in_holdout(SEARCH)).withColumns(
-        {"__buy": F.col("buy"), "__sell": F.col("sell")}
-    )
-    gated = sg.gate_prices(stages.fitted().predict(rows))
-
-    def moved(by: Column) -> Column:
-        return (F.round(by, 6) == 0) | (F.round(by, 6) == S.GATE_OFFSET)
-
-    return out(
-        gated.select(
-            S.SYMBOL, S.TS, F.col("__buy").alias("buy"), F.col("__sell").alias("sell"),
-            moved(F.col("__buy") - F.col("buy")).alias("buy_gate"),
-            moved(F.col("sell") - F.col("__sell")).alias("sell_gate"),
-        )
+    curves = model.evaluate_holdout(
+        stages.signalled.where(folds.in_holdout(SEARCH)), stages.fitted(), ACCOUNT
     )
+    rows = curves.where("variant = 'gated'")
+    return out(rows.select(S.SYMBOL, S.TS, "buy", "sell", "pos", "profit", "pnl"))
 
 
 @query
 def classifier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every trial is scored over the folds; trials, folds and rounds are few here."""
-    stages = prepared(spark, sf_dir)
-    params = S.OptimizeParams(n_splits=2, optimize_target_clf="pnl")
-    scores = model.classifier_scores(
-        stages.labelled, scaler.feature_columns(stages.labelled), search.classifier_trials(2),
-        ACCOUNT, params, iterations=2,
-    )
-    return scores.select(S.SYMBOL, "trial", F.col("metric").isNotNull().alias("scored"))
+    """Mean test metric of every trial over all folds; all models grow together."""
+    return out(prepared(spark, sf_dir).scores().select(S.SYMBOL, "trial", "metric"))
 
 
 @query
 def best_classifier_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classifier parameters tracked as ``best_<name>``, written, read back and typed."""
+    """The search's winner, tracked as ``best_<name>``, written, read back and typed."""
+    pooled = written(model.pooled_scores(prepared(spark, sf_dir).scores()), "pooled")
+    chosen = model.chosen_trial(pooled, SEARCH_TRIALS, SEARCH.direction_clf)
     path = shared_dir(spark, "metrics")
-    write_metrics(model.tracked_best(spark, _CLASSIFIER), path, "run", "best-classifier")
+    write_metrics(model.tracked_best(spark, chosen), path, "run", "best-classifier")
     history = spark.read.parquet(path)
     return out(reshape.best_parameters(history, model.PARAMETER_TYPES, ["run_id"]))
 
 
 @query
 def latest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Limit prices of the newest bar from a saved and loaded model; the gate moves them or not."""
+    """Gated limit prices of the newest bar from a saved and loaded model."""
     stages = prepared(spark, sf_dir)
     path = shared_dir(spark, "model")
     model.CompositeModel(stages.best, stages.scaler, stages.fitted()).save(path)
-    prices = model.CompositeModel.load(spark, path).score(stages.bars)
-    # Prices lie below half the offset, so a moved price is told by its size.
-    far = S.GATE_OFFSET / 2
-    buy, sell = F.col("buy_limit_price"), F.col("sell_limit_price")
-    return out(
-        prices.select(
-            S.SYMBOL, S.TS,
-            F.when(buy < -far, buy + S.GATE_OFFSET).otherwise(buy).alias("buy"),
-            F.when(sell > far, sell - S.GATE_OFFSET).otherwise(sell).alias("sell"),
-        )
-    )
+    return out(model.CompositeModel.load(spark, path).score(stages.bars))
 
 
 # -- written and read back ------------------------------------------------------------------------

@@ -6,6 +6,8 @@ exponential means, self joins for rank correlation. They share no logic with the
 
 from __future__ import annotations
 
+import re
+
 from barloom import schema as S
 from barloom.plans.catalog import (
     ACCOUNT,
@@ -19,16 +21,21 @@ from barloom.plans.catalog import (
     LINE_LEVEL,
     LOGS,
     LONG_INTERVAL,
+    MODEL_EDGES,
     MODEL_LENGTH,
+    MODEL_PARAMS,
     MODEL_POINT,
+    MODEL_ROUNDS,
     NOW,
     PRICE_SCALED,
     SEARCH,
+    SEARCH_ROUNDS,
+    SEARCH_TRIALS,
     TRIALS,
     UNROUNDED,
-    _CLASSIFIER,
 )
-from barloom.operators.model import PARAMETER_TYPES
+from barloom.operators import boost
+from barloom.operators.model import PARAMETER_TYPES, classifier
 from barloom.operators.search import signal_trials as random_trials
 
 ORACLES: dict[str, str] = {}
@@ -300,14 +307,18 @@ _shown = ", ".join(f'"{n}"' if n in EXACT else r(f'"{n}"', n, digits(n)) for n i
 _complete = " AND ".join(f'"{n}" IS NOT NULL' for n in S.FEATURES)
 
 
-def all_features_sql(bars: str) -> str:
-    return f"""WITH RECURSIVE {bars}, {POS}, {recursive_features('pos')},
+def feature_ctes(bars: str) -> str:
+    """CTEs up to ``f`` with all features of every bar (WITH RECURSIVE needed)."""
+    return f"""{bars}, {POS}, {recursive_features('pos')},
 {rci_sql('pos')}, {cci_sql('pos')}, {levels_sql(sma_levels() | bb_levels() | reg_levels(), 'pos')},
 pl AS (SELECT symbol, ts, i, {_made} FROM pos),
 f AS (SELECT pos.symbol, pos.ts, {', '.join(f'pos.{c}' for c in S.OHLCV)}, {', '.join(_picked)}
   FROM pos JOIN pl USING (symbol, i) JOIN ld USING (symbol, i) JOIN exps USING (symbol, i)
-  JOIN emad USING (symbol, i) JOIN rci USING (symbol, i) JOIN cci USING (symbol, i))
-SELECT symbol, ts, {RAW}, {_shown} FROM f WHERE {_complete}"""
+  JOIN emad USING (symbol, i) JOIN rci USING (symbol, i) JOIN cci USING (symbol, i))"""
+
+
+def all_features_sql(bars: str) -> str:
+    return f"WITH RECURSIVE {feature_ctes(bars)} SELECT symbol, ts, {RAW}, {_shown} FROM f WHERE {_complete}"
 
 
 ORACLES["feat_all"] = all_features_sql(event_bars(level=LEVEL))
@@ -555,7 +566,7 @@ _short = f"NOT (m >= {SEARCH.n_splits + 1} AND m - {SEARCH.gap} - {SEARCH.n_spli
 ORACLES["left_out_series"] = f"""WITH {LINE_BARS}, {POS}, series AS (SELECT symbol, max(n) AS n, max({_M}) AS m FROM pos GROUP BY 1)
 SELECT symbol, n FROM series WHERE {_short}"""
 
-# -- classifiers: what is fixed about their outcome -----------------------------------------------
+# -- classifiers -----------------------------------------------------------------------------------
 
 # Every feature is present from row 200 on: the price level keeps all bands above zero.
 _MODEL = f"""{event_bars(INTERVAL, LEVEL, whole=True)}, {POS.replace('pos AS', 'allpos AS')},
@@ -568,23 +579,149 @@ lab AS (SELECT *, CASE WHEN lead("long") {w()} THEN buy ELSE 0 END AS eb,
 SELECT symbol, ts, {rs('buy', 'sell')}, (eb <> 0 AND eb < nc)::INTEGER AS y_buy, (es <> 0 AND es > nc)::INTEGER AS y_sell
 FROM lab JOIN folds USING (symbol)
 WHERE "limit" IS NOT NULL AND fold = {SEARCH.n_splits - 1} AND i BETWEEN train_start_i AND train_end_i"""
-ORACLES["classifier_predictions"] = f"""WITH {_MODEL}, {_held}
-SELECT symbol, ts, true AS valid_buy, true AS valid_sell FROM held"""
-_inputs = ", ".join(f"('{n}')" for n in S.FEATURES)
-ORACLES["classifier_importances"] = f"""SELECT side, feature, true AS valid, 1.0::DOUBLE AS total
-FROM (VALUES ('buy'), ('sell')) s(side), (VALUES {_inputs}) f(feature)"""
 ORACLES["classifier_holdout_base"] = f"""WITH {_MODEL}, {_held}, {backtest_ctes('held')}
 SELECT symbol, ts, {rs('pos', 'profit', 'pnl')} FROM bt"""
-ORACLES["classifier_holdout"] = f"""WITH {_MODEL}, {_held}
-SELECT symbol, ts, {rs('buy', 'sell')}, true AS buy_gate, true AS sell_gate FROM held"""
-ORACLES["classifier_search"] = "SELECT 'all' AS symbol, trial::INTEGER AS trial, true AS scored FROM range(2) t(trial)"
+
+# Boosted trees, one split at a time. The features are those of the whole series, scaled by the
+# first fold's train range.
+_FITTED = f"""allf AS (WITH RECURSIVE {feature_ctes(event_bars(INTERVAL, LEVEL, whole=True))}
+  SELECT * FROM f WHERE {_complete}),
+pos AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY symbol) AS n FROM allf),
+{signal_ctes(MODEL_LENGTH, MODEL_POINT)}, {_FOLDS}, {backtest_ctes('sig')},
+lab0 AS (SELECT *, CASE WHEN lead("long") {w()} THEN buy ELSE 0 END AS eb,
+  CASE WHEN lead("short") {w()} THEN sell ELSE 0 END AS es, lead(close) {w()} AS nc FROM b2),
+lab AS (SELECT i, (eb <> 0 AND eb < nc)::INTEGER AS y_buy, (es <> 0 AND es > nc)::INTEGER AS y_sell
+  FROM lab0 WHERE "limit" IS NOT NULL),
+x AS (SELECT i, unnest(range({len(S.FEATURES)})) AS f, unnest([{', '.join(f'"{n}"' for n in S.FEATURES)}]) AS x FROM pos),
+xs AS (SELECT f, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS scale
+  FROM x, folds WHERE fold = 0 AND i BETWEEN train_start_i AND train_end_i GROUP BY f),
+binned AS MATERIALIZED (SELECT i, f, len(list_filter([{', '.join(map(d, MODEL_EDGES))}], lambda e: e < (x - mean) / scale)) AS b
+  FROM x JOIN xs USING (f) WHERE i IN (SELECT i FROM sig))"""
+
+
+def boost_ctes(trials: list[dict], folds: list[int], rounds: int, rows: str) -> str:
+    """CTEs up to ``s_{rounds} (model, i, score)`` and ``splits (model, turn, f, b, gain)``.
+
+    One model per trial, fold and side, in this order. ``rows`` selects which (model, i) get scores
+    besides the rows learnt from. Depth limits beyond the number of leaves are not needed here.
+    """
+    models, masks = [], []
+    for t in trials:
+        for fold in folds:
+            for side in ("buy", "sell"):
+                p = classifier(t, side)
+                number = len(models)
+                models.append(
+                    f"({number}, {t.get('trial', 0)}, {fold}, '{side}', {d(p.learning_rate)}, {d(p.reg_alpha)},"
+                    f" {d(p.reg_lambda)}, {p.min_child_samples}, {p.num_leaves})"
+                )
+                for turn in range(rounds):
+                    used = boost.sampled_columns(
+                        boost.Member(p, 0, fold, ACCOUNT.seed), turn, 0, len(S.FEATURES)
+                    )
+                    masks.append(f"({number}, {turn}, {sum(1 << k for k, u in enumerate(used) if u)})")
+    grid = d(boost.GRID)
+    part = "(greatest(abs({0}) - l1, 0.0) * greatest(abs({0}) - l1, 0.0) / ({1} + l2))"
+    shrunk = "(sign(g) * greatest(abs(g) - l1, 0.0))"
+    ctes = [
+        f"models AS (SELECT * FROM (VALUES {', '.join(models)}) AS m(model, trial, fold, side, rate, l1, l2, least, leaves))",
+        f"masks AS (SELECT * FROM (VALUES {', '.join(masks)}) AS m(model, turn, mask))",
+        """learnt AS MATERIALIZED (SELECT model, i, CASE WHEN side = 'buy' THEN y_buy ELSE y_sell END AS y
+  FROM models JOIN folds USING (fold) JOIN lab ON i BETWEEN train_start_i AND train_end_i)""",
+        """sizes AS (SELECT model, count(*) AS total, count(*) FILTER (y = 1) AS ones FROM learnt GROUP BY 1)""",
+        """shares AS (SELECT model, total / (2 * (total - ones))::DOUBLE AS w0, total / (2 * ones)::DOUBLE AS w1,
+    total / (2 * (total - ones))::DOUBLE * (total - ones) AS s0, total / (2 * ones)::DOUBLE * ones AS s1 FROM sizes)""",
+        f"scored AS MATERIALIZED (SELECT model, i FROM learnt UNION {rows})",
+        "s_0 AS (SELECT model, i, ln(s1 / (s0 + s1)) - ln(s0 / (s0 + s1)) AS score FROM scored JOIN shares USING (model))",
+    ]
+    most = max(int(t[f"num_leaves_{side}"]) for t in trials for side in ("buy", "sell"))
+    for turn in range(rounds):
+        ctes.append(f"""g_{turn} AS MATERIALIZED (SELECT model, i,
+    floor((1.0 / (1.0 + exp(-score)) - y) * (CASE WHEN y = 1 THEN w1 ELSE w0 END) * {grid} + 0.5)::BIGINT AS g,
+    floor(1.0 / (1.0 + exp(-score)) * (1.0 - 1.0 / (1.0 + exp(-score))) * (CASE WHEN y = 1 THEN w1 ELSE w0 END) * {grid} + 0.5)::BIGINT AS h
+  FROM learnt JOIN s_{turn} USING (model, i) JOIN shares USING (model))""")
+        ctes.append(f"a_{turn}_0 AS (SELECT model, i, 0 AS leaf FROM scored)")
+        for k in range(1, most):
+            ctes.append(f"""h_{turn}_{k} AS (SELECT model, leaf, f, b, sum(g) AS g, sum(h) AS h, count(*) AS n
+  FROM g_{turn} JOIN a_{turn}_{k - 1} USING (model, i) JOIN binned USING (i) JOIN masks USING (model) JOIN models USING (model)
+  WHERE turn = {turn} AND (mask >> f) & 1 = 1 AND leaves > {k} GROUP BY ALL),
+c_{turn}_{k} AS (SELECT model, leaf, f, b, sum(g) OVER u / {grid} AS gl, sum(h) OVER u / {grid} AS hl, sum(n) OVER u AS nl,
+    sum(g) OVER v / {grid} AS gt, sum(h) OVER v / {grid} AS ht, sum(n) OVER v AS nt
+  FROM h_{turn}_{k} WINDOW u AS (PARTITION BY model, leaf, f ORDER BY b), v AS (PARTITION BY model, leaf, f)),
+e_{turn}_{k} AS (SELECT model, leaf, f, b, {part.format('gl', 'hl')} + {part.format('(gt - gl)', '(ht - hl)')} - {part.format('gt', 'ht')} AS gain
+  FROM c_{turn}_{k} JOIN models USING (model)
+  WHERE nl >= least AND nt - nl >= least AND hl >= 0.001 AND ht - hl >= 0.001),
+best_{turn}_{k} AS MATERIALIZED (SELECT * FROM e_{turn}_{k} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY model ORDER BY gain DESC, leaf, f, b) = 1),
+a_{turn}_{k} AS MATERIALIZED (SELECT a.model, a.i, CASE WHEN x.b > s.b THEN {k} ELSE a.leaf END AS leaf
+  FROM a_{turn}_{k - 1} a LEFT JOIN best_{turn}_{k} s ON s.model = a.model AND s.leaf = a.leaf
+    LEFT JOIN binned x ON x.i = a.i AND x.f = s.f)""")
+        ctes.append(f"""v_{turn} AS (SELECT model, leaf, -{shrunk} / (h + l2) * rate AS value
+  FROM (SELECT model, leaf, sum(g) / {grid} AS g, sum(h) / {grid} AS h
+    FROM g_{turn} JOIN a_{turn}_{most - 1} USING (model, i) GROUP BY 1, 2) JOIN models USING (model)
+  WHERE model IN (SELECT model FROM best_{turn}_1)),
+s_{turn + 1} AS MATERIALIZED (SELECT model, i, score + coalesce(value, 0.0) AS score
+  FROM s_{turn} JOIN a_{turn}_{most - 1} USING (model, i) LEFT JOIN v_{turn} USING (model, leaf))""")
+    every = " UNION ALL ".join(
+        f"SELECT model, {turn} AS turn, f, b, gain FROM best_{turn}_{k}" for turn in range(rounds) for k in range(1, most)
+    )
+    return ",\n".join(ctes) + f",\nsplits AS ({every})"
+
+
+_last = SEARCH.n_splits - 1
+_pair = f"""WITH RECURSIVE {_FITTED},
+{boost_ctes([MODEL_PARAMS], [_last], MODEL_ROUNDS, 'SELECT model, i FROM models, sig')},
+names AS (SELECT unnest(range({len(S.FEATURES)})) AS f, unnest([{', '.join(f"'{n}'" for n in S.FEATURES)}]) AS feature)"""
+ORACLES["boost_first_splits"] = f"""{_pair}
+SELECT side, feature, b::INTEGER AS bin, {r('gain', 'gain')} FROM splits JOIN names USING (f) JOIN models USING (model) WHERE turn = 0"""
+_both = """SELECT symbol, ts, {rounds}::INTEGER AS rounds, {buy}, {sell} FROM sig
+JOIN s_{rounds} b USING (i) JOIN s_{rounds} s USING (i) WHERE b.model = 0 AND s.model = 1 AND i IN (SELECT i FROM lab)"""
+ORACLES["boost_scores"] = _pair + " UNION ALL ".join(
+    _both.format(rounds=n, buy=r("b.score", "score_buy"), sell=r("s.score", "score_sell")) for n in (1, MODEL_ROUNDS)
+)
+_held_scores = f"""held AS (SELECT sig.*, b.score AS score_buy, s.score AS score_sell, (b.score > 0)::INTEGER::DOUBLE AS pred_buy,
+    (s.score > 0)::INTEGER::DOUBLE AS pred_sell
+  FROM sig JOIN s_{MODEL_ROUNDS} b USING (i) JOIN s_{MODEL_ROUNDS} s USING (i) WHERE b.model = 0 AND s.model = 1)"""
+ORACLES["classifier_predictions"] = f"""{_pair}, {_held_scores}
+SELECT symbol, ts, {rs('score_buy', 'score_sell')}, pred_buy, pred_sell FROM held WHERE i >= {_M} + {SEARCH.gap}"""
+ORACLES["classifier_importances"] = f"""{_pair}
+SELECT side, feature, count(gain) AS importance, {r('coalesce(sum(gain), 0)', 'gain')}
+FROM names JOIN models ON true LEFT JOIN splits USING (model, f) GROUP BY 1, 2"""
+_GATED = """gated AS (SELECT * REPLACE (CASE WHEN pred_buy <> 0 THEN buy ELSE buy - 10000 END AS buy,
+  CASE WHEN pred_sell <> 0 THEN sell ELSE sell + 10000 END AS sell) FROM {0})"""
+
+
+def again(ctes: str) -> str:
+    """Backtest CTEs a second time in one statement."""
+    return re.sub(r"\b(b[1-9]|bt)\b", r"\1_gated", ctes)
+
+
+ORACLES["classifier_holdout"] = f"""{_pair}, {_held_scores}, {_GATED.format('held')},
+late AS (SELECT * FROM gated WHERE i >= {_M} + {SEARCH.gap}), {again(backtest_ctes('late'))}
+SELECT symbol, ts, {rs('buy', 'sell', 'pos', 'profit', 'pnl')} FROM bt_gated"""
+ORACLES["latest_scores"] = f"""{_pair}, {_held_scores}
+SELECT symbol, ts, {r('buy - (1 - pred_buy) * 10000', 'buy_limit_price')}, {r('sell + (1 - pred_sell) * 10000', 'sell_limit_price')}
+FROM held WHERE i = n - 1"""
+_tested = "SELECT model, i FROM models JOIN folds USING (fold) JOIN lab ON i BETWEEN test_start_i AND test_end_i"
+_trials_sql = f"""WITH RECURSIVE {_FITTED},
+{boost_ctes(SEARCH_TRIALS, list(range(SEARCH.n_splits)), SEARCH_ROUNDS, _tested)},
+paired AS (SELECT i, trial, fold, max(score) FILTER (side = 'buy') AS sb, max(score) FILTER (side = 'sell') AS ss
+  FROM s_{SEARCH_ROUNDS} JOIN models USING (model) GROUP BY 1, 2, 3),
+tested AS (SELECT sig.*, trial, fold, (sb > 0)::INTEGER AS pred_buy, (ss > 0)::INTEGER AS pred_sell
+  FROM paired JOIN folds USING (fold) JOIN sig USING (i) WHERE i BETWEEN test_start_i AND test_end_i),
+{_GATED.format('tested')}, {again(backtest_ctes('gated', 'trial, fold'))},
+per_fold AS (SELECT any_value(symbol) AS symbol, trial, fold, {_SR} AS metric FROM bt_gated GROUP BY trial, fold),
+scores AS (SELECT symbol, trial::INTEGER AS trial, avg(metric) AS metric FROM per_fold GROUP BY 1, 2)"""
+ORACLES["classifier_search"] = f"{_trials_sql} SELECT symbol, trial, {rs('metric')} FROM scores"
 _typed = ", ".join(
-    f"{int(_CLASSIFIER[n])}::INTEGER AS {n}" if kind == "int" else f"round({d(_CLASSIFIER[n])}, 6) AS {n}"
-    for n, kind in PARAMETER_TYPES.items()
+    f"{n}::INTEGER AS {n}" if kind == "int" else r(n, n) for n, kind in PARAMETER_TYPES.items()
+)
+_values = ", ".join(
+    f"({t['trial']}, {', '.join(d(t[n]) for n in PARAMETER_TYPES)})" for t in SEARCH_TRIALS
 )
-ORACLES["best_classifier_parameters"] = f"SELECT 'run' AS run_id, {_typed}"
-ORACLES["latest_scores"] = f"""WITH {_MODEL.replace('pos AS (SELECT * REPLACE (i - 200 AS i, n - 200 AS n) FROM allpos WHERE i >= 200)', 'pos AS (SELECT * FROM allpos)')}
-SELECT symbol, ts, {rs('buy', 'sell')} FROM sig WHERE i = n - 1"""
+ORACLES["best_classifier_parameters"] = f"""{_trials_sql},
+winner AS (SELECT trial FROM scores WHERE metric IS NOT NULL ORDER BY metric DESC, trial LIMIT 1)
+SELECT 'run' AS run_id, {_typed} FROM (VALUES {_values}) t(trial, {', '.join(PARAMETER_TYPES)}) JOIN winner USING (trial)"""
 
 # -- written and read back ------------------------------------------------------------------------
 

@@ -80,12 +80,13 @@ def fit_last_fold(
     account: S.BacktestParams,
     params: S.OptimizeParams,
     iterations: int,
+    edges: model.Edges | None = None,
 ) -> model.Classifiers:
     """Both classifiers on the last fold's train range."""
     rows = labelled.where(folds.in_fold(params, params.n_splits - 1, "train"))
     columns = scaler.feature_columns(labelled)
     return model.fit_classifiers(
-        rows, columns, classifier_params, account.seed, params.class_weight, iterations
+        rows, columns, classifier_params, account.seed, params.class_weight, iterations, edges
     )
 
 
