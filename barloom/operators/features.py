@@ -100,8 +100,8 @@ def _cci(blocks: Blocks, target: str) -> Stages:
     ]
 
 
-def _rci_windows(blocks: Blocks, target: str) -> Stages:
-    return [{"__recent": rolling.window_values(blocks, target, max(S.RCI_LENGTHS))}]
+def _rci(blocks: Blocks, target: str) -> Stages:
+    return rolling.rank_correlations(blocks, target, dict(zip(S.FEATURE_GROUPS["rci"], S.RCI_LENGTHS)))
 
 
 _WINDOWED = {
@@ -116,7 +116,7 @@ _WINDOWED = {
     "mom": _mom,
     "roc": _roc,
     "cci": _cci,
-    "rci": _rci_windows,
+    "rci": _rci,
 }
 
 
@@ -279,22 +279,10 @@ def features(
     blocks = add_features(blocks, chosen, target)
     names = [name for g in S.FEATURE_GROUPS if g in chosen for name in S.FEATURE_GROUPS[g]]
     prefix = "" if target == "close" else f"{target}_"
-    ranks = dict(zip(S.FEATURE_GROUPS["rci"], S.RCI_LENGTHS)) if "rci" in chosen else {}
-    computed = [quoted(name) for name in names if name not in ranks]
     base = (S.SYMBOL, S.TS, *S.OHLCV, *keep)
-    out = blocks.own_rows(*base, *(["__recent"] if ranks else []), *computed)
-    complete = drop_incomplete if drop_incomplete is not None else groups is None
-    if complete:
-        out = out.where(all_present([c for c in out.columns if c != "__recent"]))
-    if ranks:
-        # Rank correlations run last and on own rows only: they leave the JVM. A rank is missing
-        # exactly where its window is not full, so rows go before the step and not by its outcome.
-        if complete:
-            out = out.where(F.size("__recent") >= max(S.RCI_LENGTHS))
-        out = out.withColumn("__rci", rolling.rank_correlations("__recent", S.RCI_LENGTHS))
-    columns = {n: f"__rci.n{ranks[n]}" if n in ranks else f"`{n}`" for n in names}
-    out = out.select(
-        *base,
-        *[F.col(source).alias(prefix + name) for name, source in columns.items()],
-    )
+    out = blocks.own_rows(*base, *[quoted(name) for name in names])
+    if drop_incomplete if drop_incomplete is not None else groups is None:
+        out = out.where(all_present(out.columns))
+    if prefix:
+        out = out.withColumnsRenamed({name: prefix + name for name in names})
     return out

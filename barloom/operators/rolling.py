@@ -199,44 +199,54 @@ def mean_deviation_score(values: str, mean: str, n: int, scale: float) -> str:
     )
 
 
-def rank_correlations(windows: str | Column, lengths: Sequence[int]) -> Column:
-    """Spearman correlations of an array's last ``n`` values with their time order.
-
-    Returns a struct with one field ``n<length>`` per length. With average ranks,
-    ``1 - 6 sum (rank - y)^2 / (n (n^2 - 1))`` equals ``(6 K + T / 2) / (n (n^2 - 1))``, where
-    ``K`` sums ``(b - a) sign(x_b - x_a)`` over all pairs a < b of the window and ``T`` sums
-    ``t^2 - 1`` over the values, t of them being equal. Whole Arrow batches are compared one
-    distance ``b - a`` at a time, without a loop over rows.
+def rank_correlations(blocks: Blocks, value: str, lengths: dict[str, int]) -> Stages:
+    """Spearman correlations of the last ``n`` values with their time order, by output column.
+
+    With average ranks, ``1 - 6 sum (rank - y)^2 / (n (n^2 - 1))`` equals
+    ``(6 K + T / 2) / (n (n^2 - 1))``, where ``K`` sums ``(b - a) sign(x_b - x_a)`` over all pairs
+    a < b of the window and ``T`` sums ``t^3 - t`` over the sizes of groups of equal values. Both
+    slide: the entering row adds its pairs with the rows before it, the leaving one takes its pairs
+    with the rows after it along; a row with ``c`` equals in the window changes ``T`` by
+    ``3 c (c + 1)``. They are running sums of whole numbers, so they are exact, start at any row of
+    a block, and need nothing but lags of the value.
     """
-    lengths = list(lengths)
-    fields = T.StructType([T.StructField(f"n{n}", T.DoubleType()) for n in lengths])
-
-    def correlate(batch: pa.Array) -> pa.Array:
-        ends = batch.offsets.to_numpy()
-        values = batch.values.to_numpy(zero_copy_only=False)
-        sizes = np.diff(ends)
-        columns = []
-        for n in lengths:
-            complete = sizes >= n
-            rows = ends[1:][complete] - n
-            x = values[rows + np.arange(n)[:, None]]
-            pairs = np.zeros(x.shape[1])
-            equal = np.ones(x.shape, dtype=np.int32)
-            for distance in range(1, n):
-                newer, older = x[distance:], x[:-distance]
-                same = newer == older
-                above = (newer > older).sum(axis=0)
-                pairs += distance * (2.0 * above + same.sum(axis=0) - (n - distance))
-                if same.any():
-                    equal[distance:] += same
-                    equal[:-distance] += same
-            ties = (equal * equal - 1).sum(axis=0)
-            result = np.zeros(len(sizes))
-            result[complete] = (6.0 * pairs + ties / 2.0) / (n * (n * n - 1))
-            columns.append(pa.array(result, mask=~complete))
-        return pa.StructArray.from_arrays(columns, names=[f"n{n}" for n in lengths])
-
-    return F.arrow_udf(correlate, fields)(windows)
+    most = max(lengths.values())
+    past = {k: f"`__{value}_past{k}`" for k in range(1, most + 1)}
+    now = f"`{value}`"
+
+    def terms(pairs: list[tuple[int, str, str]]) -> tuple[str, str]:
+        """Weighted signs, and how many values are equal; rows that do not exist count nothing."""
+        signs = " + ".join(f"coalesce({k} * sign({newer} - {older}), 0D)" for k, newer, older in pairs)
+        equal = " + ".join(f"CASE WHEN {newer} = {older} THEN 1D ELSE 0D END" for _, newer, older in pairs)
+        return f"({signs})", f"({equal})"
+
+    moves: dict[str, str] = {}
+    sums: dict[str, str] = {}
+    out: dict[str, str] = {}
+    entered: tuple[str, ...] = ()
+    known = 1
+    for name, n in sorted(lengths.items(), key=lambda x: x[1]):
+        # What a shorter window sums over the entering row's pairs, a longer one goes on from.
+        for part, text in zip(("in", "same_in"), terms([(k, now, past[k]) for k in range(known, n)])):
+            moves[f"__{name}_{part}"] = text
+        for part, text in zip(("out", "same_out"), terms([(k, past[n - k], past[n]) for k in range(1, n)])):
+            moves[f"__{name}_{part}"] = text
+        entered, known = (*entered, name), n
+        enter = " + ".join(f"`__{x}_in`" for x in entered)
+        same = " + ".join(f"`__{x}_same_in`" for x in entered)
+        gone = f"`__{name}_same_out`"
+        running = blocks.over(running=True)
+        sums[f"__{name}_pairs"] = f"sum({enter} - `__{name}_out`) {running}"
+        sums[f"__{name}_ties"] = (
+            f"sum(3 * (({same}) * ({same} + 1) - {gone} * ({gone} + 1))) {running}"
+        )
+        sums[f"__{name}_rows"] = f"count({now}) {blocks.over(n)}"
+        out[name] = (
+            f"CASE WHEN `__{name}_rows` = {n} THEN"
+            f" (6D * `__{name}_pairs` + `__{name}_ties` / 2D) / {number(n * (n * n - 1))} END"
+        )
+    lags = {f"__{value}_past{k}": lag(blocks, value, k) for k in range(1, most + 1)}
+    return [lags, moves, sums, out]
 
 
 def rolling_apply(
