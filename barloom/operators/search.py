@@ -97,7 +97,7 @@ def fold_scores(
         positioned.select(S.SYMBOL, *S.PRICES, "i", "n"), params, train_length(params), strict
     )
     bars = extremes(Blocks.of(bars, before=lengths[-1] + 1, after=1, rows=block_rows), lengths)
-    shared = params.max_train_size is None and params.optimize_target in ("pnl", "sr")
+    shared = params.max_train_size is None
     keys = ("trial",) if shared else ("trial", "fold")
 
     def runs(df: DataFrame) -> Blocks:
@@ -116,9 +116,11 @@ def fold_scores(
         {"__in_side": F.col("__t.__in_side"), "__in_count": F.col("__t.__in_count")}
     )
     traded = bt.settle(runs(entered), account, params.pyramiding)
-    if shared:
-        return _expanding_scores(traded, params)
-    return bt.score(traded, params.optimize_target)
+    if not shared:
+        return bt.score(traded, params.optimize_target)
+    if params.optimize_target == "max_dd":
+        return _expanding_drawdowns(traded, params)
+    return _expanding_scores(traded, params)
 
 
 def _in_train_ranges(df: DataFrame, params: S.OptimizeParams) -> DataFrame:
@@ -157,6 +159,62 @@ def _expanding_scores(traded: Blocks, params: S.OptimizeParams) -> DataFrame:
             score = divide(F.avg(value), F.stddev_pop(value))
         sums += [score.alias(f"m{f}"), F.max(F.col("i") <= F.col(f"__end{f}")).alias(f"any{f}")]
     wide = traded.own_rows().groupBy(S.SYMBOL, "trial").agg(*sums)
+    return _by_fold(wide, params)
+
+
+def _expanding_drawdowns(traded: Blocks, params: S.OptimizeParams) -> DataFrame:
+    """Largest falls of train ranges that all start at row 0, from one backtest per trial.
+
+    A block reports its total and, counted from its own start, its largest fall, high and low; the
+    block in which a range ends also reports the fall and low of its rows up to there, the last one
+    valued at its close. The rest is arithmetic over the block table.
+    """
+    running, plain = traded.over(running=True), traded.over()
+    blocks = traded.with_exprs({"__inside": f"sum(CASE WHEN own THEN profit END) {running}"})
+    blocks = blocks.with_exprs(
+        {
+            "__peak": f"max(__inside) {running}",
+            "__close": "coalesce(__inside, 0D) - coalesce(profit, 0D) + profit_at_close",
+        }
+    )
+    blocks = blocks.with_exprs({"__close_fall": f"greatest(lag(__peak) {plain}, __close) - __close"})
+    summary = {
+        "__fall": "max(__peak - __inside)",
+        "__high": "max(__inside)",
+        "__low": "min(__inside)",
+        "__total": "sum(profit)",
+    }
+    last: dict[str, str] = {}
+    for f in range(params.n_splits):
+        ends = f"__end{f} div {traded.rows} = {BLOCK}"
+        inner, at = f"{ends} AND i < __end{f}", f"{ends} AND i = __end{f}"
+        summary[f"__fall{f}"] = (
+            f"max(CASE WHEN {inner} THEN __peak - __inside WHEN {at} THEN __close_fall END)"
+        )
+        summary[f"__low{f}"] = f"min(CASE WHEN {inner} THEN __inside WHEN {at} THEN __close END)"
+        summary[f"__any{f}"] = f"max(i <= __end{f})"
+        summary[f"__ends{f}"] = f"max({ends})"
+        last[f"m{f}"] = (
+            f"CASE WHEN __ends{f} THEN greatest(__known, __fall{f}, __top_before - __base - __low{f}) END"
+        )
+        last[f"any{f}"] = f"__any{f}"
+    table = blocks.block_state(
+        summary,
+        [
+            {"__base": "coalesce(sum(__total) OVER earlier, 0D)"},
+            {"__top": "__base + __high", "__bottom": "__base + __low"},
+            {"__top_before": "max(__top) OVER earlier"},
+            {"__deepest": "greatest(__fall, __top_before - __bottom)"},
+            {"__known": "max(__deepest) OVER earlier"},
+            last,
+        ],
+    )
+    most = [F.max(c).alias(c) for f in range(params.n_splits) for c in (f"m{f}", f"any{f}")]
+    return _by_fold(table.groupBy(S.SYMBOL, "trial").agg(*most), params)
+
+
+def _by_fold(wide: DataFrame, params: S.OptimizeParams) -> DataFrame:
+    """One row per fold that has rows, from columns ``m<fold>`` and ``any<fold>``."""
     folds_ = ", ".join(f"{f}, m{f}, any{f}" for f in range(params.n_splits))
     long = wide.selectExpr(
         S.SYMBOL, "trial", f"stack({params.n_splits}, {folds_}) AS (fold, metric, occupied)"

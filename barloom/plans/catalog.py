@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -500,6 +500,26 @@ def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Searches by the other metrics, and over train ranges of bounded length.
+GRID_SEARCHES = {
+    "grid_sr_best": replace(SEARCH, optimize_target="sr"),
+    "grid_max_dd_best": replace(SEARCH, optimize_target="max_dd"),
+    "grid_capped_best": replace(SEARCH, max_train_size=300),
+}
+
+
+def _grid_search(params: S.OptimizeParams) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bars = market.stored(market.event_bars(spark, sf_dir, INTERVAL))
+        return out(search.search_signal(bars, TRIALS, ACCOUNT, params))
+
+    return run
+
+
+for _name, _params in GRID_SEARCHES.items():
+    QUERIES[_name] = _grid_search(_params)
+
+
 @query
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published number of random trials; trial values come from a digest and repeat anywhere."""

@@ -16,6 +16,7 @@ from barloom.plans.catalog import (
     EVENT_TYPES,
     EXACT,
     FINE,
+    GRID_SEARCHES,
     INTERVAL,
     LEVEL,
     LINE_LEVEL,
@@ -473,19 +474,25 @@ ORACLES["scale_apply"] = f"""WITH {_BARS}, {_FOLDS}, {_SCALE} SELECT pos.symbol,
   {', '.join(r(f'(pos.{c} - s_{c}.mean) / s_{c}.scale', c) for c in S.OHLCV)} FROM pos {_joined}"""
 
 
-def search_ctes(trials: list[dict], bars: str = _BARS) -> str:
-    return f"""{bars}, {trial_ctes(trials)}, {_FOLDS},
+def search_ctes(trials: list[dict], bars: str = _BARS, params: S.OptimizeParams = SEARCH) -> str:
+    folds = fold_cte(params.n_splits, params.gap, params.test_size, params.max_train_size, params.evaluate_ratio)
+    falls = "falls AS (SELECT *, max(pnl) OVER (PARTITION BY symbol, trial, fold ORDER BY i) - pnl AS fall FROM bt)"
+    value = {"pnl": "sum(profit)", "sr": _SR, "max_dd": "max(fall)"}[params.optimize_target]
+    worst = "DESC" if params.direction == "maximize" else "ASC"
+    return f"""{bars}, {trial_ctes(trials)}, {folds},
 sliced AS (SELECT sigs.*, fold FROM sigs JOIN folds USING (symbol) WHERE i BETWEEN train_start_i AND train_end_i),
-{backtest_ctes('sliced', 'symbol, trial, fold')},
-scores AS (SELECT symbol, trial, fold, sum(profit) AS metric FROM bt GROUP BY 1, 2, 3),
+{backtest_ctes('sliced', 'symbol, trial, fold')}, {falls},
+scores AS (SELECT symbol, trial, fold, {value} AS metric FROM falls GROUP BY 1, 2, 3),
 means AS (SELECT symbol, trial, avg(metric) AS metric FROM scores WHERE metric IS NOT NULL GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY metric DESC, trial) AS rk FROM means WHERE metric IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY metric {worst}, trial) AS rk FROM means WHERE metric IS NOT NULL),
 best AS (SELECT symbol, trial, metric, entry_length, entry_point FROM ranked JOIN trials USING (trial) WHERE rk = 1)"""
 
 
 _SEARCH = f"WITH {search_ctes(TRIALS)}"
 ORACLES["grid_fold_scores"] = f"{_SEARCH} SELECT symbol, trial, fold, {rs('metric')} FROM scores"
 _best = f"symbol, trial, {rs('metric')}, entry_length, {rs('entry_point')}"
+for _name, _params in GRID_SEARCHES.items():
+    ORACLES[_name] = f"WITH {search_ctes(TRIALS, params=_params)} SELECT {_best} FROM best"
 ORACLES["grid_best"] = f"{_SEARCH} SELECT {_best} FROM best"
 ORACLES["grid_lines_best"] = f"WITH {search_ctes(TRIALS, f'{LINE_BARS}, {POS}')} SELECT {_best} FROM best"
 ORACLES["random_search"] = f"WITH {search_ctes(random_trials(SEARCH.n_trials, ACCOUNT.seed))} SELECT {_best} FROM best"
