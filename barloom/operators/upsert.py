@@ -15,6 +15,8 @@ BAR_KEY = ("symbol", "ts")
 ORDER_KEY = ("symbol", "ts", "side")
 
 
+_LEAST = -(1 << 63)
+
 #: Types that an aggregation buffer holds in place, so that a hash aggregate can be used.
 _FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -37,9 +39,11 @@ def keep_latest(
     """One row per key, from the newest version.
 
     A partial aggregate rather than a window: however often one key was pulled, every task sends
-    one row for it. Rows are ordered by one fixed-width number, the version followed by ``tie`` (a
-    whole number) or a hash of the other columns, so that it is a hash aggregate; text columns or
-    other versions take a sort. Equal rows aside, the result repeats.
+    one row for it. Rows are ordered by fixed-width numbers, so that it is a hash aggregate: the
+    version with a hash of the other columns, or, with ``tie`` (a whole number), first the tie among
+    equal versions and then the version, in two aggregates over the full range of both. Text columns
+    or other versions take a sort. Missing versions and ties come last. Equal rows aside, the result
+    repeats.
     """
     keys_ = list(keys)
     rest = [c for c in df.columns if c not in (*keys_, version)]
@@ -50,12 +54,20 @@ def keep_latest(
             F.max(F.struct(version, *[quoted(c) for c in rest])).alias("__row")
         )
         return newest.select(*keys_, "__row.*").select(*[quoted(c) for c in df.columns])
-    second = quoted(tie).cast("bigint") if tie else F.shiftrightunsigned(F.xxhash64(*rest), 16)
-    width = Decimal(2 * 10**19 if tie else 10**15)
-    first = F.coalesce(number, F.lit(-(1 << 60))).cast("decimal(19,0)")
-    ordered = df.withColumn("__order", (first * F.lit(width) + second).cast("decimal(38,0)"))
-    picked = [F.max_by(quoted(c), "__order").alias(c) for c in (version, *rest)]
-    return ordered.groupBy(*keys_).agg(*picked).select(*[quoted(c) for c in df.columns])
+    first = F.coalesce(number, F.lit(_LEAST))
+    if tie:
+        second = F.coalesce(quoted(tie).cast("bigint"), F.lit(_LEAST))
+        ordered = df.withColumns({"__version": first, "__tie": second})
+        picked = [F.max_by(quoted(c), "__tie").alias(c) for c in (version, *rest)]
+        ordered = ordered.groupBy(*keys_, "__version").agg(*picked)
+        order = "__version"
+    else:
+        second = F.shiftrightunsigned(F.xxhash64(*rest), 16)
+        wide = first.cast("decimal(19,0)") * F.lit(Decimal(10**15)) + second
+        ordered = df.withColumn("__order", wide.cast("decimal(38,0)"))
+        order = "__order"
+    newest = [F.max_by(quoted(c), order).alias(c) for c in (version, *rest)]
+    return ordered.groupBy(*keys_).agg(*newest).select(*[quoted(c) for c in df.columns])
 
 
 def merge_latest(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -724,6 +725,56 @@ def payload_open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(payloads.parse_open_orders(_info_payloads(spark, sf_dir, price), "model-1"))
 
 
+#: Which event numbers, modulo the first, have payloads that are broken in which way.
+BROKEN, CUT, EMPTY, OTHER, AMOUNT, TIME = 11, 0, 1, 2, 3, 4
+
+
+def _broken(value: Column) -> Column:
+    """Payloads of some events cut off, left empty, or replaced by another document."""
+    way = F.col("event_id") % BROKEN
+    return (
+        F.when(way == CUT, value.substr(F.lit(1), F.length(value) - 3))
+        .when(way == EMPTY, " ")
+        .when(way == OTHER, '{"other": 1}')
+        .otherwise(value)
+    )
+
+
+def _kind_payload(kind: str) -> Column:
+    """An event as a payload of one kind, with an unreadable amount or time in some."""
+    way = F.col("event_id") % BROKEN
+    amount = F.when(way == AMOUNT, "n/a").otherwise(F.col("value").cast("string"))
+    time = F.when(way == TIME, "soon").otherwise(_millis())
+    if kind == "bars":
+        price = F.col("value").cast("string")
+        entry = F.array(time, price, price, price, amount, F.lit("1"), F.lit("0"))
+    elif kind in ("open_interest", "long_ratio"):
+        name = {"open_interest": "openInterest", "long_ratio": "buyRatio"}[kind]
+        entry = F.struct(amount.alias(name), time.alias("timestamp"))
+    elif kind == "balance":
+        entry = F.struct(amount.alias("totalWalletBalance"))
+        listed = F.struct(F.array(entry).alias("list")).alias("result")
+        value = F.to_json(F.struct(_millis().cast("bigint").alias("time"), listed))
+        return F.when(way == TIME, F.regexp_replace(value, r'"time":\d+', '"time":"soon"')).otherwise(value)
+    else:
+        name = {"positions": "size", "open_orders": "price"}[kind]
+        named = [time.alias("createdTime"), F.lit("Buy").alias("side"), amount.alias(name), F.lit("X").alias("symbol")]
+        return F.to_json(F.struct(F.struct(*named).alias("info")))
+    return F.to_json(F.struct(F.struct(F.array(entry).alias("list")).alias("result")))
+
+
+@query
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a payload of every kind, some of them broken: why an entry was rejected, if it was."""
+    events = market.table(spark, sf_dir, "events")
+    parts = []
+    for kind in payloads.PAYLOADS:
+        wrapped = events.select("event_id", _broken(_kind_payload(kind)).alias("value"))
+        rows = payloads.judged(wrapped, kind, keep=("event_id",))
+        parts.append(rows.select(F.lit(kind).alias("kind"), "event_id", "reason"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # -- classifiers ----------------------------------------------------------------------------------
 
 #: Signal parameters of the classifier queries.
@@ -941,6 +992,28 @@ def stream_resample_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(streams.run_available(bars, "stream-bars", mode="complete"), None)
 
 
+@query
+def stream_payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bar payloads in text files, some of them broken, streamed into a table and its dead letters."""
+    events = market.table(spark, sf_dir, "events")
+    entry = F.array(
+        (F.col("event_id") * 1000).cast("string"),
+        *[F.when(F.col("event_id") % BROKEN == AMOUNT, "n/a").otherwise(F.col("value").cast("string"))] * 4,
+        F.lit("1"), F.lit("0"),
+    )
+    value = F.to_json(F.struct(F.struct(F.array(entry).alias("list")).alias("result")))
+    source, path, letters = (shared_dir(spark, f"payload-{x}") for x in ("files", "rows", "rejects"))
+    events.select(_broken(value)).repartition(3).write.text(source)
+    streams.stream_payload_table(
+        spark, source, "bars", "all", path, letters, shared_dir(spark, "payload-checkpoint")
+    ).awaitTermination()
+    rows = spark.read.parquet(path).select(F.lit("row").alias("outcome"), "close")
+    bad = spark.read.parquet(letters).select(F.col("reason").alias("outcome"), F.lit(None).cast("double").alias("close"))
+    return out(
+        rows.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"), F.sum("close").alias("total"))
+    )
+
+
 @query
 def stream_upsert_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks merged keep-latest by type and minute, one micro-batch per pulled file."""

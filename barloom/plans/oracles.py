@@ -11,6 +11,10 @@ import re
 from barloom import schema as S
 from barloom.plans.catalog import (
     ACCOUNT,
+    AMOUNT,
+    BROKEN,
+    CUT,
+    EMPTY,
     ENTRY_LENGTH,
     ENTRY_POINT,
     EVENT_TYPES,
@@ -28,10 +32,12 @@ from barloom.plans.catalog import (
     MODEL_POINT,
     MODEL_ROUNDS,
     NOW,
+    OTHER,
     PRICE_SCALED,
     SEARCH,
     SEARCH_ROUNDS,
     SEARCH_TRIALS,
+    TIME,
     TRIALS,
     UNROUNDED,
 )
@@ -573,6 +579,17 @@ _short = f"NOT (m >= {SEARCH.n_splits + 1} AND m - {SEARCH.gap} - {SEARCH.n_spli
 ORACLES["left_out_series"] = f"""WITH {LINE_BARS}, {POS}, series AS (SELECT symbol, max(n) AS n, max({_M}) AS m FROM pos GROUP BY 1)
 SELECT symbol, n FROM series WHERE {_short}"""
 
+_LAYOUT = f"WHEN event_id % {BROKEN} = {CUT} THEN 'not of the layout' WHEN event_id % {BROKEN} = {EMPTY} THEN 'empty'"
+ORACLES["payload_rejects"] = f"""SELECT kind, event_id, CASE {_LAYOUT}
+  WHEN event_id % {BROKEN} = {OTHER} THEN CASE WHEN kind = 'balance' THEN 'bad ts' ELSE 'no entries' END
+  WHEN event_id % {BROKEN} = {AMOUNT} THEN 'bad ' || amount
+  WHEN event_id % {BROKEN} = {TIME} THEN CASE WHEN kind = 'balance' THEN 'not of the layout' ELSE 'bad ts' END END AS reason
+FROM events, (VALUES ('bars', 'close'), ('open_interest', 'open_interest'), ('long_ratio', 'lsr'), ('balance', 'balance'),
+  ('positions', 'size'), ('open_orders', 'price')) k(kind, amount)"""
+ORACLES["stream_payload_files"] = f"""SELECT outcome, count(*) AS rows, {r("sum(CASE WHEN outcome = 'row' THEN value END)", 'total')}
+FROM (SELECT value, CASE {_LAYOUT} WHEN event_id % {BROKEN} = {OTHER} THEN 'no entries'
+  WHEN event_id % {BROKEN} = {AMOUNT} THEN 'bad open' ELSE 'row' END AS outcome FROM events) GROUP BY 1"""
+
 # -- classifiers -----------------------------------------------------------------------------------
 
 # Every feature is present from row 200 on: the price level keeps all bands above zero.

@@ -15,6 +15,7 @@ from barloom.operators import features as ft
 from barloom.operators import folds, model, reshape, scaler, search
 from barloom.operators import labels as lb
 from barloom.operators import signals as sg
+from barloom.operators.blocks import POSITION
 from barloom.plans.market import stored
 from barloom.sinks.writers import append_job_log, upsert, write_features, write_metrics, written
 from barloom.sources.payloads import parse_bars
@@ -52,7 +53,9 @@ def preprocess(
     positioned = bars if "i" in bars.columns else stored(bars)
     features_path = newest_artifact(spark, root, "features_") if reuse else None
     if features_path is None:
-        features_path = write_features(ft.features(positioned), root, "features", stamp)
+        features_path = write_features(
+            ft.features(positioned, keep=(POSITION,)), root, "features", stamp
+        )
     table = stored(spark.read.parquet(features_path))
     bounds = folds.fold_bounds(table, params, strict=False)
     history = folds.bound_metrics(bounds, folds.holdout_bounds(table, params))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import schema as S
+from barloom.operators.blocks import LENGTH, POSITION
 from barloom.operators.upsert import BAR_KEY, keep_latest, merge_latest
 from barloom.session import shared_dir
 
@@ -24,23 +25,33 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one symbol in a file of features.
+FILE_ROWS = 65_536
+#: Files of one day in a table that is merged into, at most; a day's rows are dealt over them.
+DAY_FILES = 8
+#: Micro-batches whose rows share a folder.
+EPOCHS = 256
+
+
 def write_features(
     df: DataFrame, root: str, name: str, run_stamp: str, csv: bool = False
 ) -> str:
     """Features or preprocessed rows under ``<root>/data/<name>_<stamp>``, one folder per symbol.
 
-    Rows are sorted inside tasks only. Hash partitioning on symbol and day keeps a hot symbol on
-    many tasks. CSV files carry the time as ``date``, as :func:`read_bar_csv` expects it.
+    A symbol has one file per ``FILE_ROWS`` rows of its series where rows know their position (which is
+    not written), else one per year: short symbols have one file, and a hot symbol is many tasks.
+    CSV files carry the time as ``date``, as :func:`read_bar_csv` expects it.
     """
     path = f"{root.rstrip('/')}/data/{name}_{run_stamp}"
-    day = F.to_date(F.col(S.TS))
+    placed = POSITION in df.columns
+    part = F.floor(F.col(POSITION) / FILE_ROWS) if placed else F.year(S.TS)
+    dealt = df.repartition(S.SYMBOL, part).drop(*([POSITION, LENGTH] if placed else []))
     if csv:
-        dated = df.withColumnRenamed(S.TS, "date")
+        dated = dealt.withColumnRenamed(S.TS, "date")
         rest = [f"`{c}`" for c in dated.columns if c not in (S.SYMBOL, "date")]
-        dated = dated.select(S.SYMBOL, "date", *rest)
-        dated.repartition(S.SYMBOL, F.to_date("date")).write.partitionBy(S.SYMBOL).csv(path, header=True)
+        dated.select(S.SYMBOL, "date", *rest).write.partitionBy(S.SYMBOL).csv(path, header=True)
     else:
-        df.repartition(S.SYMBOL, day).write.partitionBy(S.SYMBOL).parquet(path)
+        dealt.write.partitionBy(S.SYMBOL).parquet(path)
     return path
 
 
@@ -54,23 +65,19 @@ def upsert(
     """Keep-latest merge into a parquet table partitioned by day; only touched days are rewritten.
 
     The merged days are written to a new folder first and then replace the old ones, because a
-    job must not overwrite files it reads.
+    job must not overwrite files it reads. A day has at most ``DAY_FILES`` files.
     """
     dated = keep_latest(incoming, keys, version).withColumn("day", F.to_date(S.TS))
+    salt = F.pmod(F.xxhash64(*keys), F.lit(DAY_FILES))
     if not _exists(spark, path):
-        dated.write.partitionBy("day").parquet(path)
+        dated.repartition("day", salt).write.partitionBy("day").parquet(path)
         return path
     current = spark.read.parquet(path)
     touched = current.join(dated.select("day").distinct(), "day", "left_semi")
     merged = written(
         merge_latest(touched.select(*dated.columns), dated, keys, version), "upsert"
     )
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(path)
-    )
+    _replace(merged.repartition("day", salt), path, "day")
     return path
 
 
@@ -100,18 +107,50 @@ def _replace(rows: DataFrame, path: str, *parts: str) -> None:
     )
 
 
+def _merge(rows: DataFrame, path: str, key: str, parts: DataFrame, part: str) -> None:
+    """Put small rows into a table of one file per part, in place of those with the same key.
+
+    ``rows`` and ``parts`` have the part's column; only the parts named are read and rewritten.
+    """
+    spark = rows.sparkSession
+    if _exists(spark, path):
+        old = spark.read.parquet(path).join(F.broadcast(parts), part, "left_semi")
+        old = old.join(F.broadcast(rows.select(key).distinct()), key, "left_anti")
+        rows = written(old.select(*rows.columns).unionByName(rows), "merged")
+    _replace(rows.repartition(part), path, part)
+
+
 def append_job_log(
     spark: SparkSession, path: str, name: str, message: str, entry: str | None = None
 ) -> str:
-    """Add a row to the job log; a named entry replaces itself when it is written again."""
-    row = job_log_rows(spark, name, message)
-    _replace(row.withColumn("entry", F.lit(entry or uuid.uuid4().hex)), path, "entry")
+    """Add a row to the job log, one file per day.
+
+    A named entry replaces itself when it is written again, also on a later day: it stays in the
+    day of its first row. One writer at a time.
+    """
+    row = job_log_rows(spark, name, message).withColumn("entry", F.lit(entry or uuid.uuid4().hex))
+    first = None
+    if entry is not None and _exists(spark, path):
+        known = spark.read.parquet(path).where(F.col("entry") == entry)
+        first = known.agg(F.min("day")).first()[0]
+    day = F.to_date(S.TS) if first is None else F.lit(first)
+    row = written(row.withColumn("day", day), "log-row")
+    _merge(row, path, "entry", row.select("day").distinct(), "day")
     return path
 
 
 def write_epoch(rows: DataFrame, path: str, epoch: int) -> str:
-    """Rows of one micro-batch; a replayed batch replaces its rows."""
-    _replace(rows.withColumn("epoch", F.lit(epoch)), path, "epoch")
+    """Rows of one micro-batch; a replayed batch replaces its rows.
+
+    ``EPOCHS`` micro-batches share a folder and its file, so their number does not grow with every
+    trigger.
+    """
+    spark, part = rows.sparkSession, epoch // EPOCHS
+    rows = rows.withColumns({"epoch": F.lit(epoch), "epochs": F.lit(part)})
+    if _exists(spark, path):
+        old = spark.read.parquet(path).where((F.col("epochs") == part) & (F.col("epoch") != epoch))
+        rows = written(old.select(*rows.columns).unionByName(rows), "merged")
+    _replace(rows.coalesce(1), path, "epochs")
     return path
 
 

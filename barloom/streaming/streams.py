@@ -16,6 +16,7 @@ from barloom.operators.resample import resample
 from barloom.operators.upsert import BAR_KEY
 from barloom.session import shared_dir
 from barloom.sinks.writers import append_job_log, upsert, write_epoch, written
+from barloom.sources import payloads
 from barloom.sources.payloads import parse_bars, parse_long_ratio, parse_open_interest
 
 PARSERS = {
@@ -36,10 +37,42 @@ def stream_resample(
     return resample(timed, interval, order)
 
 
+def _payload_lines(spark: SparkSession, path: str, symbol: str) -> DataFrame:
+    lines = spark.readStream.text(path)
+    return lines.select("value", F.lit(symbol).alias(S.SYMBOL), F.col("_metadata.file_path").alias("file"))
+
+
 def stream_payloads(spark: SparkSession, path: str, kind: str, symbol: str) -> DataFrame:
     """Payload text files, one JSON document per line, parsed as they arrive."""
-    lines = spark.readStream.text(path).withColumn(S.SYMBOL, F.lit(symbol))
-    return PARSERS[kind](lines)
+    return PARSERS[kind](_payload_lines(spark, path, symbol))
+
+
+def stream_payload_table(
+    spark: SparkSession, source: str, kind: str, symbol: str, path: str, rejects_path: str, checkpoint: str
+) -> StreamingQuery:
+    """Payload files into a keep-latest table, and what cannot be read into a table of its own.
+
+    Rejected rows have the text, the reason and the file; a replayed batch replaces them. Bars of a
+    later batch win over earlier ones.
+    """
+    keep = (S.SYMBOL, "file")
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        rows = written(payloads.judged(batch, kind, keep=keep), "judged")
+        good = payloads.accepted(rows, kind, keep).drop("file").withColumn("ingest_ts", F.lit(epoch))
+        if not good.isEmpty():
+            upsert(spark, good, path)
+        bad = payloads.rejects(rows, keep)
+        if not bad.isEmpty():
+            write_epoch(bad, rejects_path, epoch)
+
+    return (
+        _payload_lines(spark, source, symbol)
+        .writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def run_available(
@@ -95,10 +128,11 @@ def recent_bars(bars: DataFrame, count: int) -> DataFrame:
 
 
 def recent_days(spark: SparkSession, bars_path: str, count: int) -> DataFrame:
-    """Stored bars from the day on that holds every symbol's newest ``count`` bars.
+    """Stored bars of the days that hold every symbol's newest ``count`` bars.
 
-    Rows are counted per day from the symbol column alone; the bars are then read with a filter
-    on the day, which is the table's partition.
+    Rows are counted per symbol and day from the symbol column alone. Every symbol has days of its
+    own, so one that is no longer pulled makes nobody read further back; the earliest of these days
+    still prunes the table's folders.
     """
     bars = spark.read.parquet(bars_path)
     newer = (
@@ -106,8 +140,9 @@ def recent_days(spark: SparkSession, bars_path: str, count: int) -> DataFrame:
     )
     days = bars.groupBy(S.SYMBOL, "day").count()
     needed = days.withColumn("newer", F.coalesce(F.sum("count").over(newer), F.lit(0)))
-    first = needed.where(F.col("newer") < count).agg(F.min("day")).first()[0]
-    return bars.where(F.col("day") >= F.lit(first))
+    needed = written(needed.where(F.col("newer") < count).select(S.SYMBOL, "day"), "recent-days")
+    listed = [r.day for r in needed.select("day").distinct().collect()]
+    return bars.where(F.col("day").isin(listed)).join(needed, [S.SYMBOL, "day"], "left_semi")
 
 
 def stream_orders(

@@ -408,3 +408,122 @@ def test_ingestion_run(spark, tmp_path):
     training.ingest(spark, str(source), *paths, "X")
     assert training.ingest(spark, str(source), *paths, "X").count() == 5
     assert spark.read.parquet(paths[1]).count() == 4
+
+
+# -- bounded files, unreadable payloads -----------------------------------------------------------
+
+
+def _files(path) -> list[str]:
+    return [str(f) for f in path.rglob("part-*") if not f.name.endswith(".crc")]
+
+
+def test_short_symbols_have_one_file_each(spark, tmp_path):
+    """1,000 symbols of 50 rows over 200 partitions: a file per symbol, with or without positions."""
+    rows = spark.range(50_000).select(
+        (F.col("id") % 1000).cast("string").alias("symbol"),
+        F.timestamp_seconds(F.col("id") * 900).alias("ts"),
+        F.floor(F.col("id") / 1000).alias("i"),
+        F.lit(1.0).alias("x"),
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = write_features(rows, str(tmp_path), "placed", "1")
+        write_features(rows.drop("i"), str(tmp_path), "dated", "1")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(_files(tmp_path / "data" / "placed_1")) == 1000
+    assert len(_files(tmp_path / "data" / "dated_1")) <= 2000
+    assert spark.read.parquet(placed).columns == ["ts", "x", "symbol"]
+
+
+def test_log_and_epochs_do_not_grow_by_folders(spark, tmp_path):
+    log, plan = tmp_path / "log", tmp_path / "plan"
+    for k in range(5):
+        append_job_log(spark, str(log), "recorder", f"m{k}", entry=f"e{k % 4}")
+        write_epoch(spark.range(2), str(plan), k % 4)
+    assert len(_files(log)) == 1 and len(_files(plan)) == 1
+    assert {r.message for r in spark.read.parquet(str(log)).collect()} == {"m1", "m2", "m3", "m4"}
+    assert spark.read.parquet(str(plan)).count() == 8
+
+
+def test_upserted_days_have_few_files(spark, tmp_path):
+    path = tmp_path / "bars"
+    rows = [(f"S{s}", f"2024-01-0{1 + s % 2} 00:{m:02d}:00", 1, 1.0) for s in range(40) for m in range(50)]
+    for _ in range(2):
+        upsert(spark, _pull(spark, rows).repartition(16), str(path))
+    assert spark.read.parquet(str(path)).count() == 2000
+    assert len(_files(path)) <= 16
+
+
+@pytest.mark.parametrize("tie", ["seq", None])
+def test_keep_latest_over_the_whole_range_of_numbers(spark, tie):
+    rows = [
+        ("a", 6 * 10**18, 1, 1.0), ("a", 5 * 10**18, 9, 2.0), ("b", -(2**63), -5, 3.0), ("b", 2**63 - 1, -9, 4.0),
+        ("c", 7, -3, 5.0), ("c", 7, -8, 6.0), ("c", None, 99, 7.0), ("d", None, None, 8.0),
+    ]
+    df = spark.createDataFrame(rows, "symbol string, version bigint, seq bigint, price double")
+    got = {r.symbol: r.price for r in keep_latest(df, ["symbol"], "version", tie).collect()}
+    assert got["a"] == 1.0 and got["b"] == 4.0 and got["d"] == 8.0
+    assert got["c"] == 5.0 if tie else got["c"] in (5.0, 6.0)
+
+
+def test_recent_days_are_those_of_each_symbol(spark, tmp_path):
+    """A symbol that stopped long ago does not widen the others' days."""
+    rows = [("old", f"2020-01-{d:02d} 00:00:00", 1, 1.0) for d in range(1, 6)]
+    rows += [("new", f"2024-01-{d:02d} 00:00:00", 1, 1.0) for d in range(1, 29)]
+    upsert(spark, _pull(spark, rows), str(tmp_path / "bars"))
+    recent = streams.recent_days(spark, str(tmp_path / "bars"), 3)
+    assert {r.symbol: r["count"] for r in recent.groupBy("symbol").count().collect()} == {"old": 3, "new": 3}
+
+
+BAD_BARS = {
+    "": "empty",
+    "not json": "not of the layout",
+    '{"result": {"list": [[': "not of the layout",
+    '{"result": {}}': "no entries",
+    '{"result": {"list": [["1704067200000", "1", "2", "0.5"]]}}': "bad close",
+    '{"result": {"list": [["1704067200000", "n/a", "2", "0.5", "1", "1", "0"]]}}': "bad open",
+    '{"result": {"list": [["soon", "1", "2", "0.5", "1", "1", "0"]]}}': "bad ts",
+    '{"result": {"list": [["99999999999999999", "1", "2", "0.5", "1", "1", "0"]]}}': "bad ts",
+    '{"result": {"list": [["1704067200000", "1", "NaN", "0.5", "1", "1", "0"]]}}': "bad high",
+    '{"result": {"list": [["1704067200000", "1", "2", "0.5", "1", "Infinity", "0"]]}}': "bad volume",
+}
+
+
+def test_unreadable_payloads_are_set_apart(spark):
+    from barloom.sources import payloads
+
+    good = '{"result": {"list": [["1704067200000", "1", "2", "0.5", "1.5", "1", "0"], ["x"]]}}'
+    rows = spark.createDataFrame([(t,) for t in (*BAD_BARS, good, '{"result": {"list": []}}')], "value string")
+    judged = payloads.judged(rows.union(spark.createDataFrame([(None,)], "value string")), "bars")
+    assert [r.close for r in payloads.accepted(judged, "bars").collect()] == [1.5]
+    bad = {(r.raw, r.reason) for r in payloads.rejects(judged).collect()}
+    assert bad == {*BAD_BARS.items(), (good, "bad ts"), (None, "empty")}
+    texts = ["junk", '{"info": null}', '{"info": {"createdTime": "1", "side": "", "size": "2", "avgPrice": "", "symbol": "X"}}',
+             '{"info": {"createdTime": "1", "size": "2", "avgPrice": "?", "symbol": "X"}}', '{"info": {"createdTime": "1", "size": "2"}}']
+    info = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert [r.size for r in payloads.parse_positions(info).collect()] == [2.0]
+    reasons = [r.reason for r in payloads.judged(info, "positions").collect()]
+    assert reasons == ["not of the layout", "no entries", None, "bad avg_price", "bad symbol"]
+    wallet = spark.createDataFrame(
+        [(f'{{"time": 1, "result": {{"list": [{x}]}}}}',) for x in ('{"totalWalletBalance": "?"}', '{"totalWalletBalance": "-99999"}', "", '{"totalWalletBalance": "5"}')],
+        "value string",
+    )
+    assert [(r.balance, r.is_error) for r in payloads.parse_balance(wallet).collect()] == [(None, True), (None, True), (5.0, False)]
+
+
+def test_stream_with_junk_files_ends_with_the_good_rows(spark, tmp_path):
+    source = tmp_path / "payloads"
+    source.mkdir()
+    paths = [str(tmp_path / n) for n in ("bars", "rejects", "checkpoint")]
+    bar = lambda ms: json.dumps({"result": {"list": [[str(ms), "1", "2", "0.5", "1", "1", "0"]]}})
+    for k, text in enumerate([bar(0) + "\njunk\n" + bar(900_000), "\x00\x01", bar(900_000)]):
+        (source / f"{k}.json").write_text(text)
+        streams.stream_payload_table(spark, str(source), "bars", "X", *paths).awaitTermination()
+    assert spark.read.parquet(paths[0]).count() == 2
+    bad = spark.read.parquet(paths[1]).collect()
+    assert sorted((r.raw, r.reason, r.file[-6:]) for r in bad) == [
+        ("\x00\x01", "not of the layout", "1.json"), ("junk", "not of the layout", "0.json"),
+    ]
