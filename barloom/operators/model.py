@@ -156,6 +156,27 @@ class CompositeModel:
         """Gated limit prices for the newest bar of every symbol that has parameters."""
         return score_latest(bars, self.scaler, self.classifiers, self.parameters)
 
+    def score_live(self, rows: DataFrame) -> DataFrame:
+        """The same from rows of :func:`barloom.streaming.live.live_features`, without older bars.
+
+        ``recent_high`` and ``recent_low`` hold at least as many values as any ``entry_length``.
+        """
+        scored = self.classifiers.predict(
+            apply_scaler(newest_row(rows), self.scaler, self.classifiers.columns)
+        )
+        joined = scored.join(self.parameters.select(S.SYMBOL, "entry_length", "entry_point"), S.SYMBOL)
+
+        def newest(name: str) -> Column:
+            return F.slice(name, -F.col("entry_length"), F.col("entry_length"))
+
+        priced = joined.withColumns(
+            {
+                "sell": F.array_max(newest("recent_high")) * (1 + F.col("entry_point") / 100),
+                "buy": F.array_min(newest("recent_low")) * (1 - F.col("entry_point") / 100),
+            }
+        )
+        return live_prices(priced).select(S.SYMBOL, S.TS, "buy_limit_price", "sell_limit_price")
+
 
 def _classes(counts: dict[tuple[int, int], dict[int, int]]) -> tuple[int, ...]:
     """Two classes where all labels are 0 or 1, else the three of unfilled, bad and good orders."""

@@ -30,7 +30,7 @@ from barloom.plans import market, training
 from barloom.session import shared_dir
 from barloom.sinks.writers import append_job_log, write_features, write_metrics, written
 from barloom.sources import payloads, readers
-from barloom.streaming import streams
+from barloom.streaming import live, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -992,6 +992,20 @@ def stream_resample_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(streams.run_available(bars, "stream-bars", mode="complete"), None)
 
 
+@query
+def stream_live_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features of bars that arrive in five batches, each overlapping the one before."""
+    bars = event_table(spark, sf_dir, LEVEL)
+    pulled = shared_dir(spark, "pulled-bars")
+    for k in range(5):
+        part = bars.where((F.col("i") * 5 >= k * F.col("n") - 50) & (F.col("i") * 5 < (k + 1) * F.col("n")))
+        part.select(*S.BASE_COLUMNS).coalesce(1).write.mode("append").parquet(pulled)
+    schema = spark.read.parquet(pulled).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(pulled)
+    rows = streams.run_available(live.live_features(stream), "live-features").drop(*live.RECENT)
+    return out(rows, coarse=PRICE_SCALED, exact=EXACT, fine=LOGS)
+
+
 @query
 def stream_payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bar payloads in text files, some of them broken, streamed into a table and its dead letters."""

@@ -329,6 +329,7 @@ def all_features_sql(bars: str) -> str:
 
 
 ORACLES["feat_all"] = all_features_sql(event_bars(level=LEVEL))
+ORACLES["stream_live_features"] = ORACLES["feat_all"]
 ORACLES["feat_lines_all"] = all_features_sql(line_bars(LINE_LEVEL))
 
 _volume = {

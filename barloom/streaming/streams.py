@@ -18,6 +18,7 @@ from barloom.session import shared_dir
 from barloom.sinks.writers import append_job_log, upsert, write_epoch, written
 from barloom.sources import payloads
 from barloom.sources.payloads import parse_bars, parse_long_ratio, parse_open_interest
+from barloom.streaming.live import live_features
 
 PARSERS = {
     "bars": parse_bars,
@@ -179,3 +180,32 @@ def stream_orders(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_live_orders(
+    bars: DataFrame,
+    orders_path: str,
+    checkpoint: str,
+    model: CompositeModel,
+    positions: Callable[[SparkSession], DataFrame],
+    lot: float = 0.001,
+    max_pyramiding: int = 3,
+) -> StreamingQuery:
+    """Per trigger: score the newest bar of every symbol that has new bars, and plan its orders.
+
+    Features come from state kept per symbol (:func:`barloom.streaming.live.live_features`), so a
+    trigger reads its own bars and no stored history. A replayed trigger replaces its own orders.
+    """
+
+    def tick(batch: DataFrame, epoch: int) -> None:
+        prices = model.score_live(written(batch, "live-rows"))
+        plan = plan_orders(prices, positions(batch.sparkSession), lot, max_pyramiding)
+        write_epoch(plan, orders_path, epoch)
+
+    return (
+        live_features(bars)
+        .writeStream.foreachBatch(tick)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pandas as pd
 import pytest
 from helpers import by_symbol, close_to, random_bars, to_spark
@@ -527,3 +528,55 @@ def test_stream_with_junk_files_ends_with_the_good_rows(spark, tmp_path):
     assert sorted((r.raw, r.reason, r.file[-6:]) for r in bad) == [
         ("\x00\x01", "not of the layout", "1.json"), ("junk", "not of the layout", "0.json"),
     ]
+
+
+# -- features from kept state ---------------------------------------------------------------------
+
+
+def _feed(spark, path, bars, low, high):
+    part = bars.where((F.col("i") >= low) & (F.col("i") < high)).select(*S.BASE_COLUMNS)
+    part.repartition(2).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_live_features_equal_the_batch_after_every_restart(spark, tmp_path):
+    """Single bars, overlapping pulls and repeated bars, one query run per pull."""
+    from barloom.streaming.live import RECENT, live_features
+
+    bars = with_position(to_spark(spark, random_bars(17, {"A": 280, "B": 230})))
+    want = features(bars).toPandas().set_index(["symbol", "ts"]).sort_index()
+    path, target, checkpoint = (str(tmp_path / n) for n in ("bars", "rows", "checkpoint"))
+    for low, high in ((0, 3), (0, 150), (140, 201), (201, 202), (202, 203), (150, 240), (239, 280)):
+        _feed(spark, path, bars, low, high)
+        stream = spark.readStream.schema(bars.select(*S.BASE_COLUMNS).schema).parquet(path)
+        query = (
+            live_features(stream).writeStream.format("parquet").option("path", target)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        assert query.lastProgress is None or query.lastProgress["numInputRows"] <= 2 * (high - low)
+    got = spark.read.parquet(target).toPandas().set_index(["symbol", "ts"]).sort_index()
+    assert got.index.equals(want.index)
+    for name in want.columns:
+        np.testing.assert_allclose(got[name], want[name], rtol=1e-7, atol=1e-9, err_msg=name)
+    assert set(got.columns) - set(want.columns) == set(RECENT)
+    last = got.iloc[-1]
+    assert len(last.recent_high) == 25 and last.recent_high[-1] == last.high
+
+
+def test_live_orders_need_no_history(spark, trained, tmp_path):
+    bars, state, _, fitted = trained
+    tuned = spark.createDataFrame([("A", 5, 0.1), ("B", 25, 0.3)], "symbol string, entry_length int, entry_point double")
+    composite = model.CompositeModel(tuned, state, fitted)
+    none = lambda s: s.createDataFrame([], "symbol string, ts timestamp, side string, size double")
+    path, target, checkpoint = (str(tmp_path / n) for n in ("bars", "orders", "checkpoint"))
+    for low, high in ((0, 399), (399, 400), (400, 1000)):
+        _feed(spark, path, bars, low, high)
+        stream = spark.readStream.schema(bars.select(*S.BASE_COLUMNS).schema).parquet(path)
+        streams.stream_live_orders(stream, target, checkpoint, composite, none).awaitTermination()
+    plans = spark.read.parquet(target).toPandas()
+    assert plans.groupby(["epoch", "symbol"]).size().to_dict() == {(0, "A"): 2, (0, "B"): 2, (1, "A"): 2, (1, "B"): 2, (2, "A"): 2}
+    want = {r.symbol: r for r in composite.score(bars).collect()}
+    for symbol, epoch in (("A", 2), ("B", 1)):
+        rows = plans[(plans.symbol == symbol) & (plans.epoch == epoch)].set_index("side").price
+        assert rows["buy"] == pytest.approx(want[symbol].buy_limit_price)
+        assert rows["sell"] == pytest.approx(want[symbol].sell_limit_price)
