@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schema as S
+from barloom.sinks.writers import written
 
 
 def tick_order(ts: str | Column = "ts", seq: str | Column = "seq") -> Column:
@@ -39,3 +41,46 @@ def resample(ticks: DataFrame, interval: str, order: Column | None = None) -> Da
         F.sum("volume").alias("volume"),
     )
     return grouped.select(S.SYMBOL, F.col("__slot.start").alias(S.TS), *S.OHLCV)
+
+
+def merged_bars(bars: DataFrame, interval: str, time: Column, slot: Column) -> DataFrame:
+    """Bars of one interval from those of a shorter one that divides it."""
+    return bars.groupBy(F.col(S.SYMBOL), F.window(slot, interval).alias("__slot")).agg(
+        F.min_by("open", time).alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", time).alias("close"),
+        F.sum("volume").alias("volume"),
+    )
+
+
+def checked_cascade(intervals: Sequence[str]) -> list[int]:
+    """Seconds of intervals that each divide the next one."""
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    seconds = []
+    for interval in intervals:
+        count, unit = interval.split()
+        seconds.append(int(count) * units[unit.rstrip("s")])
+    if any(b % a or b <= a for a, b in zip(seconds, seconds[1:])):
+        raise ValueError("every interval must be a multiple of the one before")
+    return seconds
+
+
+def resample_cascade(
+    ticks: DataFrame, intervals: Sequence[str], order: Column | None = None
+) -> dict[str, DataFrame]:
+    """Bars of several intervals from one scan of the ticks, each from the shorter one's bars.
+
+    Bars merge: the first opens, the last closes, highs, lows and volumes add up. Every table is
+    written, so the ticks are read once and a later interval reads bars only.
+    """
+    checked_cascade(intervals)
+    out: dict[str, DataFrame] = {}
+    bars = resample(ticks, intervals[0], order)
+    for k, interval in enumerate(intervals):
+        if k:
+            merged = merged_bars(bars, interval, F.col(S.TS), F.col(S.TS))
+            bars = merged.select(S.SYMBOL, F.col("__slot.start").alias(S.TS), *S.OHLCV)
+        bars = written(bars, "cascade")
+        out[interval] = bars
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import schema as S
@@ -94,3 +94,55 @@ def standardise(
         columns if columns is not None else feature_columns(positioned),
     )
     return scaler, apply_scaler(positioned, scaler, columns)
+
+
+# -- state that grows -----------------------------------------------------------------------------
+
+
+def day_moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``symbol, day, column, rows, mean, m2, low, high`` per day: what merges into scaler state.
+
+    ``m2`` is the sum of squared deviations from the day's mean.
+    """
+    columns = list(columns) if columns is not None else feature_columns(df)
+    sums = []
+    for k, name in enumerate(columns):
+        c = quoted(name)
+        sums += [
+            F.count(c).alias(f"rows{k}"), F.avg(c).alias(f"mean{k}"), F.var_pop(c).alias(f"var{k}"),
+            F.min(c).alias(f"low{k}"), F.max(c).alias(f"high{k}"),
+        ]
+    wide = df.groupBy(S.SYMBOL, F.to_date(S.TS).alias("day")).agg(*sums)
+    parts = ", ".join(
+        f"'{name}', rows{k}, mean{k}, var{k} * rows{k}, low{k}, high{k}" for k, name in enumerate(columns)
+    )
+    names = "column, rows, mean, m2, low, high"
+    return wide.selectExpr(S.SYMBOL, "day", f"stack({len(columns)}, {parts}) AS ({names})").where("rows > 0")
+
+
+def with_new_days(moments: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored day moments and those of new days; a day that comes again replaces the stored one."""
+    days = new.select(S.SYMBOL, "day").distinct()
+    return moments.join(days, [S.SYMBOL, "day"], "left_anti").unionByName(new)
+
+
+def scaler_of(moments: DataFrame) -> DataFrame:
+    """Scaler state ``(symbol, column, mean, scale)`` from day moments, without reading the rows.
+
+    Means merge by weight; squared deviations add up with those of the days' means from the whole
+    mean (pairwise update), so no large sums cancel. A constant column scales by one.
+    """
+    keys = [S.SYMBOL, "column"]
+    whole = Window.partitionBy(*keys)
+    # Taken from one day's mean, so that a far level costs no precision.
+    placed = moments.withColumns({"__level": F.min("mean").over(whole), "__total": F.sum("rows").over(whole)})
+    offset = F.sum(F.col("rows") * (F.col("mean") - F.col("__level"))).over(whole)
+    placed = placed.withColumn("__mean", F.col("__level") + offset / F.col("__total"))
+    gap = F.col("mean") - F.col("__mean")
+    merged = placed.groupBy(*keys).agg(
+        F.first("__mean").alias("mean"),
+        F.sqrt(F.sum(F.col("m2") + F.col("rows") * gap * gap) / F.sum("rows")).alias("std"),
+        (F.min("low") == F.max("high")).alias("constant"),
+    )
+    scale = F.when(F.col("constant"), F.lit(1.0)).otherwise(F.col("std"))
+    return merged.select(S.SYMBOL, "column", "mean", scale.alias("scale"))

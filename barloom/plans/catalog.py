@@ -18,6 +18,7 @@ from barloom.operators import (
     labels as lb,
     model,
     orders,
+    resample,
     reshape,
     rolling,
     running,
@@ -122,6 +123,27 @@ def resample_lines_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(market.line_bars(spark, sf_dir), None)
 
 
+#: Intervals that grow out of each other.
+CASCADE = ("1 minute", "5 minutes", "15 minutes")
+
+
+@query
+def resample_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(market.event_bars(spark, sf_dir, "1 minute"), None)
+
+
+@query
+def resample_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of three intervals from one scan of the ticks."""
+    ticks = market.event_ticks(market.table(spark, sf_dir, "events"))
+    tables = resample.resample_cascade(ticks, CASCADE, market.tick_order())
+    return out(
+        functools.reduce(
+            DataFrame.unionByName, [t.withColumn("interval", F.lit(name)) for name, t in tables.items()]
+        )
+    )
+
+
 @query
 def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = market.with_position(market.line_bars(spark, sf_dir))
@@ -441,6 +463,16 @@ def scale_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(scaled.select(S.SYMBOL, S.TS, *_SCALED))
 
 
+@query
+def scale_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaler state from stored day moments and those of new days; one day comes twice."""
+    bars = event_table(spark, sf_dir)
+    day, half = F.dayofmonth(S.TS), 15
+    stored = written(scaler.day_moments(bars.where(day <= half), S.OHLCV), "moments")
+    new = scaler.day_moments(bars.where(day >= half), S.OHLCV)
+    return out(scaler.scaler_of(written(scaler.with_new_days(stored, new), "moments")))
+
+
 # -- search ---------------------------------------------------------------------------------------
 
 
@@ -992,6 +1024,38 @@ def stream_resample_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(streams.run_available(bars, "stream-bars", mode="complete"), None)
 
 
+@query
+def stream_cascade_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute bars through chained windows of one and five minutes."""
+    bars = streams.stream_cascade(
+        _event_stream(spark, sf_dir), CASCADE, "10 minutes", market.tick_order()
+    )
+    return out(streams.run_available(bars, "cascade-bars"))
+
+
+@query
+def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress rows of a stream over three pulled files: batch numbers and rows read."""
+    events = market.table(spark, sf_dir, "events")
+    pulled, path = shared_dir(spark, "pulled"), shared_dir(spark, "progress")
+    for k in range(3):
+        events.where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(pulled)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(pulled)
+    log = streams.ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        query = (
+            stream.writeStream.queryName("pulls").format("noop").trigger(availableNow=True)
+            .option("checkpointLocation", shared_dir(spark, "progress-checkpoint")).start()
+        )
+        query.awaitTermination()
+        log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    rows = spark.read.parquet(path).where("rows > 0")
+    return rows.select("name", "batch", "rows", (F.col("millis") >= 0).alias("timed"))
+
+
 @query
 def stream_live_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features of bars that arrive in five batches, each overlapping the one before."""

@@ -13,6 +13,7 @@ from barloom.plans.catalog import (
     ACCOUNT,
     AMOUNT,
     BROKEN,
+    CASCADE,
     CUT,
     EMPTY,
     ENTRY_LENGTH,
@@ -111,12 +112,18 @@ def ln(x: str) -> str:
 
 for _name, _interval in (("resample_5m", "5 minutes"), ("resample_15m", "15 minutes"), ("resample_1h", "1 hour")):
     ORACLES[_name] = f"WITH {event_bars(_interval)} SELECT symbol, bar_ts AS ts, {RAW} FROM bars"
+ORACLES["resample_1m"] = f"WITH {event_bars('1 minute')} SELECT symbol, bar_ts AS ts, {RAW} FROM bars"
+ORACLES["resample_cascade"] = " UNION ALL ".join(
+    f"(WITH {event_bars(i)} SELECT symbol, bar_ts AS ts, {rs(*S.OHLCV)}, '{i}' AS \"interval\" FROM bars)" for i in CASCADE
+)
 ORACLES["stream_resample_complete"] = ORACLES["resample_1h"]
 ORACLES["resample_lines_1d"] = f"WITH {LINE_BARS} SELECT symbol, bar_ts AS ts, {RAW} FROM bars"
 ORACLES["row_positions"] = f"WITH {LINE_BARS}, {POS} SELECT symbol, ts, i, n FROM pos"
 ORACLES["stream_resample_15m"] = f"""WITH {event_bars()}
 SELECT symbol, bar_ts AS ts, {RAW} FROM bars
 WHERE bar_ts + INTERVAL '15 minutes' <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '10 minutes'"""
+ORACLES["stream_cascade_15m"] = f"SELECT symbol, ts, {rs(*S.OHLCV)} FROM ({ORACLES['stream_resample_15m']})"
+ORACLES["stream_log"] = """SELECT 'pulls' AS name, event_id % 3 AS batch, count(*) AS rows, true AS timed FROM events GROUP BY 2"""
 ORACLES["stream_upsert_bars"] = f"""SELECT event_type AS symbol, date_trunc('minute', ts) AS ts,
   max(event_id) AS version, {r('last(value ORDER BY event_id)', 'price')} FROM events GROUP BY 1, 2"""
 
@@ -476,6 +483,10 @@ ORACLES["eval_bounds"] = f"WITH {_BARS}, {_HOLD} SELECT symbol, eval_start AS ev
 _SCALE = f"""first_train AS (SELECT pos.* FROM pos JOIN folds USING (symbol) WHERE fold = 0 AND i BETWEEN train_start_i AND train_end_i),
 state AS ({' UNION ALL '.join(f"SELECT symbol, '{c}' AS column_name, avg({c}) AS mean, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS scale FROM first_train GROUP BY symbol" for c in S.OHLCV)})"""
 ORACLES["scale_fit"] = f"""WITH {_BARS}, {_FOLDS}, {_SCALE} SELECT symbol, column_name AS "column", {rs('mean', 'scale')} FROM state"""
+ORACLES["scale_increment"] = f"WITH {_BARS} " + " UNION ALL ".join(
+    f"SELECT symbol, '{c}' AS \"column\", {r(f'avg({c})', 'mean')}, {r(f'CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END', 'scale')} FROM pos GROUP BY symbol"
+    for c in S.OHLCV
+)
 _joined = " ".join(f"JOIN state s_{c} ON s_{c}.symbol = pos.symbol AND s_{c}.column_name = '{c}'" for c in S.OHLCV)
 ORACLES["scale_apply"] = f"""WITH {_BARS}, {_FOLDS}, {_SCALE} SELECT pos.symbol, ts,
   {', '.join(r(f'(pos.{c} - s_{c}.mean) / s_{c}.scale', c) for c in S.OHLCV)} FROM pos {_joined}"""

@@ -139,6 +139,20 @@ def append_job_log(
     return path
 
 
+def merge_log(rows: DataFrame, path: str, keys: Sequence[str]) -> str:
+    """Put a few log rows (with ``ts``) into a table of one file per day, in place of those with the
+    same keys on these days. One writer at a time."""
+    rows = rows.withColumn("day", F.to_date(S.TS))
+    spark = rows.sparkSession
+    if _exists(spark, path):
+        days = [r.day for r in rows.select("day").distinct().collect()]
+        old = spark.read.parquet(path).where(F.col("day").isin(days))
+        old = old.join(F.broadcast(rows.select(*keys).distinct()), list(keys), "left_anti")
+        rows = written(old.select(*rows.columns).unionByName(rows), "merged")
+    _replace(rows.repartition("day"), path, "day")
+    return path
+
+
 def write_epoch(rows: DataFrame, path: str, epoch: int) -> str:
     """Rows of one micro-batch; a replayed batch replaces its rows.
 

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from barloom import schema as S
 from barloom.operators.blocks import with_position
 from barloom.operators.model import CompositeModel
 from barloom.operators.orders import plan_orders
-from barloom.operators.resample import resample
+from barloom.operators.resample import checked_cascade, merged_bars, resample
 from barloom.operators.upsert import BAR_KEY
 from barloom.session import shared_dir
-from barloom.sinks.writers import append_job_log, upsert, write_epoch, written
+from barloom.sinks.writers import append_job_log, merge_log, upsert, write_epoch, written
 from barloom.sources import payloads
 from barloom.sources.payloads import parse_bars, parse_long_ratio, parse_open_interest
 from barloom.streaming.live import live_features
@@ -38,6 +39,30 @@ def stream_resample(
     return resample(timed, interval, order)
 
 
+def stream_cascade(
+    ticks: DataFrame, intervals: Sequence[str], lateness: str = "10 minutes", order: Column | None = None
+) -> DataFrame:
+    """Bars of the last interval through chained windows, each from the bars of the one before.
+
+    Ticks are kept as state of the shortest interval only, the longer ones hold bars. In append mode
+    a bar comes out once the watermark has passed its end.
+    """
+    checked_cascade(intervals)
+    timed = ticks.withColumn(S.TS, F.col(S.TS).cast("timestamp")).withWatermark(S.TS, lateness)
+    key = F.col(S.TS) if order is None else order
+    bars = timed.groupBy(F.col(S.SYMBOL), F.window(S.TS, intervals[0]).alias("__slot")).agg(
+        F.min_by("price", key).alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", key).alias("close"),
+        F.sum("volume").alias("volume"),
+    )
+    for interval in intervals[1:]:
+        started = bars.withColumn("__time", F.col("__slot.start"))
+        bars = merged_bars(started, interval, F.col("__time"), F.col("__slot"))
+    return bars.select(S.SYMBOL, F.col("__slot.start").alias(S.TS), *S.OHLCV)
+
+
 def _payload_lines(spark: SparkSession, path: str, symbol: str) -> DataFrame:
     lines = spark.readStream.text(path)
     return lines.select("value", F.lit(symbol).alias(S.SYMBOL), F.col("_metadata.file_path").alias("file"))
@@ -209,3 +234,49 @@ def stream_live_orders(
         .trigger(availableNow=True)
         .start()
     )
+
+
+class ProgressLog(StreamingQueryListener):
+    """Rows about every micro-batch of named queries, in a table of bounded files.
+
+    ``name, run, batch, rows, millis, watermark, ts``: a batch that is replayed replaces its row. Add
+    it with ``spark.streams.addListener``; rows are kept until a query ends or ``every`` are there.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.rows: list[tuple] = []
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        p = event.progress
+        self.rows.append(
+            (p.name, str(p.runId), p.batchId, p.numInputRows, p.batchDuration, p.eventTime.get("watermark"), p.timestamp)
+        )
+        if len(self.rows) >= self.every:
+            self.flush()
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        self.flush()
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Return once the rows of a query that has ended are written."""
+        self.ended.setdefault(str(query.runId), threading.Event()).wait(seconds)
+
+    def flush(self) -> None:
+        rows, self.rows = self.rows, []
+        if not rows:
+            return
+        table = self.spark.createDataFrame(
+            rows,
+            "name string, run string, batch bigint, rows bigint, millis bigint, watermark string, ts string",
+        )
+        times = {c: F.col(c).cast("timestamp") for c in ("watermark", S.TS)}
+        merge_log(table.withColumns(times), self.path, ["name", "batch"])
