@@ -14,6 +14,7 @@ from barloom.functions.scalars import divide
 from barloom.operators import backtest as bt
 from barloom.operators.blocks import BLOCK, BLOCK_ROWS, Blocks
 from barloom.operators.folds import bound_exprs, checked, fold_rows, train_length
+from barloom.operators.sampler import next_trials
 from barloom.operators.signals import (
     ENTRY_LENGTHS,
     ENTRY_POINTS,
@@ -21,6 +22,7 @@ from barloom.operators.signals import (
     pick_band,
     trial_rows,
 )
+from barloom.sinks.writers import written
 
 # The searched ranges of the classifier's parameters.
 CLASSIFIER_SPACE = {
@@ -61,6 +63,43 @@ def signal_trials(n_trials: int, seed: int = 42) -> list[dict]:
     ]
 
 
+#: The searched ranges of the signal's parameters, as the sampler takes them.
+SIGNAL_SPACE = {"entry_length": ("int", *ENTRY_LENGTHS), "entry_point": ("log", *ENTRY_POINTS)}
+
+
+def sequential_search(
+    positioned: DataFrame,
+    account: S.BacktestParams = S.BacktestParams(),
+    params: S.OptimizeParams = S.OptimizeParams(),
+    batch: int = 20,
+    strict: bool = True,
+) -> DataFrame:
+    """Best signal parameters per symbol from batches of proposals, ``params.n_trials`` in all.
+
+    The first batch is random; each later one is proposed from the metrics so far, averaged over the
+    symbols, and scored for all symbols as one job. The driver holds the trials only.
+    """
+    trials = signal_trials(min(batch, params.n_trials), account.seed)
+    scores = None
+    fresh = trials
+    while fresh:
+        found = written(
+            with_parameters(trial_scores(fold_scores(positioned, fresh, account, params, strict)), fresh),
+            "sequential",
+        )
+        scores = found if scores is None else scores.unionByName(found)
+        count = min(batch, params.n_trials - len(trials))
+        if not count:
+            break
+        pooled = scores.groupBy("trial", *SIGNAL_SPACE).agg(F.avg("metric").alias("metric"))
+        proposed = next_trials(
+            pooled, SIGNAL_SPACE, len(trials), count, params.direction, account.seed, keys=()
+        )
+        fresh = [r.asDict() for r in proposed.orderBy("trial").collect()]
+        trials = trials + fresh
+    return best_trial(scores, params.direction)
+
+
 def classifier_trials(n_trials: int, seed: int = 42, space: dict = CLASSIFIER_SPACE) -> list[dict]:
     """Random classifier parameters, one set for buys and one for sells."""
     return [

@@ -22,6 +22,7 @@ from barloom.operators import (
     reshape,
     rolling,
     running,
+    sampler,
     scaler,
     search,
     signals as sg,
@@ -146,7 +147,7 @@ def resample_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = market.with_position(market.line_bars(spark, sf_dir))
+    bars = market.with_position(written(market.line_bars(spark, sf_dir), "bars"))
     return out(bars.select(S.SYMBOL, S.TS, F.col("i").cast("bigint"), F.col("n").cast("bigint")))
 
 
@@ -560,6 +561,19 @@ def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(search.search_signal(event_table(spark, sf_dir), trials, ACCOUNT, SEARCH, strict=False))
 
 
+#: Random trials that the registered proposals go on from, and proposals per symbol.
+TOLD, PROPOSED = 30, 4
+
+
+@query
+def next_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposals per symbol from the metrics of random trials."""
+    trials = search.signal_trials(TOLD, ACCOUNT.seed)
+    scores = search.fold_scores(event_table(spark, sf_dir), trials, ACCOUNT, SEARCH, strict=False)
+    history = written(search.with_parameters(search.trial_scores(scores), trials), "history")
+    return out(sampler.next_trials(history, search.SIGNAL_SPACE, TOLD, PROPOSED, SEARCH.direction, ACCOUNT.seed))
+
+
 # -- stored series, upserts, tracking, orders -----------------------------------------------------
 
 
@@ -975,6 +989,13 @@ def latest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- written and read back ------------------------------------------------------------------------
 
 
+@query
+def scan_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relation of the session's catalog, read by name."""
+    market.table(spark, sf_dir, "customer").createOrReplaceTempView("relation_customer")
+    return readers.read_relation(spark, "relation_customer").where("c_nationkey = 3").select("c_custkey", "c_name")
+
+
 @query
 def feature_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features written as CSV and read by the CSV source."""

@@ -35,15 +35,18 @@ from barloom.plans.catalog import (
     NOW,
     OTHER,
     PRICE_SCALED,
+    PROPOSED,
     SEARCH,
     SEARCH_ROUNDS,
     SEARCH_TRIALS,
     TIME,
+    TOLD,
     TRIALS,
     UNROUNDED,
 )
-from barloom.operators import boost
+from barloom.operators import boost, sampler
 from barloom.operators.model import PARAMETER_TYPES, classifier
+from barloom.operators.search import SIGNAL_SPACE
 from barloom.operators.search import signal_trials as random_trials
 
 ORACLES: dict[str, str] = {}
@@ -523,6 +526,59 @@ SELECT symbol, trial AS step, 'pnl' AS key, {r('metric', 'value')} FROM wide
 UNION ALL SELECT symbol, trial, 'entry_length', entry_length::DOUBLE FROM wide
 UNION ALL SELECT symbol, trial, 'entry_point', round(entry_point, 6) FROM wide"""
 
+
+
+def proposal_sql() -> str:
+    """Parzen proposals over the trials' means (CTE ``means``), candidate by candidate."""
+    g, c, w, e = d(sampler.GOOD), sampler.CANDIDATES, d(sampler.WIDTH), d(sampler.POWER)
+    lo, hi = SIGNAL_SPACE["entry_length"][1:]
+    bottom, top = SIGNAL_SPACE["entry_point"][1:]
+    span = f"(ln({d(top)}) - ln({d(bottom)}))"
+    unit = {
+        "entry_length": f"(entry_length - {d(lo)} + 0.5) / {d(hi - lo + 1)}",
+        "entry_point": f"(ln(entry_point) - ln({d(bottom)})) / {span}",
+    }
+    names = list(SIGNAL_SPACE)
+
+    def uniform(name: str, purpose: str) -> str:
+        return f"(('0x' || substr(md5(concat_ws(':', '{ACCOUNT.seed}', trial, c, '{name}', '{purpose}')), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+    def density(name: str, of: str) -> str:
+        values = f"{of}_{name}"
+        wide = f"({w} * pow(len({values}), {e}))"
+        return f"((coalesce(list_sum(list_transform({values}, lambda x: greatest(0.0, 1.0 - abs(({unit[name]}) - x) / {wide}) / {wide})), 0.0) + 1.0) / (len({values}) + 1))"
+
+    draws, moves, picks = [], [], []
+    for n in names:
+        draws += [f"floor({uniform(n, 'part')} * (len(good_{n}) + 1))::INTEGER AS part_{n}", f"{uniform(n, 'draw')} AS draw_{n}"]
+        moves.append(
+            f"good_{n}[part_{n} + 1] + {w} * pow(len(good_{n}), {e}) *"
+            f" (CASE WHEN draw_{n} < 0.5 THEN sqrt(2.0 * draw_{n}) - 1.0 ELSE 1.0 - sqrt(2.0 * (1.0 - draw_{n})) END) AS moved_{n}"
+        )
+        picks.append(
+            f"CASE WHEN part_{n} >= len(good_{n}) THEN draw_{n} WHEN moved_{n} < 0 THEN -moved_{n}"
+            f" WHEN moved_{n} > 1 THEN 2.0 - moved_{n} ELSE moved_{n} END AS u_{n}"
+        )
+    lists = ", ".join(
+        f"coalesce(list({unit[n]} ORDER BY rk) FILTER (rk {op} ceil(n * {g})), []) AS {of}_{n}"
+        for n in names for of, op in (("good", "<="), ("rest", ">"))
+    )
+    score = " + ".join(f"ln({density(n, 'good')}) - ln({density(n, 'rest')})" for n in names)
+    return f"""ordered AS (SELECT symbol, entry_length, entry_point, count(*) OVER (PARTITION BY symbol) AS n,
+    row_number() OVER (PARTITION BY symbol ORDER BY metric DESC, trial) AS rk FROM means JOIN trials USING (trial)),
+sets AS (SELECT symbol, {lists} FROM ordered GROUP BY symbol),
+slots AS (SELECT *, {', '.join(draws)} FROM sets, range({TOLD}, {TOLD + PROPOSED}) t(trial), range({c}) k(c)),
+moved AS (SELECT *, {', '.join(moves)} FROM slots),
+placed AS (SELECT *, {', '.join(picks)} FROM moved),
+tried AS (SELECT *, least(floor({d(lo)} + u_entry_length * {d(hi - lo + 1)}), {d(hi)})::INTEGER AS entry_length,
+    exp(ln({d(bottom)}) + u_entry_point * {span}) AS entry_point FROM placed),
+judged AS (SELECT *, {score} AS score FROM tried)
+SELECT symbol, trial::INTEGER AS trial, entry_length, {r('entry_point', 'entry_point')} FROM judged
+QUALIFY row_number() OVER (PARTITION BY symbol, trial ORDER BY score DESC, c) = 1"""
+
+
+ORACLES["next_trials"] = f"WITH {search_ctes(random_trials(TOLD, ACCOUNT.seed))}, {proposal_sql()}"
+
 # -- stored series, upserts, tracking, orders -----------------------------------------------------
 
 ORACLES["pivot_fields"] = ORACLES["resample_15m"]
@@ -764,4 +820,5 @@ SELECT 'run' AS run_id, {_typed} FROM (VALUES {_values}) t(trial, {', '.join(PAR
 _mom = ", ".join(f'{e} AS "{n}"' for n, e in plain_exprs("mom").items())
 ORACLES["feature_files"] = f"""WITH {event_bars()}, {POS}, f AS (SELECT symbol, ts, {RAW}, {_mom} FROM pos)
 SELECT symbol, ts, {rs(*S.OHLCV, *S.FEATURE_GROUPS['mom'])} FROM f"""
+ORACLES["scan_relation"] = "SELECT c_custkey, c_name FROM customer WHERE c_nationkey = 3"
 ORACLES["job_log"] = """SELECT DISTINCT 'recorder' AS name, 'pulled ' || event_type AS message, event_type AS entry FROM events"""

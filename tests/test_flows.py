@@ -580,3 +580,49 @@ def test_live_orders_need_no_history(spark, trained, tmp_path):
         rows = plans[(plans.symbol == symbol) & (plans.epoch == epoch)].set_index("side").price
         assert rows["buy"] == pytest.approx(want[symbol].buy_limit_price)
         assert rows["sell"] == pytest.approx(want[symbol].sell_limit_price)
+
+
+# -- tables that grow -----------------------------------------------------------------------------
+
+
+def test_cascade_equals_direct_resampling(spark):
+    from barloom.operators.resample import checked_cascade, resample_cascade
+
+    rng = np.random.default_rng(4)
+    ts = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.sort(rng.integers(0, 86400, 500)), unit="s")
+    pdf = pd.DataFrame({"symbol": rng.choice(["A", "B"], 500), "ts": ts, "seq": range(500), "price": rng.normal(size=500), "volume": 1.0})
+    ticks = to_spark(spark, pdf)
+    for interval, bars in resample_cascade(ticks, ["1 minute", "5 minutes", "1 hour", "1 day"], tick_order()).items():
+        want = resample(ticks, interval, tick_order())
+        assert bars.exceptAll(want).isEmpty() and bars.count() == want.count()
+    for wrong in (["5 minutes", "1 minute"], ["2 minutes", "5 minutes"], ["1 hour", "1 hour"]):
+        with pytest.raises(ValueError, match="multiple"):
+            checked_cascade(wrong)
+
+
+def test_scaler_state_from_day_moments(spark):
+    """Merged days equal one pass over all rows, at a far level too; constants scale by one."""
+    bars = to_spark(spark, random_bars(13, {"A": 500, "B": 40})).withColumns(
+        {"far": F.col("close") + 1e9, "flat": F.lit(0.1), "gaps": F.when(F.col("close") > 100, F.col("close"))}
+    )
+    columns = ["close", "far", "flat", "gaps"]
+    cut = F.to_date("ts") < "2024-01-04"
+    stored = written(scaler.day_moments(bars.where(cut), columns), "moments")
+    again = scaler.day_moments(bars.where(F.to_date("ts") >= "2024-01-03"), columns)
+    state = scaler.scaler_of(scaler.with_new_days(stored, again)).toPandas().set_index(["symbol", "column"])
+    want = scaler.fit_scaler(bars, columns).toPandas().set_index(["symbol", "column"])
+    assert set(state.index) == set(want.dropna().index)
+    for key in state.index:
+        assert state["mean"][key] == pytest.approx(want["mean"][key], rel=1e-12)
+        assert state.scale[key] == pytest.approx(want.scale[key], rel=1e-6) or key[1] == "flat"
+    assert set(state.xs("flat", level="column").scale) == {1.0}
+
+
+def test_progress_log_replaces_replayed_batches(spark, tmp_path):
+    log = streams.ProgressLog(spark, str(tmp_path / "log"))
+    row = ("q", "r", 0, 5, 10, None, "2024-01-01T00:00:00.000Z")
+    for rows in ([row, ("q", "r", 1, 7, 11, "2024-01-01T00:00:00.000Z", "2024-01-02T00:00:00.000Z")], [("q", "r2", 0, 5, 12, None, "2024-01-01T00:00:05.000Z")], []):
+        log.rows.extend(rows)
+        log.flush()
+    got = {(r.batch, r.rows, r.millis) for r in spark.read.parquet(str(tmp_path / "log")).collect()}
+    assert got == {(0, 5, 12), (1, 7, 11)} and len(_files(tmp_path / "log")) == 2
