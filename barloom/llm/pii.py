@@ -8,7 +8,8 @@ and decoded by Viterbi over numpy batches of windows. A decoded span is added if
 of its kind once its disguise is removed and if it overlaps no base span.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Very long runs of
-digits or letters take time in proportion to their length. Repeated rows are judged alike. An empty
+digits or letters take time in proportion to their length. Of decoded spans that overlap, and of paths
+with equal scores, the first stays. Repeated rows are judged alike. An empty
 table gives an empty result. Other columns are not read.
 """
 
@@ -31,7 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: Rows of the labelled table that a fit reads at most.
 EXAMPLE_ROWS = 5_000
-#: Characters on either side of a trigger that the random field sees.
+#: Characters on either side of a trigger that the random field sees at least.
 REACH = 48
 WINDOWS_AT_ONCE = 256
 
@@ -106,15 +107,24 @@ _TRIGGER = re.compile(
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Parts of a text around triggers; parts that touch are one, and none crosses a line."""
+    """Parts of a text around triggers; parts that touch are one, and none crosses a line.
+
+    A part reaches ``REACH`` characters to either side of its triggers, and on from there to the next
+    white space, so that no run of characters is cut however long it is.
+    """
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
         if out and m.start() + REACH <= out[-1][1]:
             continue
-        start, end = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        start = max(start, text.rfind("\n", start, m.start()) + 1)
-        stop = text.find("\n", m.end(), end)
-        end = end if stop < 0 else stop
+        first = text.rfind("\n", 0, m.start()) + 1
+        last = text.find("\n", m.end())
+        last = len(text) if last < 0 else last
+        start, end = max(first, m.start() - REACH), min(last, m.end() + REACH)
+        free = max(first, out[-1][1] if out else 0)  # what lies before is in a part already
+        while start > free and not text[start - 1].isspace():
+            start -= 1
+        while end < last and not text[end].isspace():
+            end += 1
         if out and start <= out[-1][1]:
             out[-1][1] = max(end, out[-1][1])
         else:

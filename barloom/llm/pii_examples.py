@@ -90,7 +90,9 @@ FILLERS = {
         "nina(dot)berg(at)firma(dot)example(dot)de", "ole punkt falk at dorf punkt example punkt de",
         "info(@)example.org", "jill.ray at example.com", "joan ( at ) example.org", "dora [ at ] web.example.net",
         "marc at domaine point fr", "gus at example (.) org", "pat at mail.example.com", "luc.petit at web ( . ) exemple ( . ) fr",
-        "rosa < at > correo punto es",
+        "rosa < at > correo punto es", "bob AT gmail DOT com", "ANN DOT LEE AT MAIL DOT ORG", "Kim At Post Dot Example Dot Net",
+        "max AT example DOT org", "constantin.maximilian.von.hohenfeld-weissenburg at verwaltung dot example dot com",
+        "ab.cd.ef.gh.ij.kl.mn.op.qr.st.uv at example dot com",
     ),
     "phone": (
         "(017) 555-7713", "974-555-3436", "974.555.3436", "(487) 555 7209", "555-0136-22",
@@ -101,6 +103,8 @@ FILLERS = {
     "ip": (
         "97.51.17.173", "10 . 0 . 0 . 7", "192[.]168[.]1[.]20", "172(.)16(.)0(.)1", "8 dot 8 dot 4 dot 4",
         "203[dot]0[dot]113[dot]9", "198 .51 .100 .23", "127[.]0[.]0[.]1",
+        "10 dot 20 dot 30 dot 40", "192 DOT 168 DOT 0 DOT 10", "172 punkt 16 punkt 0 punkt 9", "203 dot 0 dot 113 dot 77",
+        "100 dot 64 dot 7 dot 250",
     ),
     "card": (
         "4012 8888 8888 1881", "4012888888881881", "5555.5555.5555.4444", "4111/1111/1111/1111",
