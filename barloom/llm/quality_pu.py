@@ -1,18 +1,24 @@
 """Quality scores by positive-unlabelled learning.
 
-Trusted positives are documents labelled as good outside the held-out fold, unlabelled ones are
-documents without a label. A linear model on binned text statistics minimises the non-negative
-unbiased risk ``prior * E_pos[l(g)] + max(0, E_unl[l(-g)] - prior * E_pos[l(-g)])`` with the logistic
-loss; while the second term is below zero, its gradient is taken the other way so that the model
-stops fitting the unlabelled sample as negatives. The prior is the share of good documents among the
-labelled rows outside the held-out fold.
-
-The fit uses at most ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS`` documents, chosen by hash of the id;
-scoring reads every whole text. Language, source, id and labels are no inputs of a score.
-
-Null and empty texts have all statistics at zero and a score like any other. Where there are no
-trusted positives or nothing unlabelled, every score is the prior. Repeated rows score alike. An
-empty table gives an empty result. Other columns are not read.
+Trusted positives are documents labelled as good outside the held-out fold; the unlabelled set is the
+web text itself, every document of the table without regard to labels. A linear model on binned text
+statistics minimises the non-negative unbiased risk
+``prior * E_pos[l(g)] + max(0, E_unl[l(-g)] - prior * E_pos[l(-g)])`` with the logistic loss, for which
+the risk inside the maximum's bound is convex. Where a step takes the second term below zero, its
+gradient is followed the other way until it is not, so that the model does not fit the unlabelled set as
+negatives. The prior is the share of good documents among the labelled rows outside the held-out fold.
+
+Statistics of all documents are written once. Bin edges, means and deviations come from all of them,
+and every step of the fit is one Spark aggregate of the risk's sums over all rows: a few hundred numbers
+per task, however many rows there are. Sums are whole multiples of ``1 / GRID``, so their order does not
+matter. At most ``POSITIVE_ROWS`` labelled documents, chosen by hash of the id, are the positives.
+Language, source, id and labels are no inputs of a score.
+
+Null and empty texts have all statistics at zero and a score like any other; very long texts are read
+whole. Where there are no trusted positives, every score is the prior. Rows that repeat or share an id
+score alike if their texts do, and each counts; a labelled id with several rows is that many positives.
+Ties at a bin's edge fall into the lower bin. An empty table gives an empty result. Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from __future__ import annotations
 import math
 import operator
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,17 +37,18 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import held_out, map_batches, text_or_empty
 from barloom.llm.logistic import sigmoid
+from barloom.sinks.writers import written
 
-#: Bounds of the two training samples.
+#: Bound of the labelled sample.
 POSITIVE_ROWS = 8_000
-UNLABELLED_ROWS = 16_000
-#: Fewer unlabelled documents than this are made up with labelled ones outside the held-out fold.
-FEW = 200
 BINS = 10
-STEPS = 600
-RATE = 0.05
+#: Share of the rows by which a bin's edge may be off.
+EDGE_ERROR = 0.005
+STEPS = 40
 RIDGE = 1e-4
 THRESHOLD = 0.3
+#: Steps of the sums per unit.
+GRID = 1 << 24
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -127,6 +134,18 @@ class QualityModel:
     def predict(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.inputs(x) @ self.weights) if len(x) else np.zeros(0)
 
+    def score_of(self, x: str) -> Column:
+        """Score of a column of statistics."""
+        model = self
+
+        @F.pandas_udf("double")
+        def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for rows in batches:
+                table = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, len(STATISTICS)))
+                yield pd.Series(model.predict(table), dtype="float64")
+
+        return scores(F.col(x))
+
     def score(self, text: str = "text") -> Column:
         """Score of a text column."""
         model = self
@@ -140,83 +159,177 @@ class QualityModel:
         return scores(text_or_empty(text))
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> QualityModel:
-    """Minimise the non-negative risk by full-batch Adam; the same input gives the same model."""
-    both = np.vstack([positive, unlabelled])
-    inner = np.linspace(0, 1, BINS + 1)[1:-1]
-    scale = both.std(0)
-    scale[scale == 0] = 1.0
-    model = QualityModel(np.quantile(both, inner, axis=0).T.copy(), both.mean(0), scale, np.zeros(0))
-    p, u = model.inputs(positive), model.inputs(unlabelled)
-    w = np.zeros(p.shape[1])
+@dataclass
+class Sums:
+    """What the risk needs of all rows at some weights: means over both sets."""
+
+    unlabelled_loss: float  # l(-g) over the unlabelled rows
+    positive_loss: float  # l(-g) over the positives
+    unlabelled: np.ndarray  # s * input over the unlabelled rows, s the sigmoid of g
+    positive: np.ndarray  # s * input over the positives
+    inputs: np.ndarray  # input over the positives
+    margin: float  # g over the positives
+
+    def risk(self, prior: float, w: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+        """Unbiased risk with its ridge, the part that must not be negative, and both gradients.
+
+        For the logistic loss ``l(g) = l(-g) - g``, so that the positives' two losses leave ``-g``.
+        """
+        rest = self.unlabelled_loss - prior * self.positive_loss
+        total = prior * (self.positive_loss - self.margin) + rest + RIDGE / 2 * float(w @ w)
+        falling = self.unlabelled - prior * self.positive
+        return total, rest, prior * (self.positive - self.inputs) + falling + RIDGE * w, falling
+
+
+def row_sums(model: QualityModel, w: np.ndarray, x: np.ndarray, positive: np.ndarray) -> np.ndarray:
+    """Whole-number sums over some rows: losses, counts and margins, then three sums of inputs."""
+    z = model.inputs(x)
+    g = z @ w
+    s = sigmoid(g)
+    loss = np.logaddexp(0.0, g)
+    p = positive.astype(float)
+    heads = [loss.sum(), float(len(x)), (loss * p).sum(), p.sum(), (g * p).sum()]
+    sums = np.concatenate([heads, s @ z, (s * p) @ z, p @ z])
+    return np.floor(sums * GRID + 0.5).astype(np.int64)
+
+
+def means_of(sums: np.ndarray) -> Sums:
+    values = sums / GRID
+    unlabelled_loss, rows, positive_loss, positives, margin = values[:5]
+    parts = values[5:].reshape(3, -1)
+    return Sums(
+        unlabelled_loss / rows, positive_loss / positives, parts[0] / rows, parts[1] / positives,
+        parts[2] / positives, margin / positives,
+    )
+
+
+def minimise(evaluate: Callable[[np.ndarray], Sums], prior: float, size: int, steps: int = STEPS) -> np.ndarray:
+    """Weights of least non-negative risk, by limited-memory quasi-Newton steps.
+
+    A step is halved until the risk falls enough. The same sums give the same weights.
+    """
+    w = np.zeros(size)
     w[-1] = math.log(prior / (1 - prior))
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, STEPS + 1):
-        at_p, at_u = sigmoid(p @ w), sigmoid(u @ w)
-        # For the logistic loss: l(g)' = s - 1 and l(-g)' = s, with s the sigmoid of g.
-        loss = -np.log1p(-np.clip(at_u, 0, 1 - 1e-12)).mean() + prior * np.log1p(
-            -np.clip(at_p, 0, 1 - 1e-12)
-        ).mean()
-        rest = u.T @ at_u / len(u) - prior * (p.T @ at_p) / len(p)
-        gain = prior * (p.T @ (at_p - 1)) / len(p)
-        gradient = (gain + rest if loss >= 0 else -rest) + RIDGE * w
-        m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
-        rate = RATE * (1 - step / (STEPS + 1))
-        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    model.weights = w
+    value, rest, gradient, falling = evaluate(w).risk(prior, w)
+    history: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        if rest < 0:  # the other way, and no memory of the steps that led here
+            w = w + 0.5 * falling / max(1.0, float(np.linalg.norm(falling)))
+            value, rest, gradient, falling = evaluate(w).risk(prior, w)
+            history = []
+            continue
+        direction = _two_loops(gradient, history)
+        slope = float(gradient @ direction)
+        if slope > -1e-9:
+            break
+        length = 1.0 if history else min(1.0, 1.0 / float(np.abs(gradient).sum()))
+        for _ in range(12):
+            at = w + length * direction
+            found = evaluate(at).risk(prior, at)
+            if found[0] <= value + 1e-4 * length * slope:
+                break
+            length /= 2
+        else:
+            break
+        if float((found[2] - gradient) @ (at - w)) > 1e-12:
+            history = [*history, (at - w, found[2] - gradient)][-10:]
+        w, (value, rest, gradient, falling) = at, found
+    return w
+
+
+def _two_loops(gradient: np.ndarray, history: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The descent direction of limited-memory BFGS."""
+    q, kept = -gradient, []
+    for s, y in reversed(history):
+        a = float(s @ q) / float(s @ y)
+        q = q - a * y
+        kept.append(a)
+    if history:
+        s, y = history[-1]
+        q = q * (float(s @ y) / float(y @ y))
+    for (s, y), a in zip(history, reversed(kept)):
+        q = q + s * (a - float(y @ q) / float(s @ y))
+    return q
+
+
+def fit_table(rows: DataFrame, prior: float) -> QualityModel:
+    """Fit on a written table of all rows' statistics (``x``) and whether they are ``positive``."""
+    k = len(STATISTICS)
+    columns = [F.col("x")[j].alias(f"x{j}") for j in range(k)]
+    flat = rows.select(*columns)
+    names = flat.columns
+    shares = [b / BINS for b in range(1, BINS)]
+    edges = np.array(flat.approxQuantile(names, shares, EDGE_ERROR))
+    told = flat.agg(*[F.avg(c) for c in names], *[F.stddev_pop(c) for c in names]).first()
+    scale = np.array(told[k:])
+    scale[scale == 0] = 1.0
+    model = QualityModel(edges, np.array(told[:k]), scale, np.zeros(0))
+
+    def evaluate(w: np.ndarray) -> Sums:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if batch.num_rows:
+                    x = batch.column(0).flatten().to_numpy().reshape(-1, k)
+                    sums = row_sums(model, w, x, batch.column(1).to_numpy(zero_copy_only=False))
+                    total = sums if total is None else total + sums
+            if total is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(total))), pa.array(total)], ["place", "value"]
+                )
+
+        parts = rows.select("x", "positive").mapInArrow(run, "place bigint, value bigint")
+        found = parts.groupBy("place").agg(F.sum("value").alias("value")).collect()
+        return means_of(np.array([r.value for r in sorted(found, key=lambda r: r.place)], float))
+
+    model.weights = minimise(evaluate, prior, k + k * BINS + 1)
     return model
 
 
-def _sample(docs: DataFrame, ids: DataFrame, rows: int) -> np.ndarray:
-    """Statistics of at most ``rows`` documents with the given ids, in a fixed order."""
-    chosen = ids.distinct().orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").limit(rows)
-    # At most ``rows`` numbers: a proven bound for the broadcast.
-    texts = docs.select(F.col("doc_id").alias("__id"), text_or_empty().alias("text")).join(
-        F.broadcast(chosen), "__id"
-    )
+def _judged(docs: DataFrame, labels: DataFrame, folds: int, fold: int) -> tuple[DataFrame, float]:
+    """All documents' statistics with ``doc_id`` and ``positive``, written, and the prior."""
+    known = labels.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("quality").alias("quality"))
+    train = known.where(F.col("quality").isNotNull() & ~held_out("__id", folds, fold))
+    good, all_ = train.agg(
+        F.coalesce(F.sum(F.col("quality").cast("int")), F.lit(0)), F.count(F.lit(1))
+    ).first()
+    order = F.xxhash64(F.col("__id").cast("string"))
+    chosen = train.where("quality = 1").select("__id").distinct().orderBy(order, "__id").limit(POSITIVE_ROWS)
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
-            return {
-                "id": batch.column(0),
-                "x": [statistics(t) for t in batch.column(1).to_pylist()],
-            }
+            return {"doc_id": batch.column(0), "x": [statistics(t) for t in batch.column(1).to_pylist()]}
 
         return step
 
-    table = map_batches(
-        texts.select(F.col("__id").cast("bigint"), "text"), make, "id bigint, x array<double>"
-    )
-    found = sorted((r.id, r.x) for r in table.collect())
-    return np.array([x for _, x in found]).reshape(-1, len(STATISTICS))
+    whole = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
+    table = map_batches(whole, make, "doc_id bigint, x array<double>")
+    # At most ``POSITIVE_ROWS`` numbers: a proven bound for the broadcast.
+    marked = chosen.withColumnRenamed("__id", "doc_id").withColumn("positive", F.lit(True))
+    rows = table.join(F.broadcast(marked), "doc_id", "left")
+    rows = rows.withColumn("positive", F.coalesce("positive", F.lit(False)))
+    return written(rows, "quality-statistics"), (good + 1.0) / (all_ + 2.0)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, folds: int, fold: int) -> QualityModel:
-    """Fit on labelled positives outside the held-out fold and on unlabelled documents."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").alias("quality"))
-    train = known.where(F.col("quality").isNotNull() & ~held_out("__id", folds, fold))
-    good, all_ = train.agg(
-        F.coalesce(F.sum(F.col("quality").cast("int")), F.lit(0)), F.count(F.lit(1))
-    ).first()
-    prior = (good + 1.0) / (all_ + 2.0)
-    positive = _sample(docs, train.where("quality = 1").select("__id"), POSITIVE_ROWS)
-    free = docs.select(F.col("doc_id").alias("__id")).join(known, "__id", "left_anti")
-    unlabelled = _sample(docs, free, UNLABELLED_ROWS)
-    if len(unlabelled) < FEW:
-        unlabelled = np.vstack([unlabelled, _sample(docs, train.select("__id"), UNLABELLED_ROWS)])
-    if not len(positive) or not len(unlabelled):
+def _fitted(rows: DataFrame, prior: float) -> QualityModel:
+    if rows.where("positive").isEmpty():
         return QualityModel.constant(prior)
-    return fit_pu(positive, unlabelled, prior)
+    return fit_table(rows, prior)
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, folds: int, fold: int) -> QualityModel:
+    """Fit on labelled positives outside the held-out fold and on all documents as unlabelled ones."""
+    return _fitted(*_judged(docs, labels, folds, fold))
 
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    model = fit_quality(docs, labels, folds, fold)
-    scored = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+    rows, prior = _judged(docs, labels, folds, fold)
+    scored = rows.select(
+        "doc_id",
         held_out("doc_id", folds, fold).alias("held_out"),
-        model.score("text").alias("score"),
+        _fitted(rows, prior).score_of("x").alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
