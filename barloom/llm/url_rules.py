@@ -1,20 +1,21 @@
 """URL filtering by listed rules and by mined association rules.
 
 Listed rules (host and path prefix) decide first; the longest that fits wins. Other URLs are judged
-by rules that FP-growth mines from labelled URLs: combinations of URL tokens (scheme, host labels
-and their endings, path parts, file ending, query names) that imply "block". A URL is labelled by
-the listed rule that fits it, else by the label of the document that its path names (bad if toxic or
-of low quality).
+by rules that FP-growth mines from labelled URLs among them: combinations of URL tokens (scheme, host
+labels and their endings, path parts, file ending, query names) that imply "block". A URL is labelled by
+the label of the document that its path names (bad if toxic or of low quality); what the listed rules
+decide is not learnt from, so that mined rules do not echo them.
 
 Mined rules are pruned by support, confidence and lift, and a rule goes if a shorter part of it is
-as confident; all others are kept, as a written table. URLs find rules through an inverted index: a
+as confident; all others are kept, however many tokens they have, as a written table. URLs find rules through an inverted index: a
 rule is filed under its rarest token, and only rules filed under one of the URL's tokens are
 compared. Without a rule that fits, a URL is allowed. Up to ``INDEX_RULES`` rules travel to the
 workers as an index; more are joined with the distinct sets of tokens. Both ways find the same rule.
 
 A missing URL, or one without ``://``, has an empty host and path and no tokens: it is allowed.
-Repeated rows are judged alike and each count as a labelled URL. Without labelled URLs nothing is
-mined. An empty table gives an empty result. Other columns are not read.
+Repeated rows are judged alike and each count as a labelled URL. Ties between rules go to the larger
+support, then the first by tokens. Very long URLs have as many tokens as they have parts. Without
+labelled URLs nothing is mined. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,8 +45,6 @@ MIN_SUPPORT = 0.002
 MIN_URLS = 20
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.2
-#: Tokens of a combination.
-MAX_TOKENS = 4
 #: Rules that the workers hold as an index; it decides speed alone.
 INDEX_RULES = 10_000
 
@@ -124,19 +123,17 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str, url
 
 
 def labelled_urls(told: DataFrame, labels: DataFrame) -> DataFrame:
-    """``tokens, verdict`` of the URLs with a listed rule or a labelled document."""
+    """``tokens, verdict`` of the URLs that no listed rule decides and that name a labelled document."""
     number = F.regexp_extract("path", r"/([0-9]{1,18})[^/]*/?$", 1).try_cast("bigint")
     bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
     known = labels.groupBy(F.col("doc_id").cast("bigint").alias("__doc")).agg(
         F.max(bad).alias("bad")
     )
     # Pages that name no document get a key of their own, so they do not meet in one task.
-    rows = told.withColumn("__doc", F.coalesce(number, -1 - F.abs(F.xxhash64("page_id", "host") % (1 << 40))))
+    rows = told.where("listed IS NULL")
+    rows = rows.withColumn("__doc", F.coalesce(number, -1 - F.abs(F.xxhash64("page_id", "host") % (1 << 40))))
     by_document = F.when(F.col("bad"), F.lit("block")).when(~F.col("bad"), F.lit("allow"))
-    rows = rows.join(known, "__doc", "left").select(
-        "tokens", F.coalesce("listed", by_document).alias("verdict")
-    )
-    return rows.where("verdict IS NOT NULL")
+    return rows.join(known, "__doc").select("tokens", by_document.alias("verdict"))
 
 
 def rule_table(
@@ -146,10 +143,7 @@ def rule_table(
     min_lift: float = MIN_LIFT,
     min_urls: int = MIN_URLS,
 ) -> DataFrame:
-    """``tokens, confidence, support`` of every kept rule, written.
-
-    Combinations of more than ``MAX_TOKENS`` tokens are not kept.
-    """
+    """``tokens, confidence, support`` of every kept rule, written."""
     baskets = labelled.select(
         F.concat("tokens", F.array(F.concat(F.lit("verdict="), F.col("verdict")))).alias("items")
     )
@@ -163,30 +157,36 @@ def rule_table(
     rules = written(
         model.associationRules.where(
             (F.col("consequent")[0] == BLOCK)
-            & (F.size("antecedent") <= MAX_TOKENS)
             & (F.col("lift") >= min_lift)
             & ~F.array_contains("antecedent", ALLOW)
         ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"),
         "url-candidates",
     )
-    # Every true part of a rule, as the bits of a number; at most 14 of them.
-    parts = rules.where(F.size("tokens") > 1).select(
-        F.col("tokens").alias("__whole"),
-        F.col("confidence").alias("__confidence"),
-        F.explode(
-            F.expr(
-                "transform(sequence(1, shiftleft(1, size(tokens)) - 2),"
-                " m -> filter(tokens, (t, i) -> (shiftright(m, i) & 1) = 1))"
-            )
-        ).alias("tokens"),
-    )
-    redundant = (
-        parts.join(rules.select("tokens", "confidence"), "tokens")
-        .where("confidence >= __confidence")
-        .select(F.col("__whole").alias("tokens"))
-        .distinct()
-    )
-    return written(rules.join(redundant, "tokens", "left_anti"), "url-rules")
+    return _without_redundant(rules)
+
+
+def _without_redundant(rules: DataFrame) -> DataFrame:
+    """Rules of which no shorter part is as confident, by number of tokens.
+
+    A part that went itself has a part that stayed and is as confident, so that rules are compared
+    with kept ones only; a kept rule is filed under its first token.
+    """
+    sizes = sorted(r[0] for r in rules.select(F.size("tokens")).distinct().collect())
+    kept = rules.where("false")
+    for size in sizes:
+        part = rules.where(F.size("tokens") == size)
+        filed = kept.select(
+            F.col("tokens")[0].alias("__key"), F.col("tokens").alias("__part"), F.col("confidence").alias("__least")
+        )
+        redundant = (
+            part.select("tokens", "confidence", F.explode("tokens").alias("__key"))
+            .join(filed, "__key")
+            .where((F.col("__least") >= F.col("confidence")) & (F.size(F.array_except("__part", "tokens")) == 0))
+            .select("tokens")
+            .distinct()
+        )
+        kept = written(kept.unionByName(part.join(redundant, "tokens", "left_anti")), "url-rules")
+    return kept
 
 
 def collected(rules: DataFrame) -> list[tuple[tuple[str, ...], float, float]]:
