@@ -1,24 +1,26 @@
 """Quality rules by distribution divergence.
 
-Every document gets two histograms: bytes by character class and words by common word. The
-reference of a language is the sum of these histograms over all its documents. A document fails
+Every document gets two histograms: bytes by character class and words by common word. The common
+words of a language are its ``TOP`` most frequent ones, counted over all its documents; all others are
+one bin. The reference of a language is the sum of these histograms over all its documents. A document fails
 when the Jensen-Shannon distance (base 2, 0 to 1) of a histogram from its language's reference is
 above a threshold. Short texts have rough histograms, so the thresholds widen for them and texts
 below a least number of words are not judged. The base rules (least words, share of repeated
 words) come first.
 
 Null and empty texts have no words and fail the base rules. A missing language is a language of its
-own. Repeated rows each count in the reference. An empty table gives an empty result. Other columns
-are not read.
+own. Very long texts are read whole. Words that are equally frequent are taken in byte order. Repeated
+rows each count in the reference. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import map_batches, text_or_empty
@@ -33,14 +35,10 @@ MAX_CHARACTERS, NOISE_CHARACTERS = 0.16, 1.0
 MAX_WORDS, NOISE_WORDS = 0.17, 2.0
 GUARD_WORDS = 100
 
-#: Frequent words of four languages.
-COMMON = (
-    "the of and to in is was for on that with as it by are be this from at or an not have has but",
-    "der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch es an wird",
-    "le la les de des du et un une en que qui dans pour pas est sur par au avec ce il ne se plus",
-    "el los las del y una por con para su lo como más pero sus al o si no es se ha me sin sobre",
-)
-COMMON_WORDS = tuple(dict.fromkeys(w.encode() for line in COMMON for w in line.split()))
+#: Common words of a language; those of all languages fit a table that tasks can hold.
+TOP = 30
+#: Distinct words that a task counts before it passes the counts on.
+COUNTED = 300_000
 
 _WHITE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -52,7 +50,7 @@ CLASSES = (
 _CLASS_OF = bytes(
     next((i for i, c in enumerate(CLASSES) if b in c), len(CLASSES)) for b in range(256)
 )
-_AT = {w: i for i, w in enumerate(COMMON_WORDS)}
+_MARKS = b".,;:!?\"'()-"
 
 
 def character_histogram(raw: bytes) -> np.ndarray:
@@ -77,16 +75,54 @@ def repeated_words(ids: np.ndarray, distinct: int) -> int:
     return int(covered.sum())
 
 
-def measure(text: str) -> dict:
-    """Base numbers and histograms of one text."""
+def plain_word(word: bytes) -> bytes:
+    """How a word counts as common: A-Z as a-z, marks around it left out."""
+    return word.lower().strip(_MARKS)
+
+
+def common_words(docs: DataFrame, top: int = TOP) -> DataFrame:
+    """``lang, words``: the ``top`` most frequent words of every language (``lang, text``), written.
+
+    Tasks count first and pass on one row per word; ranks are cut within the tasks, too.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def rows() -> pa.RecordBatch:
+            langs, words = zip(*seen) if seen else ((), ())
+            out = [pa.array(langs, pa.string()), pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64())]
+            seen.clear()
+            return pa.RecordBatch.from_arrays(out, ["lang", "word", "n"])
+
+        for batch in batches:
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for word, n in Counter(text.encode().split()).items():
+                    plain = plain_word(word)
+                    if plain:
+                        seen[lang, plain] += n
+                if len(seen) > COUNTED:
+                    yield rows()
+        yield rows()
+
+    counts = docs.select("lang", "text").mapInArrow(count, "lang string, word binary, n bigint")
+    counts = counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    best = counts.withColumn("place", place).where(F.col("place") <= top)
+    listed = F.array_sort(F.collect_list(F.struct("place", "word")))["word"]
+    return written(best.groupBy("lang").agg(listed.alias("words")), "divergence-words")
+
+
+def measure(text: str, place: dict[bytes, int], top: int = TOP) -> dict:
+    """Base numbers and histograms of one text; ``place`` numbers its language's common words."""
     raw = text.encode()
     words = raw.split()
     seen: dict[bytes, int] = {}
     ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
     times = np.bincount(ids, minlength=len(seen))
-    common = np.zeros(len(COMMON_WORDS) + 1, np.int64)
+    common = np.zeros(top + 1, np.int64)
     for word, n in zip(seen, times.tolist()):
-        common[_AT.get(word.lower().strip(b".,;:!?"), -1)] += n
+        common[place.get(plain_word(word), -1)] += n
     lines = [line for line in text.split("\n") if line.strip(_WHITE)]
     return {
         "n_words": len(words),
@@ -115,12 +151,21 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 _BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
 
-def measures(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+def measures(docs: DataFrame, doc_id: str, text: str, lang: str, top: int = TOP) -> DataFrame:
     """Base numbers and both histograms of every row."""
 
     def make():
+        places: dict[tuple, dict[bytes, int]] = {}
+
         def step(batch: pa.RecordBatch) -> dict:
-            rows = [measure(t) for t in batch.column(2).to_pylist()]
+            rows = []
+            for value, words in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                key = tuple(words or ())
+                if key not in places:
+                    if len(places) > 1000:
+                        places.clear()
+                    places[key] = {w: i for i, w in enumerate(key)}
+                rows.append(measure(value, places[key], top))
             out = {"doc_id": batch.column(0), "lang": batch.column(1)}
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
             out |= {k: [r[k] for r in rows] for k in names}
@@ -133,14 +178,16 @@ def measures(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
         F.coalesce(F.concat(F.lit("="), F.col(lang).cast("string")), F.lit("")).alias("lang"),
         text_or_empty(text).alias("text"),
     )
+    # One row per language: the planner broadcasts it if its size allows that.
+    told = whole.join(common_words(whole, top), "lang", "left")
     return map_batches(
-        whole,
+        told.select("doc_id", "lang", "text", "words"),
         make,
         f"doc_id bigint, lang string, {_BASE}, characters array<bigint>, common array<bigint>",
     )
 
 
-def references(measured: DataFrame) -> DataFrame:
+def references(measured: DataFrame, top: int = TOP) -> DataFrame:
     """``lang, ref_characters, ref_common``: sums over all documents of a language.
 
     Tasks add up their rows first; a language that holds most rows is one row per task then.
@@ -179,7 +226,7 @@ def references(measured: DataFrame) -> DataFrame:
     return total.select(
         "lang",
         F.slice("sums", 1, k).alias("ref_characters"),
-        F.slice("sums", k + 1, len(COMMON_WORDS) + 1).alias("ref_common"),
+        F.slice("sums", k + 1, top + 1).alias("ref_common"),
     )
 
 
@@ -191,11 +238,12 @@ def divergence_rules(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
+    top: int = TOP,
 ) -> DataFrame:
     """Base numbers, ``base_failed``, both distances and ``kept`` of every row."""
-    measured = written(measures(docs, doc_id, text, lang), "divergence-measures")
+    measured = written(measures(docs, doc_id, text, lang, top), "divergence-measures")
     # One row per language, written: the planner broadcasts it if its size allows that.
-    joined = measured.join(written(references(measured), "divergence-references"), "lang")
+    joined = measured.join(written(references(measured, top), "divergence-references"), "lang")
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
