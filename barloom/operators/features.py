@@ -89,14 +89,10 @@ def _roc(blocks: Blocks, target: str) -> Stages:
 
 
 def _cci(blocks: Blocks, target: str) -> Stages:
-    means = {f"__tp_mean{n}": f"avg(__tp) {blocks.over(n)}" for n in S.CCI_LENGTHS}
+    lengths = dict(zip(S.FEATURE_GROUPS["cci"], S.CCI_LENGTHS))
     return [
         {"__tp": "(high + low + close) / 3D"},
-        {"__tps": rolling.window_values(blocks, "__tp", max(S.CCI_LENGTHS)), **means},
-        {
-            f"CCI{n}": rolling.mean_deviation_score("__tps", f"__tp_mean{n}", n, S.CCI_SCALE)
-            for n in S.CCI_LENGTHS
-        },
+        *rolling.mean_deviation_score(blocks, "__tp", S.CCI_SCALE, lengths),
     ]
 
 

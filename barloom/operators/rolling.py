@@ -186,17 +186,21 @@ def window_values(blocks: Blocks, value: str, n: int) -> str:
     return f"collect_list(`{value}`) {blocks.over(n)}"
 
 
-def mean_deviation_score(values: str, mean: str, n: int, scale: float) -> str:
-    """``(newest - mean) / (scale * mean absolute deviation)`` of an array's last ``n`` values.
+def mean_deviation_score(blocks: Blocks, value: str, scale: float, lengths: dict[str, int]) -> Stages:
+    """``(newest - mean) / (scale * mean absolute deviation)`` of the last ``n`` values, by column.
 
-    ``mean`` names a column, so that it is not evaluated again for every element.
+    The deviations are taken from lags of the value, in generated code and without a list per row.
     """
-    window = f"slice({values}, -{n}, {n})"
-    deviation = f"aggregate({window}, 0D, (acc, v) -> acc + abs(v - {mean})) / {number(n)}"
-    return (
-        f"CASE WHEN size({values}) >= {n} THEN"
-        f" try_divide(element_at({values}, -1) - {mean}, {number(scale)} * {deviation}) END"
-    )
+    most = max(lengths.values())
+    past = {0: f"`{value}`"} | {k: f"`__{value}_past{k}`" for k in range(1, most)}
+    first = {f"__{value}_past{k}": lag(blocks, value, k) for k in range(1, most)}
+    first |= {f"__{value}_mean{n}": f"avg(`{value}`) {blocks.over(n)}" for n in lengths.values()}
+    scores = {}
+    for name, n in lengths.items():
+        mean = f"`__{value}_mean{n}`"
+        deviation = " + ".join(f"abs({past[k]} - {mean})" for k in range(n))
+        scores[name] = f"try_divide({past[0]} - {mean}, {number(scale / n)} * ({deviation}))"
+    return [first, scores]
 
 
 def rank_correlations(blocks: Blocks, value: str, lengths: dict[str, int]) -> Stages:
