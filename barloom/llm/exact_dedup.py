@@ -10,7 +10,7 @@
 4. Documents look up their group by SHA-256. Groups of over a thousandth of all rows, at most a
    thousand of them, are broadcast; all others are joined.
 
-A null text equals an empty one. Of equal texts the row with the largest id stays; of fully
+A null text equals an empty one; very long texts are compared byte by byte as others are. Of equal texts the row with the largest id stays; of fully
 repeated rows (id and text) one stays. An empty table gives an empty result. Other columns are not
 read, so their names cannot clash.
 """

@@ -11,7 +11,8 @@ is the order of MD5(id), so reruns agree.
 
 Words are runs of non-space characters. A document without words (null, empty) is never taken. A
 source whose name is missing comes last. Rows that repeat whole share an order and are served
-alike, one after the other. An empty table gives an empty result. Other columns are not read.
+alike, one after the other; other ties cannot arise, as the order is that of a digest of the id.
+Very long texts are counted whole and taken whole. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations

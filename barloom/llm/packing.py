@@ -14,7 +14,8 @@
    starts at or before its rank gives sequence and offset.
 
 The outcome is that of one-at-a-time best-fit decreasing. Null and empty texts have the end id
-alone. Rows that repeat are packed each. An empty table gives an empty result. Other columns are
+alone; very long ones are cut into pieces. Pieces of equal length, and gaps of equal size, are taken by
+rank. Rows that repeat are packed each. An empty table gives an empty result. Other columns are
 not read.
 """
 

@@ -9,7 +9,9 @@ pre-token is shuffled: the table comes from one bounded summary per task.
   counts are the same.
 * A text that holds an added token of the tokenizer, or a character whose class differs between
   Unicode versions, is given to the library as it is.
-* Null and empty texts have no bytes and no tokens. Repeated rows are counted each. An empty table
+* Null and empty texts have no bytes and no tokens. Very long texts are cut into pre-tokens as others
+  are, and counted whole. Ties between frequent pre-tokens change the table, not a count. Repeated rows
+  are counted each. An empty table
   of documents gives an empty result. Other columns are not read.
 """
 

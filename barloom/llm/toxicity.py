@@ -12,7 +12,8 @@ documents), learnt from labelled rows outside the held-out fold. Evidence and re
 most ``TRAIN_ROWS`` labelled rows, chosen by hash of the id; scoring reads every whole text.
 Language, source, id and labels are no inputs of a score.
 
-Null and empty texts score like texts without evidence. Without labelled rows of both classes every
+Null and empty texts score like texts without evidence; very long ones are scored whole. Of readings
+with equal scores the decoder keeps the first. Without labelled rows of both classes every
 score is the smoothed share of toxic labels. Repeated rows score alike. An empty table gives an
 empty result. Other columns are not read.
 """
