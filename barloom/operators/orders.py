@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,13 @@ def plan_orders(
     held = newest_row(positions.select(S.SYMBOL, S.TS, "side", "size")).select(
         S.SYMBOL, F.col("side").alias("__held"), F.col("size").alias("__size")
     )
-    joined = prices.join(held, S.SYMBOL, "left")
+    return order_rows(prices.join(held, S.SYMBOL, "left"), lot, max_pyramiding)
+
+
+def order_rows(
+    joined: DataFrame, lot: float, max_pyramiding: int, keys: Sequence[str] = (S.SYMBOL,)
+) -> DataFrame:
+    """Orders from prices next to the position held (``__held``, ``__size``), if any; no state."""
     below_cap = F.col("__size") < lot * max_pyramiding
 
     def quantity(side: str, other: str):  # noqa: ANN202
@@ -44,7 +52,7 @@ def plan_orders(
 
     both = F.array(order("Buy", "Sell", "buy_limit_price"), order("Sell", "Buy", "sell_limit_price"))
     return (
-        joined.select(S.SYMBOL, F.explode(both).alias("o"))
-        .select(S.SYMBOL, "o.side", "o.qty", "o.price")
+        joined.select(*keys, F.explode(both).alias("o"))
+        .select(*keys, "o.side", "o.qty", "o.price")
         .where("qty IS NOT NULL")
     )

@@ -1054,6 +1054,25 @@ def stream_cascade_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(streams.run_available(bars, "cascade-bars"))
 
 
+@query
+def stream_order_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per bar from a stream of limit prices and one of positions, for bars that are closed."""
+    rows = _signal_blocks(spark, sf_dir).own_rows(S.SYMBOL, S.TS, "buy", "sell")
+    path = shared_dir(spark, "price-rows")
+    rows.select(
+        S.SYMBOL, S.TS, F.col("buy").alias("buy_limit_price"), F.col("sell").alias("sell_limit_price")
+    ).write.parquet(path)
+    prices = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = market.table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    held = events.where("event_type <> 'view'").select(
+        F.col("event_type").alias(S.SYMBOL), S.TS,
+        F.when(F.col("user_id") % 2 == 0, "Buy").otherwise("Sell").alias("side"),
+        ((F.col("event_id") % 5) / 1000.0).alias("size"),
+    )
+    return out(streams.run_available(streams.stream_order_plan(prices, held, INTERVAL), "order-plans"))
+
+
 @query
 def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress rows of a stream over three pulled files: batch numbers and rows read."""

@@ -605,17 +605,26 @@ SELECT coalesce(max(md5(run_uuid)), '') AS value FROM parents WHERE rk = 2"""
 _POSITIONS = """held AS (SELECT event_type AS symbol, ts, CASE WHEN user_id % 2 = 0 THEN 'Buy' ELSE 'Sell' END AS side,
   (event_id % 5) / 1000.0::DOUBLE AS size FROM events)"""
 _lot, _cap = d(0.001), 3
-ORACLES["order_plan"] = f"""WITH {_SIG}, {_POSITIONS},
-cur AS (SELECT symbol, last(side ORDER BY ts, side, size) AS side, last(size ORDER BY ts, side, size) AS size
-  FROM held WHERE symbol <> 'view' GROUP BY 1),
-j AS (SELECT sig.symbol, buy, sell, side AS held, size FROM sig LEFT JOIN cur USING (symbol) WHERE {_newest}),
-o AS (SELECT symbol, 'buy' AS side, buy AS price, CASE WHEN held IS NULL THEN {_lot}
+_NEWEST_HELD = "last(side ORDER BY ts, side, size) AS side, last(size ORDER BY ts, side, size) AS size"
+_ORDERS = f"""o AS (SELECT symbol, ts, 'buy' AS side, buy AS price, CASE WHEN held IS NULL THEN {_lot}
     WHEN size < {_lot} * {_cap} THEN CASE WHEN held = 'Buy' THEN {_lot} ELSE size + {_lot} END
     WHEN held = 'Sell' THEN {_lot} * {1 + _cap} END AS qty FROM j
-  UNION ALL SELECT symbol, 'sell', sell, CASE WHEN held IS NULL THEN {_lot}
+  UNION ALL SELECT symbol, ts, 'sell', sell, CASE WHEN held IS NULL THEN {_lot}
     WHEN size < {_lot} * {_cap} THEN CASE WHEN held = 'Sell' THEN {_lot} ELSE size + {_lot} END
-    WHEN held = 'Buy' THEN {_lot} * {1 + _cap} END FROM j)
+    WHEN held = 'Buy' THEN {_lot} * {1 + _cap} END FROM j)"""
+ORACLES["order_plan"] = f"""WITH {_SIG}, {_POSITIONS},
+cur AS (SELECT symbol, {_NEWEST_HELD} FROM held WHERE symbol <> 'view' GROUP BY 1),
+j AS (SELECT sig.symbol, sig.ts, buy, sell, side AS held, size FROM sig LEFT JOIN cur USING (symbol) WHERE {_newest}),
+{_ORDERS}
 SELECT symbol, side, {rs('qty', 'price')} FROM o WHERE qty IS NOT NULL"""
+# Closed bars: the watermark of the slower stream, ten minutes behind its newest row, has passed them.
+ORACLES["stream_order_plan"] = f"""WITH {_SIG}, {_POSITIONS},
+cur AS (SELECT symbol, time_bucket(INTERVAL '{INTERVAL}', ts) AS bar, {_NEWEST_HELD} FROM held WHERE symbol <> 'view' GROUP BY 1, 2),
+edge AS (SELECT least((SELECT max(ts) FROM sig), (SELECT date_trunc('millisecond', max(ts)) FROM held WHERE symbol <> 'view')) - INTERVAL '10 minutes' AS edge),
+j AS (SELECT sig.symbol, sig.ts, buy, sell, side AS held, size
+  FROM edge, sig LEFT JOIN cur ON cur.symbol = sig.symbol AND bar = sig.ts WHERE sig.ts + INTERVAL '{INTERVAL}' <= edge),
+{_ORDERS}
+SELECT symbol, ts, side, {rs('qty', 'price')} FROM o WHERE qty IS NOT NULL"""
 _MS = "date_trunc('millisecond', ts)"
 ORACLES["payload_open_interest"] = f"SELECT event_type AS symbol, {_MS} AS ts, {r('value', 'open_interest')} FROM events"
 ORACLES["payload_long_ratio"] = f"SELECT event_type AS symbol, {_MS} AS ts, {r('value', 'lsr')} FROM events"

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from barloom import schema as S
 from barloom.operators.blocks import with_position
 from barloom.operators.model import CompositeModel
-from barloom.operators.orders import plan_orders
+from barloom.operators.orders import order_rows, plan_orders
 from barloom.operators.resample import checked_cascade, merged_bars, resample
 from barloom.operators.upsert import BAR_KEY
 from barloom.session import shared_dir
@@ -236,6 +236,37 @@ def stream_live_orders(
     )
 
 
+def stream_order_plan(
+    prices: DataFrame,
+    positions: DataFrame,
+    interval: str,
+    lateness: str = "10 minutes",
+    lot: float = 0.001,
+    max_pyramiding: int = 3,
+) -> DataFrame:
+    """A stream of order rows ``symbol, ts, side, qty, price`` from two streams, per bar interval.
+
+    ``prices`` has limit prices per bar start, ``positions`` rows ``symbol, ts, side, size`` at any
+    time. The newest position of a symbol in a bar's interval is an aggregate that closes with the
+    watermark; prices join it outer, so a bar without a position gets its orders once the watermark
+    tells that none can come any more. Late rows of either side are left out.
+    """
+    held = (
+        positions.select(S.SYMBOL, F.col(S.TS).cast("timestamp").alias(S.TS), "side", "size")
+        .withWatermark(S.TS, lateness)
+        .groupBy(F.col(S.SYMBOL).alias("__symbol"), F.window(S.TS, interval).alias("__held_in"))
+        .agg(F.max(F.struct(S.TS, "side", "size")).alias("__newest"))
+        .select("__symbol", "__held_in", F.col("__newest.side").alias("__held"), F.col("__newest.size").alias("__size"))
+    )
+    timed = prices.withColumn(S.TS, F.col(S.TS).cast("timestamp")).withWatermark(S.TS, lateness)
+    timed = timed.select(
+        S.SYMBOL, "buy_limit_price", "sell_limit_price", F.window(S.TS, interval).alias("__bar")
+    )
+    on = (F.col(S.SYMBOL) == F.col("__symbol")) & (F.col("__bar") == F.col("__held_in"))
+    joined = timed.join(held, on, "left_outer").withColumn(S.TS, F.col("__bar.start"))
+    return order_rows(joined, lot, max_pyramiding, (S.SYMBOL, S.TS))
+
+
 class ProgressLog(StreamingQueryListener):
     """Rows about every micro-batch of named queries, in a table of bounded files.
 
