@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +33,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
+#: The folder of the step that is running, below the library's own.
+_SCRATCH: contextvars.ContextVar[str] = contextvars.ContextVar("scratch", default="")
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="barloom-")
@@ -47,4 +54,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _local_root()
-    return f"{root.rstrip('/')}/barloom/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/barloom/{_SCRATCH.get()}{purpose}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A folder for the tables written inside, removed at the end.
+
+    For steps that leave their result elsewhere, such as a merge or a micro-batch: what they write on
+    the way is not kept. Nothing read from these tables may be used after the step.
+    """
+    outer = _SCRATCH.get()
+    folder = f"{outer}scratch-{uuid.uuid4().hex}/"
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        path = shared_dir(spark, "").rsplit("/", 1)[0]
+        _SCRATCH.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barloom import schema as S
 from barloom.operators.blocks import LENGTH, POSITION
 from barloom.operators.upsert import BAR_KEY, keep_latest, merge_latest
-from barloom.session import shared_dir
+from barloom.session import scratch, shared_dir
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
@@ -72,12 +72,13 @@ def upsert(
     if not _exists(spark, path):
         dated.repartition("day", salt).write.partitionBy("day").parquet(path)
         return path
-    current = spark.read.parquet(path)
-    touched = current.join(dated.select("day").distinct(), "day", "left_semi")
-    merged = written(
-        merge_latest(touched.select(*dated.columns), dated, keys, version), "upsert"
-    )
-    _replace(merged.repartition("day", salt), path, "day")
+    with scratch(spark):
+        current = spark.read.parquet(path)
+        touched = current.join(dated.select("day").distinct(), "day", "left_semi")
+        merged = written(
+            merge_latest(touched.select(*dated.columns), dated, keys, version), "upsert"
+        )
+        _replace(merged.repartition("day", salt), path, "day")
     return path
 
 
@@ -107,19 +108,6 @@ def _replace(rows: DataFrame, path: str, *parts: str) -> None:
     )
 
 
-def _merge(rows: DataFrame, path: str, key: str, parts: DataFrame, part: str) -> None:
-    """Put small rows into a table of one file per part, in place of those with the same key.
-
-    ``rows`` and ``parts`` have the part's column; only the parts named are read and rewritten.
-    """
-    spark = rows.sparkSession
-    if _exists(spark, path):
-        old = spark.read.parquet(path).join(F.broadcast(parts), part, "left_semi")
-        old = old.join(F.broadcast(rows.select(key).distinct()), key, "left_anti")
-        rows = written(old.select(*rows.columns).unionByName(rows), "merged")
-    _replace(rows.repartition(part), path, part)
-
-
 def append_job_log(
     spark: SparkSession, path: str, name: str, message: str, entry: str | None = None
 ) -> str:
@@ -134,22 +122,26 @@ def append_job_log(
         known = spark.read.parquet(path).where(F.col("entry") == entry)
         first = known.agg(F.min("day")).first()[0]
     day = F.to_date(S.TS) if first is None else F.lit(first)
-    row = written(row.withColumn("day", day), "log-row")
-    _merge(row, path, "entry", row.select("day").distinct(), "day")
-    return path
+    return _merge(row.withColumn("day", day), path, ["entry"])
 
 
 def merge_log(rows: DataFrame, path: str, keys: Sequence[str]) -> str:
     """Put a few log rows (with ``ts``) into a table of one file per day, in place of those with the
     same keys on these days. One writer at a time."""
-    rows = rows.withColumn("day", F.to_date(S.TS))
+    return _merge(rows.withColumn("day", F.to_date(S.TS)), path, keys)
+
+
+def _merge(rows: DataFrame, path: str, keys: Sequence[str]) -> str:
+    """Put a few rows into their days' files, in place of those with the same keys."""
     spark = rows.sparkSession
-    if _exists(spark, path):
-        days = [r.day for r in rows.select("day").distinct().collect()]
-        old = spark.read.parquet(path).where(F.col("day").isin(days))
-        old = old.join(F.broadcast(rows.select(*keys).distinct()), list(keys), "left_anti")
-        rows = written(old.select(*rows.columns).unionByName(rows), "merged")
-    _replace(rows.repartition("day"), path, "day")
+    with scratch(spark):
+        rows = written(rows, "log-rows")
+        if _exists(spark, path):
+            days = [r.day for r in rows.select("day").distinct().collect()]
+            old = spark.read.parquet(path).where(F.col("day").isin(days))
+            old = old.join(F.broadcast(rows.select(*keys).distinct()), list(keys), "left_anti")
+            rows = written(old.select(*rows.columns).unionByName(rows), "merged")
+        _replace(rows.repartition("day"), path, "day")
     return path
 
 
@@ -161,10 +153,11 @@ def write_epoch(rows: DataFrame, path: str, epoch: int) -> str:
     """
     spark, part = rows.sparkSession, epoch // EPOCHS
     rows = rows.withColumns({"epoch": F.lit(epoch), "epochs": F.lit(part)})
-    if _exists(spark, path):
-        old = spark.read.parquet(path).where((F.col("epochs") == part) & (F.col("epoch") != epoch))
-        rows = written(old.select(*rows.columns).unionByName(rows), "merged")
-    _replace(rows.coalesce(1), path, "epochs")
+    with scratch(spark):
+        if _exists(spark, path):
+            old = spark.read.parquet(path).where((F.col("epochs") == part) & (F.col("epoch") != epoch))
+            rows = written(old.select(*rows.columns).unionByName(rows), "merged")
+        _replace(rows.coalesce(1), path, "epochs")
     return path
 
 

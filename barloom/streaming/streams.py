@@ -15,7 +15,7 @@ from barloom.operators.model import CompositeModel
 from barloom.operators.orders import order_rows, plan_orders
 from barloom.operators.resample import checked_cascade, merged_bars, resample
 from barloom.operators.upsert import BAR_KEY
-from barloom.session import shared_dir
+from barloom.session import scratch, shared_dir
 from barloom.sinks.writers import append_job_log, merge_log, upsert, write_epoch, written
 from barloom.sources import payloads
 from barloom.sources.payloads import parse_bars, parse_long_ratio, parse_open_interest
@@ -84,13 +84,14 @@ def stream_payload_table(
     keep = (S.SYMBOL, "file")
 
     def store(batch: DataFrame, epoch: int) -> None:
-        rows = written(payloads.judged(batch, kind, keep=keep), "judged")
-        good = payloads.accepted(rows, kind, keep).drop("file").withColumn("ingest_ts", F.lit(epoch))
-        if not good.isEmpty():
-            upsert(spark, good, path)
-        bad = payloads.rejects(rows, keep)
-        if not bad.isEmpty():
-            write_epoch(bad, rejects_path, epoch)
+        with scratch(spark):
+            rows = written(payloads.judged(batch, kind, keep=keep), "judged")
+            good = payloads.accepted(rows, kind, keep).drop("file").withColumn("ingest_ts", F.lit(epoch))
+            if not good.isEmpty():
+                upsert(spark, good, path)
+            bad = payloads.rejects(rows, keep)
+            if not bad.isEmpty():
+                write_epoch(bad, rejects_path, epoch)
 
     return (
         _payload_lines(spark, source, symbol)
@@ -192,12 +193,13 @@ def stream_orders(
     def tick(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         upsert(spark, batch, bars_path)
-        if window is None:
-            bars = spark.read.parquet(bars_path).select(*S.BASE_COLUMNS)
-        else:
-            bars = recent_bars(recent_days(spark, bars_path, window).select(*S.BASE_COLUMNS), window)
-        prices = model.score(written(bars, "live-bars"))
-        write_epoch(plan_orders(prices, positions(spark), lot, max_pyramiding), orders_path, epoch)
+        with scratch(spark):
+            if window is None:
+                bars = spark.read.parquet(bars_path).select(*S.BASE_COLUMNS)
+            else:
+                bars = recent_bars(recent_days(spark, bars_path, window).select(*S.BASE_COLUMNS), window)
+            prices = model.score(written(bars, "live-bars"))
+            write_epoch(plan_orders(prices, positions(spark), lot, max_pyramiding), orders_path, epoch)
 
     return (
         rows.writeStream.foreachBatch(tick)
@@ -223,9 +225,10 @@ def stream_live_orders(
     """
 
     def tick(batch: DataFrame, epoch: int) -> None:
-        prices = model.score_live(written(batch, "live-rows"))
-        plan = plan_orders(prices, positions(batch.sparkSession), lot, max_pyramiding)
-        write_epoch(plan, orders_path, epoch)
+        spark = batch.sparkSession
+        with scratch(spark):
+            prices = model.score_live(written(batch, "live-rows"))
+            write_epoch(plan_orders(prices, positions(spark), lot, max_pyramiding), orders_path, epoch)
 
     return (
         live_features(bars)

@@ -626,3 +626,33 @@ def test_progress_log_replaces_replayed_batches(spark, tmp_path):
         log.flush()
     got = {(r.batch, r.rows, r.millis) for r in spark.read.parquet(str(tmp_path / "log")).collect()}
     assert got == {(0, 5, 12), (1, 7, 11)} and len(_files(tmp_path / "log")) == 2
+
+
+def test_merges_and_triggers_leave_nothing_behind(spark, tmp_path):
+    """What a merge or a micro-batch writes on its way is removed, also when it fails."""
+    from barloom.session import scratch, shared_dir
+
+    root = shared_dir(spark, "x").rsplit("/", 1)[0]
+
+    def tables() -> set:
+        import os
+
+        return set(os.listdir(root.removeprefix("file:"))) if os.path.isdir(root.removeprefix("file:")) else set()
+
+    before = tables()
+    rows = [("X", "2024-01-01 00:00:00", 1, 1.0)]
+    for _ in range(2):
+        upsert(spark, _pull(spark, rows), str(tmp_path / "bars"))
+        append_job_log(spark, str(tmp_path / "log"), "recorder", "m", entry="e")
+        write_epoch(spark.range(2), str(tmp_path / "plan"), 0)
+    source = tmp_path / "payloads"
+    source.mkdir()
+    (source / "a.json").write_text("junk")
+    paths = [str(tmp_path / n) for n in ("rows", "rejects", "checkpoint")]
+    streams.stream_payload_table(spark, str(source), "bars", "X", *paths).awaitTermination()
+    with pytest.raises(ZeroDivisionError):
+        with scratch(spark):
+            written(spark.range(1), "left")
+            1 / 0  # noqa: B018
+    assert tables() == before
+    assert spark.read.parquet(str(tmp_path / "bars")).count() == 1
