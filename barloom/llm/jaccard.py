@@ -4,24 +4,29 @@ A document's set holds its distinct word shingles, as 64-bit hashes. Two sets of
 ``b`` with Jaccard similarity of at least ``t`` differ in at most ``D = (a + b)(1 - t) / (1 + t)``
 elements. A parity sketch deals the elements over ``m`` cells and XORs the hashes of a cell: every
 element that one set has and the other lacks changes one cell, so the number of unequal cells (the
-Hamming distance over cells) never exceeds the symmetric difference, and of ``m = D + 1 + SLACK``
-cells at least ``1 + SLACK`` are equal in both. Documents are joined on equal cells.
+Hamming distance over cells) never exceeds the symmetric difference, and of ``m = D + 1 + slack``
+cells at least ``1 + slack`` are equal in both. Documents are joined on equal cells.
 
 * Size bands: ``m`` depends on ``D``, so each document emits the sketch of every band that one of
   its possible partners can fall into (one or two bands).
 * Empty cells are equal in unrelated documents and are left out. A document that has more than
-  ``SLACK`` of them emits them too: if two similar documents share empty cells only, both do.
+  ``EMPTY`` of them emits them too. So two similar documents share ``slack + 1 - EMPTY`` emitted cells
+  at least.
 * Equal sets are one class, by a digest of the set. The digest and the shingle hashes have 64 bits;
   the chance of any false merge among ``n`` classes is about ``n^2 / 2^65``.
 * Cells go to tasks by hash, sorted, and stream by: the first class of a cell leads, all others are
   paired with it, so a cell that a third of all documents share gives as many pairs as members, not
   their square. Pairs are filtered by size and by a bit sketch of about two bits per element whose
   Hamming distance is a lower bound as well; sketches of different length are folded. What is left
-  is verified on the texts. Linked classes form components. In cells that still hold several
-  components, the members outside the largest one are compared with all members of other
-  components. Every candidate pair is thereby verified, ruled out or already connected.
-
-Documents without words are linked with nothing. With fewer words than a shingle the whole sequence
+  is verified on the texts. Linked classes form components. A cell that still holds several
+  components may hide pairs that its leader resembles neither of. Classes that are in as many such
+  cells as similar sets share at least are joined on their rarest shingles: ordered by how many of
+  these classes hold them, two similar sets have one of their first ones in common, while a passage
+  that many of them hold comes last. Every candidate pair is thereby verified, ruled out or already
+  connected.
+
+Documents without words (null, empty) are linked with nothing; very long ones are read whole. Ties
+between shingles or leaders change the order of work, not a link. With fewer words than a shingle the whole sequence
 is one shingle. Rows that share an id each count; a row without id joins the component of its exact
 copies only. An empty table gives an empty result. Other columns are not read.
 """
@@ -34,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import look_up, map_batches, text_or_empty
@@ -43,7 +48,10 @@ from barloom.sinks.writers import written
 
 SHINGLE = 4
 PERCENT = 85
-SLACK = 2
+#: Empty cells that a document leaves out.
+EMPTY = 2
+#: Cells beyond the bound of the difference, at most.
+SLACK = 15
 #: Pairs that share one copy of their leader's set when pairs are verified.
 PAIRS_PER_COPY = 20_000
 #: Rows of shared cells for each file of an intermediate table.
@@ -94,6 +102,11 @@ def bands(up_to: int) -> list[int]:
     return out
 
 
+def slack(difference: int) -> int:
+    """Cells beyond the largest symmetric difference: few where a set is small."""
+    return min(SLACK, EMPTY + difference // 8)
+
+
 _BANDS = np.array(bands(1 << 40), np.int64)
 
 
@@ -107,15 +120,18 @@ def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     low = max(1, most_different(n, smallest, percent))
     out = []
     for band in range(np.searchsorted(_BANDS, low), np.searchsorted(_BANDS, high) + 1):
-        m = int(_BANDS[band]) + 1 + SLACK
+        m = int(_BANDS[band]) + 1 + slack(int(_BANDS[band]))
         cell = (mix(shingles ^ np.uint64(band + 1)) % np.uint64(m)).astype(np.int64)
         order = np.argsort(cell, kind="stable")
         filled, first = np.unique(cell[order], return_index=True)
         parity = np.bitwise_xor.reduceat(shingles[order], first)
-        out.append(mix(parity + mix(filled.astype(np.uint64) * _STEP + np.uint64(band))))
-        if m - len(filled) > SLACK:
+        keys = [mix(parity + mix(filled.astype(np.uint64) * _STEP + np.uint64(band)))]
+        if m - len(filled) > EMPTY:
             empty = np.setdiff1d(np.arange(m), filled).astype(np.uint64)
-            out.append(mix(mix(empty * _STEP + np.uint64(band)) + np.uint64(0x5D)))
+            keys.append(mix(mix(empty * _STEP + np.uint64(band)) + np.uint64(0x5D)))
+        # Of sketches of neighbouring bands, the last bit of a key tells which it is of.
+        odd = np.uint64(band & 1)
+        out += [(k & ~np.uint64(1)) | odd for k in keys]
     return np.concatenate(out)
 
 
@@ -343,24 +359,88 @@ def similar_classes(
     near = _with_sides(star.distinct(), sketches, work.salts).where(_may_link(percent))
     verify(work.written(near.select("a", "b"), "jaccard-near"))
 
-    # A pair that is still apart has a member outside its cell's largest component: those few lead.
+    # Cells whose other members are not one component: these classes may still have partners there.
     rest = shared.where("place > 0").select("cell", "ref").join(roots, "ref", "left")
     rest = rest.withColumn("root", F.coalesce("root", "ref"))
-    sizes = rest.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("members"))
-    mixed = sizes.groupBy("cell").agg(
-        F.max_by("root", "members").alias("main"), F.count(F.lit(1)).alias("components")
-    )
-    open_ = work.written(rest.join(mixed.where("components > 1"), "cell"), "jaccard-open")
-    judged = open_.join(sketches, "ref")
+    mixed = rest.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = rest.join(mixed.where("low <> high").select("cell"), "cell")
+    # Two similar classes of different components share several such cells of one band.
+    held = open_.groupBy("ref", "root", F.col("cell").bitwiseAND(1).alias("band")).agg(F.count(F.lit(1)).alias("cells"))
+    held = held.groupBy("ref", "root").agg(F.max("cells").alias("cells"))
+    least = F.ceil(F.col("n") * percent / 100)
+    difference = F.floor((F.col("n") + least) * (100 - percent) / (100 + percent))
+    shared_cells = F.least(F.lit(SLACK), F.lit(EMPTY) + F.floor(F.greatest(F.lit(1), difference) / 8)) + 1 - EMPTY
+    many = held.join(sketches, "ref").where(F.col("cells") >= shared_cells)
+    many = many.select("ref", "root", _folded(F.col("sketch")).alias("fold"))
+    pairs = _sharing_rare_shingles(many, texts, percent, size, work)
+    near = _with_sides(pairs, sketches, work.salts).where(_may_link(percent))
+    verify(work.written(near.select("a", "b"), "jaccard-near"))
+    return roots
+
+
+#: Words that a sketch is folded to while pairs are looked for.
+FOLD = 8
+
+
+def _folded(sketch: Column) -> Column:
+    """A sketch of at most ``FOLD`` words: XOR of the words whose places are equal modulo that."""
+
+    def word(k: Column) -> Column:
+        places = F.sequence(k, F.size(sketch) - 1, F.lit(FOLD))
+        return F.aggregate(places, F.lit(0).cast("long"), lambda x, i: x.bitwiseXOR(F.get(sketch, i)))
+
+    folded = F.transform(F.sequence(F.lit(0), F.lit(FOLD - 1)), word)
+    return F.when(F.size(sketch) > FOLD, folded).otherwise(sketch)
+
+
+def _sharing_rare_shingles(
+    open_: DataFrame, texts: DataFrame, percent: int, size: int, work: _Work
+) -> DataFrame:
+    """Pairs (``a < b``) of classes (``ref, root, fold``) of different components that share a rare shingle.
+
+    In any order of all shingles, of two similar sets the larger one's first ``n - ceil(t n) + 1`` and
+    the smaller one's first ``n - ceil(2 t n / (1 + t)) + 1`` have one in common, and from the first
+    common one on both must hold enough more to overlap. Here rare ones come first, so a passage that
+    many classes hold comes last and is not reached. Shingles of one class alone match nothing; they
+    only use up its places. Folded sketches rule most pairs out where they meet.
+    """
+
+    def make():
+        def step(batch: pa.RecordBatch) -> dict:
+            sets = [shingle_set(x, size) for x in batch.column(1).to_pylist()]
+            shingles = [s.view(np.int64) for s in sets]
+            return {"ref": batch.column(0), "shingles": shingles}
+
+        return step
+
+    open_ = work.written(open_, "jaccard-many")
+    held = texts.join(open_, "ref", "left_semi").select("ref", "text")
+    sets = work.written(map_batches(held, make, "ref bigint, shingles array<bigint>"), "jaccard-sets")
+    each = sets.select("ref", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    common = each.join(counts, "shingle")
+    of_class = Window.partitionBy("ref")
+    alone = F.col("n") - F.count(F.lit(1)).over(of_class)
+    place = alone + F.row_number().over(of_class.orderBy("holders", "shingle"))
+    longer = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    shorter = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
+    first = common.withColumn("place", place).where(F.col("place") <= longer)
+    first = first.select("shingle", "ref", "n", "place", (F.col("place") <= shorter).alias("short"))
+    first = work.written(first.join(open_, "ref"), "jaccard-first")
+
     one, two = (
-        judged.select("cell", *[F.col(c).alias(f"{c}_{x}") for c in ("ref", "root", "main", "n", "sketch")])
+        first.where(f"short OR {x == 'b'}").select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("ref", "root", "n", "place", "fold")])
         for x in "ab"
     )
-    pairs = one.where("root_a <> main_a").join(two, "cell").where("root_a <> root_b")
-    pairs = pairs.where("root_b = main_b OR ref_a < ref_b").where(_may_link(percent))
-    near = pairs.select(F.least("ref_a", "ref_b").alias("a"), F.greatest("ref_a", "ref_b").alias("b"))
-    verify(work.written(near.distinct(), "jaccard-near"))
-    return roots
+    overlap = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))
+    in_order = "n_a < n_b OR (n_a = n_b AND ref_a < ref_b)"
+    allowed = F.floor((F.col("n_a") + F.col("n_b")) * (100 - percent) / (100 + percent))
+    unequal = F.zip_with("fold_a", "fold_b", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("long"))
+    apart = F.aggregate(unequal, F.lit(0).cast("long"), lambda s, x: s + x)
+    near = (F.size("fold_a") != F.size("fold_b")) | (apart <= allowed)
+    pairs = one.join(two, "shingle").where("root_a <> root_b").where(in_order).where(enough & near)
+    return pairs.select(F.least("ref_a", "ref_b").alias("a"), F.greatest("ref_a", "ref_b").alias("b")).distinct()
 
 
 def similar_documents(
