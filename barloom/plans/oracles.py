@@ -730,10 +730,14 @@ def boost_ctes(trials: list[dict], folds: list[int], rounds: int, rows: str) ->
         """learnt AS MATERIALIZED (SELECT model, i, CASE WHEN side = 'buy' THEN y_buy ELSE y_sell END AS y
   FROM models JOIN folds USING (fold) JOIN lab ON i BETWEEN train_start_i AND train_end_i)""",
         """sizes AS (SELECT model, count(*) AS total, count(*) FILTER (y = 1) AS ones FROM learnt GROUP BY 1)""",
-        """shares AS (SELECT model, total / (2 * (total - ones))::DOUBLE AS w0, total / (2 * ones)::DOUBLE AS w1,
-    total / (2 * (total - ones))::DOUBLE * (total - ones) AS s0, total / (2 * ones)::DOUBLE * ones AS s1 FROM sizes)""",
+        # A class without rows weighs one, and scores start at zero then.
+        """weighed AS (SELECT model, total - ones AS zeros, ones,
+    CASE WHEN total > ones THEN total / (2 * (total - ones))::DOUBLE ELSE 1.0 END AS w0,
+    CASE WHEN ones > 0 THEN total / (2 * ones)::DOUBLE ELSE 1.0 END AS w1 FROM sizes)""",
+        "shares AS (SELECT model, w0, w1, w0 * zeros AS s0, w1 * ones AS s1, zeros > 0 AND ones > 0 AS has_both FROM weighed)",
         f"scored AS MATERIALIZED (SELECT model, i FROM learnt UNION {rows})",
-        "s_0 AS (SELECT model, i, ln(s1 / (s0 + s1)) - ln(s0 / (s0 + s1)) AS score FROM scored JOIN shares USING (model))",
+        """s_0 AS (SELECT model, i, CASE WHEN has_both THEN ln(s1 / (s0 + s1)) - ln(s0 / (s0 + s1)) ELSE 0.0 END AS score
+  FROM scored JOIN shares USING (model))""",
     ]
     most = max(int(t[f"num_leaves_{side}"]) for t in trials for side in ("buy", "sell"))
     for turn in range(rounds):
@@ -821,7 +825,7 @@ _values = ", ".join(
     f"({t['trial']}, {', '.join(d(t[n]) for n in PARAMETER_TYPES)})" for t in SEARCH_TRIALS
 )
 ORACLES["best_classifier_parameters"] = f"""{_trials_sql},
-winner AS (SELECT trial FROM scores WHERE metric IS NOT NULL ORDER BY metric DESC, trial LIMIT 1)
+winner AS (SELECT coalesce((SELECT trial FROM scores WHERE metric IS NOT NULL ORDER BY metric DESC, trial LIMIT 1), 0) AS trial)
 SELECT 'run' AS run_id, {_typed} FROM (VALUES {_values}) t(trial, {', '.join(PARAMETER_TYPES)}) JOIN winner USING (trial)"""
 
 # -- written and read back ------------------------------------------------------------------------
