@@ -379,7 +379,7 @@ def similar_classes(
 
 
 #: Words that a sketch is folded to while pairs are looked for.
-FOLD = 4
+FOLD = 2
 
 
 def _folded(sketch: Column) -> Column:
