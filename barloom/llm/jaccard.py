@@ -420,16 +420,26 @@ def _sharing_rare_shingles(
     counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     common = each.join(counts, "shingle")
     of_class = Window.partitionBy("ref")
+    in_order = of_class.orderBy("holders", "shingle")
     alone = F.col("n") - F.count(F.lit(1)).over(of_class)
-    place = alone + F.row_number().over(of_class.orderBy("holders", "shingle"))
+    place = alone + F.row_number().over(in_order)
     longer = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     shorter = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
-    first = common.withColumn("place", place).where(F.col("place") <= longer)
-    first = first.select("shingle", "ref", "n", "place", (F.col("place") <= shorter).alias("short"))
-    first = work.written(first.join(open_, "ref"), "jaccard-first")
+    first = common.withColumns({"place": place, "prior": F.lag("shingle").over(in_order)})
+    first = first.where(F.col("place") <= longer)
+    first = first.select("shingle", "prior", "ref", "n", "place", (F.col("place") <= shorter).alias("short"))
+    return _meetings(work.written(first.join(open_, "ref"), "jaccard-first"), percent).distinct()
 
+
+def _meetings(first: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a < b``) that meet at a shingle of both, each once per run of shingles that both have in order.
+
+    Two classes whose shingles before this one are equal too met there already: both are one place
+    earlier, where every condition on places holds if it does here.
+    """
+    names = ("ref", "root", "n", "place", "prior", "fold")
     one, two = (
-        first.where(f"short OR {x == 'b'}").select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("ref", "root", "n", "place", "fold")])
+        first.where(f"short OR {x == 'b'}").select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in names])
         for x in "ab"
     )
     overlap = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
@@ -439,8 +449,9 @@ def _sharing_rare_shingles(
     unequal = F.zip_with("fold_a", "fold_b", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("long"))
     apart = F.aggregate(unequal, F.lit(0).cast("long"), lambda s, x: s + x)
     near = (F.size("fold_a") != F.size("fold_b")) | (apart <= allowed)
-    pairs = one.join(two, "shingle").where("root_a <> root_b").where(in_order).where(enough & near)
-    return pairs.select(F.least("ref_a", "ref_b").alias("a"), F.greatest("ref_a", "ref_b").alias("b")).distinct()
+    new = F.coalesce(F.col("prior_a") != F.col("prior_b"), F.lit(True))
+    pairs = one.join(two, "shingle").where("root_a <> root_b").where(in_order).where(enough & near & new)
+    return pairs.select(F.least("ref_a", "ref_b").alias("a"), F.greatest("ref_a", "ref_b").alias("b"))
 
 
 def similar_documents(

@@ -720,6 +720,20 @@ def test_shared_cells_do_not_depend_on_batches():
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_pairs_meet_once_per_run_of_shingles(spark):
+    # Shingles 1 to 4 and 6 to 8 of both, 5 and 9 of one each; the third class shares 6 to 8 only.
+    held = {10: (1, 2, 3, 4, 5, 6, 7, 8), 20: (1, 2, 3, 4, 6, 7, 8, 9), 30: (0, 6, 7, 8)}
+    rows = [
+        (x, s[k - 1] if k else None, ref, ref, 100, k + 1, True, [0, 0])
+        for ref, s in held.items()
+        for k, x in enumerate(s)
+    ]
+    names = "shingle long, prior long, ref long, root long, n long, place long, short boolean, fold array<long>"
+    first = spark.createDataFrame(rows, names)
+    met = Counter(tuple(r) for r in jaccard._meetings(first, 85).collect())
+    assert met == {(10, 20): 2, (10, 30): 1, (20, 30): 1}
+
+
 def test_jaccard_of_odd_rows(odd_docs, no_docs):
     got = Counter(tuple(r) for r in jaccard.similar_documents(odd_docs).collect())
     long = len(brute.shingles(" ".join(f"w{i}" for i in range(30_000))))
