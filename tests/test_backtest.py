@@ -7,7 +7,7 @@ from helpers import by_symbol, close_to, random_bars, simulate, to_spark
 from barloom import schema as S
 from barloom.operators import backtest as bt
 from barloom.operators import labels as lb
-from barloom.operators import running
+from barloom.operators import running, search
 from barloom.operators import signals as sg
 from barloom.operators.blocks import with_position
 from barloom.operators.folds import bound_exprs, fold_bounds, fold_rows, holdout_bounds
@@ -227,3 +227,25 @@ def test_parameter_checks():
         with pytest.raises(ValueError):
             S.OptimizeParams(**bad)
     assert S.OptimizeParams(optimize_target="max_dd").direction == "minimize"
+
+
+@pytest.mark.parametrize("capped", [None, 60])
+def test_series_of_one_block_pass_once(spark, monkeypatch, capped):
+    """Only blocks of longer series ask which run enters them; the scores are those of short blocks."""
+    seen = []
+    whole = search.bt.run_state
+
+    def counted(blocks):
+        seen.append(blocks.df.select(S.SYMBOL).distinct().count())
+        return whole(blocks)
+
+    monkeypatch.setattr(search.bt, "run_state", counted)
+    bars = with_position(to_spark(spark, random_bars(5, {"A": 170, "B": 300, "C": 150})))
+    params = S.OptimizeParams(n_splits=2, max_train_size=capped)
+    trials = search.signal_trials(3)
+    got = []
+    for rows in (30, 160, 2048):
+        scores = fold_scores(bars, trials, ACCOUNT, params, block_rows=rows)
+        got.append({(r.symbol, r.trial, r.fold): r.metric for r in scores.collect()})
+    assert seen == [3, 2, 0]
+    assert len(got[0]) == 18 and got[1] == pytest.approx(got[0]) and got[2] == pytest.approx(got[0])
