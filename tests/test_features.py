@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,6 +11,7 @@ from barloom import schema as S
 from barloom.operators.blocks import with_position
 from barloom.operators.features import features
 from barloom.operators.rolling import rolling_apply
+from barloom.operators.sliding import rank_correlations
 from barloom.sources.synthetic import constant_bars
 
 
@@ -127,3 +130,31 @@ def test_python_window_function(bars):
     got = by_symbol(rolling_apply(bars, "close", 9, lean, "r", rows=256))
     for g in got.values():
         close_to(g["r"], g.close.rolling(9).apply(lambda w: w[-1] - w.mean(), raw=True))
+
+
+def test_every_generated_method_is_compiled_by_the_jvm(spark, bars):
+    plan = features(bars)._jdf.queryExecution().sparkPlan()
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(
+        spark._jvm.org.apache.spark.sql.execution.QueryExecution.prepareExecutedPlan(spark._jsparkSession, plan)
+    )
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_series_of_one_block_are_read_once(spark, bars, tmp_path):
+    bars.write.parquet(str(tmp_path / "bars"))
+    stored = spark.read.parquet(str(tmp_path / "bars"))
+    plan = features(stored, ["macd", "rsi"])._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet .*", plan)
+    assert len([scan for scan in scans if "GreaterThan(n,2048)" not in scan]) == 1
+
+
+def test_rank_correlations_of_ties_and_gaps():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, 120).astype(float)
+    x[[30, 31, 77]] = np.nan
+    for values in (x, x[:6]):
+        for name, got in rank_correlations(values, {"a": 5, "b": 9, "c": 20}).items():
+            n = {"a": 5, "b": 9, "c": 20}[name]
+            expected = pd.Series(values).rolling(n).apply(rank_corr, raw=True)
+            np.testing.assert_allclose(got, expected.to_numpy(), atol=1e-12)
