@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import look_up, text_or_empty
+from barloom.llm.common import look_up, pieces, text_or_empty
 from barloom.sinks.writers import written
 
 #: Entries that a bucket should hold, and leading bits that the directory may use at most: its
@@ -115,7 +115,8 @@ def _pre_aggregate(starts: np.ndarray, bits: int):
             return out
 
         for batch in batches:
-            for key, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
+            rows = (row for piece in pieces(batch) for row in zip(*(c.to_pylist() for c in piece.columns)))
+            for key, doc, text in rows:
                 entry = held.get(text)
                 if entry is None:
                     held[text] = [key, doc, 1]

@@ -23,16 +23,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import held_out, map_batches, text_or_empty
+from barloom.llm.common import held_out, map_batches, pieces, text_or_empty
 from barloom.llm.logistic import Logistic, fit_logistic
 from barloom.sinks.writers import written
 
@@ -43,7 +42,8 @@ EVIDENCE_ROWS = 60_000
 MIN_DOCS = 4
 MIN_ODDS = 1.0
 THRESHOLD = 0.3
-CACHE_ROWS = 300_000
+#: Tokens and words that a task remembers; a worker lives on with what its largest task took.
+CACHE_ROWS = 100_000
 #: Characters of text that are counted at once, and distinct n-grams that a task holds.
 CHUNK_CHARACTERS, FLUSH_GRAMS = 1 << 20, 500_000
 
@@ -302,16 +302,16 @@ class ToxicityModel:
     odds: dict[str, float]
     regression: Logistic
 
-    def scorer(self) -> Callable[[list[str]], np.ndarray]:
+    def scorer(self) -> Callable[[Iterable[str]], np.ndarray]:
         decoded: dict[str, list[str]] = {}
         strengths: dict[str, float] = {}
 
-        def score(texts: list[str]) -> np.ndarray:
+        def score(texts: Iterable[str]) -> np.ndarray:
             rows = [
                 evidence(plain_words(t, self.characters, decoded), self.odds, strengths)
                 for t in texts
             ]
-            return self.regression.predict(np.array(rows, float).reshape(len(texts), -1))
+            return self.regression.predict(np.array(rows, float).reshape(len(rows), -1))
 
         return score
 
@@ -319,11 +319,12 @@ class ToxicityModel:
         """Score of a text column."""
         make = self.scorer
 
-        @F.pandas_udf("double")
-        def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             run = make()
             for texts in batches:
-                yield pd.Series(run(texts.tolist()), dtype="float64")
+                found = run(t for piece in pieces(texts) for t in piece.to_pylist())
+                yield pa.array(found, pa.float64())
 
         return scores(text_or_empty(text))
 

@@ -9,11 +9,13 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
 from barloom.llm import merkle, repeats, runs
+from barloom.llm.common import PIECE_BYTES, map_batches, pieces
 
 # -- plain versions -------------------------------------------------------------------------------
 
@@ -315,3 +317,28 @@ def test_manifest_of_odd_rows(spark, odd_docs, no_docs, make_docs):
         got = merkle.verified_manifest(docs, tampered, F.translate("text", upper, upper.lower()))
         assert Counter(tuple(r) for r in got.collect()) == plain_manifest(docs.collect())
     assert merkle.manifest(no_docs).count() == 0
+
+
+# -- batches of whole texts -----------------------------------------------------------------------
+
+
+def test_a_function_sees_few_whole_texts_at_once(spark):
+    rows = [(i, chr(97 + i % 26) * 100_000) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+
+    def make():
+        def step(batch):
+            size = sum(len(t) for t in batch.column(1).to_pylist())
+            return {"doc_id": batch.column(0), "size": [size] * len(batch)}
+
+        return step
+
+    got = map_batches(docs, make, "doc_id bigint, size bigint").collect()
+    assert sorted(r.doc_id for r in got) == list(range(200))
+    assert max(r.size for r in got) <= PIECE_BYTES
+
+
+def test_pieces_cover_a_batch():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * PIECE_BYTES, None, "y"] * 3})
+    assert [t for p in pieces(batch) for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert [len(p) for p in pieces(batch.slice(0, 0))] == [0]
