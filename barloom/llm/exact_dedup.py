@@ -126,10 +126,10 @@ def _pre_aggregate(starts: np.ndarray, bits: int):
                     if entry[1] is None or doc is not None and doc > entry[1]:
                         entry[1] = doc
             if size > HELD_BYTES:
-                yield flush()
+                yield from pieces(flush())
                 size = 0
         if held:
-            yield flush()
+            yield from pieces(flush())
 
     return run
 
@@ -153,7 +153,8 @@ def _chain_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return batch
 
     for batch in batches:
-        for bucket, key, text, keep, n in zip(*(c.to_pylist() for c in batch.columns)):
+        rows = (row for piece in pieces(batch) for row in zip(*(c.to_pylist() for c in piece.columns)))
+        for bucket, key, text, keep, n in rows:
             if now != (bucket, key):
                 if now is not None:
                     close()
