@@ -158,3 +158,16 @@ def test_rank_correlations_of_ties_and_gaps():
             n = {"a": 5, "b": 9, "c": 20}[name]
             expected = pd.Series(values).rolling(n).apply(rank_corr, raw=True)
             np.testing.assert_allclose(got, expected.to_numpy(), atol=1e-12)
+
+
+def test_block_statistics_in_another_time_zone(spark, bars):
+    def rows():
+        table = features(bars, ["rci"]).selectExpr("symbol", "unix_micros(ts) AS at", "RCI9")
+        return sorted(map(tuple, table.where("RCI9 IS NOT NULL").collect()))
+
+    expected, zone = rows(), spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
