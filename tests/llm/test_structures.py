@@ -183,6 +183,26 @@ def test_repeats_of_the_given_table(spark, texts):
         assert got[doc] == want
 
 
+def test_passages_of_over_fifty_words_go_by_their_bytes(spark, make_docs, tmp_path):
+    """Shared by two documents, 399 bytes stay and 400 go, whatever the number of words."""
+    rng = np.random.default_rng(5)
+
+    def text(size: int) -> str:
+        return " ".join(str(x) for x in rng.integers(10_000, 99_999, size // 6 + 1))[: size - 1] + "."
+
+    shared = {size: text(size) for size in (330, 399, 400, 460)}
+    assert all(len(p.split()) > 50 for p in shared.values())
+    rows = [
+        (len(shared) * k + i, f"{text(600)}{'ab'[k]}{p}{'cd'[k]}{text(600)}")
+        for k in range(2)
+        for i, p in enumerate(shared.values())
+    ] + [(8, text(2000))]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:] for r in entry.queries()["op11_repeats"](spark, str(tmp_path)).collect()}
+    assert [got[i][1:3] for i, _ in rows] == 2 * [(0, 0), (0, 0), (400, 1), (460, 1)] + [(0, 0)]
+    assert [got[i] for i, _ in rows] == plain_removal([t for _, t in rows], 400)
+
+
 @pytest.mark.parametrize("group_bytes", [400, 2_000_000])
 def test_large_groups_are_cut_by_longer_grams(spark, make_docs, group_bytes):
     """A passage in every document, once periodic, and copies: whatever the groups, the same rows."""
