@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import look_up, pieces, text_or_empty
+from barloom.llm.common import give_back, look_up, pieces, small_batches, text_or_empty
 from barloom.sinks.writers import written
 
 #: Entries that a bucket should hold, and leading bits that the directory may use at most: its
@@ -130,6 +130,7 @@ def _pre_aggregate(starts: np.ndarray, bits: int):
                 size = 0
         if held:
             yield from pieces(flush())
+        give_back()
 
     return run
 
@@ -171,6 +172,7 @@ def _chain_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     if now is not None:
         close()
     yield flush()
+    give_back()
 
 
 def build_index(
@@ -182,6 +184,7 @@ def build_index(
 ) -> tuple[DataFrame, DataFrame]:
     """Directory and index, both written to the shared folder."""
     spark = docs.sparkSession
+    small_batches(spark)
     bits = directory_bits(docs.count(), bucket_rows)
     keyed = docs.select(
         hash_of(text_or_empty(text)).alias("key"),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import held_out, map_batches, pieces, text_or_empty
+from barloom.llm.common import give_back, held_out, map_batches, pieces, small_batches, text_or_empty
 from barloom.llm.logistic import Logistic, fit_logistic
 from barloom.sinks.writers import written
 
@@ -325,6 +325,8 @@ class ToxicityModel:
             for texts in batches:
                 found = run(t for piece in pieces(texts) for t in piece.to_pylist())
                 yield pa.array(found, pa.float64())
+            del run
+            give_back()
 
         return scores(text_or_empty(text))
 
@@ -371,7 +373,7 @@ def character_model(docs: DataFrame, text: str = "text") -> CharacterModel:
             )
 
         for batch in batches:
-            for document in batch.column(0).to_pylist():
+            for document in (t for piece in pieces(batch) for t in piece.column(0).to_pylist()):
                 chunk.append(document.lower())
                 read += len(document)
                 if read > CHUNK_CHARACTERS:
@@ -381,7 +383,9 @@ def character_model(docs: DataFrame, text: str = "text") -> CharacterModel:
                     yield counted()
         counter.add(chunk)
         yield counted()
+        give_back()
 
+    small_batches(docs.sparkSession)
     found = docs.select(text_or_empty(text).alias("text")).mapInArrow(grams, "form string, n bigint")
     rows = found.groupBy("form").agg(F.sum("n").alias("n")).collect()
     return CharacterModel.fit(Counter({r.form: r.n for r in rows}))
@@ -392,6 +396,7 @@ def fit_toxicity(sample: DataFrame, docs: DataFrame, text: str = "text") -> Toxi
 
     All counting runs as Spark jobs, small tables come back.
     """
+    small_batches(docs.sparkSession)
     totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
@@ -405,7 +410,7 @@ def fit_toxicity(sample: DataFrame, docs: DataFrame, text: str = "text") -> Toxi
             counts: Counter = Counter()
             memo: dict[str, list[str]] = {}
             for batch in batches:
-                for text in batch.column(0).to_pylist():
+                for text in (t for piece in pieces(batch) for t in piece.column(0).to_pylist()):
                     words = plain_words(text, characters, memo)
                     found = {f for w in words for f in forms(w)}
                     counts.update(found if only is None else found & only)

@@ -14,8 +14,8 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
-from barloom.llm import merkle, repeats, runs
-from barloom.llm.common import PIECE_BYTES, map_batches, pieces
+from barloom.llm import exact_dedup, merkle, repeats, runs
+from barloom.llm.common import PIECE_BYTES, map_batches, pieces, small_batches, text_or_empty
 
 # -- plain versions -------------------------------------------------------------------------------
 
@@ -362,3 +362,28 @@ def test_pieces_cover_a_batch():
     batch = pa.RecordBatch.from_pydict({"text": ["x" * PIECE_BYTES, None, "y"] * 3})
     assert [t for p in pieces(batch) for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
     assert [len(p) for p in pieces(batch.slice(0, 0))] == [0]
+
+
+def test_spark_sends_few_whole_texts_at_once(spark):
+    """Also to operators that read Spark's batches as they come: counted in the worker, not in pieces."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = [(i, chr(97 + i % 26) * 100_000) for i in range(200)] + [(200, "x" * (2 * PIECE_BYTES))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        exact_dedup.exact_duplicates(docs)
+        got = docs.select(text_or_empty()).mapInArrow(sizes, "n bigint, size bigint").collect()
+        assert sum(r.n for r in got) == len(rows)
+        assert max(r.size for r in got if r.n > 1) <= 3 * PIECE_BYTES  # the long text may end a batch
+        assert sorted(r.size for r in got)[-2] <= PIECE_BYTES + 200_000
+        spark.conf.set(key, "1m")
+        small_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
