@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -628,6 +629,45 @@ def test_progress_log_replaces_replayed_batches(spark, tmp_path):
     assert got == {(0, 5, 12), (1, 7, 11)} and len(_files(tmp_path / "log")) == 2
 
 
+def test_stored_bars_leave_one_table_and_no_shuffle(spark):
+    """Bars without positions and the shuffles on the way are gone, the session's setting is as before."""
+    import time
+
+    from barloom import session
+    from barloom.plans.market import stored
+
+    root = Path(session.shared_dir(spark, "x").rsplit("/", 1)[0].removeprefix("file:"))
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def tables() -> set:
+        return {p.name for p in root.iterdir()} if root.is_dir() else set()
+
+    def shuffled() -> set:
+        return {f.name for d in local for f in Path(d).rglob("shuffle_*.data")}
+
+    pdf = random_bars(5, {"A": 500, "B": 3}).rename(columns={"close": "price"}).assign(seq=0)
+    bars = resample(to_spark(spark, pdf), "1 hour", tick_order())
+    known, files, setting = tables(), shuffled(), spark.conf.get(session._SHUFFLE_CLEANUP)
+    rows = stored(bars)
+    assert [name.split("-")[0] for name in tables() - known] == ["positions"]
+    until = time.time() + 20
+    while shuffled() - files and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - files
+    assert spark.conf.get(session._SHUFFLE_CLEANUP) == setting
+    assert rows.drop("i", "n").exceptAll(bars).isEmpty() and rows.count() == bars.count()
+
+
+def test_resampling_shuffles_the_start_of_a_window_alone(spark):
+    """The end of a window follows from its start; with it every row of the exchange is wider."""
+    pdf = random_bars(5, {"A": 50}).rename(columns={"close": "price"}).assign(seq=0)
+    pdf.loc[pdf.index[:5], "ts"] = pd.NaT
+    bars = resample(to_spark(spark, pdf), "1 hour", tick_order())
+    exchange = bars._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(")[1]
+    assert "window" not in exchange.split("\n")[0] and bars.count() > 0
+    assert bars.where("ts IS NULL").isEmpty()
+
+
 def test_merges_and_triggers_leave_nothing_behind(spark, tmp_path):
     """What a merge or a micro-batch writes on its way is removed, also when it fails."""
     from barloom.session import scratch, shared_dir
